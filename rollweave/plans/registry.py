@@ -1,0 +1,11 @@
+"""Named queries over the derived tables, with the SQL that states the same results."""
+
+from __future__ import annotations
+
+
+def queries() -> dict:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
