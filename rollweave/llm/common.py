@@ -72,6 +72,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct: an operator's working columns can't clash with names below it."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
+
+
 def normalised(text: Column) -> Column:
     """Null becomes the empty text; every run of ASCII white space becomes one space."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
@@ -79,14 +84,3 @@ def normalised(text: Column) -> Column:
 
 def salted(by: Column, salts: int) -> Column:
     return F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
-
-
-def winners(rows: DataFrame, key: str, salts: int = 64) -> DataFrame:
-    """(key, doc_id) rows -> key, salt, keep_id (the least doc_id), group_size: a row for each salt that a key uses.
-
-    Counts first combine by (key, salt), so that a key with a third of all rows comes as ``salts`` rows at most to the
-    second step; the list of salts is bounded by ``salts``. Join back on (key, salt), salt = salted(doc_id).
-    """
-    part = rows.groupBy(key, salted(F.col("doc_id"), salts).alias("salt")).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    whole = part.groupBy(key).agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"), F.collect_list("salt").alias("salts"))
-    return whole.select(key, F.explode("salts").alias("salt"), "keep_id", "group_size")

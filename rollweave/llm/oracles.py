@@ -54,4 +54,60 @@ LEFT JOIN best ON best.page_id IS NOT DISTINCT FROM h.page_id AND best.url IS NO
 LEFT JOIN reach ON reach.node = h.host || CASE WHEN h.path = '' THEN '/' ELSE h.path END || h.query
 """
 
-SQL = {"op10_url_filters": _OP10}
+_OP3 = """
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AND row_number() OVER (PARTITION BY text_sha256, doc_id) = 1 AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+_OP4 = """
+WITH d AS (
+  SELECT doc_id, text, coalesce('s' || source, 'n') AS skey,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    -ln((('0x' || substr(md5(coalesce(cast(doc_id AS varchar), '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+      / (0.5::DOUBLE + 0.5::DOUBLE * coalesce(CASE WHEN length(text) > 0 THEN length(translate(text, '#$%&*|!<>{}[]^~=+@', ''))::DOUBLE / length(text) END, 0)) AS key
+  FROM documents),
+s AS (
+  SELECT skey, sum(size)::BIGINT AS source_size, count(*) AS docs,
+    (row_number() OVER (ORDER BY skey = 'n', skey) - 1) % 3 + 1 AS weight FROM d GROUP BY skey),
+r AS (
+  SELECT *, row_number() OVER o AS place,
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_weight
+  FROM s WINDOW o AS (ORDER BY source_size / weight, skey)),
+l AS (SELECT place AS spot, rest AS level_rest, rest_weight AS level_weight FROM r
+      WHERE rest * weight <= 3 * source_size * rest_weight ORDER BY place LIMIT 1),
+t AS (
+  SELECT skey, source_size, docs,
+    CASE WHEN spot IS NULL OR place < spot THEN (3 * source_size)::DOUBLE ELSE (level_rest * weight)::DOUBLE / level_weight END AS target
+  FROM r LEFT JOIN l ON true),
+e AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(3, floor(target / source_size))::BIGINT END AS epochs FROM t),
+m AS (
+  SELECT d.*, source_size, target, epochs, target - epochs * source_size AS budget,
+    floor(greatest(1, ceil(docs / 1024)) * (1 - exp(-key)))::BIGINT AS bucket
+  FROM d JOIN e USING (skey)),
+b AS (
+  SELECT skey, bucket, budget, sum(sum(size)) OVER (PARTITION BY skey ORDER BY bucket) AS upto, sum(size) AS words
+  FROM m GROUP BY skey, bucket, budget),
+c AS (SELECT skey, min(bucket) AS end_bucket, arg_min(upto - words, bucket) AS before FROM b WHERE upto > budget GROUP BY skey),
+x AS (SELECT m.*, budget - before AS gap FROM m JOIN c ON m.skey = c.skey AND bucket = end_bucket),
+p1 AS (SELECT *, sum(size) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= gap AS more FROM x),
+q1 AS (SELECT * REPLACE (gap - coalesce(sum(size) FILTER (more) OVER (PARTITION BY skey), 0) AS gap) FROM p1),
+p2 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) <= gap AS add FROM q1),
+q2 AS (SELECT * EXCLUDE (add) REPLACE (more OR add AS more, gap - coalesce(sum(size) FILTER (add) OVER (PARTITION BY skey), 0) AS gap) FROM p2),
+p3 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) <= gap AS add FROM q2),
+q3 AS (SELECT * EXCLUDE (add) REPLACE (more OR add AS more, gap - coalesce(sum(size) FILTER (add) OVER (PARTITION BY skey), 0) AS gap) FROM p3),
+n AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY more OR size = 0, size, key, doc_id) = 1 AND NOT more AND size > 0 AND size < 2 * gap AS last_one FROM q3),
+f AS (
+  SELECT doc_id, size, source_size, target, epochs + (more OR last_one)::BIGINT AS copies FROM n
+  UNION ALL
+  SELECT doc_id, size, source_size, target, epochs + (bucket < end_bucket AND epochs < 3)::BIGINT
+  FROM m JOIN c USING (skey) WHERE bucket <> end_bucket
+  UNION ALL
+  SELECT doc_id, size, source_size, target, epochs FROM m WHERE skey NOT IN (SELECT skey FROM c))
+SELECT doc_id, size, source_size, target, size * copies AS taken FROM f
+"""
+
+SQL = {"op3_exact_dedup": _OP3, "op4_source_mixing": _OP4, "op10_url_filters": _OP10}

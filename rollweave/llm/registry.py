@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from rollweave.llm import oracles
+from rollweave.llm.exactdedup import op3_exact_dedup
+from rollweave.llm.mixing import op4_source_mixing
 from rollweave.llm.urlfilter import op10_url_filters
 
 
 def queries() -> dict:
-    return {"op10_url_filters": op10_url_filters}
+    return {
+        "op3_exact_dedup": op3_exact_dedup,
+        "op4_source_mixing": op4_source_mixing,
+        "op10_url_filters": op10_url_filters,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
