@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from rollweave.llm import oracles
 from rollweave.llm.exactdedup import op3_exact_dedup
+from rollweave.llm.langid import op9_language_id
 from rollweave.llm.mixing import op4_source_mixing
+from rollweave.llm.pieces import op7_sentencepiece
 from rollweave.llm.urlfilter import op10_url_filters
 
 
@@ -12,6 +14,8 @@ def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_source_mixing": op4_source_mixing,
+        "op7_sentencepiece": op7_sentencepiece,
+        "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
     }
 
