@@ -6,6 +6,7 @@ from rollweave.llm import oracles
 from rollweave.llm.exactdedup import op3_exact_dedup
 from rollweave.llm.langid import op9_language_id
 from rollweave.llm.mixing import op4_source_mixing
+from rollweave.llm.neardedup import op6_near_dedup
 from rollweave.llm.pieces import op7_sentencepiece
 from rollweave.llm.urlfilter import op10_url_filters
 
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_source_mixing": op4_source_mixing,
+        "op6_near_dedup": op6_near_dedup,
         "op7_sentencepiece": op7_sentencepiece,
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
