@@ -8,6 +8,7 @@ from rollweave.llm.langid import op9_language_id
 from rollweave.llm.mixing import op4_source_mixing
 from rollweave.llm.neardedup import op6_near_dedup
 from rollweave.llm.pieces import op7_sentencepiece
+from rollweave.llm.topk import op8_exact_topk
 from rollweave.llm.urlfilter import op10_url_filters
 
 
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op4_source_mixing": op4_source_mixing,
         "op6_near_dedup": op6_near_dedup,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_exact_topk": op8_exact_topk,
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
     }
