@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +58,12 @@ class Scratch:
                 delete(self.spark, path)
 
 
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as this Python worker, so that a worker's later tasks find what earlier ones learned."""
+    held = sys.modules.setdefault("rollweave_process_cache", types.ModuleType("rollweave_process_cache"))
+    return held.__dict__.setdefault(f"cache:{name}", {})
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from rollweave.llm import oracles
 from rollweave.llm.exactdedup import op3_exact_dedup
+from rollweave.llm.htmltext import op1_html_extraction
 from rollweave.llm.langid import op9_language_id
 from rollweave.llm.mixing import op4_source_mixing
 from rollweave.llm.neardedup import op6_near_dedup
 from rollweave.llm.pieces import op7_sentencepiece
+from rollweave.llm.tokenfiles import op2_token_files
 from rollweave.llm.topk import op8_exact_topk
 from rollweave.llm.urlfilter import op10_url_filters
 
 
 def queries() -> dict:
     return {
+        "op1_html_extraction": op1_html_extraction,
+        "op2_token_files": op2_token_files,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_source_mixing": op4_source_mixing,
         "op6_near_dedup": op6_near_dedup,
