@@ -12,13 +12,14 @@ in no manifest.
 from __future__ import annotations
 
 import json
-import re
+import os
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +30,13 @@ from rollweave.llm.common import Scratch, process_cache, table
 SEQUENCE = 2048
 BATCH = 64
 END_ID = 2
-SLICE = 4 << 20
+SLICE = 16 << 20
 #: Chunks that a worker remembers at most, some 200 bytes each; later ones are encoded each time.
-KNOWN_CHUNKS = 1_000_000
+KNOWN_CHUNKS = 1_200_000
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_IRREGULAR = re.compile(r" \s|\s |\x00")
+#: White space in Unicode, for RE2.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_IRREGULAR = f" {_WHITE}|{_WHITE} |\\x00"
 
 MANIFEST = "shard int, ids_path string, docs_path string, tokens long, sequences long, docs long"
 
@@ -48,42 +51,84 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(vocabulary)
-        pre = spec.get("pre_tokenizer") or {}
+        pre, size = spec.get("pre_tokenizer") or {}, self.tokenizer.get_vocab_size()
         self.chunked = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.dtype = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
+        #: Bytes that each id stands for: a byte-level vocabulary writes each byte as one character.
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.known: dict[str, bytes] = process_cache(f"chunks {zlib.crc32(vocabulary.encode())}")
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.chunked:
-            return self._encode(texts)
-        parts = [None if _IRREGULAR.search(x) else x.replace(" ", "\0 ").split("\0") for x in texts]
-        known = self.known
-        now = known if len(known) < KNOWN_CHUNKS else {}
-        new, halves = set(), {}
-        for c in {c for x in parts if x is not None for c in x if c not in known}:
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _strung(self, chunks: list[str]) -> list[bytes]:
+        """Encodes chunks that begin with a space and end without one as a single text, and cuts its ids where chunks end."""
+        if not chunks:
+            return []
+        ids = self.whole(["".join(chunks)])[0]
+        upto = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(x.encode()) for x in chunks])) + 1
+        return [x.tobytes() for x in np.split(ids, upto[:-1])]
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        known, new, halves = self.known, set(), {}
+        for c in chunks:
             core = c.rstrip(_PUNCTUATION)
             if len(core) < len(c) and core.removeprefix(" ").isalpha():
                 halves[c] = core, c[len(core) :]
                 new.update(x for x in halves[c] if x not in known)
             else:
                 new.add(c)
-        new = list(new)
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        for c, (core, rest) in halves.items():
-            fresh[c] = (fresh.get(core) or known[core]) + (fresh.get(rest) or known[rest])
-        now.update(fresh)
-        whole = iter(self._encode([x for x, p in zip(texts, parts, strict=True) if p is None]))
-        if now is known:
-            return [next(whole) if p is None else b"".join([known[c] for c in p]) for p in parts]
-        return [next(whole) if p is None else b"".join([known[c] if c in known else fresh[c] for c in p]) for p in parts]
+        strung = [c for c in new if c[:1] == " " and len(c) > 1 and not c[-1].isspace()]
+        out = dict(zip(strung, self._strung(strung), strict=True))
+        rest = [c for c in new if c not in out]
+        out.update(zip(rest, (x.tobytes() for x in self.whole(rest)), strict=True))
+        for c, (core, mark) in halves.items():
+            out[c] = (out.get(core) or known[core]) + (out.get(mark) or known[mark])
+        if len(known) < KNOWN_CHUNKS:
+            known.update(out)
+        return out
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another, and the number of each text's ids. Null counts as the empty text."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False) if self.chunked else np.ones(len(texts), bool)
+        if odd.all():
+            parts = self.whole(texts.to_pylist())
+            return np.concatenate([np.zeros(0, self.dtype), *parts]), np.array([len(x) for x in parts], np.int64)
+        lists = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~odd)), " ", "\0 "), "\0")
+        coded = lists.flatten().dictionary_encode()
+        codes, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        found = list(map(self.known.get, chunks))
+        if missing := [c for c, x in zip(chunks, found, strict=True) if x is None]:
+            learned = self._learn(missing)
+            found = [learned[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
+        ids, n = np.frombuffer(b"".join(found), self.dtype), np.array(list(map(len, found)), np.int64) // self.dtype.itemsize
+        begins, each = (np.cumsum(n) - n)[codes], n[codes]
+        ends = np.cumsum(each)
+        flat = ids[np.arange(int(ends[-1])) + np.repeat(begins - (ends - each), each)]
+        upto = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        lengths = np.diff(upto)
+        if not odd.any():
+            return flat, lengths
+        regular, own = iter(np.split(flat, upto[1:-1])), iter(self.whole(texts.filter(pa.array(odd)).to_pylist()))
+        parts = [next(own if x else regular) for x in odd.tolist()]
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(place of the first, texts): runs of about SLICE bytes, or one longer text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        yield at, texts.slice(at, upto - at)
+        at = upto
 
 
 def _store(uri: str):
@@ -113,24 +158,23 @@ class ShardWriter:
         self.ids.write_batch(pa.RecordBatch.from_arrays([ids, mask], schema=self.schema))
         self.sequences += len(ids)
 
-    def add(self, doc_ids: list, encoded: list[bytes]) -> None:
-        """Documents in order, their ids as bytes with the end id."""
-        n = np.array([len(x) // self.dtype.itemsize for x in encoded], np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, n: np.ndarray) -> None:
+        """Documents in order: their ids one after another, and how many each has, end ids included."""
         offsets = self.tokens + np.cumsum(n) - n
-        self.index.write_batch(pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(offsets), pa.array(n)], schema=self.docs_schema))
-        self.tokens, self.docs, self.waiting = self.tokens + int(n.sum()), self.docs + len(n), self.waiting + int(n.sum())
-        self.held += encoded
+        self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(offsets), pa.array(n)], schema=self.docs_schema))
+        self.tokens, self.docs, self.waiting = self.tokens + len(ids), self.docs + len(n), self.waiting + len(ids)
+        self.held.append(ids)
         full = BATCH * self.sequence
         if self.waiting >= full:
-            flat, at = np.frombuffer(b"".join(self.held), self.dtype), 0
+            flat, at = np.concatenate(self.held), 0
             while len(flat) - at >= full:
                 self._put(flat[at : at + full], full)
                 at += full
-            self.held, self.waiting = [flat[at:].tobytes()], len(flat) - at
+            self.held, self.waiting = [flat[at:].copy()], len(flat) - at
 
     def close(self) -> None:
         if self.waiting:
-            flat = np.frombuffer(b"".join(self.held), self.dtype)
+            flat = np.concatenate(self.held)
             self._put(np.pad(flat, (0, -len(flat) % self.sequence)), len(flat))
         self.ids.close()
         self.index.close()
@@ -196,14 +240,11 @@ def write(docs: DataFrame, vocabulary_path: str, scratch: Scratch, end_id: int |
             if writer is None:
                 encode = Encoder(vocabulary.value)
                 writer = ShardWriter(root, f"shard-{shard:06d}-{uuid.uuid4().hex}", encode.dtype, sequence)
-            end = b"" if end_id is None else np.array([end_id], encode.dtype).tobytes()
-            ids, texts, first, size = batch.column(0).to_pylist(), [], 0, 0
-            for i, x in enumerate(batch.column(1)):
-                texts.append(x.as_py() or "")
-                size += len(texts[-1])
-                if size >= SLICE or i + 1 == len(ids):
-                    writer.add(ids[first : i + 1], [x + end for x in encode(texts)])
-                    texts, first, size = [], i + 1, 0
+            for at, texts in slices(batch.column(1)):
+                ids, n = encode(texts)
+                if end_id is not None:
+                    ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+                writer.add(batch.column(0).slice(at, len(texts)), ids, n)
         if writer is not None:
             writer.close()
             values = [shard, writer.ids_path, writer.docs_path, writer.tokens, writer.sequences, writer.docs]
