@@ -9,6 +9,7 @@ from rollweave.llm.langid import op9_language_id
 from rollweave.llm.mixing import op4_source_mixing
 from rollweave.llm.neardedup import op6_near_dedup
 from rollweave.llm.pieces import op7_sentencepiece
+from rollweave.llm.quality import op5_quality
 from rollweave.llm.tokenfiles import op2_token_files
 from rollweave.llm.topk import op8_exact_topk
 from rollweave.llm.urlfilter import op10_url_filters
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op2_token_files": op2_token_files,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_source_mixing": op4_source_mixing,
+        "op5_quality": op5_quality,
         "op6_near_dedup": op6_near_dedup,
         "op7_sentencepiece": op7_sentencepiece,
         "op8_exact_topk": op8_exact_topk,
