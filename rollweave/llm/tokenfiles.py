@@ -30,10 +30,13 @@ from rollweave.llm.common import Scratch, process_cache, table
 SEQUENCE = 2048
 BATCH = 64
 END_ID = 2
-SLICE = 16 << 20
+SLICE = 8 << 20
 #: Chunks that a worker remembers at most, some 200 bytes each; later ones are encoded each time.
-KNOWN_CHUNKS = 1_200_000
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+KNOWN_CHUNKS = 400_000
+#: Chunks that are encoded as one text; the library's time for a text grows faster than the text.
+STRUNG = 500
+#: A Latin letter and the ASCII punctuation after it, without the apostrophe, which contractions begin with.
+_LETTER_MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}])([!-&(-/:-@\[-`{-~])"
 #: White space in Unicode, for RE2.
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _IRREGULAR = f" {_WHITE}|{_WHITE} |\\x00"
@@ -68,30 +71,21 @@ class Encoder:
         return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _strung(self, chunks: list[str]) -> list[bytes]:
-        """Encodes chunks that begin with a space and end without one as a single text, and cuts its ids where chunks end."""
+        """Encodes chunks that begin with a space and end without one as texts of STRUNG chunks, and cuts the ids where chunks end."""
         if not chunks:
             return []
-        ids = self.whole(["".join(chunks)])[0]
+        ids = np.concatenate(self.whole(["".join(chunks[i : i + STRUNG]) for i in range(0, len(chunks), STRUNG)]))
         upto = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(x.encode()) for x in chunks])) + 1
-        return [x.tobytes() for x in np.split(ids, upto[:-1])]
+        raw, cuts = ids.tobytes(), [0, *(upto * self.dtype.itemsize).tolist()]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]  # noqa: B905  one more cut than chunks
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        known, new, halves = self.known, set(), {}
-        for c in chunks:
-            core = c.rstrip(_PUNCTUATION)
-            if len(core) < len(c) and core.removeprefix(" ").isalpha():
-                halves[c] = core, c[len(core) :]
-                new.update(x for x in halves[c] if x not in known)
-            else:
-                new.add(c)
-        strung = [c for c in new if c[:1] == " " and len(c) > 1 and not c[-1].isspace()]
+        strung = [c for c in chunks if c[:1] == " " and len(c) > 1 and not c[-1].isspace()]
         out = dict(zip(strung, self._strung(strung), strict=True))
-        rest = [c for c in new if c not in out]
+        rest = [c for c in chunks if c not in out]
         out.update(zip(rest, (x.tobytes() for x in self.whole(rest)), strict=True))
-        for c, (core, mark) in halves.items():
-            out[c] = (out.get(core) or known[core]) + (out.get(mark) or known[mark])
-        if len(known) < KNOWN_CHUNKS:
-            known.update(out)
+        if len(self.known) < KNOWN_CHUNKS:
+            self.known.update(out)
         return out
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +95,8 @@ class Encoder:
         if odd.all():
             parts = self.whole(texts.to_pylist())
             return np.concatenate([np.zeros(0, self.dtype), *parts]), np.array([len(x) for x in parts], np.int64)
-        lists = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~odd)), " ", "\0 "), "\0")
+        regular = texts.filter(pa.array(~odd)) if odd.any() else texts
+        lists = pc.split_pattern(pc.replace_substring(pc.replace_substring_regex(regular, _LETTER_MARK, "\\1\0\\2"), " ", "\0 "), "\0")
         coded = lists.flatten().dictionary_encode()
         codes, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         found = list(map(self.known.get, chunks))
@@ -111,13 +106,16 @@ class Encoder:
         ids, n = np.frombuffer(b"".join(found), self.dtype), np.array(list(map(len, found)), np.int64) // self.dtype.itemsize
         begins, each = (np.cumsum(n) - n)[codes], n[codes]
         ends = np.cumsum(each)
-        flat = ids[np.arange(int(ends[-1])) + np.repeat(begins - (ends - each), each)]
+        kind = np.int32 if max(len(ids), int(ends[-1])) < 1 << 31 else np.int64
+        at = np.repeat((begins - (ends - each)).astype(kind), each)
+        at += np.arange(len(at), dtype=kind)
+        flat = ids[at]
         upto = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         lengths = np.diff(upto)
         if not odd.any():
             return flat, lengths
-        regular, own = iter(np.split(flat, upto[1:-1])), iter(self.whole(texts.filter(pa.array(odd)).to_pylist()))
-        parts = [next(own if x else regular) for x in odd.tolist()]
+        found, own = iter(np.split(flat, upto[1:-1])), iter(self.whole(texts.filter(pa.array(odd)).to_pylist()))
+        parts = [next(own if x else found) for x in odd.tolist()]
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
