@@ -1,11 +1,714 @@
-"""Named queries over the derived tables, with the SQL that states the same results."""
+"""Named queries over the derived tables, each beside the SQL that states the same result."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rollweave.functions import codecs, eed, text
+from rollweave.operators import cells, merge, metrics, pairs, publish, stats, trajectory, weights
+from rollweave.plans import derive
+from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+WEEK_S = 7 * 86_400
+AS_OF = f"TIMESTAMP '{derive.AS_OF}'"
+SINCE = "TIMESTAMP '2024-01-10 00:00:00'"
+OPEN = "collected < target_samples AND attempts < 2 * target_samples"
+ZOMBIE = f"({OPEN} AND last_updated < {AS_OF} - INTERVAL 21600 SECOND)"
+PENDING = (
+    f"published_at IS NULL AND (collected >= target_samples OR (attempts >= 2 * target_samples AND last_updated < {AS_OF} - INTERVAL 5 MINUTE) OR {ZOMBIE})"
+)
+CELL = "list_name, env_name, task_id, teacher_name"
+
+
+def since():
+    return F.expr("timestamp_ntz'2024-01-10 00:00:00'")
+
+
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return put
+
+
+def _rolls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.rollouts(spark, sf_dir)
+
+
+def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.progress(_rolls(spark, sf_dir))
+
+
+# -- yields and weights ---------------------------------------------------------------------------------------------------
+
+YIELDS = f"""
+yields AS (
+  SELECT env_name, count(*) AS n_cells, count(*) FILTER (sd >= 0.05) AS n_varied, count(*) FILTER (sd >= 0.05)::DOUBLE / count(*) AS yield
+  FROM (SELECT env_name, task_id, teacher_name, stddev_pop(reward) AS sd FROM rollouts
+        WHERE status = 'ok' AND reward IS NOT NULL AND created_at > {SINCE} GROUP BY ALL HAVING count(*) >= 2)
+  GROUP BY env_name)"""
+
+
+@query("env_yield", sql("SELECT env_name, n_cells, n_varied, yield FROM yields", ROLLOUTS, YIELDS))
+def env_yield(spark, sf_dir):
+    return stats.env_yield(_rolls(spark, sf_dir), since())
+
+
+@query("warmup_median", sql("SELECT round(coalesce(median(yield) FILTER (n_cells >= 30), 0.1), 9) AS warmup FROM yields", ROLLOUTS, YIELDS))
+def warmup_median(spark, sf_dir):
+    return weights.warmup_yield(env_yield(spark, sf_dir)).select(F.round("warmup", 9).alias("warmup"))
+
+
+@query(
+    "env_weights",
+    sql(
+        """SELECT e.env_name, round_even(greatest(0.03 + CASE WHEN coalesce(n_cells, 0) < 30 THEN pow(greatest((SELECT coalesce(median(yield) FILTER (n_cells >= 30), 0.1) FROM yields), 0.1), 2.0)
+             WHEN yield < 0.1 THEN 0.0 ELSE pow(yield, 2.0) END, CASE WHEN e.env_name = 'swe-rebench' THEN 0.9 ELSE 0 END), 6) AS weight
+           FROM (SELECT DISTINCT env_name FROM rollouts) e LEFT JOIN yields USING (env_name)""",
+        ROLLOUTS, YIELDS,
+    ),
+)
+def env_weights(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    return weights.env_weights(rolls, stats.env_yield(rolls, since()), {"swe-rebench": 0.9}).select("env_name", "weight")
+
+
+POOL = """{"pool":{"envs":["swe-rebench","swe-rebench","verifiers:view","verifiers:click","verifiers:view","swe-rebench","verifiers:purchase"],
+"teachers":["t0","t1"],"task_id_pool":{"swe-rebench":[1,2,3],"verifiers:view":[4,5],"verifiers:click":[6],"verifiers:purchase":[7,8]}},"target_active_cells":25,"target_samples":3}"""
+
+
+@query(
+    "env_targets",
+    sql(
+        f"""SELECT list_name, env_name, n AS weight, greatest(1, round_even(n / sum(n) OVER (PARTITION BY list_name) * 25, 0)::INTEGER) AS n_target
+            FROM (SELECT list_name, env_name, count(*)::DOUBLE AS n
+                  FROM (SELECT DISTINCT list_name FROM progress), (SELECT unnest(json_extract_string('{POOL.replace(chr(10), "")}', '$.pool.envs[*]')) AS env_name) GROUP BY ALL)""",
+        ROLLOUTS, PROGRESS,
+    ),
+)
+def env_targets(spark, sf_dir):
+    lists = _progress(spark, sf_dir).select("list_name").distinct().withColumn("config", F.lit(POOL))
+    return weights.env_targets(weights.parse_pool(lists)).select("list_name", "env_name", "weight", "n_target")
+
+
+@query("pool_top_up")
+def pool_top_up(spark, sf_dir):
+    progress = _progress(spark, sf_dir)
+    lists = progress.select("list_name").distinct().withColumn("config", F.lit(POOL))
+    targets = weights.env_targets(weights.parse_pool(lists))
+    active = cells.active_by_env(progress, as_of(), WEEK_S)
+    tasks = _rolls(spark, sf_dir).select("env_name", "task_id")
+    return weights.top_up(targets, progress, active, tasks, as_of())
+
+
+# -- cells ----------------------------------------------------------------------------------------------------------------
+
+
+@query("coverage_matrix", sql("SELECT teacher_name, task_id, count(*) AS n FROM rollouts WHERE status = 'ok' GROUP BY ALL", ROLLOUTS))
+def coverage_matrix(spark, sf_dir):
+    return stats.coverage(_rolls(spark, sf_dir))
+
+
+@query(
+    "coverage_pivot",
+    sql(
+        "SELECT task_id, " + ", ".join(f"nullif(count(*) FILTER (teacher_name = '{t}'), 0) AS {t}" for t in ("t0", "t1", "t2")) + " FROM rollouts WHERE status = 'ok' GROUP BY task_id",
+        ROLLOUTS,
+    ),
+)
+def coverage_pivot(spark, sf_dir):
+    return stats.coverage_matrix(_rolls(spark, sf_dir), ["t0", "t1", "t2"])
+
+
+ACTIVE = f"published_at IS NULL AND {OPEN} AND last_updated >= {AS_OF} - INTERVAL {WEEK_S} SECOND"
+
+
+@query("active_cells", sql(f"SELECT {CELL}, attempts, collected FROM progress WHERE {ACTIVE}", ROLLOUTS, PROGRESS))
+def active_cells(spark, sf_dir):
+    return cells.active(_progress(spark, sf_dir), as_of(), WEEK_S).select(*CELL.split(", "), "attempts", "collected")
+
+
+@query("active_by_env", sql(f"SELECT env_name, count(*) AS n_active FROM progress WHERE list_name = 'list-1' AND {ACTIVE} GROUP BY env_name", ROLLOUTS, PROGRESS))
+def active_by_env(spark, sf_dir):
+    return cells.active_by_env(_progress(spark, sf_dir), as_of(), WEEK_S, "list-1")
+
+
+@query("open_progress", sql(f"SELECT {CELL}, attempts, collected FROM progress WHERE collected < target_samples", ROLLOUTS, PROGRESS))
+def open_progress(spark, sf_dir):
+    return cells.open_progress(_progress(spark, sf_dir)).select(*CELL.split(", "), "attempts", "collected")
+
+
+@query("pending_cells", sql(f"SELECT {CELL}, attempts, collected, ({OPEN}) AS zombie FROM progress WHERE {PENDING}", ROLLOUTS, PROGRESS))
+def pending_cells(spark, sf_dir):
+    return cells.pending(_progress(spark, sf_dir), as_of()).select(*CELL.split(", "), "attempts", "collected", "zombie")
+
+
+@query("zombie_cells", sql(f"SELECT {CELL} FROM progress WHERE {ZOMBIE}", ROLLOUTS, PROGRESS))
+def zombie_cells(spark, sf_dir):
+    return _progress(spark, sf_dir).where(cells.is_zombie(as_of())).select(*CELL.split(", "))
+
+
+CLAIMABLE = f"published_at IS NULL AND {OPEN} AND attempts - collected < 4"
+CLAIM_ORDER = "collected DESC, attempts, task_id, env_name, teacher_name"
+
+
+@query(
+    "claim_cells",
+    sql(f"SELECT {CELL}, attempts + 1 AS attempts, attempts AS slot FROM progress WHERE {CLAIMABLE} AND list_name = 'list-1' AND env_name LIKE 'verifiers:%' ORDER BY {CLAIM_ORDER} LIMIT 8", ROLLOUTS, PROGRESS),
+)
+def claim_cells(spark, sf_dir):
+    return cells.claim(_progress(spark, sf_dir), 8, list_name="list-1", like="verifiers:%").select(*CELL.split(", "), "attempts", "slot")
+
+
+@query(
+    "claim_cells_each",
+    sql(f"SELECT {CELL}, attempts + 1 AS attempts, attempts AS slot FROM progress WHERE {CLAIMABLE} QUALIFY row_number() OVER (PARTITION BY list_name ORDER BY {CLAIM_ORDER}) <= 8", ROLLOUTS, PROGRESS),
+)
+def claim_cells_each(spark, sf_dir):
+    return cells.claim_each(_progress(spark, sf_dir), 8).select(*CELL.split(", "), "attempts", "slot")
+
+
+@query(
+    "freeze_degenerate",
+    sql(
+        """SELECT env_name, task_id, teacher_name, n AS n_recent FROM (
+             SELECT env_name, task_id, teacher_name, count(*) AS n, coalesce(stddev_samp(reward), 0) AS sd
+             FROM (SELECT * FROM rollouts WHERE status = 'ok' QUALIFY row_number() OVER (PARTITION BY env_name, task_id, teacher_name ORDER BY created_at DESC, sample_idx DESC) <= 4)
+             GROUP BY ALL) WHERE n >= 4 AND sd = 0""",
+        ROLLOUTS,
+    ),
+)
+def freeze_degenerate(spark, sf_dir):
+    return cells.degenerate(_rolls(spark, sf_dir))
+
+
+REWARDS = """
+rewards AS (
+  SELECT env_name, task_id, teacher_name, count(*) AS n_rollouts, count(reward) AS n_rewards, coalesce(avg(reward), 0) AS m,
+    CASE WHEN count(reward) >= 2 THEN stddev_pop(reward) ELSE 0 END AS s FROM rollouts WHERE status = 'ok' GROUP BY ALL)"""
+
+
+@query("cell_reward_stats", sql("SELECT env_name, task_id, teacher_name, n_rollouts, n_rewards, round(m, 6) AS reward_mean, round(s, 6) AS reward_std FROM rewards", ROLLOUTS, REWARDS))
+def cell_reward_stats(spark, sf_dir):
+    return stats.cell_rewards(_rolls(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("reward_mean", "reward_std")})
+
+
+@query("task_semi_join", sql("SELECT e.user_id AS task_id, count(*) AS n FROM events e WHERE EXISTS (SELECT 1 FROM tasks t WHERE t.task_id = e.user_id) GROUP BY ALL", TASKS))
+def task_semi_join(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("task_id"))
+    return events.join(derive.tasks(spark, sf_dir), "task_id", "left_semi").groupBy("task_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "sampling_list_init",
+    sql(
+        "SELECT 'new' AS list_name, env_name, t.task_id::INTEGER AS task_id, teacher_name FROM (SELECT env_name, min(task_id) AS lo, max(task_id) + 1 AS hi FROM rollouts GROUP BY env_name), "
+        "generate_series(10, 59) t(task_id), (SELECT DISTINCT teacher_name FROM rollouts) WHERE t.task_id >= lo AND t.task_id < hi",
+        ROLLOUTS,
+    ),
+)
+def sampling_list_init(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    span = F.struct(F.min("task_id").cast("int").alias("lo"), (F.max("task_id") + 1).cast("int").alias("hi"))
+    environments = rolls.groupBy("env_name").agg(span.alias("task_id_range"))
+    out = cells.sampling_list(environments, rolls.select("teacher_name").distinct(), "new", 8, as_of(), 10, 60)
+    return out.select(*CELL.split(", "))
+
+
+@query(
+    "backfill_collected",
+    sql(f"SELECT {', '.join('p.' + c.strip() for c in CELL.split(','))}, coalesce(r.n, p.collected + 100) AS collected FROM progress p LEFT JOIN (SELECT env_name, task_id, teacher_name, count(*) AS n FROM rollouts WHERE status = 'ok' GROUP BY ALL) r USING (env_name, task_id, teacher_name)", ROLLOUTS, PROGRESS),
+)
+def backfill_collected(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    stale = derive.progress(rolls).withColumn("collected", F.col("collected") + 100)
+    return cells.backfill(stale, rolls).select(*CELL.split(", "), "collected")
+
+
+@query(
+    "increment_collected",
+    sql(
+        f"""SELECT {CELL}, collected + coalesce(d, 0)::BIGINT AS collected, CASE WHEN d IS NULL THEN last_updated ELSE {AS_OF} END AS last_updated
+            FROM progress LEFT JOIN (SELECT env_name, task_id, teacher_name, count(*) AS d FROM rollouts WHERE status = 'ok' AND created_at > {SINCE} GROUP BY ALL) USING (env_name, task_id, teacher_name)""",
+        ROLLOUTS, PROGRESS,
+    ),
+)
+def increment_collected(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    deltas = rolls.where("status = 'ok'").where(F.col("created_at") > since())
+    deltas = deltas.select(F.concat(F.lit("list-"), (F.col("task_id") % 2).cast("string")).alias("list_name"), "env_name", "task_id", "teacher_name", F.lit(1).alias("delta"))
+    return cells.increment(derive.progress(rolls), deltas, as_of()).select(*CELL.split(", "), "collected", "last_updated")
+
+
+# -- publish and promote ----------------------------------------------------------------------------------------------------
+
+CLASSIFIED = f"""
+known AS (SELECT {CELL} FROM progress WHERE task_id % 5 = 0),
+pending AS (SELECT * FROM progress WHERE {PENDING}),
+classified AS (
+  SELECT p.*, coalesce(r.n, 0) AS n_rollouts, round_even(coalesce(r.m, 0), 6) AS reward_mean, round_even(coalesce(r.s, 0), 6) AS reward_std,
+    CASE WHEN k.list_name IS NOT NULL THEN 'recovered' WHEN r.n IS NULL THEN 'empty' WHEN coalesce(r.s, 0) < 0.05 THEN 'degenerate' ELSE 'commit' END AS action
+  FROM pending p LEFT JOIN known k USING ({CELL})
+  LEFT JOIN (SELECT list_name, r.env_name, r.task_id, r.teacher_name, count(*) AS n, avg(reward) AS m, CASE WHEN count(reward) >= 2 THEN stddev_pop(reward) ELSE 0 END AS s
+             FROM rollouts r JOIN pending p ON p.env_name = r.env_name AND p.task_id = r.task_id AND p.teacher_name = r.teacher_name
+             WHERE r.status = 'ok' AND sample_idx < attempts GROUP BY ALL) r USING ({CELL}))"""
+
+
+def _classified(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    progress = derive.progress(rolls)
+    return publish.classify(cells.pending(progress, as_of()), rolls, progress.where("task_id % 5 = 0"))
+
+
+@query("publish_classify", sql(f"SELECT {CELL}, n_rollouts, reward_mean, reward_std, action FROM classified", ROLLOUTS, PROGRESS, CLASSIFIED))
+def publish_classify(spark, sf_dir):
+    return _classified(spark, sf_dir).select(*CELL.split(", "), "n_rollouts", "reward_mean", "reward_std", "action")
+
+
+@query(
+    "publish_task_idx",
+    sql(
+        f"""SELECT {CELL}, action, CASE WHEN action = 'commit' THEN 1000 + before END AS task_idx FROM (
+              SELECT *, coalesce(count(*) FILTER (action = 'commit') OVER (ORDER BY last_updated, {CELL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM classified)
+            WHERE before < 200""",
+        ROLLOUTS, PROGRESS, CLASSIFIED,
+    ),
+)
+def publish_task_idx(spark, sf_dir):
+    return publish.plan_cycle(_classified(spark, sf_dir), 1000, 200).select(*CELL.split(", "), "action", "task_idx")
+
+
+def _entries(spark, sf_dir):
+    return publish.manifest_entries(publish.plan_cycle(_classified(spark, sf_dir), 1000, 200), as_of(), "s3://bucket", "rollouts")
+
+
+@query(
+    "manifest_entries",
+    sql(
+        f"""SELECT env_name, list_name, task_id::INTEGER AS task_id, teacher_name, (1000 + before)::BIGINT AS task_idx, n_rollouts, reward_mean, reward_std, attempts::INTEGER AS attempts,
+              'rollouts/tasks/' || lpad((1000 + before)::VARCHAR, 8, '0') || '.parquet' AS object_key, 's3://bucket/rollouts/tasks/' || lpad((1000 + before)::VARCHAR, 8, '0') || '.parquet' AS object_uri,
+              '2024-01-31T00:00:00.000000+00:00' AS committed_at, '2024-01-31T00:00:00.000000+00:00' AS mature_at
+            FROM (SELECT *, coalesce(count(*) FILTER (action = 'commit') OVER (ORDER BY last_updated, {CELL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM classified)
+            WHERE before < 200 AND action = 'commit'""",
+        ROLLOUTS, PROGRESS, CLASSIFIED,
+    ),
+)
+def manifest_entries(spark, sf_dir):
+    return _entries(spark, sf_dir)
+
+
+@query("manifest_lines")
+def manifest_lines(spark, sf_dir):
+    return publish.manifest_lines(_entries(spark, sf_dir))
+
+
+@query(
+    "manifest_antijoin",
+    sql(f"SELECT {CELL}, 'new' AS side FROM pending ANTI JOIN known USING ({CELL}) UNION ALL SELECT {CELL}, 'recovered' FROM pending SEMI JOIN known USING ({CELL})", ROLLOUTS, PROGRESS, CLASSIFIED),
+)
+def manifest_antijoin(spark, sf_dir):
+    progress = _progress(spark, sf_dir)
+    pending, known, key = cells.pending(progress, as_of()), progress.where("task_id % 5 = 0"), CELL.split(", ")
+    new, seen = (pending.join(known.select(*key), key, how).select(*key, F.lit(side).alias("side")) for how, side in (("left_anti", "new"), ("left_semi", "recovered")))
+    return new.unionByName(seen)
+
+
+PRIVATE = f"private AS (SELECT *, row_number() OVER (ORDER BY last_updated, {CELL}) AS line_no FROM progress WHERE published_at IS NOT NULL)"
+
+
+def _private(spark, sf_dir):
+    from pyspark.sql.window import Window
+
+    rows = _progress(spark, sf_dir).where("published_at is not null")  # a manifest is one ordered file
+    rows = rows.withColumn("line_no", F.row_number().over(Window.orderBy("last_updated", *CELL.split(", "))))
+    stamp = publish.iso(F.col("published_at"))
+    return rows.withColumns({"committed_at": stamp, "mature_at": F.when(F.col("task_id") % 3 == 0, F.lit("bad")).otherwise(publish.iso(F.col("published_at") + F.expr("interval 2 days")))})
+
+
+@query(
+    "promote_candidates",
+    sql(
+        f"""SELECT {CELL}, line_no FROM private WHERE promoted_at IS NULL
+              AND CASE WHEN task_id % 3 = 0 THEN published_at ELSE published_at + INTERVAL 2 DAY END <= {AS_OF} ORDER BY line_no LIMIT 60""",
+        ROLLOUTS, PROGRESS, PRIVATE,
+    ),
+)
+def promote_candidates(spark, sf_dir):
+    private = _private(spark, sf_dir)
+    found = publish.promotable(private, private.where("promoted_at is not null"), as_of())
+    return publish.promote(found, publish.promotion_budget(40)).select(*CELL.split(", "), "line_no")
+
+
+@query("promoted_last_24h", sql(f"SELECT count(*) AS n_promoted FROM progress WHERE promoted_at > {AS_OF} - INTERVAL 24 HOUR", ROLLOUTS, PROGRESS))
+def promoted_last_24h(spark, sf_dir):
+    return publish.promoted_since(_progress(spark, sf_dir), as_of())
+
+
+@query(
+    "staged_released",
+    sql("SELECT completed, staged, least(completed + 100, staged) AS released FROM (SELECT count(promoted_at) AS completed, count(published_at) AS staged FROM progress)", ROLLOUTS, PROGRESS),
+)
+def staged_released(spark, sf_dir):
+    n = _progress(spark, sf_dir).agg(F.count("promoted_at").alias("completed"), F.count("published_at").alias("staged"))
+    return n.withColumn("released", F.least(F.col("completed") + publish.MAX_PER_DAY * publish.STAGE_DAYS, F.col("staged")))
+
+
+@query("unmarked_promotions", sql(f"SELECT {CELL} FROM progress WHERE promoted_at IS NULL AND published_at IS NOT NULL AND task_id % 3 = 0", ROLLOUTS, PROGRESS))
+def unmarked_promotions(spark, sf_dir):
+    progress = _progress(spark, sf_dir)
+    return publish.unmarked_promotions(progress, progress.where("published_at is not null and task_id % 3 = 0")).select(*CELL.split(", "))
+
+
+@query("object_key_format", "SELECT DISTINCT user_id AS task_idx, 'pre/tasks/' || lpad(user_id::VARCHAR, 8, '0') || '.parquet' AS object_key FROM events")
+def object_key_format(spark, sf_dir):
+    ids = table(spark, sf_dir, "events").select(F.col("user_id").alias("task_idx")).distinct()
+    return ids.withColumn("object_key", publish.object_key(F.col("task_idx"), "pre/"))
+
+
+# -- advantages, groups, pairs ---------------------------------------------------------------------------------------------
+
+
+def _advantage_sql(group: str) -> str:
+    return sql(
+        f"""SELECT rollout_id, n AS group_n, round(m, 6) AS group_mean, round(s, 6) AS group_std, round(CASE WHEN n >= 2 AND s > 0 THEN (reward - m) / s ELSE 0 END, 6) AS advantage
+            FROM (SELECT *, count(*) OVER w AS n, avg(reward) OVER w AS m, stddev_pop(reward) OVER w AS s FROM rollouts WHERE reward IS NOT NULL WINDOW w AS (PARTITION BY {group}))""",
+        ROLLOUTS,
+    )
+
+
+def _advantages(spark, sf_dir, **by):
+    out = stats.advantages(_rolls(spark, sf_dir), **by).select("rollout_id", "group_n", "group_mean", "group_std", "advantage")
+    return out.withColumns({c: F.round(c, 6) for c in ("group_mean", "group_std", "advantage")})
+
+
+@query("advantage_task", _advantage_sql("task_id"))
+def advantage_task(spark, sf_dir):
+    return _advantages(spark, sf_dir)
+
+
+@query("advantage_task_teacher", _advantage_sql("task_id, teacher_name"))
+def advantage_task_teacher(spark, sf_dir):
+    return _advantages(spark, sf_dir, by_teacher=True)
+
+
+@query("advantage_env_task", _advantage_sql("env_name, task_id"))
+def advantage_env_task(spark, sf_dir):
+    return _advantages(spark, sf_dir, by_env=True)
+
+
+@query("advantage_group_stats", sql("SELECT task_id, teacher_name, count(*) AS n, round(avg(reward), 6) AS mean, round(stddev_pop(reward), 6) AS std, min(reward) AS min, max(reward) AS max FROM rollouts WHERE reward IS NOT NULL GROUP BY ALL", ROLLOUTS))
+def advantage_group_stats(spark, sf_dir):
+    return stats.group_stats(_rolls(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query(
+    "mining_groups",
+    sql(f"SELECT env_name, task_id, teacher_name, count(*) AS n, string_agg(rollout_id::VARCHAR, ',' ORDER BY sample_idx) AS members FROM rollouts WHERE status = 'ok' AND env_name IN ('swe-rebench', 'verifiers:view') AND created_at >= {SINCE} GROUP BY ALL", ROLLOUTS),
+)
+def mining_groups(spark, sf_dir):
+    groups = stats.mining_groups(_rolls(spark, sf_dir), ["swe-rebench", "verifiers:view"], [], since())
+    return groups.select("env_name", "task_id", "teacher_name", F.size("rollouts").cast("long").alias("n"), F.array_join(F.transform("rollouts", lambda r: r["rollout_id"].cast("string")), ",").alias("members"))
+
+
+@query(
+    "group_labels",
+    sql(
+        """SELECT env_name, task_id, teacher_name, count(*) AS n, CASE WHEN count(*) = 1 THEN 'singleton' WHEN min(reward) >= 1 THEN 'all_win' WHEN max(reward) <= 0 THEN 'all_lose'
+             WHEN min(reward) = max(reward) THEN 'degenerate' ELSE 'paired' END AS group_label FROM rollouts WHERE status = 'ok' AND reward IS NOT NULL GROUP BY ALL""",
+        ROLLOUTS,
+    ),
+)
+def group_labels(spark, sf_dir):
+    return stats.group_labels(_rolls(spark, sf_dir))
+
+
+@query("group_label_update", sql("SELECT group_label, count(*) AS n FROM (SELECT r.rollout_id, CASE WHEN n = 1 THEN 'singleton' WHEN lo >= 1 THEN 'all_win' WHEN hi <= 0 THEN 'all_lose' WHEN lo = hi THEN 'degenerate' WHEN n > 1 THEN 'paired' END AS group_label FROM rollouts r LEFT JOIN (SELECT env_name, task_id, teacher_name, count(*) AS n, min(reward) AS lo, max(reward) AS hi FROM rollouts WHERE status = 'ok' AND reward IS NOT NULL GROUP BY ALL) USING (env_name, task_id, teacher_name)) GROUP BY ALL", ROLLOUTS))
+def group_label_update(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    return stats.with_group_labels(rolls, stats.group_labels(rolls)).groupBy("group_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+PAIRS = """
+pairs AS (
+  SELECT md5(concat_ws('|', env_name, task_id::VARCHAR, teacher_name)) AS pair_id, env_name, task_id, teacher_name,
+    first(rollout_id ORDER BY reward DESC, rollout_id) AS win_rollout_id, first(rollout_id ORDER BY reward, rollout_id) AS lose_rollout_id, max(reward) - min(reward) AS reward_gap
+  FROM rollouts WHERE status = 'ok' AND reward IS NOT NULL GROUP BY env_name, task_id, teacher_name HAVING max(reward) > min(reward))"""
+
+
+@query("pairs", sql("SELECT * FROM pairs", ROLLOUTS, PAIRS))
+def select_pairs(spark, sf_dir):
+    return pairs.select_pairs(_rolls(spark, sf_dir))
+
+
+@query("pairs_page", sql("SELECT pair_id, reward_gap FROM pairs WHERE pair_id > '4' AND reward_gap >= 0.5 ORDER BY pair_id LIMIT 50", ROLLOUTS, PAIRS))
+def pairs_page(spark, sf_dir):
+    return pairs.page(select_pairs(spark, sf_dir), "4", 50, min_gap=0.5).select("pair_id", "reward_gap")
+
+
+@query("pair_count", sql("SELECT env_name, count(*) AS n FROM pairs GROUP BY env_name", ROLLOUTS, PAIRS))
+def pair_count(spark, sf_dir):
+    return select_pairs(spark, sf_dir).groupBy("env_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+LATEST = "latest AS (SELECT * FROM scores WHERE status = 'done' QUALIFY row_number() OVER (PARTITION BY student, revision, pair_set ORDER BY finished_at DESC, run_id DESC) = 1)"
+
+
+@query("leaderboard", sql("SELECT student, revision, mean_score, run_id FROM latest WHERE pair_set = '1-URGENT' ORDER BY mean_score DESC, student LIMIT 50", SCORES, LATEST))
+def leaderboard(spark, sf_dir):
+    return pairs.leaderboard(derive.scores(spark, sf_dir), "1-URGENT")
+
+
+@query("latest_score", sql("SELECT student, revision, pair_set, run_id, mean_score FROM latest", SCORES, LATEST))
+def latest_score(spark, sf_dir):
+    return pairs.latest_scores(derive.scores(spark, sf_dir)).select("student", "revision", "pair_set", "run_id", "mean_score")
+
+
+@query("mark_latest", sql("SELECT run_id, status = 'done' AND row_number() OVER (PARTITION BY student, revision, pair_set ORDER BY status = 'done' DESC, finished_at DESC, run_id DESC) = 1 AS is_latest FROM scores", SCORES))
+def mark_latest(spark, sf_dir):
+    return merge.mark_latest(derive.scores(spark, sf_dir)).select("run_id", "is_latest")
+
+
+@query("claim_next_run", sql("SELECT run_id, student FROM scores WHERE status = 'queued' ORDER BY started_at NULLS FIRST, run_id LIMIT 1", SCORES))
+def claim_next_run(spark, sf_dir):
+    return pairs.next_run(derive.scores(spark, sf_dir)).select("run_id", "student")
+
+
+@query("mark_failed", sql("""SELECT run_id, CASE WHEN run_id % 10 = 0 THEN 'failed' ELSE status END AS status, CASE WHEN run_id % 10 = 0 THEN '{"a":"1","error":"' || left(repeat('e', 1999 + (run_id % 3)::INTEGER), 2000) || '"}' ELSE '{"a":"1","error":"x"}' END AS config FROM scores""", SCORES))
+def mark_failed(spark, sf_dir):
+    scores = derive.scores(spark, sf_dir).withColumn("config", F.lit('{"a":"1","error":"x"}'))
+    failures = scores.where("run_id % 10 = 0").select("run_id", F.expr("repeat('e', cast(1999 + run_id % 3 as int))").alias("error"))
+    return merge.mark_failed(scores, failures).select("run_id", "status", "config")
+
+
+@query("find_by_hash", "SELECT o_orderkey AS run_id, md5(o_custkey::VARCHAR) AS model_hash FROM orders WHERE md5(o_custkey::VARCHAR) = md5('7')")
+def find_by_hash(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"), F.md5(F.col("o_custkey").cast("string")).alias("model_hash")).where(F.col("model_hash") == F.md5(F.lit("7")))
+
+
+@query("latest_anti_copy", "SELECT user_id AS student, ts AS round_ts, event_type AS verdict FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_anti_copy(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("student"), F.col("ts").alias("round_ts"), F.col("event_type").alias("verdict"), "event_id")
+    return pairs.latest_by(rows, ["student"], "round_ts", "event_id").drop("event_id")
+
+
+@query("stale_heartbeats", f"SELECT user_id AS worker_id, max(ts) AS last_seen FROM events GROUP BY user_id HAVING max(ts) < {AS_OF} - INTERVAL 5 DAY")
+def stale_heartbeats(spark, sf_dir):
+    seen = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("worker_id")).agg(F.max("ts").alias("last_seen"))
+    return seen.where(F.col("last_seen") < cells.before(as_of(), 5 * 86_400))
+
+
+# -- writes as plans -------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "rollout_upsert",
+    sql(
+        f"""SELECT env_name, task_id, teacher_name, sample_idx, CASE WHEN created_at > {SINCE} THEN status ELSE 'old' END AS status, CASE WHEN created_at > {SINCE} THEN reward END AS reward,
+              CASE WHEN task_id % 2 = 0 THEN 'kept' END AS group_label FROM rollouts WHERE created_at > {SINCE} OR task_id % 2 = 0""",
+        ROLLOUTS,
+    ),
+)
+def rollout_upsert(spark, sf_dir):
+    rolls, key = _rolls(spark, sf_dir), ["env_name", "task_id", "teacher_name", "sample_idx"]
+    current = rolls.where("task_id % 2 = 0").select(*key, F.lit("old").alias("status"), F.lit(None).cast("double").alias("reward"), F.lit("kept").alias("group_label"))
+    incoming = rolls.where(F.col("created_at") > since()).select(*key, "status", "reward", F.lit(None).cast("string").alias("group_label"))
+    return merge.upsert(current, incoming, key, merge.KEPT["rollouts"])
+
+
+@query("rollout_last_write", "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
+def rollout_last_write(spark, sf_dir):
+    return merge.last_of(table(spark, sf_dir, "events"), ["user_id", "event_type"], F.col("ts"), F.col("event_id")).select("user_id", "event_type", "event_id", "value")
+
+
+@query("task_insert_ignore", sql("SELECT env_name, task_id, length(problem) AS n FROM tasks WHERE task_id % 3 <> 0", TASKS))
+def task_insert_ignore(spark, sf_dir):
+    tasks = derive.tasks(spark, sf_dir)
+    return merge.insert_ignore(tasks.where("task_id % 3 = 0"), tasks, ["env_name", "task_id"]).select("env_name", "task_id", F.length("problem").cast("long").alias("n"))
+
+
+@query("status_update", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'CLOSED' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+def status_update(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return merge.update(customer, customer.where("c_custkey % 4 = 0").select("c_custkey", F.lit("CLOSED").alias("c_mktsegment")), ["c_custkey"])
+
+
+# -- texts ----------------------------------------------------------------------------------------------------------------
+
+LOG = "'=== ' || l_quantity::INTEGER || ' passed, ' || l_linenumber || ' failed in 0.1s ==='"
+
+
+@query(
+    "pytest_parse",
+    f"""WITH l AS (SELECT l_orderkey, l_linenumber, {LOG} AS line FROM lineitem),
+        p AS (SELECT l_orderkey, l_linenumber, regexp_extract(line, '(\\d+)\\s+passed', 1)::INTEGER AS passed, regexp_extract(line, '(\\d+)\\s+failed', 1)::INTEGER AS failed FROM l)
+        SELECT l_orderkey, l_linenumber, passed, passed + failed AS total, round(passed / (passed + failed), 9) AS score FROM p""",
+)
+def pytest_parse(spark, sf_dir):
+    noise = "\n".join(f"line {i}" for i in range(20))
+    line = F.concat(F.lit("=== "), F.col("l_quantity").cast("int").cast("string"), F.lit(" passed, "), F.col("l_linenumber").cast("string"), F.lit(" failed in 0.1s ==="))
+    log = F.concat(F.lit("=== 9 passed, 9 failed\n" + noise + "\n"), line, F.lit("\nbye"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.pytest_result(log).alias("r"))
+    return rows.select("l_orderkey", "l_linenumber", "r.passed", "r.total", F.round("r.score", 9).alias("score"))
+
+
+@query(
+    "reward_extract",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value WHEN event_id % 3 = 1 THEN (event_id % 7) / greatest(event_id % 11, 1)::DOUBLE END AS reward FROM events""",
+)
+def reward_extract(spark, sf_dir):
+    i = F.col("event_id")
+    body = F.when(i % 3 == 0, F.to_json(F.struct(F.col("value").alias("score")))).when(i % 3 == 1, F.to_json(F.struct((i % 7).alias("tests_passed"), (i % 11).alias("tests_total")))).otherwise(F.lit("{}"))
+    return table(spark, sf_dir, "events").select("event_id", text.reward(body).alias("reward"))
+
+
+@query(
+    "status_ladder",
+    """SELECT CASE WHEN k % 10 = 8 THEN 'teacher_error' WHEN k % 10 = 7 THEN 'env_error' WHEN k % 10 = 6 THEN 'parse_failed' WHEN k % 10 >= 4 THEN 'empty_completion' ELSE 'ok' END AS status, count(*) AS n
+       FROM (SELECT cast(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY ALL""",
+)
+def status_ladder(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("int") % 10
+    status = text.status(k == 8, k == 7, k != 6, (k < 4) | (k == 9) & F.lit(False))
+    return table(spark, sf_dir, "events").select(status.alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("comparable_content", "SELECT conv_id, count(*) AS n_messages, coalesce(bool_or(role = 'assistant' AND trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''), false) AS comparable FROM conversations GROUP BY conv_id")
+def comparable_content(spark, sf_dir):
+    calls = F.array().cast("array<struct<id:string>>")
+    rows = derive.trajectories(spark, sf_dir).withColumn("messages", F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), calls.alias("tool_calls"))))
+    return rows.select("conv_id", F.size("messages").cast("long").alias("n_messages"), text.comparable(F.col("messages")).alias("comparable"))
+
+
+@query("trajectory_roles", "SELECT conv_id, string_agg(role, ',' ORDER BY turn, role, text) AS roles, count(*) AS step_count FROM conversations GROUP BY conv_id")
+def trajectory_roles(spark, sf_dir):
+    rows = derive.trajectories(spark, sf_dir)
+    return rows.select("conv_id", F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), F.size("messages").cast("long").alias("step_count"))
+
+
+FOLD = """
+t AS (SELECT *, coalesce(sum((type IN ('user.message', 'tool.result'))::INTEGER) OVER (PARTITION BY session ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS turn FROM trace),
+d AS (SELECT *, coalesce(max(seq) FILTER (type = 'message.done' AND text IS NOT NULL) OVER (PARTITION BY session, turn), -1) AS last FROM t WHERE type <> 'tool.result'),
+a AS (
+  SELECT session, turn, string_agg(coalesce(delta, text, ''), '' ORDER BY seq) FILTER ((type = 'message.delta' AND seq > last) OR (type = 'message.done' AND seq = last)) AS text,
+    count(*) FILTER (type = 'tool.request') AS n_calls, string_agg(call_id, ',' ORDER BY seq) FILTER (type = 'tool.request') AS calls FROM d GROUP BY session, turn)"""
+
+
+@query(
+    "events_to_steps",
+    sql(
+        """SELECT session, turn, 0 AS part, 'assistant' AS kind, nullif(trim(text, ' '), '') AS text, coalesce(calls, '') AS calls, NULL::VARCHAR AS tool_call_id FROM a WHERE text IS NOT NULL OR n_calls > 0
+           UNION ALL SELECT session, turn, 1, 'tool_result', coalesce(text, ''), '', call_id FROM t WHERE type = 'tool.result'""",
+        TRACE, FOLD,
+    ),
+)
+def events_to_steps(spark, sf_dir):
+    steps = trajectory.fold(derive.trace(spark, sf_dir))
+    return steps.select("session", "turn", "part", "kind", "text", F.array_join(F.transform("tool_calls", lambda c: c["id"]), ",").alias("calls"), "tool_call_id")
+
+
+@query("trace_usage", sql("SELECT session, coalesce(sum(input_tokens), 0)::BIGINT AS tokens_in, count(*) FILTER (type = 'message.done') AS model_calls FROM trace GROUP BY session", TRACE))
+def trace_usage(spark, sf_dir):
+    return trajectory.usage(derive.trace(spark, sf_dir)).select("session", "tokens_in", "model_calls")
+
+
+@query(
+    "claude_thinking",
+    """WITH c AS (SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN '<Thinking> ' || left(text, 20) || ' </thinking> ' || substr(text, 21) || ' ' ELSE text END AS text FROM conversations),
+       x AS (SELECT *, list_filter(list_transform(regexp_extract_all(text, '<thinking>(.*?)</thinking>', 1, 'is'), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda p: p <> '') AS parts FROM c)
+       SELECT conv_id, turn, role, nullif(CASE WHEN regexp_matches(text, '<thinking>(.*?)</thinking>', 'is') THEN trim(regexp_replace(text, '<thinking>(.*?)</thinking>', '', 'gis'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE text END, '') AS content,
+         nullif(array_to_string(parts, chr(10)), '') AS reasoning FROM x""",
+)
+def claude_thinking(spark, sf_dir):
+    tagged = F.concat(F.lit("<Thinking> "), F.left("text", F.lit(20)), F.lit(" </thinking> "), F.substring("text", 21, 1 << 30), F.lit(" "))
+    rows = table(spark, sf_dir, "conversations").withColumn("text", F.when(F.col("turn") % 2 == 0, tagged).otherwise(F.col("text")))
+    return rows.select("conv_id", "turn", "role", trajectory.thinking(F.col("text")).alias("t")).select("conv_id", "turn", "role", "t.*")
+
+
+@query("verifiers_content", "SELECT conv_id, 'ok' AS status, count(*) AS n, string_agg(role || ':' || coalesce(text, ''), '' ORDER BY turn, role, text) AS joined FROM conversations GROUP BY conv_id")
+def verifiers_content(spark, sf_dir):
+    parts = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.array(F.struct(F.lit("text").alias("type"), F.left(m["content"], F.lit(5)).alias("text")), F.struct(F.lit("text").alias("type"), F.substr(m["content"], F.lit(6)).alias("text"))).alias("content")))
+    raw = derive.trajectories(spark, sf_dir).select("conv_id", F.lit("verifiers").alias("family"), F.to_json(parts).alias("steps"))
+    rows = trajectory.normalised(raw)
+    said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
+    return rows.select("conv_id", F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), F.size("messages").cast("long").alias("n"), F.array_join(said, "").alias("joined"))
+
+
+@query("trajectory_blob")
+def trajectory_blob(spark, sf_dir):
+    body = F.to_json("messages", {"ignoreNullFields": "false"})
+    rows = derive.trajectories(spark, sf_dir).select("conv_id", body.alias("body")).withColumn("blob", codecs.compressed(F.col("body")))
+    return rows.select("conv_id", codecs.digest(F.col("blob")).alias("sha256"), F.length("blob").alias("n_bytes"), (codecs.decompressed(F.col("blob")) == F.col("body")).alias("same"))
+
+
+@query("expression_distance")
+def expression_distance(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    answer = F.concat(F.lit("\\frac{m v^2}{2} + "), F.col("p_size").cast("string"), F.lit(" x"))
+    test = F.when(F.col("p_partkey") % 3 == 0, answer).when(F.col("p_partkey") % 3 == 1, F.concat(F.col("p_size").cast("string"), F.lit(" x + \\frac{1}{2} m v^{2}"))).otherwise(F.lit("\\frac{m v^2}{3} + 5 x"))
+    return p.select("p_partkey", eed.eed(answer, test).alias("e")).select("p_partkey", "e.*")
+
+
+@query("env_routing", sql("SELECT DISTINCT env_name, split_part(env_name, ':', 1) AS backend, CASE WHEN strpos(env_name, ':') > 0 THEN substr(env_name, strpos(env_name, ':') + 1) ELSE env_name END AS env_id FROM rollouts", ROLLOUTS))
+def env_routing(spark, sf_dir):
+    return _rolls(spark, sf_dir).select("env_name").distinct().withColumns({"backend": text.backend(F.col("env_name")), "env_id": text.env_id(F.col("env_name"))})
+
+
+# -- metrics --------------------------------------------------------------------------------------------------------------
+
+
+def _points(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "view", "counter").when(F.col("event_type") == "click", "gauge").otherwise("histogram")
+    labels = metrics.labels_key(F.create_map(F.lit("z"), (F.col("user_id") % 2).cast("string"), F.lit("a"), F.lit("x")))
+    return e.select("ts", kind.alias("kind"), F.col("event_type").alias("metric"), labels.alias("labels"), "value")
+
+
+@query(
+    "metrics_minutely",
+    """WITH p AS (SELECT date_trunc('minute', ts) AS ts_minute, ts, event_type, '{"a":"x","z":"' || user_id % 2 || '"}' AS labels, value FROM events),
+       g AS (SELECT ts_minute, event_type, labels, sum(value) AS s, arg_max(value, ts) AS l, count(value)::DOUBLE AS n, max(value) AS h FROM p GROUP BY ALL)
+       SELECT ts_minute, event_type AS metric, labels, round(CASE WHEN event_type = 'click' THEN l ELSE s END, 6) AS value FROM g WHERE event_type IN ('view', 'click')
+       UNION ALL SELECT ts_minute, event_type || '.' || x.k, labels, round(x.v, 6) FROM g, unnest([{'k': 'sum', 'v': s}, {'k': 'count', 'v': n}, {'k': 'max', 'v': h}]) u(x) WHERE event_type NOT IN ('view', 'click')""",
+)
+def metrics_minutely(spark, sf_dir):
+    return metrics.minutely(_points(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+
+@query("event_level_filter", "SELECT event_id, CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END AS level FROM events WHERE event_type IN ('error', 'purchase')")
+def event_level_filter(spark, sf_dir):
+    level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO")
+    return metrics.at_least(table(spark, sf_dir, "events").select("event_id", level.alias("level")), "warning")
+
+
+@query(
+    "event_normalise",
+    f"""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN {AS_OF} ELSE date_trunc('second', ts) END AS ts, left(repeat(event_type, 50), 200) AS event,
+          CASE WHEN event_id % 2 = 0 THEN 'INFO' ELSE 'ERROR' END AS level FROM events""",
+)
+def event_normalise(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    raw = e.select(
+        "event_id", F.when(F.col("event_id") % 4 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts"), F.repeat("event_type", F.lit(50)).alias("event"),
+        F.when(F.col("event_id") % 2 == 1, "error").alias("level"), F.lit(None).cast("string").alias("service"), F.col("event_id").cast("string").alias("payload"),
+    )
+    out = metrics.normalised_events(raw, F.lit(derive.AS_OF).cast("timestamp"))
+    return out.select(F.col("payload").cast("long").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), "event", "level")
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
