@@ -15,10 +15,10 @@ def stripped(x: Column) -> Column:
 
 
 def pytest_count(log: Column, word: str) -> Column:
-    """The number before ``word`` in the last of the log's last 50 lines that has one; 0 without."""
-    lines = F.slice(F.reverse(F.split(log, "\n")), 1, LOG_LINES)
-    found = F.transform(lines, lambda x: F.regexp_extract(x, rf"(\d+)\s+{word}", 1).try_cast("int"))
-    return F.coalesce(F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1)), F.lit(0))
+    """The number before ``word`` in the last of the log's last 50 lines that has one, the first in that line; 0 without."""
+    tail = F.substring_index(log, "\n", -LOG_LINES)
+    firsts = F.regexp_extract_all(tail, F.lit(rf"(?m)^[^\n]*?(\d+)[^\S\n]+{word}"), F.lit(1))  # one for each line that has any
+    return F.coalesce(F.try_element_at(firsts, F.lit(-1)).try_cast("int"), F.lit(0))
 
 
 def pytest_result(log: Column) -> Column:

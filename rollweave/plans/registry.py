@@ -85,7 +85,11 @@ def env_weights(spark, sf_dir):
 
 
 POOL = """{"pool":{"envs":["swe-rebench","swe-rebench","verifiers:view","verifiers:click","verifiers:view","swe-rebench","verifiers:purchase"],
-"teachers":["t0","t1"],"task_id_pool":{"swe-rebench":[1,2,3],"verifiers:view":[4,5],"verifiers:click":[6],"verifiers:purchase":[7,8]}},"target_active_cells":25,"target_samples":3}"""
+"teachers":["t0","t9"],"task_id_pool":{"swe-rebench":[1,2,3],"verifiers:view":[4,5],"verifiers:click":[6],"verifiers:purchase":[7,8]}},"target_active_cells":25,"target_samples":3}"""
+
+
+def _lists(spark):
+    return spark.createDataFrame([("list-0", POOL), ("list-1", POOL)], "list_name string, config string")
 
 
 @query(
@@ -98,16 +102,14 @@ POOL = """{"pool":{"envs":["swe-rebench","swe-rebench","verifiers:view","verifie
     ),
 )
 def env_targets(spark, sf_dir):
-    lists = _progress(spark, sf_dir).select("list_name").distinct().withColumn("config", F.lit(POOL))
-    return weights.env_targets(weights.parse_pool(lists)).select("list_name", "env_name", "weight", "n_target")
+    return weights.env_targets(weights.parse_pool(_lists(spark))).select("list_name", "env_name", "weight", "n_target")
 
 
 @query("pool_top_up")
 def pool_top_up(spark, sf_dir):
     progress = _progress(spark, sf_dir)
-    lists = progress.select("list_name").distinct().withColumn("config", F.lit(POOL))
-    targets = weights.env_targets(weights.parse_pool(lists))
-    active = cells.active_by_env(progress, as_of(), WEEK_S)
+    targets = weights.env_targets(weights.parse_pool(_lists(spark)))
+    active = cells.active_by_env(progress, as_of())
     tasks = _rolls(spark, sf_dir).select("env_name", "task_id")
     return weights.top_up(targets, progress, active, tasks, as_of())
 
