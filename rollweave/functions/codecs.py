@@ -28,11 +28,11 @@ def _unpack(blobs: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def compressed(text: Column) -> Column:
-    return F.pandas_udf(_pack, "binary", F.PandasUDFType.SCALAR_ITER)(text)
+    return F.pandas_udf(_pack, "binary")(text)
 
 
 def decompressed(blob: Column) -> Column:
-    return F.pandas_udf(_unpack, "string", F.PandasUDFType.SCALAR_ITER)(blob)
+    return F.pandas_udf(_unpack, "string")(blob)
 
 
 def digest(blob: Column) -> Column:

@@ -271,5 +271,5 @@ def _compared(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
 def eed(answer: Column, test: Column) -> Column:
     """struct<score, relative_distance, answer_size, distance>."""
     quick = shortcut(answer, test)
-    slow = F.pandas_udf(_compared, SCHEMA, F.PandasUDFType.SCALAR_ITER)
+    slow = F.pandas_udf(_compared, SCHEMA)
     return F.coalesce(quick, slow(answer, F.when(quick.isNull(), test)))

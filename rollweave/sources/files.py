@@ -39,9 +39,11 @@ def _picked(columns: tuple[str, ...]) -> Column:
 def tasks(spark: SparkSession, path: str, env_name: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """JSON-lines tasks with lo <= task_id < hi. Blank lines and lines that aren't JSON are left out; a line without a whole number as id is an error."""
     rows = lines(spark, path).where(stripped(F.col("value")) != "").select("file", "pos", F.from_json("value", TASK_LINE).alias("t"), F.try_parse_json("value").alias("ok"))
-    rows = rows.where("ok is not null").select("file", "pos", "t.*")
-    id_ = F.coalesce(F.col("task_id").try_cast("int"), F.col("id").try_cast("int"))
-    rows = rows.withColumn("docker_image", F.coalesce("docker_image", "dockerhub_tag")).withColumn("task_id", F.coalesce(id_, F.raise_error(F.lit("a task line has no whole number as task_id or id")).cast("int")))
+    # the error is for readable lines only, in whatever order Spark tests the conditions
+    missing = F.when(F.col("ok").isNotNull(), F.raise_error(F.lit("a task line has no whole number as task_id or id")).cast("int"))
+    id_ = F.coalesce(F.col("t.task_id").try_cast("int"), F.col("t.id").try_cast("int"), missing)
+    rows = rows.where("ok is not null").select("file", "pos", id_.alias("number"), "t.*").withColumn("docker_image", F.coalesce("docker_image", "dockerhub_tag"))
+    rows = rows.withColumn("task_id", F.col("number"))
     if lo is not None:
         rows = rows.where(F.col("task_id") >= lo)
     if hi is not None:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
-from rollweave.operators import publish
+from rollweave.operators import publish as plans
 from rollweave.schemas import LISTED_CELL, SHARD, TABLES, struct
 from rollweave.sources import files
 from rollweave.sources.blobs import Blobs
@@ -106,28 +106,28 @@ class Publisher:
             self.blobs.put(f"{self.prefix}manifest.jsonl", "\n".join([*old, *new]).encode())
         return len(old) + len(new)
 
-    def publish(self, pending: DataFrame, rollouts: DataFrame, now: Column, cap: int = publish.MAX_NEW, mature_after_s: int = 0, stamp: str = "") -> DataFrame:
+    def publish(self, pending: DataFrame, rollouts: DataFrame, now: Column, cap: int = plans.MAX_NEW, mature_after_s: int = 0, stamp: str = "") -> DataFrame:
         """One cycle; returns the cells that it handled, to be marked. The manifest is written before any mark, so what a crash leaves
         unmarked is found again as recovered. A cycle has ``cap`` new manifest lines at most, which the driver appends."""
         next_idx = len(self.manifest_text().splitlines())
         known = self.manifest().where("valid")
-        plan = publish.plan_cycle(publish.classify(pending, rollouts, known), next_idx, cap).persist()
+        plan = plans.plan_cycle(plans.classify(pending, rollouts, known), next_idx, cap).persist()
         try:
-            write_shards(publish.shard_rows(plan, rollouts), self.root, self.prefix).count()
-            entries = publish.manifest_entries(plan, now, self.root, self.prefix, mature_after_s)
-            total = self._append([r["value"] for r in publish.manifest_lines(entries).orderBy("task_idx").collect()])
+            write_shards(plans.shard_rows(plan, rollouts), self.root, self.prefix).count()
+            entries = plans.manifest_entries(plan, now, self.root, self.prefix, mature_after_s)
+            total = self._append([r["value"] for r in plans.manifest_lines(entries).orderBy("task_idx").collect()])
             self.blobs.put(f"{self.prefix}metadata.json", json.dumps({"version": 1, "last_updated": stamp, "tasks": {"total": total}}, sort_keys=True).encode())
             handled = self.spark.createDataFrame(plan.select(*LISTED_CELL, "action", "task_idx").collect(), plan.select(*LISTED_CELL, "action", "task_idx").schema)
         finally:
             plan.unpersist()
         return handled
 
-    def promote(self, public: Publisher, progress: DataFrame, now: Column, now_text: str, max_per_cycle: int = publish.MAX_PER_CYCLE, max_per_day: int = publish.MAX_PER_DAY, stage_days: int = publish.STAGE_DAYS) -> DataFrame:
+    def promote(self, public: Publisher, progress: DataFrame, now: Column, now_text: str, max_per_cycle: int = plans.MAX_PER_CYCLE, max_per_day: int = plans.MAX_PER_DAY, stage_days: int = plans.STAGE_DAYS) -> DataFrame:
         """Copies mature cells to the public bucket, first published first; returns every cell that is public and unmarked."""
         there = public.manifest(True).where("valid")
-        today = publish.promoted_since(progress, now).first()[0] if max_per_day > 0 else 0
-        budget = publish.promotion_budget(today, max_per_cycle, max_per_day)
-        chosen = publish.promote(publish.promotable(self.manifest().where("valid"), there, now), budget).orderBy("line_no").collect()
+        today = plans.promoted_since(progress, now).first()[0] if max_per_day > 0 else 0
+        budget = plans.promotion_budget(today, max_per_cycle, max_per_day)
+        chosen = plans.promote(plans.promotable(self.manifest().where("valid"), there, now), budget).orderBy("line_no").collect()
         new = []
         for row in chosen:  # the cycle's budget at most
             entry = {k: v for k, v in row.asDict().items() if k not in ("line_no", "valid")}
@@ -136,9 +136,9 @@ class Publisher:
             new.append(json.dumps(entry, sort_keys=True))
         completed = public._append(new)
         staged = sum(1 for x in self.manifest_text().splitlines() if x.strip())
-        body = {"version": 1, "last_updated": now_text, "tasks": {"staged_released": publish.staged_released(completed, staged, max_per_day, stage_days), "completed_up_to": completed}}
+        body = {"version": 1, "last_updated": now_text, "tasks": {"staged_released": plans.staged_released(completed, staged, max_per_day, stage_days), "completed_up_to": completed}}
         public.blobs.put(f"{public.prefix}metadata.json", json.dumps(body, sort_keys=True).encode())
-        return publish.unmarked_promotions(progress, public.manifest(True).where("valid"))
+        return plans.unmarked_promotions(progress, public.manifest(True).where("valid"))
 
 
 def audit(spark: SparkSession, actor: str, action: str, target: str, payload: dict, now: Column, id_: int) -> DataFrame:
