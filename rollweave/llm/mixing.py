@@ -3,8 +3,9 @@
 A source's documents are ordered by exponential keys -ln(u) / w, u from a hash of doc_id, w from the document's quality.
 A target of more than the source's size first takes complete epochs of every document; what remains is a prefix of the
 ordered documents. The prefix is found in two steps, so that a source with a third of all rows is never in one task:
-keys fall into buckets of about BUCKET documents, bucket sums are prefix-summed, and only the documents of the one
-bucket in which the budget ends are ordered and summed one by one.
+keys fall into buckets of about BUCKET documents, bucket sums are prefix-summed, and only the documents from the
+bucket in which the budget ends to the one that is sure to fill it, were its largest document passed over, are ordered
+and summed one by one.
 """
 
 from __future__ import annotations
@@ -100,8 +101,7 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     """measured() rows with source_size, target and copies, the times that the mix takes the row.
 
     ``narrow``: the same rows without ``row`` where that is cheaper to read. Empty documents, and sources of size 0,
-    take nothing. Within the bucket where a budget ends, documents that no longer fit are passed over for later ones
-    that do, three times, and one last document is taken if that comes nearer to the target. Rows with equal keys
+    take nothing. Where a budget ends, documents that no longer fit are passed over for later ones that do, three times, and one last document is taken if that comes nearer to the target. Rows with equal keys
     (repeats of a doc_id) go by doc_id, size and a hash of the text; full repeats are interchangeable.
     """
     narrow = rows.drop("row") if narrow is None else narrow
@@ -110,20 +110,22 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     size = F.col("source_size")
     epochs = F.when(size == 0, F.lit(0)).otherwise(F.least(F.lit(most), F.floor(F.col("target") / size))).cast("long")
     sources = sources.withColumns({"epochs": epochs}).withColumn("budget", F.col("target") - F.col("epochs") * size)
-    sums = _meet(narrow, sources, few).groupBy("skey", "budget", _bucket().alias("bucket")).agg(F.sum("size").alias("words"))
+    sums = _meet(narrow, sources, few).groupBy("skey", "budget", _bucket().alias("bucket")).agg(F.sum("size").alias("words"), F.max("size").alias("most"))
     running = Window.partitionBy("skey").orderBy("bucket")
-    sums = sums.withColumn("upto", F.sum("words").over(running)).where("upto > budget").groupBy("skey").agg(
-        F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("end")
+    sums = sums.withColumns({"upto": F.sum("words").over(running), "most": F.max("most").over(Window.partitionBy("skey"))})
+    sums = sums.where("upto > budget").groupBy("skey").agg(
+        F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("end"),
+        F.coalesce(F.min(F.when(F.col("upto") > F.col("budget") + 2 * F.col("most"), F.col("bucket"))), F.max("bucket")).alias("last_bucket"),
     )
     ends = scratch.keep(
-        sources.join(sums, "skey", "left").select("skey", "source_size", "docs", "target", "epochs",
+        sources.join(sums, "skey", "left").select("skey", "source_size", "docs", "target", "epochs", "last_bucket",
             F.col("end.bucket").alias("end_bucket"), (F.col("budget") - F.col("end.before")).alias("left")), "ends"
     )
     met = _meet(rows, ends, few).withColumn("bucket", _bucket())
-    whole = met.where("end_bucket is null or bucket <> end_bucket").withColumn("more", F.expr("end_bucket is null or bucket < end_bucket"))
-    # a source whose target is a whole number of epochs has left = 0 in its first bucket and takes nothing more
-    whole = whole.withColumn("more", F.col("more") & (F.col("epochs") < most) & F.col("end_bucket").isNotNull())
-    split = met.where("bucket = end_bucket").withColumn("more", F.lit(False))
+    inside = F.expr("coalesce(bucket between end_bucket and last_bucket, false)")
+    # a source whose target is a whole number of epochs, or that has no words, takes nothing more
+    more = F.expr("coalesce(bucket < end_bucket, false)") & (F.col("epochs") < most)
+    whole, split = met.where(~inside).withColumn("more", more), met.where(inside).withColumn("more", F.lit(False))
     order = [F.col("key"), F.col("doc_id"), F.col("size"), F.col("tie")]
     by_source = Window.partitionBy("skey")
     for turn in range(3):
@@ -137,7 +139,7 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     split = split.withColumn("more", F.col("more") | (nearest & (spare == 0) & (F.col("size") < 2 * F.col("left"))))
     every = whole.unionByName(split)
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("epochs") + F.col("more").cast("int")).cast("long")
-    return every.withColumn("copies", copies).drop("end_bucket", "left", "more", "bucket", "epochs", "docs")
+    return every.withColumn("copies", copies).drop("end_bucket", "last_bucket", "left", "more", "bucket", "epochs", "docs")
 
 
 def mix(docs: DataFrame, seed: str = "") -> DataFrame:

@@ -89,10 +89,14 @@ m AS (
     floor(greatest(1, ceil(docs / 1024)) * (1 - exp(-key)))::BIGINT AS bucket
   FROM d JOIN e USING (skey)),
 b AS (
-  SELECT skey, bucket, budget, sum(sum(size)) OVER (PARTITION BY skey ORDER BY bucket) AS upto, sum(size) AS words
+  SELECT skey, bucket, budget, sum(sum(size)) OVER (PARTITION BY skey ORDER BY bucket) AS upto, sum(size) AS words,
+    max(max(size)) OVER (PARTITION BY skey) AS most
   FROM m GROUP BY skey, bucket, budget),
-c AS (SELECT skey, min(bucket) AS end_bucket, arg_min(upto - words, bucket) AS before FROM b WHERE upto > budget GROUP BY skey),
-x AS (SELECT m.*, budget - before AS gap FROM m JOIN c ON m.skey = c.skey AND bucket = end_bucket),
+c AS (
+  SELECT skey, min(bucket) AS end_bucket, arg_min(upto - words, bucket) AS before,
+    coalesce(min(bucket) FILTER (upto > budget + 2 * most), max(bucket)) AS last_bucket
+  FROM b WHERE upto > budget GROUP BY skey),
+x AS (SELECT m.*, budget - before AS gap FROM m JOIN c ON m.skey = c.skey AND bucket BETWEEN end_bucket AND last_bucket),
 p1 AS (SELECT *, sum(size) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= gap AS more FROM x),
 q1 AS (SELECT * REPLACE (gap - coalesce(sum(size) FILTER (more) OVER (PARTITION BY skey), 0) AS gap) FROM p1),
 p2 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) <= gap AS add FROM q1),
@@ -104,7 +108,7 @@ f AS (
   SELECT doc_id, size, source_size, target, epochs + (more OR last_one)::BIGINT AS copies FROM n
   UNION ALL
   SELECT doc_id, size, source_size, target, epochs + (bucket < end_bucket AND epochs < 3)::BIGINT
-  FROM m JOIN c USING (skey) WHERE bucket <> end_bucket
+  FROM m JOIN c USING (skey) WHERE bucket NOT BETWEEN end_bucket AND last_bucket
   UNION ALL
   SELECT doc_id, size, source_size, target, epochs FROM m WHERE skey NOT IN (SELECT skey FROM c))
 SELECT doc_id, size, source_size, target, size * copies AS taken FROM f

@@ -1,0 +1,196 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rollweave.llm import mixing, topk, urlfilter
+from rollweave.llm.common import Scratch
+
+# -- mixing -----------------------------------------------------------------------------------------------------------------
+
+
+def plain_targets(sizes, weights=(1, 2, 3), most=3):
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(most * sizes[s] for s in capped)
+        open_ = [s for s in order if s not in capped]
+        share = {s: rest * w[s] / sum(w[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > most * sizes[s]}
+        if not over:
+            return share | {s: most * sizes[s] for s in capped}
+        capped |= over
+
+
+def corpus(seed, n=600):
+    rng = random.Random(seed)
+    sources = ["a", "b", "é", "Z", None, "tiny", "zero"]
+    rows = [(i, None if rng.random() < 0.02 else "w " * rng.choice([1, 3, 10, 60]), rng.choices(sources, [300, 50, 50, 50, 40, 2, 0])[0]) for i in range(n)]
+    return rows + [(n, "", "zero"), (n + 1, None, "zero"), (n + 2, "x " * 5000, "a"), (None, "p q", "b"), (3, "same id", "b"), (3, "same id", "b")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_mix(spark, seed, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 16)
+    rows = corpus(seed)
+    docs = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, source string, size int, key string")
+    got = mixing.mixed(mixing.measured(docs), Scratch(spark, "t")).select("row.source", "row.doc_id", "size", "source_size", "target", "copies").collect()
+    assert len(got) == len(rows)
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want = plain_targets(sizes)
+    taken = defaultdict(int)
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]] and math.isclose(r["target"], want[r["source"]], rel_tol=1e-12, abs_tol=1e-9) and 0 <= r["copies"] <= 3
+        taken[r["source"]] += r["size"] * r["copies"]
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 3, s  # a source's smaller documents have 1 and 3 words
+    again = mixing.mix(docs)
+    assert again.columns == docs.columns
+    copies = Counter((r["source"], r["doc_id"]) for r in again.collect())
+    expected = Counter()
+    for r in got:
+        expected[r["source"], r["doc_id"]] += r["copies"]
+    assert copies == +expected
+
+
+def test_salted_sources_give_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(5), "doc_id long, text string, source string")
+    run = lambda: sorted((r["doc_id"] or -1, r["size"], r["copies"]) for r in mixing.mixed(mixing.measured(docs), Scratch(spark, "t")).collect())
+    few = run()
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert run() == few
+
+
+def test_mix_of_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert mixing.mix(docs).collect() == []
+    assert mixing.mix(spark.createDataFrame([(1, None, None)], docs.schema)).collect() == []
+
+
+def test_better_documents_come_earlier(spark):
+    docs = spark.createDataFrame([(i, "word word" if i % 2 else "#### ####", "a" if i < 2000 else "b") for i in range(4000)], "doc_id long, text string, source string")
+    got = mixing.mixed(mixing.measured(docs), Scratch(spark, "t")).where("skey = 'sa'").groupBy(F.col("tie").alias("t")).agg(F.sum("copies").alias("n")).collect()
+    low, high = sorted(r["n"] for r in got)
+    assert high > 1.2 * low
+
+
+# -- search -----------------------------------------------------------------------------------------------------------------
+
+
+def plain_search(rows, k):
+    clean = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            clean[i] = [math.floor(256 * float(np.float32(x))) for x in v]
+    out = []
+    for q in clean:
+        if q % 50 == 0:
+            found = sorted((-sum(a * b for a, b in zip(clean[q], v, strict=False)), i) for i, v in clean.items() if i != q)[:k]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(found, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("depths", [(0.5, 0.9, 1.0), (0.05, 0.3, 1.0), (1.0,)])
+def test_search(spark, monkeypatch, depths):
+    monkeypatch.setattr(topk, "DEPTHS", depths)
+    monkeypatch.setattr(topk, "CANDIDATES", 100)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 0.3, 12).tolist()) for i in range(400)]
+    rows += [(i, [0.5] * 12) for i in range(400, 460)]  # ties
+    rows += [(500, None), (501, [None] * 12), (502, [float("nan")] * 12), (503, [float("inf")] + [0.0] * 11), (550, [0.1] * 12), (None, [1.0] * 12), rows[3], (600, [])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    v = topk.quantised(df)
+    got = sorted(map(tuple, topk.search(v, v.where("vec_id % 50 = 0"), 5, Scratch(spark, "t")).collect()))
+    assert got == plain_search(rows, 5)
+
+
+def test_search_few_and_huge(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e30, -1.0]), (50, [1e-3, 1e-3])]
+    v = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = sorted(map(tuple, topk.search(v, v.where("vec_id % 50 = 0"), 5, Scratch(spark, "t")).collect()))
+    assert got == [(0, 1, 1, (1 << 63) - 1), (0, 2, 50, 0), (50, 1, 0, 0), (50, 2, 1, 0)]
+    assert topk.search(v.limit(0), v.limit(0), 5, Scratch(spark, "t")).collect() == []
+    one = v.where("vec_id = 0")
+    assert topk.search(one, one, 5, Scratch(spark, "t")).collect() == []
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(2)
+    x, q = rng.integers(-50, 50, (60, 8)).astype(float), rng.integers(-50, 50, (7, 8)).astype(float)
+    lists, score = topk.SortedLists(x), q @ x.T
+    for depth in (1, 10, 30, 59, 60):
+        lower, upper = lists.bounds(q, depth)
+        assert (lower <= score).all() and (score <= upper).all()
+
+
+# -- URLs -------------------------------------------------------------------------------------------------------------------
+
+URLS = [
+    ("https://WWW.Example.com/en/x?q#f", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
+    ("http://a.example.com/en/", "a.example.com", "/en/", "example.com/en/", "block"),
+    ("http://example.com/en", "example.com", "/en", "com/", "allow"),
+    ("http://notexample.com/en/", "notexample.com", "/en/", "com/", "allow"),
+    ("http://x.net/es/1", "x.net", "/es/1", "net/es/", "block"),
+    ("http://x.net/de/1", "x.net", "/de/1", None, "allow"),
+    ("http://com?x/", "com", "", None, "allow"),
+    ("no scheme/en/", "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    (None, "", "", None, "allow"),
+    ("ftp://É.NET/fr/a://b", "É.net", "/fr/a://b", "net/fr/", "block"),
+    ("://example.com/en/", "example.com", "/en/", "example.com/en/", "block"),
+]
+
+
+def test_rules(spark):
+    pages = spark.createDataFrame([(k, u[0], "mine") for k, u in enumerate(URLS)], "page_id long, url string, Verdict string")
+    edges = spark.createDataFrame([], "from_url string, to_url string")
+    got = [(r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge(pages, edges).orderBy("page_id").collect()]
+    assert got == [u[1:] for u in URLS]
+
+
+def test_aliases(spark):
+    link = lambda href: f'<html><head><link rel="canonical" href="{href}"></head></html>'
+    rows = [
+        (1, "http://a.org/1", link("http://b.org/2")),  # a.org/1 - b.org/2 - x.net/es/: blocked
+        (2, "http://b.org/2", "<meta http-equiv='Refresh' content='0; url=http://x.net/es/9'>"),
+        (3, "https://b.org/2#part", None),
+        (4, "http://www.example.com/en/ok", link("//b.org/2")),  # an explicit allow stays
+        (5, "http://c.org/d/e", link("../f")), (6, "http://c.org/other", link("/d/e")), (7, "http://d.org/1", link("http://x.com/1")), (8, None, link("http://x.net/es/9")),
+        (9, "http://e.net/a?b=1&c", link("http://x.net/es/9")), (10, "http://e.net/a?b=1&c", ""), (11, "http://e.net/a", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages.drop("html"), urlfilter.alias_edges(pages)).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "block", 10: "block", 11: "allow"}
+
+
+# -- pipeline ---------------------------------------------------------------------------------------------------------------
+
+
+def test_pipeline(spark, sf):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mix", "tokenise"]
+    rows = corpus_pipeline.run(spark, sf).collect()
+    ids = {r["doc_id"] for r in rows}
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert rows and ids <= set(texts) and len({texts[i] for i in ids}) == len(ids)
+    assert max(Counter(r["doc_id"] for r in rows).values()) <= 3
+
+
+def test_stages_take_odd_tables(spark, sf):
+    shape = "doc_id long, text string, lang string, source string, n_chars long, row string, copies int"
+    for rows in ([], [(1, None, None, None, None, None, None), (1, None, None, None, None, None, None), (None, "a b c", "en", "s", 5, "r", 1)]):
+        docs = spark.createDataFrame(rows, shape)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, sf)
+            out.collect()
+            if name != "tokenise":
+                assert out.columns == docs.columns
