@@ -231,7 +231,7 @@ def components_of(docs: DataFrame, scratch: Scratch, percent: int = 85) -> DataF
     links = scratch.keep(both.mapInArrow(_confirmer(percent), "a long, b long"), "links")
     found = scratch.keep(connected_components(links, scratch), "components")
 
-    more = scratch.keep(_residual(members, found, held, percent), "more")
+    more = scratch.keep(_residual(members, found, held, percent, scratch), "more")
     scratch.drop(members, buckets, held)
     if not more.isEmpty():
         found = scratch.keep(connected_components(links.unionByName(more), scratch), "components")
@@ -244,7 +244,7 @@ def components_of(docs: DataFrame, scratch: Scratch, percent: int = 85) -> DataF
     )
 
 
-def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links that the least documents of the buckets don't show, from the buckets whose members are in several components."""
     known = members.where("c > 2").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     known = known.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -253,6 +253,7 @@ def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: in
     mixed = mixed.where("most < all").select(
         "key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("out_parts")
     )
+    mixed = scratch.keep(mixed, "mixed")  # read from a table, so that the join below can split a large bucket
     rows = known.join(mixed, "key").withColumn("h", F.xxhash64("doc_id"))
     own, out_own = F.expr("cast(pmod(h, parts) as int)"), F.expr("cast(pmod(shiftright(h, 20), out_parts) as int)")
     outsider = F.col("component") != F.col("main")
