@@ -52,7 +52,7 @@ def test_mix(spark, seed, monkeypatch):
         assert r["source_size"] == sizes[r["source"]] and math.isclose(r["target"], want[r["source"]], rel_tol=1e-12, abs_tol=1e-9) and 0 <= r["copies"] <= 3
         taken[r["source"]] += r["size"] * r["copies"]
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 3, s  # a source's smaller documents have 1 and 3 words
+        assert abs(taken[s] - want[s]) <= 30, s  # half of an ordinary large document, and far from the one of 5000
     again = mixing.mix(docs)
     assert again.columns == docs.columns
     copies = Counter((r["source"], r["doc_id"]) for r in again.collect())
