@@ -147,7 +147,7 @@ def increment(progress: DataFrame, deltas: DataFrame, as_of: Column) -> DataFram
 def sampling_list(environments: DataFrame, teachers: DataFrame, list_name: str, target: int, as_of: Column, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """A cell for each task of each environment's range, clipped to [lo, hi), and each teacher.
 
-    The teachers are counted to be few before they are put beside each task; beyond that they meet by a plain join.
+    The teachers' names come as one row, which goes beside every task: an explode makes the product, no shuffle.
     """
     first = F.col("task_id_range.lo") if lo is None else F.greatest(F.col("task_id_range.lo"), F.lit(lo))
     last = F.col("task_id_range.hi") if hi is None else F.least(F.col("task_id_range.hi"), F.lit(hi))
@@ -159,3 +159,18 @@ def sampling_list(environments: DataFrame, teachers: DataFrame, list_name: str,
         F.lit(list_name).alias("list_name"), *CELL, F.lit(target).alias("target_samples"), F.lit(0).alias("collected"), F.lit(0).alias("attempts"),
         as_of.alias("last_updated"),
     )
+
+
+def environment(tasks: DataFrame, env_name: str, config: str, as_of: Column) -> DataFrame:
+    """The environments row of a task set: its ids are 0 to the number of tasks."""
+    n = tasks.where(F.col("env_name") == env_name).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return n.select(F.lit(env_name).alias("env_name"), F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")).alias("task_id_range"), F.lit(config).alias("config"), as_of.alias("created_at"))
+
+
+def tasks_in_order(tasks: DataFrame, env_name: str, difficulty: str | None = None) -> DataFrame:
+    return within(tasks, env_name=[env_name], difficulty=[difficulty] if difficulty else None).orderBy("task_id")
+
+
+def ordered(table: DataFrame, *newest_first: str, then: str) -> DataFrame:
+    """A listing: the given times descending, then a key, so that the order is total."""
+    return table.orderBy(*(F.desc(c) for c in newest_first), then)

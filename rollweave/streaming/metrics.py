@@ -101,3 +101,22 @@ def cycles(stages: list[tuple[str, Callable[[], None]]], failed: Callable[[str,
             failed(name, e)
 
 
+
+
+def claim_loop(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], hand_out: Callable[[DataFrame], None], batch: int, seconds: int = 5) -> Callable[[SparkSession], StreamingQuery]:
+    """A producer's claims as a stream: each tick claims from the current snapshot, writes the counted attempts and hands the cells out.
+
+    One query is the table's only writer, which stands in for row locks.
+    """
+    from rollweave.operators.cells import claim, with_claims
+
+    def tick(_: DataFrame, __: int) -> None:
+        progress = read()
+        claimed = claim(progress, batch).persist()
+        try:
+            write(with_claims(progress, claimed))
+            hand_out(claimed)
+        finally:
+            claimed.unpersist()
+
+    return lambda spark: spark.readStream.format("rate").load().writeStream.foreachBatch(tick).trigger(processingTime=f"{seconds} seconds").start()
