@@ -5,6 +5,7 @@ path over the page and divided by the path's blocks, are smoothed along the page
 threshold; the blocks of the paths above it are the page's content nodes. The element that holds nearly all their text
 is the article, and every block in it counts, short ones too, except what the page itself marks as something else:
 menus, headers, footers, sidebars, notices, adverts, forms, comments and hidden parts.
+Lists of links outside an article element are menus too.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ MARKS = frozenset(
     "comment comments commentlist commentary discussion disqus respond reply replies reactions footer foot masthead topbar "
     "pagination pager toolbar skip skiplink search searchbox form copyright legal disclaimer outbrain taboola hidden".split()
 )
+#: Parts of words that do the same.
+MARK_PARTS = re.compile("sidebar|comment|advert|cookie|newsletter|breadcrumb|navbar|navmenu|navlist|sponsor|popup|disqus")
 HEADER_MARKS = frozenset(["header", "head"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLES = frozenset(["article", "main"])
@@ -91,6 +94,8 @@ class Block:
     element: int
     text: str
     outside: bool
+    #: All of it is in links.
+    links: bool = False
 
 
 @dataclass
@@ -115,7 +120,7 @@ def _opened(page: Page, name: str, raw: str, parent: int) -> Element:
     if attributes and not outside:
         outside = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
         outside |= attributes.get("role", "").lower() in ROLES
-        outside |= name not in ARTICLES and name not in ("html", "body") and bool(marks & MARKS)
+        outside |= name not in ARTICLES and name not in ("html", "body") and (bool(marks & MARKS) or any(map(MARK_PARTS.search, marks)))
     if name == "header" or (marks & HEADER_MARKS and name not in HEADINGS and name not in ARTICLES):
         outside, only = outside or not up.in_article, True
     path = up.path if name in INLINE else f"{up.path}/{name}" + "".join(f".{x}" for x in sorted(marks))
@@ -124,18 +129,20 @@ def _opened(page: Page, name: str, raw: str, parent: int) -> Element:
 
 def parse(source: str) -> Page:
     """The page's blocks in page order. Unclosed, crossed and unknown tags are taken as browsers take them, roughly."""
-    page, stack, parts, at = Page(), [0], [], 0
+    page, stack, parts, at, unlinked = Page(), [0], [], 0, 0
     elements, blocks = page.elements, page.blocks
 
     def flush() -> None:
-        text = " ".join("".join(parts).split())
+        nonlocal unlinked
+        text, plain = " ".join("".join(parts).split()), unlinked
         parts.clear()
+        unlinked = 0
         if text:
             i = stack[-1]
             while elements[i].name in INLINE:
                 i = elements[i].parent
             e = elements[i]
-            blocks.append(Block(i, text, e.outside or (e.headings_only and e.name not in HEADINGS)))
+            blocks.append(Block(i, text, e.outside or (e.headings_only and e.name not in HEADINGS), not plain))
 
     def close(upto: int) -> None:
         """Ends the elements from stack[upto] on."""
@@ -145,12 +152,15 @@ def parse(source: str) -> Page:
 
     def put(text: str) -> None:
         # text of an excluded inline element, as an advert in a span, isn't the block's
-        i, inline_out = stack[-1], False
+        nonlocal unlinked
+        i, inline_out, link = stack[-1], False, False
         while elements[i].name in INLINE and not inline_out:
+            link = link or elements[i].name == "a"
             inline_out = elements[i].outside and not elements[elements[i].parent].outside
             i = elements[i].parent
         if not inline_out:
             parts.append(entities.unescape(text))
+            unlinked += not link and bool(text.strip())
 
     while (m := _TOKEN.search(source, at)) is not None:
         if m.start() > at:
@@ -201,9 +211,23 @@ def parse(source: str) -> Page:
             stack.append(len(elements) - 1)
     put(source[at:])
     flush()
+    _leave_out_link_lists(page)
     return page
 
 
+def _leave_out_link_lists(page: Page) -> None:
+    """A list outside an article element whose every item is a link is a menu."""
+    lists: dict[int, list[Block]] = {}
+    for b in page.blocks:
+        e = page.elements[b.element]
+        if e.name == "li" and not e.in_article:
+            lists.setdefault(e.parent, []).append(b)
+    for items in lists.values():
+        if len(items) > 1 and all(b.links for b in items):
+            for b in items:
+                b.outside = True
+
+
 def scores(page: Page) -> np.ndarray:
     """Smoothed, fused path ratio of each block."""
     length, marks, count = {}, {}, {}

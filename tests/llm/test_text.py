@@ -33,6 +33,8 @@ PARAGRAPH = "A paragraph with some text, long enough to be content; it goes on f
         (f"<main><p>{PARAGRAPH}</p><div class='cookie-notice'>{PARAGRAPH}</div><form>{PARAGRAPH}</form><section id=comments><p>{PARAGRAPH}</p></section><p>end</p></main>", f"{PARAGRAPH}\nend"),
         (f"<div><p>{PARAGRAPH} <span class=ad>Buy</span>now</p></div>", f"{PARAGRAPH} now"),
         (f"<table><tr><td>{PARAGRAPH}<td>b</table>", f"{PARAGRAPH}\nb"), ("<p>a < b & c", "a < b & c"), ("<p>a\n\t b</p><style>p{}</style><p hidden>no</p>", "a b"),
+        (f"<body><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>{PARAGRAPH}<ul><li><a href=z>z</a> said<li>two</ul></div>", f"{PARAGRAPH}\nz said\ntwo"),
+        (f"<article><p>{PARAGRAPH}<ul><li><a>in</a><li><a>text</a></ul></article><div class='readerComments2'><p>{PARAGRAPH}</div>", f"{PARAGRAPH}\nin\ntext"),
         (f"<article><header><h1>T</h1><p>by line</p></header><p>{PARAGRAPH}</p></article>", f"T\n{PARAGRAPH}"),
     ],
 )
