@@ -114,7 +114,7 @@ def _call(id_: str, name: str, arguments: object, malformed: bool | None = None)
     return {"id": id_, "name": name, "arguments": json.dumps(arguments if whole else {"_raw": arguments}), "malformed": not whole if malformed is None else malformed}
 
 
-def _affent(step: dict) -> dict:
+def _event_step(step: dict) -> dict:
     match step.get("kind"):
         case "user":
             return _message("user", step.get("text", ""))
@@ -211,8 +211,8 @@ def _verifiers(step: dict) -> dict:
             raise Unreadable(f"unknown role {role!r}")
 
 
-#: Step readers by family; add to it, or replace, to extend.
-FAMILIES: dict[str, Callable[[dict], dict]] = {"affent": _affent, "claude": _claude, "verifiers": _verifiers}
+#: Step readers by family; add to it, or replace, to extend. "events": the steps that fold() makes; another name for a family is another key.
+FAMILIES: dict[str, Callable[[dict], dict]] = {"events": _event_step, "claude": _claude, "verifiers": _verifiers}
 
 
 def normalise(family: str | None, steps: str | None) -> tuple[list[dict] | None, str | None]:

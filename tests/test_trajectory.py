@@ -76,7 +76,7 @@ def test_chat_messages():
         {"id": "1", "function": {"name": "f", "arguments": "oops"}}, {"id": "2", "function": {"name": "g", "arguments": "[1]"}}, {"id": "3", "function": {"name": "h"}}]}])
     assert (m["content"], m["reasoning"]) == ("ab", "r")
     assert [(c["arguments"], c["malformed"]) for c in m["tool_calls"]] == [('{"_raw": "oops"}', False), ('{"_raw": [1]}', True), ("{}", False)]
-    assert normal("verifiers", [{"role": "robot"}])[0] is None and normal("unknown", [])[0] is None and normal("affent", [{"kind": "user"}])[0][0]["content"] == ""
+    assert normal("verifiers", [{"role": "robot"}])[0] is None and normal("unknown", [])[0] is None and normal("events", [{"kind": "user"}])[0][0]["content"] == ""
 
 
 def test_families_can_be_added(spark):
