@@ -333,7 +333,7 @@ def _private(spark, sf_dir):
     from pyspark.sql.window import Window
 
     rows = _progress(spark, sf_dir).where("published_at is not null")  # a manifest is one ordered file
-    rows = rows.withColumn("line_no", F.row_number().over(Window.orderBy("last_updated", *CELL.split(", "))))
+    rows = rows.withColumn("line_no", F.row_number().over(Window.orderBy("last_updated", *CELL.split(", "))).cast("long"))
     stamp = publish.iso(F.col("published_at"))
     return rows.withColumns({"committed_at": stamp, "mature_at": F.when(F.col("task_id") % 3 == 0, F.lit("bad")).otherwise(publish.iso(F.col("published_at") + F.expr("interval 2 days")))})
 
