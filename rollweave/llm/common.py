@@ -30,6 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_made: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables that this session's operators wrote; call it when no result of theirs will be read again."""
+    while _made:
+        delete(spark, _made.pop())
+
+
 class Scratch:
     """Tables written once in the shared folder, so that later stages read them instead of computing them again.
 
@@ -40,6 +49,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
         self.at: dict[int, str] = {}
+        _made.append(self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

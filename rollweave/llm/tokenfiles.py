@@ -243,6 +243,7 @@ def write(docs: DataFrame, vocabulary_path: str, scratch: Scratch, end_id: int |
                 if end_id is not None:
                     ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
                 writer.add(batch.column(0).slice(at, len(texts)), ids, n)
+            pa.default_memory_pool().release_unused()
         if writer is not None:
             writer.close()
             values = [shard, writer.ids_path, writer.docs_path, writer.tokens, writer.sequences, writer.docs]

@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 
 from rollweave.llm.common import Scratch, table
 
-#: Rows of a block of candidates and of a block of queries.
-CANDIDATES, QUERIES = 4096, 1024
+#: Rows of a block of candidates and of a block of queries; queries whose bounds are held at a time.
+CANDIDATES, QUERIES, AT_ONCE = 4096, 8192, 1024
 #: Shares of the lists that are read before bounds are compared.
 DEPTHS = (0.5, 0.9, 1.0)
 _EXACT = float(1 << 52)
@@ -62,7 +62,12 @@ def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: in
     q, x = (np.pad(y, ((0, 0), (0, width - y.shape[1]))) for y in (q, x))
     if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(width, 1) >= _EXACT:
         return _best_of_any_size(q_ids, q, ids, x, k)
-    lists, out, open_ = SortedLists(x), [], np.arange(len(q))
+    lists = SortedLists(x)
+    return [r for i in range(0, len(q), AT_ONCE) for r in _read(lists, q_ids[i : i + AT_ONCE], q[i : i + AT_ONCE], ids, k)]
+
+
+def _read(lists: SortedLists, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    x, out, open_ = lists.x, [], np.arange(len(q))
     for share in DEPTHS:
         lower, upper = lists.bounds(q[open_], math.ceil(share * len(x)))
         own = q_ids[open_][:, None] == ids[None, :]

@@ -4,12 +4,13 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rollweave.llm import mixing, topk, urlfilter
+from rollweave.llm import mixing, oracles, topk, urlfilter
 from rollweave.llm.common import Scratch
 
 # -- mixing -----------------------------------------------------------------------------------------------------------------
@@ -104,6 +105,7 @@ def test_search(spark, monkeypatch, depths):
     monkeypatch.setattr(topk, "DEPTHS", depths)
     monkeypatch.setattr(topk, "CANDIDATES", 100)
     monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "AT_ONCE", 3)
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(0, 0.3, 12).tolist()) for i in range(400)]
     rows += [(i, [0.5] * 12) for i in range(400, 460)]  # ties
@@ -170,6 +172,10 @@ def test_aliases(spark):
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages.drop("html"), urlfilter.alias_edges(pages)).collect()}
+    sql = duckdb.connect()
+    sql.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    sql.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert {r[0]: r[4] for r in sql.sql("SELECT page_id, host, path, rule, verdict FROM (" + oracles.SQL["op10_url_filters"] + ")").fetchall()} == got
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "block", 10: "block", 11: "allow"}
 
 
