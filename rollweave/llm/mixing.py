@@ -21,6 +21,8 @@ MOST_EPOCHS = 3
 BUCKET = 1024
 #: Sources are broadcast up to this many (some 10 MB); beyond, rows meet them in a salted join.
 BROADCAST_SOURCES = 100_000
+#: Documents around the ends of budgets, some 1000 a source, are broadcast up to this many (some 40 MB).
+BROADCAST_CHOSEN = 300_000
 SALTS = 64
 #: Characters that prose hardly has; the share of others is the quality weight's measure.
 SYMBOLS = "#$%&*|!<>{}[]^~=+@"
@@ -101,8 +103,9 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     """measured() rows with source_size, target and copies, the times that the mix takes the row.
 
     ``narrow``: the same rows without ``row`` where that is cheaper to read. Empty documents, and sources of size 0,
-    take nothing. Where a budget ends, documents that no longer fit are passed over for later ones that do, three times, and one last document is taken if that comes nearer to the target. Rows with equal keys
-    (repeats of a doc_id) go by doc_id, size and a hash of the text; full repeats are interchangeable.
+    take nothing. Where a budget ends, documents that no longer fit are passed over for later ones that do, three
+    times, and one last document is taken if that comes nearer to the target. Rows with equal keys (repeats of a doc_id)
+    go by doc_id, size and a hash of the text; full repeats are taken alike. ``rows`` is read once.
     """
     narrow = rows.drop("row") if narrow is None else narrow
     sources = scratch.keep(source_targets(narrow, weights, most), "sources")
@@ -121,25 +124,35 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
         sources.join(sums, "skey", "left").select("skey", "source_size", "docs", "target", "epochs", "last_bucket",
             F.col("end.bucket").alias("end_bucket"), (F.col("budget") - F.col("end.before")).alias("left")), "ends"
     )
-    met = _meet(rows, ends, few).withColumn("bucket", _bucket())
     inside = F.expr("coalesce(bucket between end_bucket and last_bucket, false)")
+    chosen = scratch.keep(_chosen(_meet(narrow, ends, few).withColumn("bucket", _bucket()).where(inside)), "chosen")
+    met = _meet(rows, ends, few).withColumns({"bucket": _bucket(), "id_key": _id_key()})
+    met = met.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_CHOSEN else chosen, ["skey", "id_key", "tie"], "left")
     # a source whose target is a whole number of epochs, or that has no words, takes nothing more
     more = F.expr("coalesce(bucket < end_bucket, false)") & (F.col("epochs") < most)
-    whole, split = met.where(~inside).withColumn("more", more), met.where(inside).withColumn("more", F.lit(False))
+    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("epochs") + F.when(inside, F.col("chosen").isNotNull()).otherwise(more).cast("int"))
+    return met.withColumn("copies", copies.cast("long")).drop("end_bucket", "last_bucket", "left", "bucket", "epochs", "docs", "id_key", "chosen")
+
+
+def _id_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+
+
+def _chosen(split: DataFrame) -> DataFrame:
+    """(skey, id_key, tie, chosen) of the documents that fill what is ``left`` of their source's budget. Full repeats are peers of the order: all are chosen or none."""
     order = [F.col("key"), F.col("doc_id"), F.col("size"), F.col("tie")]
     by_source = Window.partitionBy("skey")
+    split = split.withColumn("more", F.lit(False))
     for turn in range(3):
         fits = ~F.col("more") & (F.col("size") <= F.col("left")) if turn else ~F.col("more")
-        upto = F.sum(F.when(fits, F.col("size")).otherwise(0)).over(by_source.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        upto = F.sum(F.when(fits, F.col("size")).otherwise(0)).over(by_source.orderBy(*order))
         split = split.withColumn("take", fits & (upto <= F.col("left")))
         split = split.withColumn("left", F.col("left") - F.sum(F.when(F.col("take"), F.col("size")).otherwise(0)).over(by_source))
         split = split.withColumn("more", F.col("more") | F.col("take")).drop("take")
     spare = F.when(F.col("more") | (F.col("size") == 0), F.lit(1)).otherwise(0)
-    nearest = F.row_number().over(by_source.orderBy(spare, F.col("size"), *order)) == 1
-    split = split.withColumn("more", F.col("more") | (nearest & (spare == 0) & (F.col("size") < 2 * F.col("left"))))
-    every = whole.unionByName(split)
-    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("epochs") + F.col("more").cast("int")).cast("long")
-    return every.withColumn("copies", copies).drop("end_bucket", "last_bucket", "left", "more", "bucket", "epochs", "docs")
+    nearest = F.rank().over(by_source.orderBy(spare, F.col("size"), *order)) == 1
+    taken = F.col("more") | (nearest & (spare == 0) & (F.col("size") < 2 * F.col("left")))
+    return split.withColumn("taken", taken).where("taken").select("skey", _id_key().alias("id_key"), "tie", F.lit(True).alias("chosen")).distinct()
 
 
 def mix(docs: DataFrame, seed: str = "") -> DataFrame:

@@ -97,13 +97,13 @@ c AS (
     coalesce(min(bucket) FILTER (upto > budget + 2 * most), max(bucket)) AS last_bucket
   FROM b WHERE upto > budget GROUP BY skey),
 x AS (SELECT m.*, budget - before AS gap FROM m JOIN c ON m.skey = c.skey AND bucket BETWEEN end_bucket AND last_bucket),
-p1 AS (SELECT *, sum(size) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= gap AS more FROM x),
+p1 AS (SELECT *, sum(size) OVER (PARTITION BY skey ORDER BY key, doc_id, size) <= gap AS more FROM x),
 q1 AS (SELECT * REPLACE (gap - coalesce(sum(size) FILTER (more) OVER (PARTITION BY skey), 0) AS gap) FROM p1),
-p2 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) <= gap AS add FROM q1),
+p2 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size), 0) <= gap AS add FROM q1),
 q2 AS (SELECT * EXCLUDE (add) REPLACE (more OR add AS more, gap - coalesce(sum(size) FILTER (add) OVER (PARTITION BY skey), 0) AS gap) FROM p2),
-p3 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) <= gap AS add FROM q2),
+p3 AS (SELECT *, NOT more AND size <= gap AND coalesce(sum(size) FILTER (NOT more AND size <= gap) OVER (PARTITION BY skey ORDER BY key, doc_id, size), 0) <= gap AS add FROM q2),
 q3 AS (SELECT * EXCLUDE (add) REPLACE (more OR add AS more, gap - coalesce(sum(size) FILTER (add) OVER (PARTITION BY skey), 0) AS gap) FROM p3),
-n AS (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY more OR size = 0, size, key, doc_id) = 1 AND NOT more AND size > 0 AND size < 2 * gap AS last_one FROM q3),
+n AS (SELECT *, rank() OVER (PARTITION BY skey ORDER BY more OR size = 0, size, key, doc_id) = 1 AND NOT more AND size > 0 AND size < 2 * gap AS last_one FROM q3),
 f AS (
   SELECT doc_id, size, source_size, target, epochs + (more OR last_one)::BIGINT AS copies FROM n
   UNION ALL
