@@ -30,6 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of an Arrow batch between Spark and Python. Spark's own limit of 64 MB, with buffers that double as they fill, on
+#: both sides and for each task, is a third of a small executor.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit for Arrow batches, unless it has been set: long texts make batches of few rows."""
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 _made: list[str] = []
 
 
@@ -49,6 +61,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
         self.at: dict[int, str] = {}
+        small_batches(spark)
         _made.append(self.root)
 
     def path(self, name: str) -> str:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.llm.common import table
+from rollweave.llm.common import small_batches, table
 
 #: Share of the content nodes' text that the article's element must hold.
 HELD = 0.85
@@ -293,6 +293,7 @@ def _run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extracted(rows: DataFrame) -> DataFrame:
     """rows (row struct, html string) -> row, text. Every page is read whole, on its own; repeats give equal rows."""
+    small_batches(rows.sparkSession)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.select("row", "html").mapInArrow(_run, f"row {kind}, text string")
 

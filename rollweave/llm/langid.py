@@ -14,10 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.llm.common import table, whole_row
+from rollweave.llm.common import small_batches, table, whole_row
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -130,6 +131,7 @@ def fit(docs: DataFrame, learnable: Column) -> Model:
 
     The driver receives a row for each language. Without learnable rows the model knows no language.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(learnable & F.col("lang").isNotNull()).select("lang", "text")
     seen = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
     bits = BITS
@@ -145,24 +147,27 @@ def fit(docs: DataFrame, learnable: Column) -> Model:
 
 
 def predict(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds lang_pred and score to rows (row struct, text string), every other column dropped but ``row``.
+    """Adds lang_pred and score to rows (row struct, and text string unless row has it), every other column dropped but ``row``.
 
     lang_pred is ``und`` with score 0 where the text is null or has no letter, or nothing was learned; else score is the
     posterior probability. Ties go to the language that is first in code point order.
     """
+    small_batches(rows.sparkSession)
+    apart = "text" in rows.columns
     shared = rows.sparkSession.sparkContext.broadcast((model.langs, model.logp, model.prior, model.bits))
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, own = letter_table(), Model(*shared.value)
         for batch in batches:
-            found = [own.score(text.as_py() or "", letters) for text in batch.column(1)]
+            texts = batch.column(1) if apart else pc.struct_field(batch.column(0), "text")
+            found = [own.score(text.as_py() or "", letters) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
                 ["row", "lang_pred", "score"],
             )
 
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("row", "text").mapInArrow(scored, f"row {kind}, lang_pred string, score double")
+    return rows.select("row", *(["text"] if apart else [])).mapInArrow(scored, f"row {kind}, lang_pred string, score double")
 
 
 def remainder(doc_id: Column, of: int) -> Column:
@@ -173,7 +178,7 @@ def remainder(doc_id: Column, of: int) -> Column:
 def identified(docs: DataFrame) -> DataFrame:
     """The rows of docs, as they are, whose text is in a language that docs' own labels teach: ``und`` rows go."""
     model = fit(docs, F.lit(True))
-    return predict(docs.select(whole_row(docs).alias("row"), "text"), model).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    return predict(docs.select(whole_row(docs).alias("row")), model).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

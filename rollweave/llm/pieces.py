@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.llm.common import table
+from rollweave.llm.common import small_batches, table
 
 SPACE_MARK = "▁"
 #: Bytes of text that are encoded at a time.
@@ -222,6 +222,7 @@ def encoded(rows: DataFrame, model_path: str) -> DataFrame:
     Null counts as the empty text, which has no ids and the one bound 0. The model file is read on the driver and
     broadcast (some 0.5 MB).
     """
+    small_batches(rows.sparkSession)
     with open(model_path, "rb") as file:
         model = rows.sparkSession.sparkContext.broadcast(file.read())
 

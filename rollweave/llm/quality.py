@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.llm.common import table
+from rollweave.llm.common import small_batches, table
 from rollweave.llm.langid import remainder
 
 SAMPLE = 3000
@@ -100,6 +100,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sizes(rows: DataFrame, model: Model, keep: str) -> DataFrame:
     """rows (``keep`` column, text) -> the column, d and r."""
+    small_batches(rows.sparkSession)
     fields = rows.sparkSession.sparkContext.broadcast((model.good, model.bad))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     With labels of one kind only, or none, the model knows no text and its score is the share of good labels, 0.5 for
     none.
     """
+    small_batches(docs.sparkSession)
     labels = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label")).distinct()
     count = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     share = (count.get(1, 0) + 1) / (sum(count.values()) + 2)
