@@ -17,8 +17,10 @@ def stripped(x: Column) -> Column:
 def pytest_count(log: Column, word: str) -> Column:
     """The number before ``word`` in the last of the log's last 50 lines that has one, the first in that line; 0 without."""
     tail = F.substring_index(log, "\n", -LOG_LINES)
-    firsts = F.regexp_extract_all(tail, F.lit(rf"(?m)^[^\n]*?(\d+)[^\S\n]+{word}"), F.lit(1))  # one for each line that has any
-    return F.coalesce(F.try_element_at(firsts, F.lit(-1)).try_cast("int"), F.lit(0))
+    lines = F.filter(F.split(tail, "\n"), lambda x: F.contains(x, F.lit(word)))
+    found = F.filter(F.transform(lines, lambda x: F.regexp_extract(x, rf"(\d+)\s+{word}", 1)), lambda x: x != "")
+    last = F.when(F.contains(tail, F.lit(word)), F.try_element_at(found, F.lit(-1)))
+    return F.coalesce(last.try_cast("int"), F.lit(0))
 
 
 def pytest_result(log: Column) -> Column:
