@@ -56,7 +56,7 @@ def write_shards(rows: DataFrame, root: str, prefix: str = "") -> DataFrame:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        store, folder = fs.FileSystem.from_uri(root)
+        store, folder = fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))  # Hadoop's name and Arrow's
         store.create_dir(f"{folder}/{at}", recursive=True)
         held: list[pa.Table] = []
 
