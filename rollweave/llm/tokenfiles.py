@@ -130,10 +130,10 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 
 def _store(uri: str):
-    """(file system, path) of a folder, for any store that Arrow reaches: file, hdfs, s3, gs, viewfs."""
+    """(file system, path) of a folder, for any store that Arrow reaches: file, hdfs, viewfs, gs, s3 (Hadoop's s3a is Arrow's s3)."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 class ShardWriter:
