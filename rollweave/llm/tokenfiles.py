@@ -49,8 +49,8 @@ class Encoder:
 
     A byte-level vocabulary's own pattern never joins what a single space between two words divides, so texts are
     encoded as chunks that begin at such spaces, and a chunk seen before isn't encoded again; nor does it join letters
-    and the punctuation after them. Texts with other runs of spaces, and vocabularies of other kinds, are encoded whole;
-    the ids are the same either way.
+    and the punctuation after them. Texts with other runs of spaces or with an added token's content, and vocabularies
+    of other kinds, are encoded whole; the ids are the same either way.
     """
 
     def __init__(self, vocabulary: str):
@@ -58,10 +58,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(vocabulary)
         pre, size = spec.get("pre_tokenizer") or {}, self.tokenizer.get_vocab_size()
         self.chunked = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
+        #: Chunks would cut an added token, and chunks encoded as one text would make one that has a space.
+        self.chunked &= not any(" " in x for x in added)
+        self.irregular = "|".join([_IRREGULAR, *("".join(f"\\x{{{ord(c):x}}}" for c in x) for x in added)])
         self.dtype = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
         #: Bytes that each id stands for: a byte-level vocabulary writes each byte as one character.
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -91,7 +94,7 @@ class Encoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, and the number of each text's ids. Null counts as the empty text."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False) if self.chunked else np.ones(len(texts), bool)
+        odd = pc.match_substring_regex(texts, self.irregular).to_numpy(zero_copy_only=False) if self.chunked else np.ones(len(texts), bool)
         if odd.all():
             parts = self.whole(texts.to_pylist())
             return np.concatenate([np.zeros(0, self.dtype), *parts]), np.array([len(x) for x in parts], np.int64)

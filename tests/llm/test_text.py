@@ -76,6 +76,33 @@ def test_chunks_give_the_library_s_ids(spark, sf):
         assert n.tolist() == [len(x) for x in want] and (ids == np.concatenate(want)).all()
 
 
+def test_ids_are_those_of_the_library_as_given():
+    from tokenizers import Tokenizer
+
+    texts = [t or "" for t in ODD] + ["see <|endoftext|> here", "a<|endoftext|>b", "<|endoftext|>", "<|endoftext|", "see <|endoftext |> here", "plain words, here."]
+    want = [x.ids for x in Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    assert 50256 in want[-6]
+    encode = encoder()
+    for _ in range(2):
+        ids, n = encode(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+
+
+def test_added_tokens_with_spaces_are_never_made_of_chunks(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(VOCABULARY, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 50257, "content": "two words", "special": False})
+    path = tmp_path / "v.json"
+    path.write_text(json.dumps(spec))
+    texts = ["one two", "of words here", "has two words in"]
+    ids, n = encoder(path)(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [x.ids for x in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_other_vocabularies_are_encoded_whole():
     encode = encoder(public_tokenizers.path("word_bpe_49k.json"))
     assert not encode.chunked
