@@ -212,6 +212,14 @@ def task_semi_join(spark, sf_dir):
     return events.join(derive.tasks(spark, sf_dir), "task_id", "left_semi").groupBy("task_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _new_list(spark, sf_dir, lo=None, hi=None):
+    rolls = _rolls(spark, sf_dir)
+    span = F.struct(F.min("task_id").cast("int").alias("lo"), (F.max("task_id") + 1).cast("int").alias("hi"))
+    environments = rolls.groupBy("env_name").agg(span.alias("task_id_range"))
+    out = cells.sampling_list(environments, rolls.select("teacher_name").distinct(), "new", 8, as_of(), lo, hi)
+    return out.select(*CELL.split(", "))
+
+
 @query(
     "sampling_list_init",
     sql(
@@ -221,11 +229,19 @@ def task_semi_join(spark, sf_dir):
     ),
 )
 def sampling_list_init(spark, sf_dir):
-    rolls = _rolls(spark, sf_dir)
-    span = F.struct(F.min("task_id").cast("int").alias("lo"), (F.max("task_id") + 1).cast("int").alias("hi"))
-    environments = rolls.groupBy("env_name").agg(span.alias("task_id_range"))
-    out = cells.sampling_list(environments, rolls.select("teacher_name").distinct(), "new", 8, as_of(), 10, 60)
-    return out.select(*CELL.split(", "))
+    return _new_list(spark, sf_dir, 10, 60)
+
+
+@query(
+    "sampling_list_whole",
+    sql(
+        "SELECT 'new' AS list_name, env_name, unnest(generate_series(lo, hi - 1))::INTEGER AS task_id, teacher_name "
+        "FROM (SELECT env_name, min(task_id) AS lo, max(task_id) + 1 AS hi FROM rollouts GROUP BY env_name), (SELECT DISTINCT teacher_name FROM rollouts)",
+        ROLLOUTS,
+    ),
+)
+def sampling_list_whole(spark, sf_dir):
+    return _new_list(spark, sf_dir)
 
 
 @query(
