@@ -40,7 +40,8 @@ RULES = (
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _REST = r"^.*?://"
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?\s*canonical\b)[^>]*?\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
+#: rel is a list of words: canonical may be any of a quoted list, or the first of an unquoted one.
+_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:["']?\s*|"[^">]*\s|'[^'>]*\s)canonical\b)[^>]*?\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*?\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
@@ -75,6 +76,19 @@ def node(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), spot, F.coalesce(query, F.lit(""))))
 
 
+def without_dots(url: Column) -> Column:
+    """An absolute URL without ``.`` and ``..`` segments in its path, by RFC 3986, 5.2.4."""
+    none = F.array().cast("array<string>")
+    parts = F.split(F.regexp_replace(path(url), "^/", ""), "/", -1)
+    step = lambda held, x: (
+        F.when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).when(x == ".", held).otherwise(F.concat(held, F.array(x)))
+    )
+    open_end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+    clean = F.concat(F.lit("/"), F.array_join(F.concat(F.aggregate(parts, none, step), open_end), "/"))
+    start, end = F.regexp_extract(url, r"^(.*?://[^/?#]*)", 1), F.regexp_extract(url, r"^.*?://[^?#]*(.*)$", 1)
+    return F.when(path(url).rlike(r"(^|/)\.\.?(/|$)"), F.concat(start, clean, end)).otherwise(url)
+
+
 def resolved(base: Column, link: Column) -> Column:
     """A link as an absolute URL: absolute, ``//host/..``, ``/path``, ``?query`` and relative forms; ``.``/``..`` stay as written."""
     root = F.regexp_extract(base, r"^(.*?://[^/?#]*)", 1)
@@ -90,15 +104,17 @@ def resolved(base: Column, link: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(from_url, to_url) for each canonical link and meta refresh of a page. Pages without either cost one substring test."""
+    """(from_url, to_url) for every canonical link and meta refresh of a page. Pages without either cost one substring test.
+
+    A target with dot segments is an alias both without them and as written, since a page's own URL is taken as written.
+    """
     body, base = F.col(html), F.col(url)
     has = F.lower(body).contains("canonical") | F.lower(body).contains("refresh")
-    links = F.filter(
-        F.array(F.regexp_extract(body, _CANONICAL, 1), F.regexp_extract(body, _REFRESH, 1)), lambda x: x != ""
-    )
+    links = F.array_union(F.regexp_extract_all(body, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(body, F.lit(_REFRESH), F.lit(1)))
     found = pages.where(has & (F.instr(base, "://") > 0)).select(base.alias("from_url"), F.explode(links).alias("link"))
     clean = F.replace(F.col("link"), F.lit("&amp;"), F.lit("&"))
-    return found.select("from_url", resolved(F.col("from_url"), clean).alias("to_url"))
+    found = found.select("from_url", resolved(F.col("from_url"), clean).alias("to_url"))
+    return found.select("from_url", F.explode(F.array_distinct(F.array("to_url", without_dots(F.col("to_url"))))).alias("to_url"))
 
 
 def judge(pages: DataFrame, edges: DataFrame, rules=RULES, url: str = "url") -> DataFrame:

@@ -179,6 +179,31 @@ def test_aliases(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "block", 10: "block", 11: "allow"}
 
 
+def test_every_alias_of_a_page_counts(spark):
+    canonical, refresh = '<link rel="canonical" href="{}">', "<meta http-equiv=refresh content='0; url={}'>"
+    bad, good = "http://x.net/es/1", "http://x.org/1"
+    rows = [
+        (1, "http://a.org/1", canonical.format(good) + canonical.format(bad)), (2, "http://a.org/2", refresh.format(good) + refresh.format(bad)),
+        (3, "http://a.org/3", f'<link rel="shortlink canonical" href="{bad}">'), (4, "http://a.org/4", f"<link href='{bad}' rel='x\ty Canonical z'>"),
+        (5, "http://c.net/es/d/e", canonical.format("http://c.org/d/../f")), (6, "http://c.org/f", None),
+        (7, "http://d.net/fr/x/y", canonical.format("//d.org/a/./b/..?q")), (8, "http://d.org/a/?q", None),
+        (9, "http://e.org/a/../b", None), (10, "http://e.net/es/1", canonical.format("http://e.org/a/../b")), (11, "http://e.org/b", None),
+        (12, "http://f.org/1", f'<link rel="shortlink" title="canonical" href="{bad}">'), (13, "http://f.org/2", "canonical refresh"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages.drop("html"), urlfilter.alias_edges(pages)).collect()}
+    assert {i for i, v in got.items() if v == "allow"} == {12, 13}
+
+
+def test_dot_segments(spark):
+    want = {
+        "http://h/a/b/c/./../../g": "http://h/a/g", "http://h/../g": "http://h/g", "http://h/a/..": "http://h/", "http://h/a/b/.": "http://h/a/b/", "http://h/a//../b": "http://h/a/b",
+        "http://h/./": "http://h/", "http://h/..a/.b/c..": "http://h/..a/.b/c..", "http://h?x=/../y": "http://h?x=/../y", "http://h/a/../b?x=/../y#z/..": "http://h/b?x=/../y#z/..", "http://h": "http://h",
+    }
+    df = spark.createDataFrame([(u,) for u in want], "u string")
+    assert {r["u"]: r["v"] for r in df.select("u", urlfilter.without_dots(F.col("u")).alias("v")).collect()} == want
+
+
 # -- pipeline ---------------------------------------------------------------------------------------------------------------
 
 
