@@ -1,6 +1,7 @@
 """Near-duplicate detection over word shingles: SetSketch bands find candidates, full sets confirm the links.
 
 1. One scan makes a narrow table: for each document a digest of its word sequence, its set's size and its registers.
+   If a doc_id is held by different word sequences, rows get keys of (doc_id, digest) in that order instead of doc_ids.
 2. Documents with one word sequence are one class; its least doc_id stands for it from here on.
 3. Documents that share a band of registers share a bucket. Every bucket links its members with its least document,
    so a bucket of any size costs a row for each member. The likelihood estimate drops what can't reach the similarity,
@@ -68,6 +69,21 @@ def shingles(words: list[bytes], known: WordHashes) -> np.ndarray:
     return np.unique(out)
 
 
+def digest_of(words: list[bytes]) -> bytes | None:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+
+
+def _with_digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, row) -> (doc_id, copy, row); ``copy`` as in sketches, but empty where those have null."""
+    for batch in batches:
+        copies = pa.array([digest_of(words_of(x.as_py())) or b"" for x in batch.column(1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), copies, batch.column(2)], ["doc_id", "copy", "row"])
+
+
+def _digested(rows: DataFrame) -> DataFrame:
+    return rows.mapInArrow(_with_digests, f"doc_id long, copy binary, row {rows.schema['row'].dataType.simpleString()}")
+
+
 def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch in batches:
@@ -76,7 +92,7 @@ def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(texts):
             words = words_of(text.as_py())
             sets.append(shingles(words, known))
-            copies.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
+            copies.append(digest_of(words))
             size += 8 * len(words)
             if size < SLICE and i + 1 < len(texts):
                 continue
@@ -199,14 +215,38 @@ def _with_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def components_of(docs: DataFrame, scratch: Scratch, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, first) for every row of docs (doc_id, text); ``first``: it stands for its class.
+    """(doc_id, copy, n_shingles, component_id, first) for every row of docs (doc_id, text); ``first``: it stands for its class.
 
     Null and empty texts and texts of white space have n_shingles 0, their own doc_id as component_id, and link with
-    nothing. A row without doc_id links with nothing and has no component_id. Rows that repeat doc_id and text share
-    all values.
+    nothing. A row without doc_id links with nothing and has no component_id. Rows that repeat doc_id and words share
+    all values; rows of one doc_id with different words are documents of their own, told apart by ``copy``.
     """
-    sketches = scratch.keep(docs.select("doc_id", "text").mapInArrow(_sketched, "doc_id long, copy binary, n_shingles long, registers binary"), "sketches")
-    known = sketches.where("doc_id is not null and copy is not null")
+    return _found(docs, scratch, percent)[0]
+
+
+def _found(docs: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame, bool]:
+    """components_of, and whether any doc_id is held by different words."""
+    docs = docs.select("doc_id", "text")
+    sketches = scratch.keep(docs.mapInArrow(_sketched, "doc_id long, copy binary, n_shingles long, registers binary"), "sketches")
+    sketches = sketches.withColumn("copy", F.coalesce("copy", F.lit(b"")))
+    held = sketches.where("doc_id is not null").groupBy("doc_id").agg(F.min("copy").alias("least"), F.max("copy").alias("most"))
+    if held.where("least <> most").isEmpty():
+        return _components(docs, sketches, scratch, percent), False
+    keys = sketches.where("doc_id is not null").select("doc_id", "copy").distinct().orderBy("doc_id", "copy")
+    keys = scratch.keep(keys.withColumn("key", F.monotonically_increasing_id()), "keys")
+    texts = _digested(docs.select("doc_id", "text", F.struct("text").alias("row"))).join(keys, ["doc_id", "copy"])
+    texts = scratch.keep(texts.select(F.col("key").alias("doc_id"), "row.text"), "keyed_texts")
+    keyed = sketches.join(keys, ["doc_id", "copy"], "left").select(F.col("key").alias("doc_id"), "copy", "n_shingles", "registers")
+    found = _components(texts, scratch.keep(keyed, "keyed_sketches"), scratch, percent)
+    own = keys.select(F.col("doc_id").alias("own_id"), F.col("key").alias("doc_id"))
+    of = keys.select(F.col("doc_id").alias("of_id"), F.col("key").alias("component_id"))
+    found = found.join(own, "doc_id", "left").join(of, "component_id", "left")
+    return found.select(F.col("own_id").alias("doc_id"), "copy", "n_shingles", F.col("of_id").alias("component_id"), "first"), True
+
+
+def _components(docs: DataFrame, sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """components_of where every doc_id has one word sequence."""
+    known = sketches.where("doc_id is not null and n_shingles > 0")
     salt = salted(F.col("doc_id"), SALTS).alias("salt")
     part = known.groupBy("copy", salt).agg(F.min("doc_id").alias("least"))
     least = part.groupBy("copy").agg(F.min("least").alias("rep"), F.collect_list("salt").alias("salts"))
@@ -237,9 +277,9 @@ def components_of(docs: DataFrame, scratch: Scratch, percent: int = 85) -> DataF
         found = scratch.keep(connected_components(links.unionByName(more), scratch), "components")
     of_class = classes.distinct().join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("doc_id", "rep", F.coalesce("component", "rep").alias("component"))
-    out = sketches.select("doc_id", "n_shingles").join(of_class, "doc_id", "left")
+    out = sketches.select("doc_id", "copy", "n_shingles").join(of_class, "doc_id", "left")
     return out.select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+        "doc_id", "copy", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("first"),
     )
 
@@ -269,12 +309,14 @@ def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: in
 def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One document of each component, that with the least doc_id, with docs' own columns; unlinked documents stay."""
     scratch = Scratch(docs.sparkSession, "near")
-    gone = scratch.keep(components_of(docs, scratch, percent).where("not first").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    found, shared = _found(docs, scratch, percent)
+    by = ["doc_id", "copy"] if shared else ["doc_id"]  # digests only where ids don't tell documents apart
+    gone = scratch.keep(found.where("not first").select(*(F.col(c).alias(f"gone_{c}") for c in by)).distinct(), "gone")
     ids = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    rows = docs.select("doc_id", whole_row(docs).alias("row"))
-    return rows.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti").select("row.*")
+    rows = _digested(docs.select("doc_id", "text", whole_row(docs).alias("row"))) if shared else docs.select("doc_id", whole_row(docs).alias("row"))
+    return rows.join(ids, [F.col(c) == F.col(f"gone_{c}") for c in by], "left_anti").select("row.*")
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = components_of(table(spark, sf_dir, "documents"), Scratch(spark, "near"), 85)
-    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("first").alias("kept"))

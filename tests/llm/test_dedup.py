@@ -200,6 +200,25 @@ def test_near_of_odd_rows(spark):
     assert sorted((r["doc_id"] for r in neardedup.deduplicated(docs(spark, rows)).collect()), key=repr) == [1, 1, None, None]
 
 
+def test_one_id_with_different_texts(spark):
+    """Each text keeps its own links: plain_near over rows numbered by (doc_id, words)."""
+    rng = random.Random(3)
+    one, two, three = (" ".join(f"{c}{rng.randrange(500)}" for _ in range(60)) for c in "abc")
+    near_two = two + " end"
+    rows = [(1, two), (2, one), (2, near_two), (3, one.upper()), (4, three), (4, ""), (5, three), (5, three), (6, one + " z"), (6, "unique text"), (2, one), (None, one), (7, "x y"), (7, None)]
+    found = neardedup.components_of(docs(spark, rows), Scratch(spark, "t"), 80)
+    got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "first").collect()), key=repr)
+    want = [
+        (1, 56, 1, True), (2, 56, 2, True), (2, 57, 1, False), (3, 56, 2, False), (4, 56, 4, True), (4, 0, 4, True), (5, 56, 4, False), (5, 56, 4, False), (6, 57, 2, False),
+        (6, 1, 6, True), (2, 56, 2, True), (None, 56, None, True), (7, 1, 7, True), (7, 0, 7, True),
+    ]
+    assert got == sorted(want, key=repr)
+    kept = neardedup.deduplicated(docs(spark, rows), 80)
+    assert kept.columns == docs(spark, []).columns
+    stay = [r for r, w in zip(rows, want, strict=True) if w[3]]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(stay, key=repr)
+
+
 def test_blocks_compare_in_the_first_shared_band():
     known = neardedup.WordHashes()
     text = " ".join(f"w{k}" for k in range(80))
