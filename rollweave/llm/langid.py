@@ -176,8 +176,13 @@ def remainder(doc_id: Column, of: int) -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of docs, as they are, whose text is in a language that docs' own labels teach: ``und`` rows go."""
+    """The rows of docs, as they are, whose text has a letter: ``und`` rows go, whichever language the model names.
+
+    Where docs' own labels teach no language, a single nameless one stands for all, so that texts with letters stay.
+    """
     model = fit(docs, F.lit(True))
+    if not model.langs:
+        model = Model([""], np.zeros((1 << model.bits, 1), "<f4"), np.zeros(1), model.bits)
     return predict(docs.select(whole_row(docs).alias("row")), model).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
 
 

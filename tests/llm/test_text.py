@@ -249,6 +249,14 @@ def test_language_edges(spark):
     assert none.langs == [] and none.score("text", langid.letter_table()) == ("und", 0.0)
 
 
+def test_texts_with_letters_stay_where_nothing_was_learned(spark):
+    rows = [(1, "the cat", None), (2, "123 ... !!", None), (3, "", None), (4, None, None), (5, "é", None), (6, "\U00010400", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identified(docs)
+    assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == {1, 5, 6}
+    assert {r["doc_id"] for r in langid.identified(docs.withColumn("lang", F.when(F.col("doc_id") == 2, "en"))).collect()} == {1, 5, 6}
+
+
 def test_segments_count_every_ngram_once(monkeypatch):
     letters, text = langid.letter_table(), "abc défg " * 40
 
