@@ -1,11 +1,12 @@
 """Quality classification by compression: one zstandard dictionary of good text and one of bad.
 
 A text is cut into pieces of PIECE bytes, so that its own repetition doesn't hide the dictionaries, and every piece is
-compressed with both. The difference of the two sizes, divided by the larger, says which dictionary knows the text
-better; a logistic regression of it and of the logarithm of the compression ratio makes the calibrated score.
+compressed with both. The difference of the two compressed sizes, divided by the text's own size, says which dictionary
+knows the text better; a logistic curve over that one number, fitted to held-back labels, makes the calibrated score.
 
-Fitting takes at most SAMPLE labelled documents of each label, those with the least hashes of doc_id: half for the
-dictionaries (at most DOC_PIECES pieces of each, spread evenly over the whole text) and half, whole, for the calibration.
+Fitting takes at most SAMPLE labelled documents of each label, those with the least MD5 of doc_id: half for the
+dictionaries and half for the calibration. Their texts are read whole. GROUPS tasks for each label make a dictionary of
+every SLICE bytes of text that they read, on the executors; the driver makes one dictionary of those.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ from rollweave.llm.common import small_batches, table
 from rollweave.llm.langid import remainder
 
 SAMPLE = 3000
-PIECE = 2048
-DOC_PIECES = 16
+PIECE = 1024
 DICTIONARY = 65_536
 LEVEL = 3
-#: Strength of the pull to zero on the regression's weights, which keeps separable samples finite.
+GROUPS = 8
+SLICE = 8 << 20
+#: Strength of the pull to zero on the regression's weight, which keeps separable samples finite.
 RIDGE = 1e-3
 
 
@@ -35,10 +37,10 @@ RIDGE = 1e-3
 class Model:
     good: bytes
     bad: bytes
-    #: Intercept, weight of the difference, weight of the log ratio, and the inputs' means and deviations.
-    weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
-    centre: tuple[float, float] = (0.0, 0.0)
-    scale: tuple[float, float] = (1.0, 1.0)
+    #: Intercept and weight of the difference, and the difference's mean and deviation.
+    weights: tuple[float, float] = (0.0, 0.0)
+    centre: float = 0.0
+    scale: float = 1.0
 
 
 class Sizer:
@@ -52,17 +54,21 @@ class Sizer:
                 held.precompute_compress(level=LEVEL)
             self.compressors.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-    def __call__(self, text: str | None) -> tuple[float, float]:
-        """The normalised difference (positive: nearer to good) and the log of the better compression ratio."""
+    def __call__(self, text: str | None) -> float:
+        """Compressed bytes that the good dictionary saves against the bad one, per byte of text; 0 for null and empty texts."""
         raw = (text or "").encode()
         if not raw:
-            return 0.0, 0.0
+            return 0.0
         good, bad = (sum(len(c.compress(raw[i : i + PIECE])) for i in range(0, len(raw), PIECE)) for c in self.compressors)
-        return (bad - good) / max(good, bad), math.log(min(good, bad) / len(raw))
+        return (bad - good) / len(raw)
+
+
+def cut(raw: bytes) -> list[bytes]:
+    return [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
 
 
 def dictionary(pieces: list[bytes]) -> bytes:
-    """A trained dictionary, or where there is too little text to train one, the text itself."""
+    """A trained dictionary of all pieces; where they are too few to train one (some ten), the pieces themselves."""
     import zstandard
 
     if not pieces:
@@ -70,92 +76,119 @@ def dictionary(pieces: list[bytes]) -> bytes:
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[-DICTIONARY:]
+        return b"".join(pieces)
+
 
+def combined(parts: list[bytes]) -> bytes:
+    """One dictionary of the text of several."""
+    return parts[0] if len(parts) == 1 else dictionary([x for part in parts for x in cut(part)])
 
-def calibrate(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weighted logistic regression by Newton's method: weights, centre and scale."""
-    centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+
+def calibrate(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Weighted logistic regression on one number by Newton's method: intercept and weight, centre and scale."""
+    centre, scale = float(x.mean()), max(float(x.std()), 1e-9)
     z = np.column_stack([np.ones(len(x)), (x - centre) / scale])
-    beta, ridge = np.zeros(z.shape[1]), RIDGE * w.sum() * np.diag([0.0] + [1.0] * x.shape[1])
+    beta, ridge = np.zeros(2), RIDGE * w.sum() * np.diag([0.0, 1.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(len(beta)), z.T @ (w * (y - p)) - ridge @ beta)
+        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(2), z.T @ (w * (y - p)) - ridge @ beta)
         beta = beta + step
         if np.abs(step).max() < 1e-9:
             break
     return beta, centre, scale
 
 
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _learned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (label, part, text) sorted by label and part -> a dictionary (label, part, number, content) of every SLICE bytes of a part."""
+    at, pieces, size, n = None, [], 0, 0
+
+    def out() -> pa.RecordBatch:
+        found = [(*at, n, dictionary(pieces))] if pieces else []
+        kinds = [("label", pa.int32()), ("part", pa.int32()), ("n", pa.int32()), ("content", pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, (_, k) in enumerate(kinds)], [name for name, _ in kinds])
+
     for batch in batches:
-        out = []
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            raw = (text.as_py() or "").encode()
-            starts = range(0, len(raw), PIECE)
-            chosen = starts if len(starts) <= DOC_PIECES else [starts[i * len(starts) // DOC_PIECES] for i in range(DOC_PIECES)]
-            out += [(label, raw[i : i + PIECE]) for i in chosen]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["label", "piece"])
+        for label, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if (label, part) != at:
+                yield out()
+                at, pieces, size, n = (label, part), [], 0, 0
+            for piece in cut((text.as_py() or "").encode()):
+                pieces.append(piece)
+                size += len(piece)
+                if size >= SLICE:
+                    yield out()
+                    pieces, size, n = [], 0, n + 1
+    yield out()
 
 
 def _sizes(rows: DataFrame, model: Model, keep: str) -> DataFrame:
-    """rows (``keep`` column, text) -> the column, d and r."""
+    """rows (``keep`` column, text) -> the column and d."""
     small_batches(rows.sparkSession)
     fields = rows.sparkSession.sparkContext.broadcast((model.good, model.bad))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizer = Sizer(Model(*fields.value))
         for batch in batches:
-            found = [sizer(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in found], pa.float64()) for i in (0, 1))], [keep, "d", "r"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sizer(x.as_py()) for x in batch.column(1)], pa.float64())], [keep, "d"])
 
-    return rows.select(keep, "text").mapInArrow(run, f"{keep} {rows.schema[keep].dataType.simpleString()}, d double, r double")
+    return rows.select(keep, "text").mapInArrow(run, f"{keep} {rows.schema[keep].dataType.simpleString()}, d double")
+
+
+def sampled(labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, label, part) of the labels that are learned from, and how many labels there are of each kind.
+
+    Repeated labels count once. Labels that are null or other numbers than 0 and 1, and those of a doc_id that is
+    labelled both ways, teach nothing. ``part``: 0 to GROUPS - 1 for the dictionaries, -1 for the calibration.
+    """
+    labels = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"), F.max("label").alias("most"))
+    labels = labels.where("label = most").select("doc_id", "label")
+    count = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
+    h = F.md5(F.col("doc_id").cast("string"))
+    least = [labels.where(f"label = {k}").orderBy(h, "doc_id").limit(sample) for k in (0, 1)]
+    spot = F.conv(F.substring(h, -2, 2), 16, 10).cast("int")
+    part = F.when(spot % 2 == 1, F.lit(-1)).otherwise((spot / 2).cast("int") % GROUPS)
+    return least[0].unionByName(least[1]).withColumn("part", part), count
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of docs (doc_id, text) and labels (doc_id, label 0 or 1, learnable rows only).
 
-    Repeated labels count once; labels that are null or other numbers, and labels without a document, teach nothing.
-    With labels of one kind only, or none, the model knows no text and its score is the share of good labels, 0.5 for
-    none.
+    Labels without a document teach nothing; rows that repeat a doc_id are texts of its label. With labels of one kind
+    only, or none, or an empty table of documents, the model knows no text and its score is the share of good labels
+    (one good and one bad label added), 0.5 for none.
     """
     small_batches(docs.sparkSession)
-    labels = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label")).distinct()
-    count = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
+    ids, count = sampled(labels, sample)
     share = (count.get(1, 0) + 1) / (sum(count.values()) + 2)
-    unlearned = Model(b"", b"", (math.log(share / (1 - share)), 0.0, 0.0))
+    unlearned = Model(b"", b"", (math.log(share / (1 - share)), 0.0))
     if len(count) < 2:
         return unlearned
-    h = F.xxhash64("doc_id")
-    ids = [labels.where(f"label = {k}").orderBy(h, "doc_id").limit(sample) for k in (0, 1)]
-    ids = ids[0].unionByName(ids[1]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # 2 * sample ids at most
-    pieces: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in sorted(rows.where("part = 0").select("label", "text").mapInArrow(_cut, "label int, piece binary").collect()):
-        pieces[r["label"]].append(bytes(r["piece"]))
-    if not pieces[0] or not pieces[1]:
+    taught = rows.where("part >= 0").repartition("label", "part").sortWithinPartitions("label", "part", "doc_id", "text").select("label", "part", "text")
+    parts = sorted((r["label"], r["part"], r["n"], bytes(r["content"])) for r in taught.mapInArrow(_learned, "label int, part int, n int, content binary").collect())
+    good, bad = ([x[3] for x in parts if x[0] == k] for k in (1, 0))
+    if not good or not bad:
         return unlearned
-    model = Model(dictionary(pieces[1]), dictionary(pieces[0]))
-    found = sorted((r["label"], r["d"], r["r"]) for r in _sizes(rows.where("part = 1"), model, "label").collect())
-    y = np.array([x[0] for x in found], np.float64)
+    model = Model(combined(good), combined(bad))
+    found = sorted((r["label"], r["d"]) for r in _sizes(rows.where("part = -1"), model, "label").collect())
+    y = np.array([x for x, _ in found], np.float64)
     if len(set(y.tolist())) < 2:
         return unlearned
     # the sample takes labels alike; weights give each its share of all labels
     w = np.where(y == 1, count[1] / (y == 1).sum(), count[0] / (y == 0).sum()) * len(y) / sum(count.values())
-    beta, centre, scale = calibrate(np.array([x[1:] for x in found]), y, w)
-    model.weights, model.centre, model.scale = tuple(map(float, beta)), tuple(map(float, centre)), tuple(map(float, scale))
+    beta, model.centre, model.scale = calibrate(np.array([d for _, d in found]), y, w)
+    model.weights = float(beta[0]), float(beta[1])
     return model
 
 
 def score_of(model: Model) -> Column:
-    """The score from d and r."""
-    b, c, s = model.weights, model.centre, model.scale
-    z = F.lit(b[0]) + F.lit(b[1] / s[0]) * (F.col("d") - c[0]) + F.lit(b[2] / s[1]) * (F.col("r") - c[1])
+    """The score from d."""
+    z = F.lit(model.weights[0]) + F.lit(model.weights[1] / model.scale) * (F.col("d") - model.centre)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
-    """rows (row struct, text) -> row and score; null and empty texts score as texts of no difference and ratio 1."""
+    """rows (row struct, text) -> row and score, every row by itself; null and empty texts score as texts of no difference."""
     return _sizes(rows, model, "row").select("row", score_of(model).alias("score"))
 
 

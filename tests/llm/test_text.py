@@ -246,7 +246,7 @@ def test_language_edges(spark):
     assert {r["doc_id"] for r in langid.identified(docs).collect()} == {1, 2, 6, 7, 8}
     assert langid.identified(docs.limit(0)).collect() == []
     none = langid.fit(docs, F.lit(False))
-    assert none.langs == [] and none.score("text", langid.letter_table()) == ("und", 0.0)
+    assert none.langs == [] and {(r["lang_pred"], r["score"]) for r in langid.predict(docs.select(F.struct("text").alias("row")), none).collect()} == {("und", 0.0)}
 
 
 def test_texts_with_letters_stay_where_nothing_was_learned(spark):
@@ -295,6 +295,6 @@ def test_quality_edges(spark):
 
 
 def test_calibration_orders():
-    x = np.array([[-1.0, 0], [-0.5, 0], [0.5, 0], [1, 0], [0.4, 0]])
+    x = np.array([-1.0, -0.5, 0.5, 1, 0.4])
     beta, _, _ = quality.calibrate(x, np.array([0, 0, 1, 1, 1.0]), np.ones(5))
     assert beta[1] > 0 and np.isfinite(beta).all()
