@@ -1,13 +1,15 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts n-grams of all learnable documents where they lie (one sparse table of counts for each partition, summed
-by Spark), makes a log-probability row for each language, and broadcasts the matrix; its size is languages x 2**bits x 4
-bytes, and bits falls until that is at most MODEL_BYTES. Scoring runs over Arrow batches in numpy: texts are cut into
-segments of SEGMENT characters that overlap by the n-gram length, so memory doesn't grow with a text's length.
+by Spark) and makes a log-probability row of 2**BITS floats for each language. Scoring runs over Arrow batches in numpy:
+texts are cut into segments of SEGMENT characters that overlap by the n-gram length, so memory doesn't grow with a text's
+length. The matrix is broadcast in blocks of BLOCK languages, 32 MiB; with more languages than that, each further block
+is a further pass that carries the best language so far and the sum of all likelihoods, so results are the same.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -18,16 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.llm.common import small_batches, table, whole_row
+from rollweave.llm.common import Scratch, small_batches, table, whole_row
 
 ORDERS = (1, 2, 3)
 BITS = 16
-MODEL_BYTES = 64 << 20
 SEGMENT = 1 << 18
 ALPHA = 0.5
 UNDETERMINED = "und"
 #: Languages whose counts one training task holds at a time; more are handed on and begun anew.
 LANGS_HELD = 64
+#: Languages whose rows the driver and each Python worker hold at a time.
+BLOCK = 128
 
 
 def letter_table() -> np.ndarray:
@@ -91,29 +94,44 @@ def counter(bits: int):
 
 
 @dataclass
-class Model:
+class Block:
     langs: list[str]
     #: buckets x languages
     logp: np.ndarray
     prior: np.ndarray
-    bits: int
+    bits: int = BITS
 
-    def score(self, text: str, letters: np.ndarray) -> tuple[str, float]:
-        total, any_letter = self.prior.astype(np.float64).copy(), False
+    def totals(self, text: str, letters: np.ndarray) -> tuple[np.ndarray, int, bool]:
+        """Log-likelihood with prior of each language, the number of n-grams, and whether the text has a letter."""
+        total, size, any_letter = self.prior.astype(np.float64).copy(), 0, False
         for cp, begins in segments(text, letters):
             for n, grams in zip(ORDERS, ngrams(cp, begins, self.bits), strict=True):
                 any_letter |= n == 1 and len(grams) > 0
+                size += len(grams)
                 if len(grams) > 1 << self.bits:  # sparse counts once they are fewer than the n-grams
                     counts = np.bincount(grams, minlength=1 << self.bits)
                     at = np.flatnonzero(counts)
                     total += counts[at].astype(np.float64) @ self.logp[at]
                 else:
                     total += self.logp[grams].sum(axis=0, dtype=np.float64)
-        if not any_letter or not self.langs:
-            return UNDETERMINED, 0.0
-        p = np.exp(total - total.max())
-        best = int(np.argmax(total))
-        return self.langs[best], float(p[best] / p.sum())
+        return total, size, any_letter
+
+
+@dataclass
+class Model:
+    """langs in code point order, the log of each one's share of the learned documents, and a table (lang, logp) of their rows."""
+
+    langs: list[str]
+    prior: np.ndarray
+    rows: DataFrame
+    bits: int = BITS
+
+    def blocks(self) -> Iterator[Block]:
+        flat = np.full(1 << self.bits, -self.bits * np.log(2.0), "<f4")  # a language that has a prior only
+        for at in range(0, len(self.langs), BLOCK):
+            langs = self.langs[at : at + BLOCK]
+            found = {r["lang"]: np.frombuffer(r["logp"], "<f4") for r in self.rows.where(F.col("lang").isin(langs)).collect()}
+            yield Block(langs, np.ascontiguousarray(np.stack([found.get(x, flat) for x in langs], axis=1)), self.prior[at : at + BLOCK], self.bits)
 
 
 def _log_row(bits: int):
@@ -129,45 +147,78 @@ def _log_row(bits: int):
 def fit(docs: DataFrame, learnable: Column) -> Model:
     """A model of the rows that are learnable and have a lang. Null texts teach nothing but the language's prior.
 
-    The driver receives a row for each language. Without learnable rows the model knows no language.
+    Rows that repeat a document teach as often as they occur. The driver receives each language's name and number of
+    documents. Without learnable rows, as of an empty table, the model knows no language.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(learnable & F.col("lang").isNotNull()).select("lang", "text")
     seen = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
-    bits = BITS
-    while bits > 8 and len(seen) * 4 << bits > MODEL_BYTES:
-        bits -= 1
-    counts = rows.mapInArrow(counter(bits), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = {r["lang"]: np.frombuffer(r["logp"], "<f4") for r in counts.groupBy("lang").applyInPandas(_log_row(bits), "lang string, logp binary").collect()}
-    flat = np.full(1 << bits, -bits * np.log(2.0), "<f4")  # a language that has priors only
-    langs = [lang for lang, _ in seen]
-    logp = np.ascontiguousarray(np.stack([found.get(x, flat) for x in langs], axis=1)) if langs else np.zeros((1 << bits, 0), "<f4")
+    counts = rows.mapInArrow(counter(BITS), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    table_ = counts.groupBy("lang").applyInPandas(_log_row(BITS), "lang string, logp binary")
+    if len(seen) > BLOCK:  # read once for each block
+        table_ = Scratch(docs.sparkSession, "langid").keep(table_, "rows")
     n = np.array([n for _, n in seen], np.float64)
-    return Model(langs, logp, np.log(n / n.sum()) if langs else np.zeros(0), bits)
+    return Model([lang for lang, _ in seen], np.log(n / n.sum()) if seen else np.zeros(0), table_, BITS)
+
+
+_STATE = [("lang_pred", pa.string()), ("best", pa.float64()), ("rest", pa.float64()), ("margin", pa.float64())]
+
+
+def _passed(rows: DataFrame, block: Block, carry: bool) -> DataFrame:
+    """rows (row, text unless row has it, and what the last pass found unless it is the first) with what this block's languages change.
+
+    best: the best language's likelihood; rest: the log of the sum of all; margin: by how much an n-gram is likelier in
+    the best language than at random. ``carry``: text is handed on.
+    """
+    apart, later = "text" in rows.columns, "best" in rows.columns
+    shared = rows.sparkSession.sparkContext.broadcast((block.langs, block.logp, block.prior, block.bits))
+    kept = ["row", *(["text"] if apart and carry else [])]
+
+    def judged(own: Block, text: str, before: dict | None, letters: np.ndarray) -> tuple[str, float, float, float]:
+        total, size, any_letter = own.totals(text, letters)
+        if not any_letter:
+            return UNDETERMINED, 0.0, 0.0, 0.0
+        at = int(np.argmax(total))
+        best, rest = float(total[at]), float(np.logaddexp.reduce(total))
+        margin = (best - float(own.prior[at])) / size + own.bits * float(np.log(2.0))
+        if before and before["best"] >= best:
+            return before["lang_pred"], before["best"], float(np.logaddexp(rest, before["rest"])), before["margin"]
+        return own.langs[at], best, float(np.logaddexp(rest, before["rest"])) if before else rest, margin
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, own = letter_table(), Block(*shared.value)
+        for batch in batches:
+            texts = batch.column("text") if apart else pc.struct_field(batch.column("row"), "text")
+            before = batch.select([name for name, _ in _STATE]).to_pylist() if later else [None] * batch.num_rows
+            found = [judged(own, text.as_py() or "", x, letters) for text, x in zip(texts, before, strict=True)]
+            state = [pa.array([x[i] for x in found], kind) for i, (_, kind) in enumerate(_STATE)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + state, kept + [name for name, _ in _STATE])
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInArrow(run, kinds + ", lang_pred string, best double, rest double, margin double")
 
 
 def predict(rows: DataFrame, model: Model) -> DataFrame:
-    """Adds lang_pred and score to rows (row struct, and text string unless row has it), every other column dropped but ``row``.
+    """rows (row struct, and text string unless row has it) -> row, lang_pred, score and margin; repeats give equal rows.
 
     lang_pred is ``und`` with score 0 where the text is null or has no letter, or nothing was learned; else score is the
-    posterior probability. Ties go to the language that is first in code point order.
+    posterior probability, and margin the log by which an n-gram of the text is on average likelier in lang_pred than
+    drawn at random: below zero, the language doesn't explain the text. Ties go to the language that is first in code
+    point order.
     """
     small_batches(rows.sparkSession)
-    apart = "text" in rows.columns
-    shared = rows.sparkSession.sparkContext.broadcast((model.langs, model.logp, model.prior, model.bits))
-
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, own = letter_table(), Model(*shared.value)
-        for batch in batches:
-            texts = batch.column(1) if apart else pc.struct_field(batch.column(0), "text")
-            found = [own.score(text.as_py() or "", letters) for text in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
-                ["row", "lang_pred", "score"],
-            )
-
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("row", *(["text"] if apart else [])).mapInArrow(scored, f"row {kind}, lang_pred string, score double")
+    if not model.langs:
+        zero = F.lit(0.0)
+        return rows.select("row", F.lit(UNDETERMINED).alias("lang_pred"), zero.alias("score"), zero.alias("margin"))
+    passes = math.ceil(len(model.langs) / BLOCK)
+    scratch = Scratch(rows.sparkSession, "langid") if passes > 1 else None
+    rows = rows.select("row", "text") if "text" in rows.columns else rows.select("row")
+    for i, block in enumerate(model.blocks(), 1):
+        rows = _passed(rows, block, i < passes)
+        if i < passes:
+            rows = scratch.keep(rows, "passed")
+    score = F.when(F.col("lang_pred") == UNDETERMINED, 0.0).otherwise(F.least(F.exp(F.col("best") - F.col("rest")), F.lit(1.0)))
+    return rows.select("row", "lang_pred", score.alias("score"), "margin")
 
 
 def remainder(doc_id: Column, of: int) -> Column:
@@ -175,15 +226,23 @@ def remainder(doc_id: Column, of: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of
 
 
+#: Rounding of float32 sums, for a language that is itself random.
+_ROUNDING = 1e-4
+
+
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of docs, as they are, whose text has a letter: ``und`` rows go, whichever language the model names.
+    """The rows of docs whose text is in a language that docs' own labels teach; ``lang`` becomes the predicted one.
 
-    Where docs' own labels teach no language, a single nameless one stands for all, so that texts with letters stay.
+    Texts without a letter go, and so do texts that no learned language explains better than chance, such as those in a
+    script that none of them uses. Where docs have no label at all nothing was learned: texts with a letter stay as they
+    are. All other columns stay as they are; repeats stay or go alike.
     """
     model = fit(docs, F.lit(True))
+    rows = docs.select(whole_row(docs).alias("row"))
     if not model.langs:
-        model = Model([""], np.zeros((1 << model.bits, 1), "<f4"), np.zeros(1), model.bits)
-    return predict(docs.select(whole_row(docs).alias("row")), model).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+        return rows.where(F.col("row.text").rlike(r"\p{L}")).select("row.*")
+    found = predict(rows, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("margin") >= -_ROUNDING))
+    return found.select(F.col("row").withField("lang", F.col("lang_pred")).alias("row")).select("row.*")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
