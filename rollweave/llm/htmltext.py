@@ -1,11 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
-A page becomes blocks of text, each with its root-to-leaf path of block tags. Text length and punctuation, summed by
-path over the page and divided by the path's blocks, are smoothed along the page, fused into one score and cut at a
-threshold; the blocks of the paths above it are the page's content nodes. The element that holds nearly all their text
-is the article, and every block in it counts, short ones too, except what the page itself marks as something else:
-menus, headers, footers, sidebars, notices, adverts, forms, comments and hidden parts.
-Lists of links outside an article element are menus too.
+1. A page becomes blocks of text, each with its root-to-leaf path of block tags and their class words.
+2. For each path: unlinked characters and punctuation marks for each of its blocks. Both ratios are smoothed along the
+   page, fused, and averaged over the path. Tags, roles and class words that speak of menus, comments and the like lower
+   a path's score; they decide nothing alone.
+3. Paths whose score reaches CUT of the page's mean score, weighted by length, are content.
+4. The deepest element that holds HELD of the content's text is the article. Its blocks count, short ones too, except
+   those in parts that hold no content: parts that the page marks as something else, and unmarked groups (a list of
+   replies, a notice, a menu) whose paths all stay below the threshold.
 """
 
 from __future__ import annotations
@@ -22,12 +24,18 @@ from pyspark.sql import functions as F
 
 from rollweave.llm.common import small_batches, table
 
-#: Share of the content nodes' text that the article's element must hold.
+#: Share of the content's text that the article's element must hold.
 HELD = 0.85
+#: A marked part that holds this share of the content's text is the article or around it, whatever its marks say.
+MOST = 0.5
+#: Parts with foreign marks go wherever this share of the content's text is in none of them.
+SOME = 0.03
 #: Weights of a block's neighbours in the smoothed ratio (Gaussian of deviation 1).
 KERNEL = np.array([0.06, 0.24, 0.4, 0.24, 0.06])
-#: Content paths score at least this part of the scores' standard deviation.
-CUT = 0.5
+#: Content paths score at least this part of the page's mean score.
+CUT = 0.25
+#: What a mark leaves of a path's score, and what a mark among other words does.
+LOWERED, HINTED = 0.25, 0.7
 
 RAW = frozenset("script style iframe noembed noframes xmp textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,26 +44,40 @@ INLINE = frozenset(
 )
 #: Elements whose text is never the article's.
 OUTSIDE = frozenset(
-    "script style noscript template iframe noembed noframes xmp textarea title head nav footer aside form button select option optgroup datalist "
-    "input label fieldset legend dialog menu object embed applet svg canvas audio video map".split()
+    "script style noscript template iframe noembed noframes xmp textarea title head nav footer button select option optgroup datalist "
+    "input label legend menu object embed applet svg canvas audio video map".split()
 )
+#: Elements that mark their part as none of the article.
+MARKED = frozenset("aside form fieldset dialog header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert status menu menubar toolbar tablist tooltip note".split())
-#: Words of class and id that mark an element as no part of the article.
-MARKS = frozenset(
-    "ad ads adbox adslot adsense advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promoted promotion banner "
-    "cookie cookies consent gdpr notice notices notification notifications alert alerts popup popover modal overlay dialog toast paywall "
-    "newsletter subscribe subscription signup signin login register nav navbar navigation menu menus submenu topnav breadcrumb breadcrumbs crumbs "
-    "sidebar sidebars aside rail widget widgets related recommended recommendations recirc trending share sharing sharebar social follow "
-    "comment comments commentlist commentary discussion disqus respond reply replies reactions footer foot masthead topbar "
-    "pagination pager toolbar skip skiplink search searchbox form copyright legal disclaimer outbrain taboola hidden".split()
+#: Words of class and id that speak of parts that are no article, however much text they hold: only a page without other text keeps them.
+FOREIGN = frozenset(
+    "ad ads adbox adslot adsense advert adverts advertisement advertisements advertising sponsor sponsored sponsors cookie cookies consent gdpr newsletter "
+    "nav navbar navigation navlist navmenu menu menus submenu topnav breadcrumb breadcrumbs crumbs "
+    "comment comments commentlist discussion disqus replies reactions footer outbrain taboola".split()
 )
-#: Parts of words that do the same.
-MARK_PARTS = re.compile("sidebar|comment|advert|cookie|newsletter|breadcrumb|navbar|navmenu|navlist|sponsor|popup|disqus")
+#: Words that do so unless the part holds most of the content.
+DOUBTFUL = frozenset(
+    "promo promos promoted promotion banner notice notices notification notifications alert alerts popup popover modal overlay dialog toast paywall "
+    "subscribe subscription signup signin login register sidebar sidebars aside rail widget widgets related recommended recommendations recirc trending "
+    "share sharing sharebar social follow commentary respond reply foot masthead topbar pagination pager toolbar skip skiplink search searchbox form "
+    "copyright legal disclaimer hidden header head".split()
+)
+#: Words beside a mark that leave it one (``site-footer``, ``commentList``); beside any other word (``has-sidebar``) it is a hint.
+PLAIN = frozenset(
+    "area article articles aside bar block body bottom box btn button center col column container content entry fb floating form global group holder html inner item items "
+    "js latest left link links list main media mobile module more outer page panel pane popular post posts primary reader readers right row secondary section site small "
+    "slot sticky story thread top unit user users wp wrap wrapper".split()
+)
+#: Class and id words of articles: beside one of them, marks in other names of the element are hints.
+CONTENT = frozenset("article content entry main post story text body".split())
 HEADER_MARKS = frozenset(["header", "head"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLES = frozenset(["article", "main"])
 #: Where the descent to the article's element ends.
 LEAVES = HEADINGS | frozenset("p li dt dd td th tr tbody thead tfoot table ul ol dl blockquote pre figure figcaption address caption summary".split())
+#: Unmarked groups that go if they hold no content.
+GROUPS = frozenset("div section center details".split())
 #: An opening tag of these ends an open paragraph.
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav "
@@ -68,25 +90,38 @@ SIBLINGS = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
-
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+(?:>|\Z)|</[^>a-zA-Z][^>]*+>", re.S
-)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Siblings that end all open elements of their kinds at once, the others end the outermost of a run.
+_ENDS_ALL = frozenset(["tr", "tbody", "tfoot"])
+
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+#: Attributes up to the tag's end, which is no ``>`` in a quoted value.
+_QUOTED = re.compile(r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+>")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+_EMPTY_COMMENT, _COMMENT_END = re.compile("<!--(?:-?>)"), re.compile("--!?>")
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>?", re.I) for name in RAW}
 _MARK = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
+#: How an element is marked: not, by a hint, doubtfully, as foreign.
+NOT, HINT, DOUBT, STRANGE = range(4)
+
 
 @dataclass(slots=True)
 class Element:
     name: str
     parent: int
-    path: str
+    #: The page's number of its path, and the element's nearest block (itself, unless it is inline).
+    path: int
+    block: int
     outside: bool
-    #: In a header of the article: its headings count, the rest doesn't.
-    headings_only: bool = False
+    mark: int = NOT
+    #: A header of the article: its headings count, the rest doesn't.
+    own_header: bool = False
     in_article: bool = False
+    #: For inline elements: in a link; in an excluded inline element of a block.
+    link: bool = False
+    cut_out: bool = False
 
 
 @dataclass(slots=True)
@@ -94,186 +129,285 @@ class Block:
     element: int
     text: str
     outside: bool
-    #: All of it is in links.
-    links: bool = False
+    #: Characters that are in no link.
+    unlinked: int
 
 
 @dataclass
 class Page:
-    elements: list[Element] = field(default_factory=lambda: [Element("", -1, "", False)])
+    elements: list[Element] = field(default_factory=lambda: [Element("", -1, 0, 0, False)])
     blocks: list[Block] = field(default_factory=list)
+    #: Numbers of paths by (parent path, name and class words), and the least factor of marks on each path.
+    paths: dict[tuple[int, str], int] = field(default_factory=lambda: {(-1, ""): 0})
+    factors: list[float] = field(default_factory=lambda: [1.0])
+
+    def path(self, parent: int, name: str, factor: float) -> int:
+        found = self.paths.setdefault((parent, name), len(self.factors))
+        if found == len(self.factors):
+            self.factors.append(min(factor, self.factors[parent]))
+        return found
+
+
+def marks(names: list[str]) -> int:
+    """How class names and ids mark an element."""
+    words = [[x.lower() for x in _MARK.findall(name)] for name in names]
+    article = any(CONTENT.intersection(w) and PLAIN.union(CONTENT).issuperset(w) for w in words)
+    found = NOT
+    for w in words:
+        foreign, doubtful = not FOREIGN.isdisjoint(w), not DOUBTFUL.isdisjoint(w)
+        if not foreign and not doubtful:
+            continue
+        alone = all(x in FOREIGN or x in DOUBTFUL or x in PLAIN for x in w)
+        found = max(found, HINT if article or not alone else STRANGE if foreign else DOUBT)
+    return found
 
 
-def _marks(attributes: dict[str, str]) -> set[str]:
-    return {x.lower() for x in _MARK.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")}
-
-
-def _opened(page: Page, name: str, raw: str, parent: int) -> Element:
+def _opened(page: Page, name: str, raw: str, parent: int, at: int) -> Element:
     up = page.elements[parent]
     attributes = {}
     if raw.strip(" /"):
         for k, *v in _ATTRIBUTE.findall(raw):
             attributes.setdefault(k.lower(), entities.unescape(next((x for x in v if x), "")))
-    outside, only = up.outside or name in OUTSIDE, up.headings_only
-    article = up.in_article or name in ARTICLES or attributes.get("role") in ("main", "article")
-    marks = _marks(attributes) if attributes and name not in ("html", "body") else set()
-    if attributes and not outside:
-        outside = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
-        outside |= attributes.get("role", "").lower() in ROLES
-        outside |= name not in ARTICLES and name not in ("html", "body") and (bool(marks & MARKS) or any(map(MARK_PARTS.search, marks)))
-    if name == "header" or (marks & HEADER_MARKS and name not in HEADINGS and name not in ARTICLES):
-        outside, only = outside or not up.in_article, True
-    path = up.path if name in INLINE else f"{up.path}/{name}" + "".join(f".{x}" for x in sorted(marks))
-    return Element(name, parent, path, outside, only, article)
+    inline, names = name in INLINE, []
+    if attributes and name not in ("html", "body"):
+        names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    mark = DOUBT if name in MARKED else NOT
+    if attributes and name not in ARTICLES and name not in ("html", "body"):
+        hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
+        mark = max(mark, marks(names), DOUBT if hidden or attributes.get("role", "").lower() in ROLES else NOT)
+    outside, article = up.outside or name in OUTSIDE, up.in_article or name in ARTICLES or attributes.get("role") in ("main", "article")
+    words = {x.lower() for n in names for x in _MARK.findall(n)}
+    header = name == "header" or (mark == DOUBT and bool(words & HEADER_MARKS))
+    if inline:
+        cut_out = up.cut_out or (mark >= DOUBT and not header and not up.outside)
+        return Element(name, parent, up.path, up.block, outside, NOT, False, article, up.link or name == "a", cut_out)
+    if name in HEADINGS and header:
+        mark, header = NOT, False
+    factor = 1.0 if mark == NOT else HINTED if mark == HINT else LOWERED
+    path = page.path(up.path, " ".join([name, *sorted(words)]), factor)
+    return Element(name, parent, path, at, outside, mark, header and up.in_article, article)
+
+
+class _Reader:
+    """Reads a page's tags into blocks. Each character and each element is looked at a bounded number of times."""
+
+    def __init__(self, source: str):
+        self.source, self.page = source, Page()
+        self.stack, self.places, self.blocks_at = [0], {}, [0]
+        self.parts: list[str] = []
+        self.unlinked = 0
+        self.strict, self.last_end = True, source.rfind(">")
+
+    # -- text --
+
+    def put(self, text: str) -> None:
+        e = self.page.elements[self.stack[-1]]
+        if not e.cut_out:  # an advert in a span isn't the block's
+            text = entities.unescape(text)
+            self.parts.append(text)
+            if not e.link:
+                self.unlinked += len(text) - text.count(" ") if not text.isspace() else 0
+
+    def flush(self) -> None:
+        text, self.parts = " ".join("".join(self.parts).split()), []
+        unlinked, self.unlinked = self.unlinked, 0
+        if text:
+            i = self.page.elements[self.stack[-1]].block
+            self.page.blocks.append(Block(i, text, self.page.elements[i].outside, unlinked))
 
+    # -- elements --
 
-def parse(source: str) -> Page:
-    """The page's blocks in page order. Unclosed, crossed and unknown tags are taken as browsers take them, roughly."""
-    page, stack, parts, at, unlinked = Page(), [0], [], 0, 0
-    elements, blocks = page.elements, page.blocks
-
-    def flush() -> None:
-        nonlocal unlinked
-        text, plain = " ".join("".join(parts).split()), unlinked
-        parts.clear()
-        unlinked = 0
-        if text:
-            i = stack[-1]
-            while elements[i].name in INLINE:
-                i = elements[i].parent
-            e = elements[i]
-            blocks.append(Block(i, text, e.outside or (e.headings_only and e.name not in HEADINGS), not plain))
+    def place(self, name: str) -> int:
+        """Where on the stack the innermost open element of this name is; 0 if none is open."""
+        held = self.places.get(name)
+        return held[-1] if held else 0
 
-    def close(upto: int) -> None:
+    def close(self, upto: int) -> None:
         """Ends the elements from stack[upto] on."""
-        if any(elements[i].name not in INLINE for i in stack[upto:]):
-            flush()
-        del stack[upto:]
-
-    def put(text: str) -> None:
-        # text of an excluded inline element, as an advert in a span, isn't the block's
-        nonlocal unlinked
-        i, inline_out, link = stack[-1], False, False
-        while elements[i].name in INLINE and not inline_out:
-            link = link or elements[i].name == "a"
-            inline_out = elements[i].outside and not elements[elements[i].parent].outside
-            i = elements[i].parent
-        if not inline_out:
-            parts.append(entities.unescape(text))
-            unlinked += not link and bool(text.strip())
-
-    while (m := _TOKEN.search(source, at)) is not None:
-        if m.start() > at:
-            put(source[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            continue
-        name, raw = name.lower(), m[3] or m[6] or ""
-        if m[1] or m[4]:
-            inline = name in INLINE
-            for k in range(len(stack) - 1, 0, -1):
-                if (found := elements[stack[k]].name) == name:
-                    close(k)
-                    break
-                if inline and found not in INLINE:
-                    break
-            continue
-        if name == "br":
-            parts.append(" ")
-            continue
+        if self.blocks_at[-1] >= upto:
+            self.flush()
+        for i in reversed(self.stack[upto:]):
+            self.places[self.page.elements[i].name].pop()
+        del self.stack[upto:]
+        while self.blocks_at[-1] >= upto:
+            self.blocks_at.pop()
+
+    def open(self, name: str, raw: str) -> None:
+        elements = self.page.elements
+        elements.append(_opened(self.page, name, raw, self.stack[-1], len(elements)))
+        if raw.endswith("/") and name in ("svg", "path"):
+            return
+        self.places.setdefault(name, []).append(len(self.stack))
         if name not in INLINE:
-            flush()
-            if name in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
-                    if (found := elements[stack[k]].name) == "p":
-                        close(k)
-                        break
-                    if found not in INLINE:
-                        break
-            ends, upto = SIBLINGS.get(name, ((), ()))
-            if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if (found := elements[stack[k]].name) in upto:
-                        break
-                    if found in ends:
-                        close(k)
-                        if name not in ("tr", "tbody", "tfoot"):
-                            break
-        if name in VOID:
-            continue
-        if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-            at = end.end() if end else len(source)
-            continue
-        elements.append(_opened(page, name, raw, stack[-1]))
-        if not raw.endswith("/") or name not in ("svg", "path"):
-            stack.append(len(elements) - 1)
-    put(source[at:])
-    flush()
-    _leave_out_link_lists(page)
-    return page
-
-
-def _leave_out_link_lists(page: Page) -> None:
-    """A list outside an article element whose every item is a link is a menu."""
-    lists: dict[int, list[Block]] = {}
-    for b in page.blocks:
-        e = page.elements[b.element]
-        if e.name == "li" and not e.in_article:
-            lists.setdefault(e.parent, []).append(b)
-    for items in lists.values():
-        if len(items) > 1 and all(b.links for b in items):
-            for b in items:
-                b.outside = True
+            self.blocks_at.append(len(self.stack))
+        self.stack.append(len(elements) - 1)
+
+    def end_before(self, name: str) -> None:
+        """Ends what an opening tag of this name ends."""
+        if name in CLOSES_P and self.page.elements[self.stack[self.blocks_at[-1]]].name == "p":
+            self.close(self.blocks_at[-1])
+        ends, upto = SIBLINGS.get(name, ((), ()))
+        if ends:
+            limit = max(map(self.place, upto), default=0)
+            while (at := max(map(self.place, ends))) > limit:
+                self.close(at)
+                if name not in _ENDS_ALL:
+                    break
+
+    # -- tags --
+
+    def tag_end(self, at: int) -> int:
+        """The place after the tag whose attributes begin here."""
+        if self.strict:
+            if found := _QUOTED.match(self.source, at):
+                return found.end()
+            self.strict = False  # a quoted value that never ends: from here on, any > ends a tag
+        return self.source.index(">", at) + 1
+
+    def read(self) -> Page:
+        source, at = self.source, 0
+        while (begin := source.find("<", at)) >= 0:
+            if begin > at:
+                self.put(source[at:begin])
+            at = self.tag(begin)
+        self.put(source[at:])
+        self.close(1)
+        self.flush()
+        return self.page
+
+    def tag(self, begin: int) -> int:
+        """Reads what begins with this ``<``; returns the place after it."""
+        source, following = self.source, self.source[begin + 1 : begin + 2]
+        if begin > self.last_end and following not in ("!", "?"):  # nothing after this is a tag
+            self.put(source[begin:])
+            return len(source)
+        name = _NAME.match(source, begin)
+        if name is None:
+            if source.startswith("<!--", begin):
+                found = _EMPTY_COMMENT.match(source, begin) or _COMMENT_END.search(source, begin + 4)
+                return found.end() if found else len(source)
+            if following in ("!", "?") or (following == "/" and begin + 2 < len(source)):
+                end = source.find(">", begin)
+                return end + 1 if end >= 0 else len(source)
+            self.put("<")
+            return begin + 1
+        end = self.tag_end(name.end())
+        word, raw = name[1].lower(), source[name.end() : end - 1]
+        if source.startswith("</", begin):
+            place = self.place(word)
+            if place and (word not in INLINE or place > self.blocks_at[-1]):
+                self.close(place)
+            return end
+        if word == "br":
+            self.put(" ")
+            return end
+        if word not in INLINE:
+            self.flush()
+            self.end_before(word)
+        if word in VOID:
+            return end
+        if word in RAW:
+            found = _RAW_ENDS[word].search(source, end)
+            return found.end() if found else len(source)
+        self.open(word, raw)
+        return end
+
+
+def parse(source: str) -> Page:
+    """The page's blocks in page order. Unclosed, crossed and unknown tags are taken as browsers take them, roughly."""
+    return _Reader(source).read()
 
 
 def scores(page: Page) -> np.ndarray:
-    """Smoothed, fused path ratio of each block."""
-    length, marks, count = {}, {}, {}
-    paths = [page.elements[b.element].path for b in page.blocks]
-    for path, b in zip(paths, page.blocks, strict=True):
-        length[path] = length.get(path, 0) + len(b.text)
-        marks[path] = marks.get(path, 0) + len(_PUNCTUATION.findall(b.text))
-        count[path] = count.get(path, 0) + 1
-    ratio = {x: length[x] / count[x] * (1 + marks[x] / count[x]) for x in length}
-    along = np.pad(np.array([ratio[x] for x in paths]), len(KERNEL) // 2, mode="edge")
-    smooth = np.convolve(along, KERNEL, mode="valid")
-    total: dict[str, float] = {}
-    for path, s in zip(paths, smooth, strict=True):
-        total[path] = total.get(path, 0.0) + s
-    # the path's own ratio fused with what its surroundings make of it
-    return np.array([np.sqrt(ratio[x] * total[x] / count[x]) for x in paths])
+    """Score of each block's path: smoothed ratios of unlinked characters and of punctuation, fused and lowered by marks."""
+    paths = np.array([page.elements[b.element].path for b in page.blocks])
+    size = np.array([b.unlinked for b in page.blocks], np.float64)
+    signs = np.array([len(_PUNCTUATION.findall(b.text)) if b.unlinked else 0 for b in page.blocks], np.float64)
+    _, at, count = np.unique(paths, return_inverse=True, return_counts=True)
+    length, marked = np.bincount(at, size) / count, np.bincount(at, signs) / count
 
+    def smooth(ratio: np.ndarray) -> np.ndarray:
+        along = np.convolve(np.pad(ratio[at], len(KERNEL) // 2, mode="edge"), KERNEL, mode="valid")
+        return np.sqrt(ratio * (np.bincount(at, along) / count))  # the path's own ratio and what its surroundings make of it
 
-def article(page: Page) -> list[str]:
-    inside = [i for i, b in enumerate(page.blocks) if not b.outside]
-    if not inside:
-        return []
-    score = scores(page)
-    content = [i for i in inside if score[i] >= CUT * score.std()] or inside
+    fused = smooth(length) * (1 + smooth(marked))
+    return fused[at] * np.array(page.factors)[paths]
+
+
+def content(page: Page) -> np.ndarray:
+    """Which blocks are content: those whose score reaches CUT of the mean score of the page's text."""
+    allowed = np.array([not b.outside for b in page.blocks])
+    if not allowed.any():
+        return allowed
+    score, size = np.where(allowed, scores(page), 0.0), np.array([len(b.text) for b in page.blocks], np.float64)
+    mean = (score * size)[allowed].sum() / size[allowed].sum()
+    return allowed & (score >= CUT * mean)
+
+
+def _held(page: Page, of: Iterable[int]) -> list[int]:
+    """Characters of these blocks in each element."""
     held = [0] * len(page.elements)
-    for i in content:
+    for i in of:
         held[page.blocks[i].element] += len(page.blocks[i].text)
     for k in range(len(held) - 1, 0, -1):  # children follow their parents
         held[page.elements[k].parent] += held[k]
-    root = next_ = 0
-    children: dict[int, list[int]] = {}
+    return held
+
+
+def _beside(page: Page, held: list[int], some: bool) -> list[bool]:
+    """Which elements are marked as something else, themselves or above, and don't hold so much content that they are the article for all that."""
+    out = [0] * len(page.elements)
     for k, e in enumerate(page.elements[1:], 1):
-        children.setdefault(e.parent, []).append(k)
-    while next_ is not None:
-        root = next_
-        next_ = max(children.get(root, []), key=lambda k: held[k], default=None)
-        if next_ is None or held[next_] < HELD * held[0] or page.elements[next_].name in LEAVES or page.elements[next_].name in INLINE:
-            next_ = None
-        elif page.elements[root].name == "article" and page.elements[next_].name != "article":
-            next_ = None
-        elif page.elements[root].name == "main" and page.elements[next_].name != "article":
-            next_ = None
-    within = [False] * len(page.elements)
-    for k in range(len(page.elements)):
-        within[k] = k == root or (k > 0 and within[page.elements[k].parent])
-    taken = [i for i in inside if within[page.blocks[i].element]]
+        own = (e.mark == DOUBT and held[k] < MOST * held[0]) or (e.mark == STRANGE and some)
+        up = out[e.parent]
+        out[k] = 2 if up == 2 or (own and not e.own_header) else 1 if own or up else 0
+        if out[k] == 1 and e.name in HEADINGS:
+            out[k] = 0
+    return [x > 0 for x in out]
+
+
+def _root(page: Page, held: list[int], beside: list[bool]) -> int:
+    root, children = 0, {}
+    for k, e in enumerate(page.elements[1:], 1):
+        if held[k] and not beside[k]:
+            children.setdefault(e.parent, []).append(k)
+    while (following := max(children.get(root, []), key=lambda k: held[k], default=None)) is not None:
+        name, up = page.elements[following].name, page.elements[root].name
+        if held[following] < HELD * held[0] or name in LEAVES or name in INLINE or (up in ARTICLES and name != "article"):
+            break
+        root = following
+    return root
+
+
+def article(page: Page) -> list[str]:
+    chosen = np.flatnonzero(content(page)).tolist()
+    foreign = [False] * len(page.elements)
+    for k, e in enumerate(page.elements[1:], 1):
+        foreign[k] = foreign[e.parent] or e.mark == STRANGE
+    plain = [i for i in chosen if not foreign[page.blocks[i].element]]
+    text = lambda of: sum(len(page.blocks[i].text) for i in of)
+    some = text(plain) > SOME * text(chosen)
+    beside = _beside(page, _held(page, plain if some else chosen), some)
+    kept = [i for i in chosen if not beside[page.blocks[i].element]]
+    if not kept:
+        return []
+    held = _held(page, kept)
+    root = _root(page, held, beside)
+    # groups of the article's element without any content are something else, and so are lists whose every item is a link
+    unlinked = [0] * len(page.elements)
+    for b in page.blocks:
+        unlinked[b.element] += b.unlinked
+    for k in range(len(unlinked) - 1, 0, -1):
+        unlinked[page.elements[k].parent] += unlinked[k]
+    within, stray = [False] * len(page.elements), [False] * len(page.elements)
+    for k, e in enumerate(page.elements):
+        within[k] = k == root or (k > 0 and within[e.parent])
+        if k == 0 or not within[k] or k == root:
+            continue
+        links = e.name in ("ul", "ol") and not unlinked[k]
+        stray[k] = stray[e.parent] or (not e.in_article and (links or (e.name in GROUPS and not held[k])))
+    inside = [i for i, b in enumerate(page.blocks) if not b.outside and not beside[b.element]]
+    taken = [i for i in inside if within[page.blocks[i].element] and not stray[page.blocks[i].element]]
     if taken and not any(page.elements[page.blocks[i].element].name == "h1" for i in taken):
         # a headline that stands before the article's element
         taken = [i for i in inside if i < taken[0] and page.elements[page.blocks[i].element].name == "h1"][-1:] + taken
@@ -281,7 +415,7 @@ def article(page: Page) -> list[str]:
 
 
 def main_text(source: str | None) -> str:
-    """The article's blocks joined by line feeds; empty for null, for pages without text and where all is marked as outside."""
+    """The article's blocks joined by line feeds; empty for null and for pages whose text is all in menus, footers and controls."""
     return "\n".join(article(parse(source or "")))
 
 
@@ -292,7 +426,11 @@ def _run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extracted(rows: DataFrame) -> DataFrame:
-    """rows (row struct, html string) -> row, text. Every page is read whole, on its own; repeats give equal rows."""
+    """rows (row struct, html string) -> row, text. Every page is read whole and on its own: repeats give equal rows.
+
+    Null and empty pages give the empty text, an empty table gives no row; columns within ``row`` may have any names. Time
+    and memory grow with a page's length, whatever its tags.
+    """
     small_batches(rows.sparkSession)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.select("row", "html").mapInArrow(_run, f"row {kind}, text string")
