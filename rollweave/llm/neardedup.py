@@ -4,12 +4,13 @@
    If a doc_id is held by different word sequences, rows get keys of (doc_id, digest) in that order instead of doc_ids.
 2. Documents with one word sequence are one class; its least doc_id stands for it from here on.
 3. Documents that share a band of registers share a bucket. Every bucket links its members with its least document,
-   so a bucket of any size costs a row for each member. The likelihood estimate drops what can't reach the similarity,
-   and the full sets confirm the rest.
+   so a bucket of any size costs a row for each member. Registers are joined first: the likelihood estimate drops what
+   can't reach the similarity. Only the pairs that are left meet their texts, and the full sets confirm the rest.
 4. Connected components of the confirmed links. A bucket whose members are all in one component is done. In the others
    every member outside the bucket's largest component is compared with every member of other components, in blocks of
-   BLOCK by BLOCK documents that count shared shingles through one sorted array; a pair is compared in the first band
-   that it shares. No pair becomes a row: a block returns at most a link for each document and component.
+   some BLOCK by BLOCK documents, fewer if they are long; a pair is compared in the first band that it shares. Blocks
+   of registers say which documents have a likely partner there, and only those come again with their texts. No pair
+   becomes a row: a block returns at most a link for each document and component.
 5. Components over all links.
 
 A pair at the similarity p is missed with probability (1 - p**5)**32: 7e-9 at 0.85, 3e-6 at 0.8.
@@ -30,8 +31,11 @@ from rollweave.llm.common import Scratch, salted, table, whole_row
 from rollweave.llm.components import connected_components
 
 SHINGLE = 5
-BLOCK = 256
+#: Documents, and shingles of all documents, on one side of a block of comparisons.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 SALTS = 64
+#: A bucket of more members is met in SALTS parts; a member is a row of 24 bytes.
+HOT = 1_000_000
 #: Ids are broadcast up to this many (some 20 MB with their hash table); beyond, the join shuffles.
 BROADCAST_IDS = 500_000
 #: Bytes of text whose sets a task holds at a time.
@@ -131,42 +135,40 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _likely(percent: int) -> Callable:
+    """Rows (a, b, registers_a, registers_b, n_a, n_b) -> the (a, b) that the estimate doesn't rule out."""
+
+    def likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = setsketch.likeliest(_registers(batch.column(2)), _registers(batch.column(3)), batch.column(4).to_numpy(), batch.column(5).to_numpy())
+                yield batch.select([0, 1]).filter(pa.array(found >= _least_estimate(percent)))
+
+    return likely
+
+
 def _confirmer(percent: int) -> Callable:
-    """Rows (a, b, text_a, registers_a, text_b, registers_b) -> the (a, b) whose full sets link."""
+    """Rows (a, b, text_a, text_b) -> the (a, b) whose full sets link."""
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, kept = WordHashes(), {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            left, right = _registers(batch.column(3)), _registers(batch.column(5))
-            sizes = batch.column(6).to_numpy(), batch.column(7).to_numpy()
-            likely = setsketch.likeliest(left, right, *sizes) >= _least_estimate(percent)
-            ok = []
-            for i in np.flatnonzero(likely).tolist():
+            b, ok = batch.column(1).to_pylist(), []
+            for i in range(batch.num_rows):
                 if b[i] not in kept:
-                    kept = {b[i]: shingles(words_of(batch.column(4)[i].as_py()), known)}
-                if linked(shingles(words_of(batch.column(2)[i].as_py()), known), kept[b[i]], percent):
-                    ok.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in ok], pa.int64()), pa.array([b[i] for i in ok], pa.int64())], ["a", "b"])
+                    kept = {b[i]: shingles(words_of(batch.column(3)[i].as_py()), known)}
+                ok.append(linked(shingles(words_of(batch.column(2)[i].as_py()), known), kept[b[i]], percent))
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return confirm
 
 
-def compare_block(band: int, rows: list[dict], percent: int, known: WordHashes) -> list[tuple[int, int]]:
-    """Links between the block's outsiders and its members of other components, where ``band`` is the first that they share."""
+def _candidates(band: int, rows: list[dict], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each outsider of a block the members of other components that it may link with, where ``band`` is the first band that they share."""
     registers = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, setsketch.M)
     keys, n = setsketch.band_keys(registers), np.array([r["n"] for r in rows])
     component, member = np.array([r["component"] for r in rows]), np.array([r["member"] for r in rows])
-    sets: dict[int, np.ndarray] = {}
-
-    def of(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = shingles(words_of(rows[i]["text"]), known)
-        return sets[i]
-
-    least, out = _least_estimate(percent), []
+    least = _least_estimate(percent)
     for o in [i for i, r in enumerate(rows) if r["outsider"]]:
         at = member & (component != component[o])
         at &= (100 * np.minimum(n, n[o]) >= percent * np.maximum(n, n[o])) & ~(keys[:, :band] == keys[o, :band]).any(axis=1)
@@ -174,32 +176,75 @@ def compare_block(band: int, rows: list[dict], percent: int, known: WordHashes)
         if len(at):
             same = np.broadcast_to(registers[o], (len(at), setsketch.M))
             at = at[setsketch.likeliest(same, registers[at], np.full(len(at), n[o]), n[at]) >= least]
+        if len(at):
+            yield o, at
+
+
+def needed_of_block(band: int, rows: list[dict], percent: int) -> list[int]:
+    """The rows of a block that have a likely partner in it."""
+    return sorted({int(x) for o, at in _candidates(band, rows, percent) for x in (o, *at)})
+
+
+def compare_block(band: int, rows: list[dict], percent: int, known: WordHashes) -> list[tuple[int, int]]:
+    """Links between the block's outsiders and its members of other components, where ``band`` is the first that they share."""
+    sets: dict[int, np.ndarray] = {}
+
+    def of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingles(words_of(rows[i].pop("text")), known)
+        return sets[i]
+
+    out = []
+    for o, at in _candidates(band, rows, percent):
         joined: set[int] = set()
         for m in at.tolist():
-            if component[m] not in joined and linked(of(o), of(m), percent):
-                joined.add(component[m])
+            if (c := rows[m]["component"]) not in joined and linked(of(o), of(m), percent):
+                joined.add(c)
                 out.append((rows[o]["doc_id"], rows[m]["doc_id"]))
     return out
 
 
-def _block_comparer(percent: int) -> Callable:
-    """Rows sorted by block (key, part, other) -> links. One block is held at a time: 2 * BLOCK documents or so."""
+def _by_block(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of one block (key, part, other) after another; one block is held at a time."""
+    at, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = row["key"], row["part"], row["other"]
+            if block != at:
+                if held:
+                    yield held
+                at, held = block, []
+            held.append(row)
+    if held:
+        yield held
+
+
+_SPOT = "key long, part int, other int, doc_id long, component long, member boolean, outsider boolean, n long"
+
+
+def _block_screener(percent: int) -> Callable:
+    """Rows sorted by block -> those that have a likely partner in their block, without registers."""
+    names = [x.split()[0] for x in _SPOT.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, at, held = WordHashes(), None, []
+        for rows in _by_block(batches):
+            if needed := needed_of_block(_band_of(rows[0]["key"], rows[0]), rows, percent):
+                yield pa.RecordBatch.from_pylist([{c: rows[i][c] for c in names} for i in needed], schema=_SPOT_ARROW)
 
-        def out() -> pa.RecordBatch:
-            found = compare_block(_band_of(at[0], held[0]), held, percent, known) if held else []
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["a", "b"])
+    return run
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = row["key"], row["part"], row["other"]
-                if block != at:
-                    yield out()
-                    at, held = block, []
-                held.append(row)
-        yield out()
+
+_SPOT_ARROW = pa.schema([(c, {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[t]) for c, t in (x.split() for x in _SPOT.split(", "))])
+
+
+def _block_comparer(percent: int) -> Callable:
+    """Rows sorted by block, with registers and text -> links."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for rows in _by_block(batches):
+            found = compare_block(_band_of(rows[0]["key"], rows[0]), rows, percent, known)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["a", "b"])
 
     return run
 
@@ -257,22 +302,20 @@ def _components(docs: DataFrame, sketches: DataFrame, scratch: Scratch, percent:
     bands = scratch.keep(reps.mapInArrow(_banded, "key long, doc_id long, n long"), "bands")
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "n")).alias("p")).where("c > 1")
     buckets = scratch.keep(buckets.select("key", "c", F.col("p.doc_id").alias("p_id"), F.col("p.n").alias("p_n")), "buckets")
-    members = scratch.keep(bands.join(buckets, "key"), "members")
-    scratch.drop(bands)
+    members = scratch.keep(_members(bands, buckets), "members")
+    scratch.drop(bands, buckets)
+    facts = scratch.keep(_with_ids(reps, members.select("doc_id").distinct(), "left_semi"), "facts")
     alike = f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)"
     pairs = members.where("doc_id <> p_id and " + alike).select(F.col("doc_id").alias("a"), F.col("p_id").alias("b")).distinct()
-    ids = members.select("doc_id").distinct()
-    held = scratch.keep(
-        _with_ids(reps, ids, "left_semi").join(_with_ids(docs.select("doc_id", "text"), ids, "left_semi").dropDuplicates(["doc_id"]), "doc_id"), "texts"
-    )
-    a = held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"), F.col("registers").alias("registers_a"), F.col("n").alias("n_a"))
-    b = held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"), F.col("registers").alias("registers_b"), F.col("n").alias("n_b"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "registers_a", "text_b", "registers_b", "n_a", "n_b")
+    likely = _meet(scratch.keep(pairs, "pairs"), facts.select("doc_id", "registers", "n")).select("a", "b", "registers_a", "registers_b", "n_a", "n_b")
+    likely = scratch.keep(likely.mapInArrow(_likely(percent), "a long, b long"), "likely")
+    texts = _texts_of(docs, likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    both = _meet(likely, scratch.keep(texts, "texts")).select("a", "b", "text_a", "text_b")
     links = scratch.keep(both.mapInArrow(_confirmer(percent), "a long, b long"), "links")
     found = scratch.keep(connected_components(links, scratch), "components")
 
-    more = scratch.keep(_residual(members, found, held, percent, scratch), "more")
-    scratch.drop(members, buckets, held)
+    more = scratch.keep(_residual(members, found, facts, docs, percent, scratch), "more")
+    scratch.drop(members, facts)
     if not more.isEmpty():
         found = scratch.keep(connected_components(links.unionByName(more), scratch), "components")
     of_class = classes.distinct().join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -284,14 +327,46 @@ def _components(docs: DataFrame, sketches: DataFrame, scratch: Scratch, percent:
     )
 
 
-def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text), a row for each of these ids."""
+    return _with_ids(docs.select("doc_id", "text"), ids, "left_semi").dropDuplicates(["doc_id"])
+
+
+def _members(bands: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The rows of bands whose bucket is listed, with the bucket's columns. Buckets of more than HOT members are met in SALTS parts."""
+    hot = buckets.where(f"c > {HOT}")
+    if hot.isEmpty():
+        return bands.join(buckets, "key")
+    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = bands.withColumn("salt", salted(F.col("doc_id"), SALTS)).join(spread, ["key", "salt"], "left").drop("salt")
+    rest = met.where("c is null").select(*bands.columns).join(buckets.where(f"c <= {HOT}"), "key")
+    return met.where("c is not null").unionByName(rest)
+
+
+def _meet(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """pairs (a, b) with the columns of facts (doc_id, ..) for both, as x_a and x_b. A document that is b of many pairs is met in SALTS parts."""
+    names = [c for c in facts.columns if c != "doc_id"]
+    side = lambda x: facts.select(F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
+    cut = pairs.select("a", "b", salted(F.col("a"), SALTS).alias("salt"))
+    spread = cut.select("b", "salt").distinct().join(side("b"), "b")
+    return cut.join(side("a"), "a").join(spread, ["b", "salt"]).drop("salt")
+
+
+def _in_blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select("key", "part", "other", *columns).repartition("key", "part", "other").sortWithinPartitions("key", "part", "other")
+
+
+def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links that the least documents of the buckets don't show, from the buckets whose members are in several components."""
     known = members.where("c > 2").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    known = known.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
-    mixed = mixed.where("most < all").select(
-        "key", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("out_parts")
+    known = known.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+    sizes = known.groupBy("key", "component").agg(F.sum(F.lit(1.0 / BLOCK) + F.col("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"), F.count(F.lit(1)).alias("c"))
+    mixed = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main"), F.max_by("blocks", F.struct("c", "component")).alias("most"), F.sum("blocks").alias("all"), F.count(F.lit(1)).alias("components")
+    )
+    blocks = lambda x: F.ceil(x - F.lit(1e-6)).cast("int")
+    mixed = mixed.where("components > 1").select(
+        "key", "main", F.greatest(blocks(F.col("all")), F.lit(1)).alias("parts"), F.greatest(blocks(F.col("all") - F.col("most")), F.lit(1)).alias("out_parts")
     )
     mixed = scratch.keep(mixed, "mixed")  # read from a table, so that the join below can split a large bucket
     rows = known.join(mixed, "key").withColumn("h", F.xxhash64("doc_id"))
@@ -301,9 +376,13 @@ def _residual(members: DataFrame, found: DataFrame, held: DataFrame, percent: in
     as_member = F.transform(F.sequence(F.lit(0), F.col("out_parts") - 1), lambda x: F.struct(own.alias("part"), x.alias("other"), F.lit(True).alias("member"), F.lit(False).alias("outsider")))
     as_outsider = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.struct(x.alias("part"), out_own.alias("other"), F.lit(False).alias("member"), F.lit(True).alias("outsider")))
     spots = F.when(outsider, F.concat(as_member, as_outsider)).otherwise(as_member)
-    rows = rows.select("key", "doc_id", "component", F.explode(spots).alias("s")).select("key", "doc_id", "component", "s.*")
-    rows = rows.join(held, "doc_id").select("key", "part", "other", "doc_id", "component", "member", "outsider", "n", "registers", "text")
-    return rows.repartition("key", "part", "other").sortWithinPartitions("key", "part", "other").mapInArrow(_block_comparer(percent), "a long, b long")
+    rows = rows.select("key", "doc_id", "n", "component", F.explode(spots).alias("s")).select("key", "doc_id", "n", "component", "s.*")
+    columns, registers = ["doc_id", "component", "member", "outsider", "n"], facts.select("doc_id", "registers")
+    screened = _in_blocks(rows.join(registers, "doc_id"), [*columns, "registers"]).mapInArrow(_block_screener(percent), _SPOT)
+    screened = scratch.keep(screened, "screened")
+    texts = _texts_of(docs, screened.select("doc_id").distinct())
+    rows = screened.join(registers.join(texts, "doc_id"), "doc_id")
+    return _in_blocks(rows, [*columns, "registers", "text"]).mapInArrow(_block_comparer(percent), "a long, b long")
 
 
 def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:

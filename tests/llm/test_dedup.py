@@ -227,3 +227,48 @@ def test_blocks_compare_in_the_first_shared_band():
     rows = [row | {"doc_id": k, "component": k} for k in (1, 2)]
     assert neardedup.compare_block(0, rows, 85, known) == [(1, 2), (2, 1)]
     assert neardedup.compare_block(3, rows, 85, known) == []
+
+
+def test_a_bucket_of_fifty_thousand_near_copies(spark, monkeypatch):
+    """Every copy changes one word of the first, so that it links with that and hardly with another; large buckets are met in parts."""
+    monkeypatch.setattr(neardedup, "HOT", 1000)
+    n = 50_000
+    own = F.concat(F.lit("x"), F.col("id").cast("string"))
+    word = lambda k: F.when((F.col("id") > 0) & (k == F.pmod(F.xxhash64("id"), F.lit(100))), own).otherwise(F.concat(F.lit("w"), k.cast("string")))
+    words = F.transform(F.sequence(F.lit(0), F.lit(99)), word)
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    found = neardedup.components_of(rows, Scratch(spark, "t"), 85)
+    assert found.groupBy("component_id").count().collect() == [(0, n)]
+
+
+def test_long_texts_and_small_blocks(spark, monkeypatch):
+    """Blocks are cut by shingles too; links between the copies of a bucket's outsiders are found in every cut."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(3000)}" for _ in range(20_000)]
+    rows = []
+    for i in range(24):
+        text = list(base) if i % 2 else [f"{x}{i % 6 // 2}" if k % 30 == 0 else x for k, x in enumerate(base)]
+        for at in rng.sample(range(len(text)), 60 + 20 * (i % 7)):
+            text[at] = f"y{i}.{at}"
+        rows.append((i, " ".join(text)))
+    want = plain_near(rows, 85)
+    for shingles, block in ((1 << 20, 256), (30_000, 256), (1 << 20, 2)):
+        monkeypatch.setattr(neardedup, "BLOCK_SHINGLES", shingles)
+        monkeypatch.setattr(neardedup, "BLOCK", block)
+        found = neardedup.components_of(docs(spark, rows), Scratch(spark, "t"), 85).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
+def test_texts_come_after_the_estimate(spark, monkeypatch):
+    """Pairs meet as registers; only the documents of pairs that the estimate keeps have their texts read."""
+    met = []
+    held = neardedup._meet
+    monkeypatch.setattr(neardedup, "_meet", lambda pairs, facts: met.append((pairs.count(), facts.columns, facts.count())) or held(pairs, facts))
+    rng = random.Random(12)
+    shared = [f"p{k}" for k in range(20)]  # passages shared by all make buckets, not pairs
+    rows = [(i, " ".join(shared + [f"z{rng.randrange(10**6)}" for _ in range(60)])) for i in range(300)] + [(900, "a b c d e f g"), (901, "a b c d e f g h i j k l")]
+    rows += [(902, " ".join(f"q{k}" for k in range(200))), (903, " ".join(f"q{k}" for k in range(201)))]
+    neardedup.components_of(docs(spark, rows), Scratch(spark, "t"), 85).collect()
+    (pairs, first, _), (likely, second, texts) = met
+    assert first == ["doc_id", "registers", "n"] and second == ["doc_id", "text"]
+    assert likely <= pairs and texts <= 2 * likely and texts < len(rows) / 2
