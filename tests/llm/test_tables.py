@@ -105,7 +105,7 @@ def test_search(spark, monkeypatch, depths):
     monkeypatch.setattr(topk, "DEPTHS", depths)
     monkeypatch.setattr(topk, "CANDIDATES", 100)
     monkeypatch.setattr(topk, "QUERIES", 4)
-    monkeypatch.setattr(topk, "AT_ONCE", 3)
+    monkeypatch.setattr(topk, "AT_ONCE", 300)
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(0, 0.3, 12).tolist()) for i in range(400)]
     rows += [(i, [0.5] * 12) for i in range(400, 460)]  # ties
@@ -130,9 +130,31 @@ def test_bounds_hold():
     rng = np.random.default_rng(2)
     x, q = rng.integers(-50, 50, (60, 8)).astype(float), rng.integers(-50, 50, (7, 8)).astype(float)
     lists, score = topk.SortedLists(x), q @ x.T
+    assert (lists.most(q)[:, None] >= score).all()
     for depth in (1, 10, 30, 59, 60):
-        lower, upper = lists.bounds(q, depth)
-        assert (lower <= score).all() and (score <= upper).all()
+        assert (lists.lower(q, depth) <= score).all() and (score <= lists.upper(q, depth)).all()
+
+
+def test_a_known_score_leaves_blocks_unread_and_lists_half_read(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(8000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    q, ids, q_ids = x[:40], np.arange(8000), np.arange(40)
+    score = q @ x.T
+    score[q_ids, q_ids] = -np.inf
+    want = [(i, j, int(score[i, j])) for i in range(40) for j in np.lexsort((ids, -score[i]))[:5].tolist()]
+    assert sorted(topk.best(q_ids, q, ids, x, 5)) == sorted(want)
+    deepest, seen = [], topk.SortedLists.upper
+    monkeypatch.setattr(topk.SortedLists, "upper", lambda self, q, depth: deepest.append(depth / len(self.x)) or seen(self, q, depth))
+    first = topk.best(q_ids, q, ids[:4000], x[:4000], 5)
+    known = np.array([min(s for i, _, s in first if i == j) for j in range(40)], float)
+    deepest.clear()
+    second = topk.best(q_ids, q, ids[4000:], x[4000:], 5, known)
+    assert max(deepest) < 0.9  # the lists are never read to their ends
+    both = sorted((i, -s, j) for i, j, s in first + second)
+    assert [(i, j, -s) for n, (i, s, j) in enumerate(both) if sum(r[0] == i for r in both[:n]) < 5] == sorted(want, key=lambda r: (r[0], -r[2], r[1]))
+    deepest.clear()
+    assert topk.best(q_ids, q, ids[4000:], x[4000:] / 64, 5, known) == [] and not deepest  # a block that can't reach it isn't read
 
 
 # -- URLs -------------------------------------------------------------------------------------------------------------------
