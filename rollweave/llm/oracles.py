@@ -15,12 +15,14 @@ h AS (
 rules(rhost, rpath, rule, verdict) AS (VALUES
   ('com', '/', 'com/', 'allow'), ('example.com', '/en/', 'example.com/en/', 'block'),
   ('www.example.com', '/en/', 'www.example.com/en/', 'allow'), ('net', '/es/', 'net/es/', 'block'), ('net', '/fr/', 'net/fr/', 'block')),
-link AS (
-  SELECT h.*, CASE WHEN path = '' THEN '/' ELSE path END AS spot,
-    unnest([regexp_extract(html, '<link\\b[^>]*\\brel\\s*=\\s*["'']?\\s*canonical\\b[^>]*?\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is'),
-            regexp_extract(html, '<link\\b[^>]*\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)[^>]*\\brel\\s*=\\s*["'']?\\s*canonical\\b', 1, 'is'),
-            regexp_extract(html, '<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b[^>]*?\\burl\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is')]) AS href
+tag AS (
+  SELECT h.*, CASE WHEN path = '' THEN '/' ELSE path END AS spot, unnest(list_concat(
+    list_filter(regexp_extract_all(html, '<link\\b[^>]*', 0, 'is'), lambda t: regexp_matches(t, '\\brel\\s*=\\s*(?:["'']?\\s*|"[^">]*\\s|''[^''>]*\\s)canonical\\b', 'is')),
+    list_filter(regexp_extract_all(html, '<meta\\b[^>]*', 0, 'is'), lambda t: regexp_matches(t, '\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b', 'is')))) AS tag
   FROM h WHERE host <> ''),
+link AS (
+  SELECT *, CASE WHEN regexp_matches(tag, '^<l', 'i') THEN regexp_extract(tag, '\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is')
+    ELSE regexp_extract(tag, '\\bcontent\\s*=\\s*["'']?[^"''>]*?\\burl\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is') END AS href FROM tag),
 target AS (
   SELECT *, CASE
       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
@@ -29,11 +31,18 @@ target AS (
       WHEN starts_with(href, '?') THEN 'x://' || host || path || href
       ELSE 'x://' || host || regexp_extract(spot, '^(.*/)', 1) || href END AS url2
   FROM (SELECT * REPLACE (replace(href, '&amp;', '&') AS href) FROM link WHERE href <> '')),
-target2 AS (
+parts AS (
   SELECT host || spot || query AS a,
     translate(regexp_extract(url2, '^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host2,
     regexp_extract(url2, '^.*?://[^/?#]*([^?#]*)', 1) AS path2, regexp_extract(url2, '^.*?://[^?#]*([?][^#]*)', 1) AS query2
   FROM target),
+target2 AS (
+  SELECT * FROM parts
+  UNION ALL
+  SELECT a, host2, list_reduce(list_prepend('', string_split(regexp_replace(path2, '^/', ''), '/')), lambda held, x:
+      CASE x WHEN '..' THEN regexp_replace(held, '/[^/]*$', '') WHEN '.' THEN held ELSE held || '/' || x END)
+    || CASE WHEN regexp_matches(path2, '(^|/)[.][.]?$') THEN '/' ELSE '' END, query2
+  FROM parts WHERE regexp_matches(path2, '(^|/)[.][.]?(/|$)')),
 edge AS (
   SELECT a, host2 || CASE WHEN path2 = '' THEN '/' ELSE path2 END || query2 AS b FROM target2 WHERE host2 <> ''),
 both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
@@ -66,8 +75,9 @@ WITH d AS (
   SELECT doc_id, text, coalesce('s' || source, 'n') AS skey,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
     -ln((('0x' || substr(md5(coalesce(cast(doc_id AS varchar), '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
-      / (0.5::DOUBLE + 0.5::DOUBLE * coalesce(CASE WHEN length(text) > 0 THEN length(translate(text, '#$%&*|!<>{}[]^~=+@', ''))::DOUBLE / length(text) END, 0)) AS key
-  FROM documents),
+      / (0.5::DOUBLE + 0.5::DOUBLE * ((share * share) * (share * share))) AS key
+  FROM (SELECT *, coalesce(CASE WHEN length(text) > 0
+      THEN length(translate(text, '#$%&*|!<>{}[]^~=+@ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', ''))::DOUBLE / length(text) END, 0) AS share FROM documents)),
 s AS (
   SELECT skey, sum(size)::BIGINT AS source_size, count(*) AS docs,
     (row_number() OVER (ORDER BY skey = 'n', skey) - 1) % 3 + 1 AS weight FROM d GROUP BY skey),

@@ -90,7 +90,7 @@ def without_dots(url: Column) -> Column:
 
 
 def resolved(base: Column, link: Column) -> Column:
-    """A link as an absolute URL: absolute, ``//host/..``, ``/path``, ``?query`` and relative forms; ``.``/``..`` stay as written."""
+    """A link as an absolute URL: absolute, ``//host/..``, ``/path``, ``?query`` and relative forms; ``.`` and ``..`` stay as written (see without_dots)."""
     root = F.regexp_extract(base, r"^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^(.*?:)//", 1)
     folder = F.concat(root, F.when(path(base) == "", F.lit("/")).otherwise(F.regexp_extract(path(base), r"^(.*/)", 1)))
