@@ -241,16 +241,18 @@ def encoded(rows: DataFrame, model_path: str) -> DataFrame:
     return rows.select("row", "text").mapInArrow(run, f"row {kind}, ids array<int>, bounds array<int>, decoded string")
 
 
-def ids_digest(ids: Column) -> Column:
-    return F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256)
+def digest(numbers: Column) -> Column:
+    """SHA-256 of the decimal numbers joined by commas."""
+    return F.sha2(F.array_join(numbers.cast("array<string>"), ",").cast("binary"), 256)
 
 
 def _digests(rows: DataFrame, model_path: str) -> DataFrame:
     return encoded(rows, model_path).select(
         "row.doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest(F.col("ids")).alias("ids_sha256"),
+        digest(F.col("ids")).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        digest(F.col("bounds")).alias("bounds_sha256"),
     )
 
 
@@ -261,7 +263,7 @@ def model_file() -> str:
 
 
 def tokenised(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 for each row of docs, repeats included."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and bounds_sha256 (of the pieces' byte bounds in the text, one more than ids) for each row of docs, repeats included."""
     return _digests(docs.select(F.struct("doc_id").alias("row"), "text"), model_path or model_file())
 
 
