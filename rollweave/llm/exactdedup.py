@@ -170,12 +170,24 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
 
 
+#: Ids of dropped rows are broadcast up to this many (some 10 MB with their hash table); beyond, the join shuffles.
+BROADCAST_IDS = 250_000
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with docs' own columns, whatever they are called; doc_id and text are needed."""
+    """The rows of docs that stay, with docs' own columns, whatever they are called; doc_id and text are needed.
+
+    Where every doc_id occurs once, rows are decided on their digests alone and only the dropped ids meet docs; else
+    digests tell the rows of one doc_id apart.
+    """
     scratch = Scratch(docs.sparkSession, "exact")
     narrow = scratch.keep(docs.select("doc_id", digest(F.col("text")).alias("digest")), "digests")
-    rows = docs.select("doc_id", whole_row(docs).alias("row"), digest(F.col("text")).alias("digest"))
-    return decide(rows, scratch, narrow).where("kept").select("row.*")
+    if not narrow.groupBy("doc_id").count().where("count > 1").isEmpty():
+        rows = docs.select("doc_id", whole_row(docs).alias("row"), digest(F.col("text")).alias("digest"))
+        return decide(rows, scratch, narrow).where("kept").select("row.*")
+    gone = scratch.keep(decide(narrow, scratch).where("not kept").select(F.col("doc_id").alias("gone")), "gone")
+    ids = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.select("doc_id", whole_row(docs).alias("row")).join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
