@@ -7,6 +7,8 @@ import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,17 +47,25 @@ def small_batches(spark: SparkSession) -> None:
 _made: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes all tables that this session's operators wrote; call it when no result of theirs will be read again."""
-    while _made:
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables that this session's operators wrote, or those after the first ``since``; call it when no result of theirs will be read again."""
+    while len(_made) > since:
         delete(spark, _made.pop())
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Deletes what operators write within, once it is left: their results must have been written elsewhere by then."""
+    since = len(_made)
+    yield
+    release(spark, since)
+
+
 class Scratch:
     """Tables written once in the shared folder, so that later stages read them instead of computing them again.
 
     ``keep`` writes and reads back; ``drop`` deletes a table that no unfinished plan reads any more. Written tables
-    survive lost executors, unlike caches.
+    survive lost executors, unlike caches. What isn't dropped or released goes with the driver's JVM.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -63,6 +73,9 @@ class Scratch:
         self.at: dict[int, str] = {}
         small_batches(spark)
         _made.append(self.root)
+        fs, folder = _hadoop(spark, self.root)
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -87,9 +100,14 @@ def process_cache(name: str) -> dict:
     return held.__dict__.setdefault(f"cache:{name}", {})
 
 
+def _hadoop(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    fs, found = _hadoop(spark, path)
+    fs.delete(found, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

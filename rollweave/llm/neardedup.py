@@ -36,8 +36,8 @@ BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 SALTS = 64
 #: A bucket of more members is met in SALTS parts; a member is a row of 24 bytes.
 HOT = 1_000_000
-#: Ids are broadcast up to this many (some 20 MB with their hash table); beyond, the join shuffles.
-BROADCAST_IDS = 500_000
+#: Ids are broadcast up to this many (some 10 MB with their hash table); beyond, the join shuffles.
+BROADCAST_IDS = 250_000
 #: Bytes of text whose sets a task holds at a time.
 SLICE = 2 << 20
 _KNOWN_WORDS = 200_000

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from rollweave.llm import oracles
+from rollweave.llm import oracles, pipeline
 from rollweave.llm.exactdedup import op3_exact_dedup
 from rollweave.llm.htmltext import op1_html_extraction
 from rollweave.llm.langid import op9_language_id
@@ -28,7 +27,7 @@ def queries() -> dict:
         "op8_exact_topk": op8_exact_topk,
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 

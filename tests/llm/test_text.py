@@ -218,8 +218,11 @@ def test_tokenised_rows(spark):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(ODD)] + [(None, "x", 7)], "doc_id long, text string, row int")
     got = {r["doc_id"]: r for r in pieces.tokenised(docs).collect()}
     with open(pieces.model_file(), "rb") as file:
-        whole = pieces.Codec(file.read()).whole
+        codec = pieces.Codec(file.read())
+    whole = codec.whole
     for i, t in enumerate(ODD):
+        (_, bounds), = codec.encode([t or ""])
+        assert bounds[0] == 0 and bounds[-1] == len((t or "").encode()) and got[i]["bounds_sha256"] == hashlib.sha256(",".join(map(str, bounds.tolist())).encode()).hexdigest()
         ids = whole.encode(t or "")
         assert got[i]["n_tokens"] == len(ids) and got[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256(whole.decode(ids).encode()).hexdigest()
