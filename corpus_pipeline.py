@@ -1,50 +1,5 @@
-"""From raw documents to token digests: five stages, each on all that the one before kept.
+"""The corpus pipeline: STAGES, run and ORACLE_SQL (rollweave.llm.pipeline)."""
 
-A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return docs' columns. run() writes what a
-stage returns as Parquet in the shared folder and reads it again for the next.
-"""
+from rollweave.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from rollweave.llm import exactdedup, langid, mixing, neardedup, pieces
-from rollweave.llm.common import Scratch, table
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose text is in a language; those without a letter go."""
-    return langid.identified(docs)
-
-
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one of equal texts, that with the least doc_id."""
-    return exactdedup.deduplicated(docs)
-
-
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by a similarity of 0.8 or more on five-word shingles."""
-    return neardedup.deduplicated(docs, percent=80)
-
-
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each source up to its target: a row for each time that the mix takes a document."""
-    return mixing.mix(docs)
-
-
-def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 for each row of the mix."""
-    return pieces.tokenised(docs)
-
-
-STAGES = [("language", language), ("exact_dedup", exact), ("near_dedup", near), ("mix", mix), ("tokenise", tokenise)]
-
-#: Near-duplicate groups by sketches, naive Bayes and SentencePiece have no SQL form; tests/llm hold a plain version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
