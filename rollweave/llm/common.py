@@ -33,15 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Bytes of an Arrow batch between Spark and Python. Spark's own limit of 64 MB, with buffers that double as they fill, on
-#: both sides and for each task, is a third of a small executor.
-BATCH_BYTES = 8 << 20
-_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: both sides and for each task, is a third of a small executor; so are the 4096 rows that its Parquet reader decodes at
+#: a time where texts are long.
+BATCH_BYTES, SCAN_ROWS = 8 << 20, 512
+_SETTINGS = (("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", "4096", SCAN_ROWS))
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lowers the session's limit for Arrow batches, unless it has been set: long texts make batches of few rows."""
-    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    """Lowers the session's limits for batches of rows, unless they have been set: long texts make batches of few rows."""
+    for name, default, ours in _SETTINGS:
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, str(ours))
 
 
 _made: list[str] = []
@@ -80,10 +82,13 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def keep(self, df: DataFrame, name: str = "t", narrow: bool = False) -> DataFrame:
+        """``narrow``: few bytes for each row and little work after the last shuffle, so that two files for each core are enough."""
         self.n += 1
         path = self.path(f"{name}{self.n}")
-        df.write.option("compression", "zstd").parquet(path)
+        if narrow:
+            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
+        df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.at[id(out)] = path
         return out

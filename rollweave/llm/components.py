@@ -47,11 +47,11 @@ def connected_components(links: DataFrame, scratch: Scratch, most_rounds: int =
     links = links.select("a", "b").where("a is not null and b is not null")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     edges = scratch.keep(
-        links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
+        links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", narrow=True
     )
     before = None
     for _ in range(most_rounds):
-        stars = scratch.keep(_small_star(_large_star(edges)).distinct(), "stars")
+        stars = scratch.keep(_small_star(_large_star(edges)).distinct(), "stars", narrow=True)
         scratch.drop(edges)
         edges = stars
         # Settled when no node is both a child and a parent: every component is a star around its least node.

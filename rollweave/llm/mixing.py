@@ -111,7 +111,7 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     go by doc_id, size and a hash of the text; full repeats are taken alike. ``rows`` is read once.
     """
     narrow = rows.drop("row") if narrow is None else narrow
-    sources = scratch.keep(source_targets(narrow, weights, most), "sources")
+    sources = scratch.keep(source_targets(narrow, weights, most), "sources", narrow=True)
     few = sources.count() <= BROADCAST_SOURCES
     size = F.col("source_size")
     epochs = F.when(size == 0, F.lit(0)).otherwise(F.least(F.lit(most), F.floor(F.col("target") / size))).cast("long")
@@ -125,10 +125,10 @@ def mixed(rows: DataFrame, scratch: Scratch, narrow: DataFrame | None = None, we
     )
     ends = scratch.keep(
         sources.join(sums, "skey", "left").select("skey", "source_size", "docs", "target", "epochs", "last_bucket",
-            F.col("end.bucket").alias("end_bucket"), (F.col("budget") - F.col("end.before")).alias("left")), "ends"
+            F.col("end.bucket").alias("end_bucket"), (F.col("budget") - F.col("end.before")).alias("left")), "ends", narrow=True
     )
     inside = F.expr("coalesce(bucket between end_bucket and last_bucket, false)")
-    chosen = scratch.keep(_chosen(_meet(narrow, ends, few).withColumn("bucket", _bucket()).where(inside)), "chosen")
+    chosen = scratch.keep(_chosen(_meet(narrow, ends, few).withColumn("bucket", _bucket()).where(inside)), "chosen", narrow=True)
     met = _meet(rows, ends, few).withColumns({"bucket": _bucket(), "id_key": _id_key()})
     met = met.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_CHOSEN else chosen, ["skey", "id_key", "tie"], "left")
     # a source whose target is a whole number of epochs, or that has no words, takes nothing more
