@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import cmath
 import re
-from collections.abc import Iterator
+import signal
+import threading
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -226,6 +228,38 @@ def _same_value(a: Tree, b: Tree) -> bool:
     return True
 
 
+#: Seconds after which a simplification is left undone, and a test of equality fails.
+SIMPLIFY_S, EQUALS_S = 30.0, 10.0
+
+
+class _Late(BaseException):
+    pass
+
+
+def limited(seconds: float, work: Callable, instead):
+    """work(), or ``instead`` if that takes longer. By a timer signal, which only a process's main thread can take: there, as in
+    Spark's workers, the work is stopped; elsewhere it runs on a thread of its own and is left behind."""
+    if threading.current_thread() is not threading.main_thread():
+        out: list = []
+        aside = threading.Thread(target=lambda: out.append(work()), daemon=True)
+        aside.start()
+        aside.join(seconds)
+        return out[0] if out else instead
+
+    def late(*_):
+        raise _Late
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        return work()
+    except _Late:
+        return instead
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
 def _trees(answer: str, test: str) -> tuple[Tree, Tree, bool]:
     """Both trees and whether the expressions are equal; simplified by sympy where that is installed."""
     try:
@@ -234,8 +268,10 @@ def _trees(answer: str, test: str) -> tuple[Tree, Tree, bool]:
     except ImportError:
         a, b = read(answer), read(test)
         return a, b, a == b or _same_value(a, b)
-    a, b = (sympy.simplify(latex2sympy(prepared(x))) for x in (answer, test))
-    return _of_sympy(a), _of_sympy(b), bool(a == b or sympy.simplify(a - b) == 0 or a.equals(b))
+    a, b = (latex2sympy(prepared(x)) for x in (answer, test))
+    a, b = (limited(SIMPLIFY_S, lambda x=x: sympy.simplify(x), x) for x in (a, b))
+    equal = a == b or limited(SIMPLIFY_S, lambda: sympy.simplify(a - b) == 0, False) or limited(EQUALS_S, lambda: bool(a.equals(b)), False)
+    return _of_sympy(a), _of_sympy(b), bool(equal)
 
 
 def _of_sympy(e) -> Tree:

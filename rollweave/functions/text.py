@@ -14,18 +14,27 @@ def stripped(x: Column) -> Column:
     return F.btrim(x, F.lit(BLANK))
 
 
-def pytest_count(log: Column, word: str) -> Column:
-    """The number before ``word`` in the last of the log's last 50 lines that has one, the first in that line; 0 without."""
-    tail = F.substring_index(log, "\n", -LOG_LINES)
-    lines = F.filter(F.split(tail, "\n"), lambda x: F.contains(x, F.lit(word)))
-    found = F.filter(F.transform(lines, lambda x: F.regexp_extract(x, rf"(\d+)\s+{word}", 1)), lambda x: x != "")
-    last = F.when(F.contains(tail, F.lit(word)), F.try_element_at(found, F.lit(-1)))
-    return F.coalesce(last.try_cast("int"), F.lit(0))
+#: Characters besides the line feed that end a line.
+LINE_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
+def last_lines(log: Column, n: int = LOG_LINES) -> Column:
+    """The log's last n lines, ended by line feeds but for the last: a line end after the last line begins no further one."""
+    whole = F.when(log.rlike(f"[{LINE_ENDS}]"), F.translate(F.replace(log, F.lit("\r\n"), F.lit("\n")), LINE_ENDS, "\n" * len(LINE_ENDS))).otherwise(log)
+    whole = F.when(F.endswith(whole, F.lit("\n")), F.left(whole, F.length(whole) - 1)).otherwise(whole)
+    return F.substring_index(whole, "\n", -n)
+
+
+def pytest_count(tail: Column, word: str) -> Column:
+    """The number before ``word`` in the last of the lines that has one, the first in that line; 0 without."""
+    found = F.regexp_extract(tail, rf"(?s)^(?:.*\n)?[^\n]*?(\d+)[^\S\n]+{word}", 1)
+    return F.coalesce(F.when(F.contains(tail, F.lit(word)), found).try_cast("int"), F.lit(0))
 
 
 def pytest_result(log: Column) -> Column:
     """struct<passed, total, score>; a log without counts scores 0."""
-    passed, failed, errors = (pytest_count(log, w) for w in ("passed", "failed", "error"))
+    tail = last_lines(log)
+    passed, failed, errors = (pytest_count(tail, w) for w in ("passed", "failed", "error"))
     total = passed + failed + errors
     return F.struct(passed.alias("passed"), total.alias("total"), F.coalesce(F.try_divide(passed, total), F.lit(0.0)).alias("score"))
 
@@ -113,9 +122,16 @@ def sampling_args(max_tokens: Column, teacher_cap: Column, temperature: Column,
     return F.struct(cap.alias("max_tokens"), F.when(temperature >= 0, temperature).alias("temperature"), F.when(top_p >= 0, top_p).alias("top_p"))
 
 
+#: Braces within braces that boxed() follows.
+_NESTED = 6
+
+
 def boxed(x: Column) -> Column:
-    """The last \\boxed{..} without inner braces."""
-    return F.try_element_at(F.regexp_extract_all(x, F.lit(r"\\boxed\{([^{}]*)\}"), F.lit(1)), F.lit(-1))
+    """What the last \\boxed{..} holds, with braces in it nested up to six deep."""
+    inside = r"[^{}]*+"
+    for _ in range(_NESTED):
+        inside = rf"(?:[^{{}}]++|\{{{inside}\}})*+"
+    return F.try_element_at(F.regexp_extract_all(x, F.lit(rf"\\boxed\{{({inside})\}}"), F.lit(1)), F.lit(-1))
 
 
 def final_answer(x: Column) -> Column:

@@ -18,10 +18,11 @@ CELL_TTL_S = 21_600
 SETTLE_S = 300
 IN_FLIGHT_SLACK = 4
 FREEZE_LATEST = 4
+MOST_TEACHERS = 10_000
 
 
-def before(as_of: Column, seconds: int) -> Column:
-    return as_of - F.make_dt_interval(secs=F.lit(seconds))
+def before(as_of: Column, seconds: int | Column) -> Column:
+    return as_of - F.make_dt_interval(secs=seconds if isinstance(seconds, Column) else F.lit(seconds))
 
 
 def open_(target: str = "target_samples") -> Column:
@@ -29,7 +30,7 @@ def open_(target: str = "target_samples") -> Column:
     return (F.col("collected") < F.col(target)) & (F.col("attempts") < 2 * F.col(target))
 
 
-def is_active(as_of: Column, ttl_s: int = CELL_TTL_S) -> Column:
+def is_active(as_of: Column, ttl_s: int | Column = CELL_TTL_S) -> Column:
     return F.col("published_at").isNull() & open_() & (F.col("last_updated") >= before(as_of, ttl_s))
 
 
@@ -59,6 +60,12 @@ def active_by_env(progress: DataFrame, as_of: Column, ttl_s: int = CELL_TTL_S, l
     return active(progress, as_of, ttl_s, list_name).groupBy("env_name").agg(F.count(F.lit(1)).alias("n_active"))
 
 
+def active_by_list(progress: DataFrame, pool: DataFrame, as_of: Column) -> DataFrame:
+    """(list_name, env_name, n_active) of the pool's environments, each list by its own cell_ttl_s. pool: a row for each list and environment."""
+    found = progress.join(pool.select("list_name", "env_name", "cell_ttl_s"), ["list_name", "env_name"]).where(is_active(as_of, F.col("cell_ttl_s")))
+    return found.groupBy("list_name", "env_name").agg(F.count(F.lit(1)).alias("n_active"))
+
+
 def pending(progress: DataFrame, as_of: Column, ttl_s: int = CELL_TTL_S, lists=None, envs=None, teachers=None) -> DataFrame:
     """Pending cells with ``zombie``. Order them by pending_order() where an order is needed."""
     found = within(progress, list_name=lists, env_name=envs, teacher_name=teachers).where(is_pending(as_of, ttl_s))
@@ -147,13 +154,15 @@ def increment(progress: DataFrame, deltas: DataFrame, as_of: Column) -> DataFram
 def sampling_list(environments: DataFrame, teachers: DataFrame, list_name: str, target: int, as_of: Column, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """A cell for each task of each environment's range, clipped to [lo, hi), and each teacher.
 
-    The teachers' names come as one row, which goes beside every task: an explode makes the product, no shuffle.
+    The teachers' names come as one row of at most MOST_TEACHERS names, more are an error; it goes beside every task: an
+    explode makes the product, no shuffle.
     """
     first = F.col("task_id_range.lo") if lo is None else F.greatest(F.col("task_id_range.lo"), F.lit(lo))
     last = F.col("task_id_range.hi") if hi is None else F.least(F.col("task_id_range.hi"), F.lit(hi))
     cells = environments.withColumns({"first": first, "last": last}).where("first < last")
     cells = cells.select("env_name", F.explode(F.expr("sequence(first, last - 1)")).alias("task_id"))
-    names = teachers.agg(F.array_sort(F.collect_set("teacher_name")).alias("names"))
+    names = teachers.select("teacher_name").distinct().limit(MOST_TEACHERS + 1).agg(F.array_sort(F.collect_set("teacher_name")).alias("names"))
+    names = names.select(F.when(F.size("names") <= MOST_TEACHERS, F.col("names")).otherwise(F.raise_error(F.lit("too many teachers for one list"))).alias("names"))
     cells = cells.crossJoin(F.broadcast(names)).select("env_name", "task_id", F.explode("names").alias("teacher_name"))
     return cells.select(
         F.lit(list_name).alias("list_name"), *CELL, F.lit(target).alias("target_samples"), F.lit(0).alias("collected"), F.lit(0).alias("attempts"),

@@ -33,9 +33,13 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], keep: S
     return both.select(*(F.col(c) if c in keys else value(c) for c in current.columns))
 
 
-def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of incoming to append: their keys aren't in current; of rows with one key any one."""
-    return incoming.join(current.select(*keys), list(keys), "left_anti").dropDuplicates(list(keys))
+def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """The rows of incoming to append: their keys aren't in current. Of rows with one key the first by ``order``; without an
+    order, that with the least values, so that the choice doesn't depend on partitions."""
+    new = incoming.join(current.select(*keys), list(keys), "left_anti")
+    by = order or [F.to_json(F.struct(*(c for c in incoming.columns if c not in keys)))] if len(incoming.columns) > len(keys) or order else [F.lit(0)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return new.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def update(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,15 +57,29 @@ def mark_latest(scores: DataFrame, order: str = "finished_at") -> DataFrame:
     return scores.withColumn("is_latest", (F.row_number().over(w) == 1) & done)
 
 
-def mark_failed(scores: DataFrame, failures: DataFrame) -> DataFrame:
-    """Sets status failed and the error (its first 2000 characters) in the config of the runs that failures (run_id, error) names."""
-    joined = scores.join(failures.select("run_id", F.left("error", F.lit(2000)).alias("_error")), "run_id", "left")
-    old = F.coalesce(F.from_json("config", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    config = F.to_json(F.map_concat(F.map_filter(old, lambda k, _: k != "error"), F.create_map(F.lit("error"), F.col("_error"))))
+RUN = ("run_id", "student", "revision")
+
+
+def mark_failed(scores: DataFrame, failures: DataFrame, as_of: Column) -> DataFrame:
+    """Ends the runs that failures (run_id, student, revision, error) name: status failed, finished_at, and the error's first 2000 characters in config.
+
+    All other members of config keep their JSON types; a config that is null or no object becomes one. A failure whose
+    run, student or revision doesn't fit changes nothing; one without an error text notes an empty one.
+    """
+    named = failures.select(*RUN, F.left(F.coalesce("error", F.lit("")), F.lit(2000)).alias("_error")).dropDuplicates(list(RUN))
+    joined = scores.join(named, list(RUN), "left")
+    old = F.coalesce(F.from_json("config", "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    members = F.map_filter(old, lambda k, _: k != "error")
+    text = F.to_json(members)
+    noted = F.to_json(F.struct(F.col("_error").alias("error")))
+    config = F.when(F.size(members) > 0, F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(","), F.substring(noted, 2, 1 << 30))).otherwise(noted)
     failed = F.col("_error").isNotNull()
     return joined.withColumns(
-        {"status": F.when(failed, "failed").otherwise(F.col("status")), "config": F.when(failed, config).otherwise(F.col("config"))}
-    ).select(*scores.columns)
+        {
+            "status": F.when(failed, "failed").otherwise(F.col("status")), "config": F.when(failed, config).otherwise(F.col("config")),
+            "finished_at": F.when(failed, as_of).otherwise(F.col("finished_at")),
+        }
+    ).select(*scores.columns)
 
 
 #: Columns that a conflicting upsert leaves as they are.

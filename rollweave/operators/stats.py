@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
 from rollweave.operators.cells import within
 from rollweave.schemas import CELL
 
@@ -39,12 +37,17 @@ def cell_rewards(rollouts: DataFrame) -> DataFrame:
 
 
 def advantages(rollouts: DataFrame, by_teacher: bool = False, by_env: bool = False) -> DataFrame:
-    """Rewarded rollouts with the z-score of their reward within the task (and teacher, and environment): 0 in groups of one or of equal rewards."""
+    """Rewarded rollouts with the z-score of their reward within the task (and teacher, and environment): 0 in groups of one or of equal rewards.
+
+    Groups are summed where their rows lie and joined back, so a task with a third of all rollouts is never sorted in one place.
+    """
     group = [*(["env_name"] if by_env else []), "task_id", *(["teacher_name"] if by_teacher else [])]
-    w = Window.partitionBy(*group)
-    rewarded = rollouts.where("reward is not null").withColumns(
-        {"group_n": F.count(F.lit(1)).over(w), "group_mean": F.avg("reward").over(w), "group_std": F.stddev_pop("reward").over(w)}
+    rewarded = rollouts.where("reward is not null")
+    sums = rewarded.groupBy(*(F.col(c).alias(f"_{c}") for c in group)).agg(
+        F.count(F.lit(1)).alias("group_n"), F.avg("reward").alias("group_mean"), F.stddev_pop("reward").alias("group_std")
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
+    rewarded = rewarded.join(sums, same).drop(*(f"_{c}" for c in group))
     varied = (F.col("group_n") >= 2) & (F.col("group_std") > 0)
     return rewarded.withColumn("advantage", F.when(varied, (F.col("reward") - F.col("group_mean")) / F.col("group_std")).otherwise(0.0))
 

@@ -56,7 +56,7 @@ def fold(events: DataFrame, key: str = "session") -> DataFrame:
     none = F.lit(None).cast("string")
     breaks = rows.where(is_break).select(
         key, "turn", F.lit(1).alias("part"), F.when(user, "user").otherwise("tool_result").alias("kind"),
-        F.coalesce(F.when(user, F.col("text")).otherwise(F.coalesce("result_summary", "text")), F.lit("")).alias("text"), none.alias("reasoning"),
+        F.coalesce(F.when(user, F.col("text")).otherwise(F.col("result_summary")), F.lit("")).alias("text"), none.alias("reasoning"),
         F.array().cast("array<struct<id:string,name:string,arguments:string>>").alias("tool_calls"),
         F.when(~user, F.coalesce("call_id", F.lit(""))).alias("tool_call_id"), F.when(~user, F.coalesce("exit_code", F.lit(0))).alias("exit_code"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rollweave.operators.cells import CELL_TTL_S
+from rollweave.operators.cells import CELL_TTL_S, active_by_list
 from rollweave.schemas import LISTED_CELL
 
 CUT_YIELD, ALPHA, MIN_CELLS, FLOOR = 0.10, 2.0, 30, 0.03
@@ -82,7 +82,7 @@ def env_weights(
         pinned = F.when(F.col("env_name") == env, F.lit(float(least))).otherwise(pinned)
     raw = F.lit(floor) + score
     raised = F.coalesce(pinned > raw, F.lit(False))
-    label = F.when(raised, F.concat(label, F.lit(" pinned>="), pinned.cast("string"))).otherwise(label)
+    label = F.when(raised, F.concat(label, F.lit(" pinned>="), F.regexp_replace(pinned.cast("string"), r"\.0$", ""))).otherwise(label)
     return rows.select("env_name", F.bround(F.when(raised, pinned).otherwise(raw), 6).alias("weight"), label.alias("label"))
 
 
@@ -113,15 +113,38 @@ def reweight(spark: SparkSession, lists: DataFrame, yields: DataFrame, pins: dic
     return spark.createDataFrame(out, lists.schema)
 
 
-def top_up(targets: DataFrame, progress: DataFrame, active: DataFrame, tasks: DataFrame, as_of: Column, seed: int = 0) -> DataFrame:
-    """New cells that bring each environment to its target: tasks that exist, cells that don't, drawn by a seeded hash.
+def needs(targets: DataFrame, progress: DataFrame, as_of: Column) -> DataFrame:
+    """targets (parse_pool with n_target) with n_active, by list and environment and the list's own TTL, ``need`` and ``turn``.
 
-    Environments with the largest deficit come first in ``turn``; an environment without enough fresh cells gets what there is.
+    Environments with the largest deficit of their list have the first turn; those without one have none.
     """
-    deficits = targets.join(active, "env_name", "left").withColumn("need", F.col("n_target") - F.coalesce("n_active", F.lit(0))).where("need > 0")
-    turn = F.row_number().over(Window.partitionBy("list_name").orderBy(F.desc("need"), "pos"))
-    cells = deficits.withColumn("turn", turn).withColumn("task_id", F.explode(F.array_distinct("task_ids"))).withColumn("teacher_name", F.explode(F.array_distinct("teachers")))
+    active = active_by_list(progress, targets, as_of)
+    found = targets.join(active, ["list_name", "env_name"], "left").withColumn("n_active", F.coalesce("n_active", F.lit(0)))
+    found = found.withColumn("need", F.greatest(F.col("n_target") - F.col("n_active"), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("list_name").orderBy(F.desc("need"), "pos"))
+    return found.withColumn("turn", F.when(F.col("need") > 0, place))
+
+
+def top_up(targets: DataFrame, progress: DataFrame, tasks: DataFrame, as_of: Column, seed: int = 0) -> DataFrame:
+    """New cells that bring each environment of each list to its target: tasks that exist, cells that don't.
+
+    Cells are drawn in the order of an MD5 of seed, list, environment, task and teacher, so that a repeated cycle draws
+    alike. An environment without enough fresh cells gets what there is (see top_up_report).
+    """
+    cells = needs(targets, progress, as_of).where("need > 0")
+    cells = cells.withColumn("task_id", F.explode(F.array_distinct("task_ids"))).withColumn("teacher_name", F.explode(F.array_distinct("teachers")))
     cells = cells.join(tasks.select("env_name", "task_id").distinct(), ["env_name", "task_id"], "left_semi").join(progress.select(*LISTED_CELL), LISTED_CELL, "left_anti")
-    draw = Window.partitionBy("list_name", "env_name").orderBy(F.xxhash64(F.lit(seed), "env_name", "task_id", "teacher_name"), "task_id", "teacher_name")
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), "list_name", "env_name", F.col("task_id").cast("string"), "teacher_name"))
+    draw = Window.partitionBy("list_name", "env_name").orderBy(key, "task_id", "teacher_name")
     cells = cells.withColumn("place", F.row_number().over(draw)).where("place <= need")
     return cells.select(*LISTED_CELL, "target_samples", F.lit(0).alias("collected"), F.lit(0).alias("attempts"), as_of.alias("last_updated"), "turn")
+
+
+def top_up_report(targets: DataFrame, progress: DataFrame, added: DataFrame, as_of: Column) -> DataFrame:
+    """A row for each list: cells inserted, active cells afterwards, and the environments that had too few fresh cells."""
+    n = added.groupBy("list_name", "env_name").agg(F.count(F.lit(1)).alias("n"))
+    found = needs(targets, progress, as_of).join(n, ["list_name", "env_name"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return found.groupBy("list_name").agg(
+        F.sum("n").alias("inserted"), F.sum(F.col("n_active") + F.col("n")).alias("active_after"),
+        F.array_sort(F.collect_list(F.when(F.col("n") < F.col("need"), F.col("env_name")))).alias("saturated"),
+    )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own in the shared folder (spark.checkpoint.dir; a local one only where that is unset), which goes with the driver's JVM."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"file://{tempfile.gettempdir()}/rollweave-{os.getuid()}"
+    found = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return found
+
+
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     status = F.when(k % 10 <= 6, "ok").when(k % 10 == 7, "env_error").when(k % 10 == 8, "teacher_error").otherwise("empty_completion")
@@ -107,6 +126,7 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind[F.col("event_type")].alias("type"),
         F.when(F.col("event_type") == "view", word).alias("delta"),
         F.when((F.col("event_type") == "click") & (F.col("event_id") % 5 != 0), word).when(F.col("event_type") == "purchase", word).alias("text"),
+        F.when((F.col("event_type") == "purchase") & (F.col("event_id") % 4 != 0), F.concat(F.lit("r"), F.col("event_id").cast("string"))).alias("result_summary"),
         F.col("event_id").cast("string").alias("call_id"),
         F.when(F.col("event_type") == "error", F.col("event_id") % 100).alias("input_tokens"),
     )
@@ -119,6 +139,7 @@ trace AS (
       WHEN 'purchase' THEN 'tool.result' ELSE 'usage' END AS type,
     CASE WHEN event_type = 'view' THEN ' w' || event_id || ' ' END AS delta,
     CASE WHEN event_type = 'click' AND event_id % 5 <> 0 THEN ' w' || event_id || ' ' WHEN event_type = 'purchase' THEN ' w' || event_id || ' ' END AS text,
+    CASE WHEN event_type = 'purchase' AND event_id % 4 <> 0 THEN 'r' || event_id END AS result_summary,
     event_id::VARCHAR AS call_id, CASE WHEN event_type = 'error' THEN event_id % 100 END AS input_tokens
   FROM events)"""
 

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.functions import codecs, eed, text
-from rollweave.operators import cells, merge, metrics, pairs, publish, stats, trajectory, weights
+from rollweave.functions import chat, codecs, eed, text
+from rollweave.operators import cells, environments, merge, metrics, pairs, publish, requests, scoring, stats, trajectory, weights
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
+from rollweave.sources import files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,30 +89,82 @@ POOL = """{"pool":{"envs":["swe-rebench","swe-rebench","verifiers:view","verifie
 "teachers":["t0","t9"],"task_id_pool":{"swe-rebench":[1,2,3],"verifiers:view":[4,5],"verifiers:click":[6],"verifiers:purchase":[7,8]}},"target_active_cells":25,"target_samples":3}"""
 
 
-def _lists(spark):
-    return spark.createDataFrame([("list-0", POOL), ("list-1", POOL)], "list_name string, config string")
+#: Another list: its own weights, target, TTL and floor.
+OTHER_POOL = """{"pool":{"envs":["verifiers:purchase","swe-rebench","verifiers:view"],"teachers":["t1","t8","t9"],
+"task_id_pool":{"swe-rebench":[1,2,3,4,5],"verifiers:view":[4,5,9,11],"verifiers:purchase":[7,8,8]},"env_weights":{"swe-rebench":8,"verifiers:view":1.5},"cell_ttl_s":5,
+"min_active_per_env":4},"target_active_cells":40,"target_samples":5,"cell_ttl_s":2592000}"""
 
 
-@query(
-    "env_targets",
-    sql(
-        f"""SELECT list_name, env_name, n AS weight, greatest(1, round_even(n / sum(n) OVER (PARTITION BY list_name) * 25, 0)::INTEGER) AS n_target
-            FROM (SELECT list_name, env_name, count(*)::DOUBLE AS n
-                  FROM (SELECT DISTINCT list_name FROM progress), (SELECT unnest(json_extract_string('{POOL.replace(chr(10), "")}', '$.pool.envs[*]')) AS env_name) GROUP BY ALL)""",
-        ROLLOUTS, PROGRESS,
-    ),
-)
+def _lists(spark):
+    return spark.createDataFrame([("list-0", POOL), ("list-1", OTHER_POOL)], "list_name string, config string")
+
+
+def _line(x: str) -> str:
+    return x.replace("\n", "")
+
+
+TARGETS = f"""
+lists AS (SELECT * FROM (VALUES ('list-0', '{_line(POOL)}'::JSON), ('list-1', '{_line(OTHER_POOL)}'::JSON)) v(list_name, config)),
+listed AS (
+  SELECT list_name, config, env_name, min(pos) AS pos, count(*)::DOUBLE AS times
+  FROM (SELECT list_name, config, unnest(json_extract_string(config, '$.pool.envs[*]')) AS env_name, generate_subscripts(json_extract_string(config, '$.pool.envs[*]'), 1) AS pos FROM lists)
+  GROUP BY ALL),
+weighed AS (
+  SELECT *, CASE WHEN json_extract(config, '$.pool.env_weights') IS NULL THEN times
+      ELSE greatest(0.0, coalesce(json_extract_string(config, '$.pool.env_weights."' || env_name || '"')::DOUBLE, 0.0)) END AS weight,
+    coalesce(json_extract_string(config, '$.min_active_per_env'), json_extract_string(config, '$.pool.min_active_per_env'), '1')::INTEGER AS floor,
+    coalesce(json_extract_string(config, '$.cell_ttl_s'), json_extract_string(config, '$.pool.cell_ttl_s'), '21600')::INTEGER AS ttl,
+    json_extract_string(config, '$.target_active_cells')::INTEGER AS cells
+  FROM listed),
+targets AS (
+  SELECT *, greatest(floor, coalesce(round_even(weight / nullif(sum(weight) OVER (PARTITION BY list_name), 0) * cells, 0), 0)::INTEGER) AS n_target FROM weighed)"""
+
+NEEDS = f"""
+needs AS (
+  SELECT t.*, coalesce(a.n, 0) AS n_active, greatest(n_target - coalesce(a.n, 0), 0) AS need
+  FROM targets t LEFT JOIN (
+    SELECT p.list_name, p.env_name, count(*) AS n FROM progress p JOIN targets t ON t.list_name = p.list_name AND t.env_name = p.env_name
+    WHERE published_at IS NULL AND {OPEN} AND last_updated >= {AS_OF} - to_seconds(ttl) GROUP BY ALL) a ON a.list_name = t.list_name AND a.env_name = t.env_name),
+drawn AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY list_name, env_name ORDER BY md5('0|' || list_name || '|' || env_name || '|' || task_id || '|' || teacher_name), task_id, teacher_name) AS place
+    FROM (
+      SELECT DISTINCT n.list_name, n.env_name, n.need, turn, task_id, teacher_name
+      FROM (SELECT *, row_number() OVER (PARTITION BY list_name ORDER BY need DESC, pos) AS turn FROM needs) n,
+        LATERAL (SELECT unnest(json_extract(config, '$.pool.task_id_pool."' || env_name || '"')::INTEGER[]) AS task_id) i,
+        LATERAL (SELECT unnest(json_extract_string(config, '$.pool.teachers[*]')) AS teacher_name) e) c
+    WHERE EXISTS (SELECT 1 FROM rollouts r WHERE r.env_name = c.env_name AND r.task_id = c.task_id)
+      AND NOT EXISTS (SELECT 1 FROM progress p WHERE p.list_name = c.list_name AND p.env_name = c.env_name AND p.task_id = c.task_id AND p.teacher_name = c.teacher_name))
+  WHERE place <= need)"""
+
+
+@query("env_targets", f"WITH {TARGETS} SELECT list_name, env_name, weight, n_target FROM targets")
 def env_targets(spark, sf_dir):
     return weights.env_targets(weights.parse_pool(_lists(spark))).select("list_name", "env_name", "weight", "n_target")
 
 
-@query("pool_top_up")
+def _topped_up(spark, sf_dir):
+    rolls, targets = _rolls(spark, sf_dir), weights.env_targets(weights.parse_pool(_lists(spark)))
+    progress = derive.progress(rolls)
+    return targets, progress, weights.top_up(targets, progress, rolls.select("env_name", "task_id"), as_of())
+
+
+@query("pool_top_up", sql("SELECT list_name, env_name, task_id, teacher_name, turn FROM drawn", ROLLOUTS, PROGRESS, TARGETS, NEEDS))
 def pool_top_up(spark, sf_dir):
-    progress = _progress(spark, sf_dir)
-    targets = weights.env_targets(weights.parse_pool(_lists(spark)))
-    active = cells.active_by_env(progress, as_of())
-    tasks = _rolls(spark, sf_dir).select("env_name", "task_id")
-    return weights.top_up(targets, progress, active, tasks, as_of())
+    return _topped_up(spark, sf_dir)[2].select(*CELL.split(", "), "turn")
+
+
+@query(
+    "pool_report",
+    sql(
+        """SELECT list_name, sum(n)::BIGINT AS inserted, sum(n_active + n)::BIGINT AS active_after, coalesce(string_agg(env_name, ',' ORDER BY env_name) FILTER (n < need), '') AS saturated
+           FROM (SELECT list_name, env_name, need, n_active, coalesce(n, 0) AS n FROM needs LEFT JOIN (SELECT list_name, env_name, count(*) AS n FROM drawn GROUP BY ALL) d USING (list_name, env_name)) GROUP BY list_name""",
+        ROLLOUTS, PROGRESS, TARGETS, NEEDS,
+    ),
+)
+def pool_report(spark, sf_dir):
+    targets, progress, added = _topped_up(spark, sf_dir)
+    return weights.top_up_report(targets, progress, added, as_of()).withColumn("saturated", F.array_join("saturated", ","))
 
 
 # -- cells ----------------------------------------------------------------------------------------------------------------
@@ -212,36 +265,35 @@ def task_semi_join(spark, sf_dir):
     return events.join(derive.tasks(spark, sf_dir), "task_id", "left_semi").groupBy("task_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _new_list(spark, sf_dir, lo=None, hi=None):
-    rolls = _rolls(spark, sf_dir)
-    span = F.struct(F.min("task_id").cast("int").alias("lo"), (F.max("task_id") + 1).cast("int").alias("hi"))
-    environments = rolls.groupBy("env_name").agg(span.alias("task_id_range"))
-    out = cells.sampling_list(environments, rolls.select("teacher_name").distinct(), "new", 8, as_of(), lo, hi)
-    return out.select(*CELL.split(", "))
-
-
 @query(
     "sampling_list_init",
     sql(
-        "SELECT 'new' AS list_name, env_name, t.task_id::INTEGER AS task_id, teacher_name FROM (SELECT env_name, min(task_id) AS lo, max(task_id) + 1 AS hi FROM rollouts GROUP BY env_name), "
-        "generate_series(10, 59) t(task_id), (SELECT DISTINCT teacher_name FROM rollouts) WHERE t.task_id >= lo AND t.task_id < hi",
+        "SELECT 'new' AS list_name, env_name, unnest(generate_series(lo, hi - 1))::INTEGER AS task_id, teacher_name "
+        "FROM (SELECT env_name, min(task_id) AS lo, max(task_id) + 1 AS hi FROM rollouts GROUP BY env_name), (SELECT DISTINCT teacher_name FROM rollouts)",
         ROLLOUTS,
     ),
 )
 def sampling_list_init(spark, sf_dir):
-    return _new_list(spark, sf_dir, 10, 60)
+    rolls = _rolls(spark, sf_dir)
+    span = F.struct(F.min("task_id").cast("int").alias("lo"), (F.max("task_id") + 1).cast("int").alias("hi"))
+    environments = rolls.groupBy("env_name").agg(span.alias("task_id_range"))
+    return cells.sampling_list(environments, rolls.select("teacher_name").distinct(), "new", 8, as_of()).select(*CELL.split(", "))
 
 
 @query(
-    "sampling_list_whole",
+    "request_inputs",
     sql(
-        "SELECT 'new' AS list_name, env_name, unnest(generate_series(lo, hi - 1))::INTEGER AS task_id, teacher_name "
-        "FROM (SELECT env_name, min(task_id) AS lo, max(task_id) + 1 AS hi FROM rollouts GROUP BY env_name), (SELECT DISTINCT teacher_name FROM rollouts)",
-        ROLLOUTS,
+        f"""SELECT list_name, env_name, task_id, teacher_name, slot, 'p' || task_id AS problem, 'f' || right(teacher_name, 1) AS family FROM (
+              SELECT {CELL}, attempts AS slot FROM progress WHERE {CLAIMABLE} QUALIFY row_number() OVER (PARTITION BY list_name ORDER BY {CLAIM_ORDER}) <= 8)""",
+        ROLLOUTS, PROGRESS,
     ),
-)
-def sampling_list_whole(spark, sf_dir):
-    return _new_list(spark, sf_dir)
+)
+def request_inputs(spark, sf_dir):
+    rolls = _rolls(spark, sf_dir)
+    tasks = rolls.select("env_name", "task_id").distinct().withColumn("problem", F.concat(F.lit("p"), F.col("task_id").cast("string")))
+    teachers = rolls.select("teacher_name").distinct().withColumn("family", F.concat(F.lit("f"), F.right("teacher_name", F.lit(1))))
+    found = requests.with_task_and_teacher(cells.claim_each(derive.progress(rolls), 8), tasks, teachers)
+    return found.select(*CELL.split(", "), "slot", "task.problem", "teacher.family")
 
 
 @query(
@@ -326,7 +378,18 @@ def manifest_entries(spark, sf_dir):
     return _entries(spark, sf_dir)
 
 
-@query("manifest_lines")
+@query(
+    "manifest_lines",
+    sql(
+        f"""SELECT task_idx, '{{"attempts":' || attempts || ',"committed_at":"2024-01-31T00:00:00.000000+00:00","env_name":"' || env_name || '","list_name":"' || list_name || '","mature_at":"2024-01-31T00:00:00.000000+00:00"'
+              || ',"n_rollouts":' || n_rollouts || ',"object_key":"' || object_key || '","object_uri":"s3://bucket/' || object_key || '","reward_mean":' || reward_mean || ',"reward_std":' || reward_std
+              || ',"task_id":' || task_id || ',"task_idx":' || task_idx || ',"teacher_name":"' || teacher_name || '"}}' AS value
+            FROM (SELECT *, (1000 + before)::BIGINT AS task_idx, 'rollouts/tasks/' || lpad((1000 + before)::VARCHAR, 8, '0') || '.parquet' AS object_key
+                  FROM (SELECT *, coalesce(count(*) FILTER (action = 'commit') OVER (ORDER BY last_updated, {CELL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM classified)
+                  WHERE before < 200 AND action = 'commit')""",
+        ROLLOUTS, PROGRESS, CLASSIFIED,
+    ),
+)
 def manifest_lines(spark, sf_dir):
     return publish.manifest_lines(_entries(spark, sf_dir))
 
@@ -469,6 +532,56 @@ def select_pairs(spark, sf_dir):
     return pairs.select_pairs(_rolls(spark, sf_dir))
 
 
+@query(
+    "pairs_best_against_each",
+    sql(
+        """SELECT md5(concat_ws('|', r.env_name, r.task_id::VARCHAR, r.teacher_name, r.rollout_id::VARCHAR)) AS pair_id, r.env_name, r.task_id, r.teacher_name,
+             b.win_rollout_id, r.rollout_id AS lose_rollout_id, b.most - r.reward AS reward_gap
+           FROM rollouts r JOIN (SELECT env_name, task_id, teacher_name, max(reward) AS most, first(rollout_id ORDER BY reward DESC, rollout_id) AS win_rollout_id
+                                 FROM rollouts WHERE status = 'ok' AND reward IS NOT NULL GROUP BY ALL) b USING (env_name, task_id, teacher_name)
+           WHERE r.status = 'ok' AND r.reward IS NOT NULL AND b.most - r.reward > 0.25""",
+        ROLLOUTS,
+    ),
+)
+def pairs_best_against_each(spark, sf_dir):
+    return pairs.select_pairs(_rolls(spark, sf_dir), 0.25, "best_against_each")
+
+
+MEASURED = "measured AS (SELECT o_custkey AS student, o_totalprice AS win_ce, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice WHEN o_orderkey % 7 <> 0 THEN o_totalprice + o_orderkey % 11 - 5 END AS lose_ce FROM orders)"
+
+
+def _measured(spark, sf_dir):
+    k = F.col("o_orderkey")
+    lose = F.when(k % 5 == 0, F.col("o_totalprice")).when(k % 7 != 0, F.col("o_totalprice") + k % 11 - 5)
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("student"), F.col("o_totalprice").alias("win_ce"), lose.alias("lose_ce"), F.lit(0.5).alias("reward_gap"))
+
+
+@query(
+    "student_preferences",
+    sql("SELECT student, round(avg(CASE WHEN win_ce < lose_ce THEN 1.0 WHEN win_ce = lose_ce THEN 0.5 WHEN lose_ce IS NOT NULL THEN 0.0 END), 6) AS mean_score, count(lose_ce) AS n_scored FROM measured GROUP BY student", MEASURED),
+)
+def student_preferences(spark, sf_dir):
+    return scoring.mean_scores(scoring.score_pairs(_measured(spark, sf_dir), "preference"), "student").withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query("student_margins", sql("SELECT student, round(avg(lose_ce - win_ce), 6) AS mean_score, count(lose_ce) AS n_scored FROM measured GROUP BY student", MEASURED))
+def student_margins(spark, sf_dir):
+    return scoring.mean_scores(scoring.score_pairs(_measured(spark, sf_dir)), "student").withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query(
+    "student_rollout_scores",
+    sql(
+        """SELECT task_id, round(avg(CASE WHEN n >= 2 AND s > 0 THEN (reward - m) / s ELSE 0 END * exp(-(rollout_id % 10) / 10.0)), 6) AS mean_score, count(*) AS n_scored
+           FROM (SELECT *, count(*) OVER w AS n, avg(reward) OVER w AS m, stddev_pop(reward) OVER w AS s FROM rollouts WHERE reward IS NOT NULL WINDOW w AS (PARTITION BY task_id)) GROUP BY task_id""",
+        ROLLOUTS,
+    ),
+)
+def student_rollout_scores(spark, sf_dir):
+    rows = stats.advantages(_rolls(spark, sf_dir)).withColumns({"ce": F.col("rollout_id") % 10 / 10.0, "n_tokens": F.lit(1)})
+    return scoring.mean_scores(scoring.score_rollouts(rows), "task_id").withColumn("mean_score", F.round("mean_score", 6))
+
+
 @query("pairs_page", sql("SELECT pair_id, reward_gap FROM pairs WHERE pair_id > '4' AND reward_gap >= 0.5 ORDER BY pair_id LIMIT 50", ROLLOUTS, PAIRS))
 def pairs_page(spark, sf_dir):
     return pairs.page(select_pairs(spark, sf_dir), "4", 50, min_gap=0.5).select("pair_id", "reward_gap")
@@ -502,11 +615,33 @@ def claim_next_run(spark, sf_dir):
     return pairs.next_run(derive.scores(spark, sf_dir)).select("run_id", "student")
 
 
-@query("mark_failed", sql("""SELECT run_id, CASE WHEN run_id % 10 = 0 THEN 'failed' ELSE status END AS status, CASE WHEN run_id % 10 = 0 THEN '{"a":"1","error":"' || left(repeat('e', 1999 + (run_id % 3)::INTEGER), 2000) || '"}' ELSE '{"a":"1","error":"x"}' END AS config FROM scores""", SCORES))
+@query(
+    "claim_next_run_running",
+    sql(
+        f"""SELECT run_id, CASE WHEN run_id = next THEN 'running' ELSE status END AS status, CASE WHEN run_id = next THEN {AS_OF} ELSE started_at END AS started_at
+            FROM scores, (SELECT run_id AS next FROM scores WHERE status = 'queued' ORDER BY started_at NULLS FIRST, run_id LIMIT 1)""",
+        SCORES,
+    ),
+)
+def claim_next_run_running(spark, sf_dir):
+    return pairs.claim_next(derive.scores(spark, sf_dir), as_of()).select("run_id", "status", "started_at")
+
+
+@query(
+    "mark_failed",
+    sql(
+        f"""SELECT run_id, CASE WHEN run_id % 10 = 0 THEN 'failed' ELSE status END AS status, CASE WHEN run_id % 10 = 0 THEN {AS_OF} ELSE finished_at END AS finished_at,
+              CASE WHEN run_id % 10 <> 0 THEN config WHEN run_id % 20 = 0 THEN '{{"error":"' || err || '"}}' ELSE '{{"a":1,"b":{{"c":[true,null,"1"]}},"error":"' || err || '"}}' END AS config
+            FROM (SELECT *, CASE WHEN run_id % 20 <> 0 THEN '{{"a":1,"b":{{"c":[true,null,"1"]}},"error":"x"}}' END AS config, left(repeat('e', 1999 + (run_id % 3)::INTEGER), 2000) AS err FROM scores)""",
+        SCORES,
+    ),
+)
 def mark_failed(spark, sf_dir):
-    scores = derive.scores(spark, sf_dir).withColumn("config", F.lit('{"a":"1","error":"x"}'))
-    failures = scores.where("run_id % 10 = 0").select("run_id", F.expr("repeat('e', cast(1999 + run_id % 3 as int))").alias("error"))
-    return merge.mark_failed(scores, failures).select("run_id", "status", "config")
+    """Of the failures named, those of a wrong revision end no run."""
+    scores = derive.scores(spark, sf_dir).withColumn("config", F.when(F.col("run_id") % 20 != 0, F.lit('{"a":1,"b":{"c":[true,null,"1"]},"error":"x"}')))
+    revision = F.when(F.col("run_id") % 10 == 0, F.col("revision")).otherwise("another")
+    failures = scores.where("run_id % 5 = 0").select("run_id", "student", revision.alias("revision"), F.expr("repeat('e', cast(1999 + run_id % 3 as int))").alias("error"))
+    return merge.mark_failed(scores, failures, as_of()).select("run_id", "status", "finished_at", "config")
 
 
 @query("find_by_hash", "SELECT o_orderkey AS run_id, md5(o_custkey::VARCHAR) AS model_hash FROM orders WHERE md5(o_custkey::VARCHAR) = md5('7')")
@@ -580,6 +715,123 @@ def pytest_parse(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "r.passed", "r.total", F.round("r.score", 9).alias("score"))
 
 
+@query(
+    "pytest_tail",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN (l_orderkey + l_linenumber) % 60 < 50 THEN l_quantity::INTEGER ELSE 0 END AS passed FROM lineitem""",
+)
+def pytest_tail(spark, sf_dir):
+    """Logs whose one count stands in the first to sixtieth last line, and that end in a line end of one kind or another: the last 50 lines count."""
+    after = (F.col("l_orderkey") + F.col("l_linenumber")) % 60
+    end = F.element_at(F.array(*map(F.lit, ("\n", "\r\n", "\r", "\u2028", ""))), (F.col("l_orderkey") % 5 + 1).cast("int"))
+    feed = F.when(end == "", F.lit("\n")).otherwise(end)
+    tail = F.array_join(F.transform(F.sequence(F.lit(0), after.cast("int")), lambda i: F.when(i == 0, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("  passed"))).otherwise(F.lit("line"))), "\u0000")
+    log = F.concat(F.lit("x"), feed, F.concat_ws("", F.array(F.replace(tail, F.lit("\u0000"), feed))), end)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.pytest_result(log)["passed"].alias("passed"))
+
+
+@query(
+    "runs_graded",
+    """SELECT event_id, CASE WHEN event_type = 'error' THEN round((event_id % 9) / (event_id % 9 + 3)::DOUBLE, 9) ELSE value END AS reward,
+         CASE WHEN event_id % 4 = 0 THEN '' ELSE 'diff ' || event_id || chr(10) END AS patch FROM events""",
+)
+def runs_graded(spark, sf_dir):
+    i = F.col("event_id").cast("string")
+    log = F.concat(F.lit("==== "), (F.col("event_id") % 9).cast("string"), F.lit(" passed, 3 failed in 1s ====\n"))
+    diff = F.when(F.col("event_id") % 4 == 0, F.lit(" \n")).otherwise(F.concat(F.lit("\n diff "), i, F.lit("\n\n")))
+    env = F.when(F.col("event_type") == "error", "swe-rebench:python").otherwise(F.concat(F.lit("verifiers:"), "event_type"))
+    runs = table(spark, sf_dir, "events").select("event_id", env.alias("env_name"), log.alias("log"), diff.alias("diff"), F.col("value").alias("reward"))
+    return environments.graded(runs).select("event_id", F.when(F.col("env_name").startswith("swe"), F.round("reward", 9)).otherwise(F.col("reward")).alias("reward"), "patch")
+
+
+@query(
+    "prompts",
+    """SELECT p_partkey, concat_ws(chr(10), CASE WHEN p_size % 2 = 0 THEN 'Repository: ' || p_brand END, CASE WHEN p_size % 3 = 0 THEN 'Language: ' || p_type END, p_name, CASE WHEN p_size % 5 = 0 THEN 'hint' END) AS prompt,
+         p_name || chr(10) AS patch, CASE WHEN p_size % 4 > 0 THEN least(p_size, p_size % 4 * 10) ELSE p_size END AS max_tokens, CASE WHEN p_size % 2 = 0 THEN 0.5 END::DOUBLE AS temperature FROM part""",
+)
+def prompts(spark, sf_dir):
+    size = F.col("p_size")
+    prompt = text.user_prompt(F.col("p_name"), F.when(size % 2 == 0, F.col("p_brand")), F.when(size % 3 == 0, F.col("p_type")).otherwise(""), F.when(size % 5 == 0, F.lit("hint")))
+    args = text.sampling_args(size, size % 4 * 10, F.when(size % 2 == 0, F.lit(0.5)).otherwise(F.lit(-1.0)), F.lit(-1.0))
+    rows = table(spark, sf_dir, "part").select("p_partkey", prompt.alias("prompt"), text.patch_text(F.concat(F.lit("\n\t "), "p_name", F.lit("\n\n\n"))).alias("patch"), args.alias("a"))
+    return rows.select("p_partkey", "prompt", "patch", "a.max_tokens", "a.temperature")
+
+
+@query(
+    "chat_response",
+    """SELECT conv_id, turn, text, CASE WHEN turn % 2 = 0 THEN 'stop' END AS finish_reason, turn AS tokens_in, CASE WHEN turn % 3 = 0 THEN conv_id END AS tokens_out,
+         CASE turn % 3 WHEN 0 THEN '{"a":1}' ELSE '{}' END AS usage FROM conversations""",
+)
+def chat_response(spark, sf_dir):
+    turn = F.col("turn")
+    body = F.to_json(
+        F.struct(
+            F.array(F.struct(F.struct(F.col("text").alias("content")).alias("message"), F.when(turn % 2 == 0, "stop").alias("finish_reason"))).alias("choices"),
+            F.struct(turn.alias("prompt_tokens"), F.when(turn % 3 == 0, F.col("conv_id")).alias("completion_tokens")).alias("usage"),
+        )
+    )
+    usage = F.when(turn % 3 == 0, F.lit('{"a":1}')).when(turn % 3 == 1, F.lit("[1]")).otherwise(F.lit("no json"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", chat.response(body).alias("r"), chat.usage_object(usage).alias("usage"))
+    return rows.select("conv_id", "turn", "r.*", "usage")
+
+
+@query(
+    "request_texts",
+    """SELECT conv_id, '[' || string_agg('{"role":"' || role || '","content":' || to_json(coalesce(text, ''))::VARCHAR || CASE WHEN role = 'tool' THEN ',"tool_call_id":"c"' ELSE '' END || '}', ',' ORDER BY turn, role, text) || ']' AS messages
+       FROM conversations GROUP BY conv_id""",
+)
+def request_texts(spark, sf_dir):
+    none = F.lit(None).cast("array<struct<id:string,name:string,arguments:string,malformed:boolean>>")
+    full = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), none.alias("tool_calls"), F.lit("c").alias("tool_call_id")))
+    return derive.trajectories(spark, sf_dir).select("conv_id", chat.request_messages(full).alias("messages"))
+
+
+@query("task_file", "SELECT doc_id::INTEGER AS task_id, 'docs' AS env_name, md5(text) AS problem FROM documents WHERE doc_id >= 5")
+def task_file(spark, sf_dir):
+    """The documents as a JSON-lines task file, read back; blank lines and lines that aren't JSON are in it."""
+    at = f"{derive.new_folder(spark, 'tasks')}/lines"
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("problem_statement")))
+    noise = F.when(F.col("doc_id") % 3 == 0, F.array(line, F.lit(" "))).when(F.col("doc_id") % 3 == 1, F.array(F.lit("{broken"), line)).otherwise(F.array(line))
+    table(spark, sf_dir, "documents").select(F.explode(noise).alias("value")).write.text(at)
+    return files.tasks(spark, at, "docs", lo=5).select("task_id", "env_name", F.md5("problem").alias("problem"))
+
+
+@query(
+    "manifest_file",
+    sql(
+        f"""SELECT row_number() OVER (ORDER BY task_idx) - 1 AS line_no, env_name, task_id, teacher_name, task_idx FROM (
+              SELECT env_name, task_id::INTEGER AS task_id, teacher_name, 1000 + before AS task_idx
+              FROM (SELECT *, coalesce(count(*) FILTER (action = 'commit') OVER (ORDER BY last_updated, {CELL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM classified)
+              WHERE before < 200 AND action = 'commit')""",
+        ROLLOUTS, PROGRESS, CLASSIFIED,
+    ),
+)
+def manifest_file(spark, sf_dir):
+    """The cycle's lines as a file, read back with their places."""
+    at = f"{derive.new_folder(spark, 'manifest')}/lines"
+    manifest_lines(spark, sf_dir).repartitionByRange(3, "task_idx").sortWithinPartitions("task_idx").select("value").write.text(at)
+    return files.manifest(spark, at).where("valid").select("line_no", "env_name", "task_id", "teacher_name", "task_idx")
+
+
+@query(
+    "shard_files",
+    sql(
+        f"""SELECT (1000 + before)::BIGINT AS task_idx, count(*) AS n, round(sum(r.reward), 6) AS reward FROM (
+              SELECT *, coalesce(count(*) FILTER (action = 'commit') OVER (ORDER BY last_updated, {CELL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM classified) c
+            JOIN rollouts r ON r.env_name = c.env_name AND r.task_id = c.task_id AND r.teacher_name = c.teacher_name AND r.status = 'ok' AND r.sample_idx < c.attempts
+            WHERE before < 200 AND action = 'commit' GROUP BY before""",
+        ROLLOUTS, PROGRESS, CLASSIFIED,
+    ),
+)
+def shard_files(spark, sf_dir):
+    """The cycle's shards written as files and read back."""
+    at, rolls = derive.new_folder(spark, "shards"), _rolls(spark, sf_dir)
+    found = store.write_shards(publish.shard_rows(publish.plan_cycle(_classified(spark, sf_dir), 1000, 200), rolls), at)
+    found.select("task_idx").agg(F.max("task_idx")).collect()  # writes the files
+    idx = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.parquet$", 1).cast("long")
+    rows = spark.read.schema("reward double, status string").parquet(f"{at}/tasks").select("reward", idx.alias("task_idx"))
+    return rows.groupBy("task_idx").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("reward"), 6).alias("reward"))
+
+
 @query(
     "reward_extract",
     """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value WHEN event_id % 3 = 1 THEN (event_id % 7) / greatest(event_id % 11, 1)::DOUBLE END AS reward FROM events""",
@@ -626,7 +878,7 @@ a AS (
     "events_to_steps",
     sql(
         """SELECT session, turn, 0 AS part, 'assistant' AS kind, nullif(trim(text, ' '), '') AS text, coalesce(calls, '') AS calls, NULL::VARCHAR AS tool_call_id FROM a WHERE text IS NOT NULL OR n_calls > 0
-           UNION ALL SELECT session, turn, 1, 'tool_result', coalesce(text, ''), '', call_id FROM t WHERE type = 'tool.result'""",
+           UNION ALL SELECT session, turn, 1, 'tool_result', coalesce(result_summary, ''), '', call_id FROM t WHERE type = 'tool.result'""",
         TRACE, FOLD,
     ),
 )

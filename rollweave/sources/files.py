@@ -27,8 +27,12 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """line_no from 0 over all lines; for manifests, which are one file."""
-    return rows.withColumn("line_no", F.row_number().over(Window.orderBy("file", "pos")) - 1)
+    """line_no from 0 over all lines, files by name. Only the parts of files that tasks read, a row each, are ordered in one place."""
+    part = F.shiftright("pos", 33)
+    parts = rows.groupBy("file", part.alias("part")).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
+    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("file", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = rows.withColumn("part", part).join(parts.drop("n"), ["file", "part"])
+    return placed.withColumn("line_no", F.col("before") + F.col("pos") - F.col("first")).drop("part", "first", "before")
 
 
 def _picked(columns: tuple[str, ...]) -> Column:

@@ -1,7 +1,8 @@
 """Snapshot tables on plain files, and the publisher's shards, manifest and metadata.
 
-A table is a folder of numbered versions and a pointer to the current one. A write makes a new version beside and then
-moves the pointer, so readers see one whole version, and a write that dies leaves nothing that counts.
+A table is a folder of data folders and a log. Each log entry is a version: the list of the data folders that it is made
+of. A write makes a new data folder and then the next log entry, so readers see one whole version, a write that dies
+leaves nothing that counts, and of two writers that began from one version the second fails.
 """
 
 from __future__ import annotations
@@ -13,35 +14,67 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 
-
 from rollweave.operators import publish as plans
 from rollweave.schemas import LISTED_CELL, SHARD, TABLES, struct
 from rollweave.sources import files
 from rollweave.sources.blobs import Blobs
 
 
+class Conflict(Exception):
+    """Another writer has made the version that a write was to make."""
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.blobs, self.root = spark, Blobs(spark, root), root.rstrip("/")
 
-    def read(self, name: str) -> DataFrame:
-        at = self.blobs.get(f"{name}/_current")
-        if at is None:
-            return self.spark.createDataFrame([], struct(TABLES[name]))
-        return self.spark.read.parquet(f"{self.root}/{name}/{at.decode()}")
-
-    def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/{name}/{version}")
-        self.blobs.put(f"{name}/_current", version.encode())
-
-    def append(self, name: str, df: DataFrame) -> None:
-        """New rows as files of the current version."""
-        at = self.blobs.get(f"{name}/_current")
-        if at is None:
-            self.write(name, df)
-        else:
-            df.write.mode("append").option("compression", "zstd").parquet(f"{self.root}/{name}/{at.decode()}")
+    def version(self, name: str) -> int:
+        """The number of the current version; 0 before the first write. A log that is gone from under its data is an error."""
+        entries = [x for x in self.blobs.names(f"{name}/_log") if x.isdigit()]
+        if not entries and any(x.startswith("v-") for x in self.blobs.names(name)):
+            raise FileNotFoundError(f"{self.root}/{name} has data and no log")
+        return int(entries[-1]) if entries else 0
+
+    def _folders(self, name: str, version: int) -> list[str]:
+        return json.loads(self.blobs.get(self._entry(name, version)))["folders"] if version else []
+
+    @staticmethod
+    def _entry(name: str, version: int) -> str:
+        return f"{name}/_log/{version:020d}"
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """The current version, or an earlier one; without rows before the first write."""
+        if folders := self._folders(name, self.version(name) if version is None else version):
+            return self.spark.read.parquet(*(f"{self.root}/{name}/{x}" for x in folders))
+        return self.spark.createDataFrame([], struct(TABLES[name]))
+
+    def _commit(self, name: str, df: DataFrame, base: int, held: list[str], partition_by: tuple[str, ...]) -> int:
+        if not base:  # the log is there before any data is
+            self.blobs.put_new(self._entry(name, 0), json.dumps({"folders": []}).encode())
+        folder = f"v-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(f"{self.root}/{name}/{folder}")
+        if not self.blobs.put_new(self._entry(name, base + 1), json.dumps({"folders": [*held, folder]}).encode()):
+            raise Conflict(f"version {base + 1} of {name} was written by someone else")
+        return base + 1
+
+    def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), base: int | None = None) -> int:
+        """df becomes the table's next version; returns its number.
+
+        ``base``: the version that df was made from, now by default. If it isn't the current one any more, nothing is
+        written over it and Conflict is raised: read again and repeat.
+        """
+        return self._commit(name, df, self.version(name) if base is None else base, [], partition_by)
+
+    def append(self, name: str, df: DataFrame, tries: int = 10) -> int:
+        """A version of all that the table holds and new rows, which are one more data folder. Repeated where other writers come between."""
+        for left in reversed(range(tries)):
+            base = self.version(name)
+            try:
+                return self._commit(name, df, base, self._folders(name, base), ())
+            except Conflict:
+                if not left:
+                    raise
+        raise ValueError("tries must be positive")
 
 
 def write_shards(rows: DataFrame, root: str, prefix: str = "") -> DataFrame:
@@ -108,19 +141,23 @@ class Publisher:
 
     def publish(self, pending: DataFrame, rollouts: DataFrame, now: Column, cap: int = plans.MAX_NEW, mature_after_s: int = 0, stamp: str = "") -> DataFrame:
         """One cycle; returns the cells that it handled, to be marked. The manifest is written before any mark, so what a crash leaves
-        unmarked is found again as recovered. A cycle has ``cap`` new manifest lines at most, which the driver appends."""
+        unmarked is found again as recovered. A cycle has ``cap`` new manifest lines at most, which the driver appends; the
+        plan, of any number of cells, is a table below _cycles, which done() deletes."""
         next_idx = len(self.manifest_text().splitlines())
         known = self.manifest().where("valid")
-        plan = plans.plan_cycle(plans.classify(pending, rollouts, known), next_idx, cap).persist()
-        try:
-            write_shards(plans.shard_rows(plan, rollouts), self.root, self.prefix).count()
-            entries = plans.manifest_entries(plan, now, self.root, self.prefix, mature_after_s)
-            total = self._append([r["value"] for r in plans.manifest_lines(entries).orderBy("task_idx").collect()])
-            self.blobs.put(f"{self.prefix}metadata.json", json.dumps({"version": 1, "last_updated": stamp, "tasks": {"total": total}}, sort_keys=True).encode())
-            handled = self.spark.createDataFrame(plan.select(*LISTED_CELL, "action", "task_idx").collect(), plan.select(*LISTED_CELL, "action", "task_idx").schema)
-        finally:
-            plan.unpersist()
-        return handled
+        at = f"{self.root}/{self.prefix}_cycles/{uuid.uuid4().hex}"
+        made = plans.plan_cycle(plans.classify(pending, rollouts, known), next_idx, cap)
+        made.write.option("compression", "zstd").parquet(at)
+        plan = self.spark.read.schema(made.schema).parquet(at)
+        write_shards(plans.shard_rows(plan, rollouts), self.root, self.prefix).count()
+        entries = plans.manifest_entries(plan, now, self.root, self.prefix, mature_after_s)
+        total = self._append([r["value"] for r in plans.manifest_lines(entries).orderBy("task_idx").collect()])
+        self.blobs.put(f"{self.prefix}metadata.json", json.dumps({"version": 1, "last_updated": stamp, "tasks": {"total": total}}, sort_keys=True).encode())
+        return plan.select(*LISTED_CELL, "action", "task_idx")
+
+    def done(self) -> None:
+        """Deletes the cycles' plans; call it once the cells that publish() returned are marked."""
+        self.blobs.delete(f"{self.prefix}_cycles")
 
     def promote(self, public: Publisher, progress: DataFrame, now: Column, now_text: str, max_per_cycle: int = plans.MAX_PER_CYCLE, max_per_day: int = plans.MAX_PER_DAY, stage_days: int = plans.STAGE_DAYS) -> DataFrame:
         """Copies mature cells to the public bucket, first published first; returns every cell that is public and unmarked."""
@@ -145,5 +182,3 @@ def audit(spark: SparkSession, actor: str, action: str, target: str, payload: di
     """A row of the audit log."""
     row = spark.createDataFrame([(id_, actor, action, target, json.dumps(payload, sort_keys=True))], "id long, actor string, action string, target string, payload string")
     return row.select("id", now.alias("ts"), "actor", "action", "target", "payload")
-
-

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -92,17 +93,25 @@ def heartbeats(spark: SparkSession, worker_id: str, service: str, version: str,
     )
 
 
-def cycles(stages: list[tuple[str, Callable[[], None]]], failed: Callable[[str, Exception], None]) -> None:
-    """One round of a service loop: each stage runs whether or not an earlier one failed."""
+def cycles(
+    stages: list[tuple[str, Callable[[], None]]], failed: Callable[[str, Exception], None], every: dict[str, float] | None = None,
+    last: dict[str, float] | None = None, clock: Callable[[], float] = time.monotonic,
+) -> None:
+    """One round of a service loop: each stage runs whether or not an earlier one failed.
+
+    ``every``: seconds that must have passed since a stage's last successful run, which ``last`` keeps between rounds.
+    """
+    last = {} if last is None else last
     for name, stage in stages:
+        if name in last and clock() - last[name] < (every or {}).get(name, 0):
+            continue
         try:
             stage()
+            last[name] = clock()
         except Exception as e:  # noqa: BLE001  reported, and the next round tries again
             failed(name, e)
 
 
-
-
 def claim_loop(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], hand_out: Callable[[DataFrame], None], batch: int, seconds: int = 5) -> Callable[[SparkSession], StreamingQuery]:
     """A producer's claims as a stream: each tick claims from the current snapshot, writes the counted attempts and hands the cells out.
 

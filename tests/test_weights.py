@@ -1,104 +1,171 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollweave.operators import cells, weights
 
-POOL = {"envs": ["a", "a", "a", "b", "c"], "teachers": ["t1", "t2"], "task_id_pool": {"a": [0, 1, 2], "b": [0, 1], "c": [0]}}
+STAMP = "timestamp_ntz'2024-03-01 12:00:00'"
 
 
-def parsed(spark, pool=None, **top):
-    config = {"pool": POOL | (pool or {}), "target_active_cells": 100, "target_samples": 12} | top
-    return weights.parse_pool(spark.createDataFrame([("l", json.dumps(config))], "list_name string, config string"))
+def now():
+    return F.expr(STAMP)
 
 
-def targets(df):
+def lists(spark, **configs):
+    return spark.createDataFrame([(k, json.dumps(v)) for k, v in configs.items()], "list_name string, config string")
+
+
+def pool_of(spark, names, shares=None, cells=40, **more):
+    pool = {"envs": names, "teachers": ["north", "south"], "task_id_pool": {n: [1] for n in names}} | ({"env_weights": shares} if shares else {})
+    return weights.parse_pool(lists(spark, one={"pool": pool, "target_active_cells": cells} | more))
+
+
+def targets_of(df):
     return {r["env_name"]: r["n_target"] for r in weights.env_targets(df).collect()}
 
 
-def test_multiplicity_weights_and_defaults(spark):
-    rows = parsed(spark).collect()
-    assert [(r["env_name"], r["weight"]) for r in sorted(rows, key=lambda r: r["pos"])] == [("a", 3.0), ("b", 1.0), ("c", 1.0)]
-    assert {r["cell_ttl_s"] for r in rows} == {21_600}
-    assert targets(parsed(spark)) == {"a": 60, "b": 20, "c": 20}
+# -- targets ----------------------------------------------------------------------------------------------------------------
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=6), st.integers(10, 400), st.integers(0, 4))
+def test_targets_share_the_cells_and_hold_the_floor(spark, shares, cells, floor):
+    names = [f"env{i}" for i in range(len(shares))]
+    got = targets_of(pool_of(spark, names, dict(zip(names, map(float, shares), strict=True)), cells, min_active_per_env=floor))
+    want = {n: max(floor, round(x / sum(shares) * cells)) for n, x in zip(names, shares, strict=True)}  # Python rounds half to even too
+    assert got == want and abs(sum(got.values()) - cells) <= len(names) * (0.5 + floor)
+
+
+def test_halves_go_to_the_even_number(spark):
+    assert targets_of(pool_of(spark, ["p", "q"], {"p": 1.0, "q": 1.0}, 5)) == {"p": 2, "q": 2}
+    assert targets_of(pool_of(spark, ["p", "q"], {"p": 1.0, "q": 3.0}, 6)) == {"p": 2, "q": 4}
+
+
+def test_listing_an_environment_more_often_weighs_it(spark):
+    rows = {r["env_name"]: r for r in pool_of(spark, ["q", "p", "q", "r", "q", "q"]).collect()}
+    assert {n: r["weight"] for n, r in rows.items()} == {"q": 4, "p": 1, "r": 1} and [rows[n]["pos"] for n in "qpr"] == [0, 1, 2]
 
 
-def test_explicit_weights(spark):
-    assert targets(parsed(spark, {"env_weights": {"a": 8, "b": 2, "c": 0}})) == {"a": 80, "b": 20, "c": 1}
-    assert targets(parsed(spark, {"env_weights": {"a": 100, "b": -1}, "min_active_per_env": 5})) == {"a": 100, "b": 5, "c": 5}
-    assert targets(parsed(spark, {"env_weights": {"a": 0.0}})) == {"a": 1, "b": 1, "c": 1}
+def test_defaults_and_places_of_settings(spark):
+    assert (weights.TARGET_ACTIVE, weights.TARGET_SAMPLES, cells.CELL_TTL_S, weights.MIN_ACTIVE) == (16, 8, 21_600, 1)
+    bare = {"envs": ["p"], "teachers": ["north"], "task_id_pool": {"p": [0]}}
+    got = {
+        r["list_name"]: (r["target_active_cells"], r["target_samples"], r["cell_ttl_s"], r["min_active_per_env"])
+        for r in weights.parse_pool(lists(spark, bare={"pool": bare}, inner={"pool": bare | {"cell_ttl_s": 7, "min_active_per_env": 3}}, both={"pool": bare | {"cell_ttl_s": 7}, "cell_ttl_s": 11})).collect()
+    }
+    assert got == {"bare": (16, 8, 21_600, 1), "inner": (16, 8, 7, 3), "both": (16, 8, 11, 1)}
 
 
-def test_top_level_ttl(spark):
-    assert {r["cell_ttl_s"] for r in parsed(spark, {"cell_ttl_s": 5}, cell_ttl_s=3600).collect()} == {3600}
+def test_weights_below_zero_and_missing_ones_are_none(spark):
+    assert targets_of(pool_of(spark, ["p", "q", "r"], {"p": -4.0, "q": 2.0}, 30, min_active_per_env=2)) == {"p": 2, "q": 30, "r": 2}
+    assert targets_of(pool_of(spark, ["p", "q"], {"p": 0.0}, 30, min_active_per_env=3)) == {"p": 3, "q": 3}
 
 
-@pytest.mark.parametrize("broken", [{"envs": []}, {"teachers": []}, {"task_id_pool": {"a": [1], "b": [1]}}])
-def test_bad_pools(spark, broken):
+@pytest.mark.parametrize("config", [{}, {"pool": 3}, {"pool": {"envs": [], "teachers": ["t"], "task_id_pool": {}}}, {"pool": {"envs": ["p"], "teachers": [], "task_id_pool": {"p": [1]}}}, {"pool": {"envs": ["p"], "teachers": ["t"], "task_id_pool": {"p": []}}}])
+def test_pools_that_lack_something(spark, config):
     with pytest.raises(Exception, match="pool"):
-        parsed(spark, broken).collect()
+        weights.parse_pool(lists(spark, one=config)).collect()
 
 
-def weighed(spark, found, envs, pins=None):
-    yields = spark.createDataFrame([(e, n, 0, y) for e, (y, n) in found.items()], "env_name string, n_cells long, n_varied long, yield double")
-    rows = weights.env_weights(spark.createDataFrame([(e,) for e in envs], "env_name string"), yields, pins).collect()
-    return {r["env_name"]: r["weight"] for r in rows}, {r["env_name"]: r["label"] for r in rows}
+# -- weights by yield -------------------------------------------------------------------------------------------------------
 
 
-def test_cut_warmup_and_alpha(spark):
-    found = {"hot": (0.5, 200), "mid": (0.2, 200), "dud": (0.03, 200), "fresh": (0.0, 5)}
-    w, labels = weighed(spark, found, found)
-    assert w == {"hot": 0.28, "mid": 0.07, "dud": 0.03, "fresh": 0.07}
-    assert labels["dud"].startswith("CUT") and labels["fresh"].startswith("warmup")
-    assert (w["hot"] - 0.03) / (w["mid"] - 0.03) > 5
+def weighed(spark, yields, pins=None, **knobs):
+    found = spark.createDataFrame([(e, n, 0, y) for e, (y, n) in yields.items()], "env_name string, n_cells long, n_varied long, yield double")
+    rows = weights.env_weights(spark.createDataFrame([(e,) for e in [*yields, "unseen"]], "env_name string"), found, pins, **knobs).collect()
+    return {r["env_name"]: (r["weight"], r["label"]) for r in rows}
 
 
-def test_no_data_is_uniform(spark):
-    w, labels = weighed(spark, {}, ["a", "b"])
-    assert w == {"a": 0.04, "b": 0.04} and all(x.startswith("warmup") for x in labels.values())
+def test_weights_follow_the_rule(spark):
+    """Floor plus yield to the power alpha; poor environments keep the floor, young ones sample at the median, pins raise."""
+    assert (weights.CUT_YIELD, weights.ALPHA, weights.MIN_CELLS, weights.FLOOR, weights.DEFAULT_PINS) == (0.10, 2.0, 30, 0.03, {"swe-rebench": 0.10})
+    rng = random.Random(4)
+    yields = {f"e{i}": (round(rng.random() * 0.6, 3), rng.choice([3, 29, 30, 90])) for i in range(24)}
+    old = sorted(y for y, n in yields.values() if n >= 30)
+    median = (old[(len(old) - 1) // 2] + old[len(old) // 2]) / 2
+    pins = {"e0": 0.9, "e1": 1.0, "e2": 0.0}
+    got = weighed(spark, yields, pins)
+    for env, (y, n) in (yields | {"unseen": (0.0, 0)}).items():
+        raw = 0.03 + (max(median, 0.1) ** 2 if n < 30 else 0 if y < 0.1 else y**2)
+        assert got[env][0] == pytest.approx(max(raw, pins.get(env, 0)), abs=1e-6)
+        assert ("warmup" in got[env][1]) == (n < 30) and ("CUT" in got[env][1]) == (n >= 30 and y < 0.1) and (" pinned>=" in got[env][1]) == (pins.get(env, 0) > raw)
+    assert got["e0"][1].endswith(" pinned>=0.9") and got["e1"][1].endswith(" pinned>=1")
 
 
-def test_pin(spark):
-    w, labels = weighed(spark, {"swe-rebench": (0.06, 200), "other": (0.5, 200)}, ["swe-rebench", "other"], {"swe-rebench": 0.10})
-    assert w["swe-rebench"] == 0.10 and "pinned" in labels["swe-rebench"]
-    assert 0.2 < w["swe-rebench"] / sum(w.values()) < 0.3
+def test_without_old_environments_all_are_alike(spark):
+    assert {w for w, _ in weighed(spark, {"p": (0.5, 4), "q": (0.0, 0)}).values()} == {0.04}
 
 
-def test_even_median(spark):
-    w, _ = weighed(spark, {"a": (0.2, 50), "b": (0.4, 50)}, ["a", "b", "c"])
-    assert w["c"] == round(0.03 + 0.3**2, 6)
+def test_reweighting_keeps_all_else(spark):
+    pool = {"envs": ["p", "q"], "teachers": ["north"], "task_id_pool": {"p": [1], "q": [2]}, "odd": [1]}
+    yields = spark.createDataFrame([("q", 50, 40, 0.9)], "env_name string, n_cells long, n_varied long, yield double")
+    config = json.loads(weights.reweight(spark, lists(spark, one={"pool": pool, "remark": {"x": None}}), yields, {}).first()["config"])
+    assert config["remark"] == {"x": None} and config["pool"]["odd"] == [1] and config["pool"]["env_weights"] == {"p": 0.84, "q": 0.84}
+    more = json.loads(weights.with_env(weights.with_env(json.dumps(config), "p", [9]), "z", [3, 4]))["pool"]
+    assert more["envs"] == ["p", "q", "z"] and more["task_id_pool"] == {"p": [9], "q": [2], "z": [3, 4]}
 
 
-def test_reweight_keeps_the_rest(spark):
-    lists = spark.createDataFrame([("l", json.dumps({"pool": POOL, "note": "x"}))], "list_name string, config string")
-    yields = spark.createDataFrame([("a", 50, 40, 0.8)], "env_name string, n_cells long, n_varied long, yield double")
-    config = json.loads(weights.reweight(spark, lists, yields, {}).first()["config"])
-    assert config["note"] == "x" and config["pool"]["env_weights"]["a"] == 0.67
-    assert json.loads(weights.with_env(json.dumps(config), "d", [1]))["pool"]["envs"][-1] == "d"
+# -- topping up -------------------------------------------------------------------------------------------------------------
 
+CELLS = "list_name string, env_name string, task_id int, teacher_name string, target_samples int, collected int, attempts int, age int"
 
-def test_top_up_fills_deficits_without_conflicts(spark):
-    pool = weights.env_targets(parsed(spark, {"task_id_pool": {"a": list(range(50)), "b": [1, 2], "c": [9]}}, target_active_cells=10))
-    none = "list_name string, env_name string, task_id int, teacher_name string"
-    progress = spark.createDataFrame([("l", "b", 1, "t1")], none)
-    active = spark.createDataFrame([("a", 2)], "env_name string, n_active long")
-    tasks = spark.createDataFrame([("a", i) for i in range(40)] + [("b", 1), ("b", 2)], "env_name string, task_id int")
-    rows = weights.top_up(pool, progress, active, tasks, F.expr("timestamp_ntz'2024-01-01 00:00:00'")).collect()
-    got = [(r["env_name"], r["task_id"], r["teacher_name"]) for r in rows]
-    assert sum(e == "a" for e, _, _ in got) == 4 and sum(e == "b" for e, _, _ in got) == 2 and not any(e == "c" for e, _, _ in got)
-    assert ("b", 1, "t1") not in got and len(set(got)) == len(got)
 
+def progress_of(spark, rows):
+    df = spark.createDataFrame([(*r[:4], 8, 0, 0, r[4]) for r in rows], CELLS)
+    return df.withColumns({"last_updated": now() - F.make_dt_interval(secs=F.col("age")), "published_at": F.lit(None).cast("timestamp_ntz")}).drop("age")
 
-def test_claims_and_increments(spark):
-    t = "timestamp_ntz'2024-01-01 00:00:00'"
-    progress = spark.sql(
-        f"select * from values ('l','e',1,'t',8,3,4,{t},cast(null as timestamp_ntz)), ('l','e',2,'t',8,3,3,{t},null), ('l','e',3,'t',8,0,4,{t},null), ('l','e',4,'t',8,8,9,{t},null) "
-        "as p(list_name,env_name,task_id,teacher_name,target_samples,collected,attempts,last_updated,published_at)"
-    )
+
+def test_each_list_counts_its_own_cells_by_its_own_ttl(spark):
+    """Two lists over one environment: cells of the other list, and cells older than a list's own TTL, aren't active in it."""
+    pool = {"envs": ["p"], "teachers": ["north", "south"], "task_id_pool": {"p": list(range(100))}}
+    both = lists(spark, short={"pool": pool, "target_active_cells": 10, "cell_ttl_s": 60}, long={"pool": pool, "target_active_cells": 10, "cell_ttl_s": 600})
+    old = [("short", "p", i, "north", 30) for i in range(3)] + [("short", "p", i, "north", 100) for i in range(3, 7)] + [("long", "p", i, "north", 100) for i in range(5)] + [("long", "p", 5, "north", 900)]
+    targets, progress = weights.env_targets(weights.parse_pool(both)), progress_of(spark, old)
+    tasks = spark.createDataFrame([("p", i) for i in range(100)], "env_name string, task_id int")
+    added = weights.top_up(targets, progress, tasks, now())
+    rows = [(r["list_name"], r["env_name"], r["task_id"], r["teacher_name"]) for r in added.collect()]
+    assert sum(r[0] == "short" for r in rows) == 7 and sum(r[0] == "long" for r in rows) == 5
+    assert len(set(rows)) == len(rows) and not set(rows) & {r[:4] for r in old}
+    assert rows == [(r["list_name"], r["env_name"], r["task_id"], r["teacher_name"]) for r in weights.top_up(targets, progress, tasks, now()).collect()]
+    assert {r["list_name"]: (r["inserted"], r["active_after"], r["saturated"]) for r in weights.top_up_report(targets, progress, added, now()).collect()} == {"short": (7, 10, []), "long": (5, 10, [])}
+
+
+def test_an_environment_without_enough_cells_is_reported(spark):
+    pool = {"envs": ["p", "q", "r"], "teachers": ["north"], "task_id_pool": {"p": [1, 2, 2], "q": list(range(30)), "r": [5]}}
+    targets = weights.env_targets(weights.parse_pool(lists(spark, one={"pool": pool, "target_active_cells": 30})))
+    tasks = spark.createDataFrame([("p", 1), ("p", 2), *(("q", i) for i in range(30))], "env_name string, task_id int")
+    progress = progress_of(spark, [("one", "p", 1, "north", 9), ("two", "q", 3, "north", 9)])
+    added = weights.top_up(targets, progress, tasks, now())
+    got = [(r["env_name"], r["task_id"]) for r in added.collect()]
+    assert [x for x in got if x[0] == "p"] == [("p", 2)] and sum(e == "q" for e, _ in got) == 10 and not any(e == "r" for e, _ in got)
+    turns = {r["env_name"]: r["turn"] for r in weights.needs(targets, progress, now()).collect()}
+    assert turns == {"q": 1, "r": 2, "p": 3}  # the largest deficit first, then the list's order
+    assert weights.top_up_report(targets, progress, added, now()).first()["saturated"] == ["p", "r"]
+
+
+# -- claims -----------------------------------------------------------------------------------------------------------------
+
+
+def test_claims_take_what_is_nearly_done(spark):
+    none = "cast(null as timestamp_ntz)"
+    rows = [("l", "e", 1, "t", 8, 3, 4), ("l", "e", 2, "t", 8, 3, 3), ("l", "e", 3, "t", 8, 0, 4), ("l", "e", 4, "t", 8, 8, 9)]
+    progress = spark.createDataFrame(rows, "list_name string, env_name string, task_id int, teacher_name string, target_samples int, collected int, attempts int")
+    progress = progress.withColumns({"last_updated": now(), "published_at": F.expr(none)})
     got = cells.claim(progress, 2)
     assert [(r["task_id"], r["attempts"], r["slot"]) for r in got.collect()] == [(2, 4, 3), (1, 5, 4)]
-    after = {r["task_id"]: r["attempts"] for r in cells.with_claims(progress, got).collect()}
-    assert after == {1: 5, 2: 4, 3: 4, 4: 9}
+    assert {r["task_id"]: r["attempts"] for r in cells.with_claims(progress, got).collect()} == {1: 5, 2: 4, 3: 4, 4: 9}
+
+
+def test_a_list_has_a_bound_of_teachers(spark, monkeypatch):
+    monkeypatch.setattr(cells, "MOST_TEACHERS", 3)
+    env = spark.sql("select 'e' as env_name, named_struct('lo', 0, 'hi', 2) as task_id_range")
+    names = lambda n: spark.range(n).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("teacher_name"))
+    assert cells.sampling_list(env, names(3), "l", 8, now()).count() == 6
+    with pytest.raises(Exception, match="too many teachers"):
+        cells.sampling_list(env, names(4), "l", 8, now()).collect()
