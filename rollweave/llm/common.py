@@ -46,6 +46,8 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(ours))
 
 
+#: Bytes of a file of a table whose size is known.
+PART_BYTES = 32 << 20
 _made: list[str] = []
 
 
@@ -82,12 +84,12 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str = "t", narrow: bool = False) -> DataFrame:
-        """``narrow``: few bytes for each row and little work after the last shuffle, so that two files for each core are enough."""
+    def keep(self, df: DataFrame, name: str = "t", size: int | None = None) -> DataFrame:
+        """``size``: bytes that the table has at most, where they are known: it gets a file for PART_BYTES of them, two for each core at least."""
         self.n += 1
         path = self.path(f"{name}{self.n}")
-        if narrow:
-            df = df.coalesce(2 * self.spark.sparkContext.defaultParallelism)
+        if size is not None:
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, size // PART_BYTES))
         df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.at[id(out)] = path

@@ -37,21 +37,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return known.select(F.explode(pairs).alias("e")).select("e.u", "e.v").where("u != v")
 
 
-def connected_components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, scratch: Scratch, most_rounds: int = 60, size: int | None = None) -> DataFrame:
     """(a, b) links -> (node, component), the component named by its least node.
 
     Nodes are those that a link names; null ends and self-links add nothing but the node itself. Repeated links and
     links in both directions count once. Raises if it hasn't settled after ``most_rounds``, which needs more nodes than
-    fit a cluster (rounds grow with the logarithm of the longest path).
+    fit a cluster (rounds grow with the logarithm of the longest path). ``size``: bytes that links have at most (see keep).
     """
     links = links.select("a", "b").where("a is not null and b is not null")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     edges = scratch.keep(
-        links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", narrow=True
+        links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", size
     )
     before = None
     for _ in range(most_rounds):
-        stars = scratch.keep(_small_star(_large_star(edges)).distinct(), "stars", narrow=True)
+        stars = scratch.keep(_small_star(_large_star(edges)).distinct(), "stars", size)
         scratch.drop(edges)
         edges = stars
         # Settled when no node is both a child and a parent: every component is a star around its least node.

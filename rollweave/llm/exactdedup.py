@@ -148,11 +148,11 @@ def decide(rows: DataFrame, scratch: Scratch, digests: DataFrame | None = None)
     def distinct(part: DataFrame) -> DataFrame:
         return part.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
 
-    history = scratch.keep(distinct(digests.where(old)), "history", narrow=True)
+    history = scratch.keep(distinct(digests.where(old)), "history", 64 * n)
     index = scratch.keep(build_index(history, shards), "index")
     probed = look_up(distinct(digests.where(~old)), index, shards)
     every = history.select("digest", "keep_id", "n").unionByName(probed.select("digest", "keep_id", "n"))
-    groups = scratch.keep(every.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups", narrow=True)
+    groups = scratch.keep(every.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups", 64 * n)
     scratch.drop(history, index)
     salts = digests.select("digest", salted(F.col("doc_id"), SALTS).alias("salt")).groupBy("digest", "salt").agg(F.count(F.lit(1)).alias("rows"))
     stats = salts.join(groups, "digest").select("digest", "salt", "keep_id", "group_size")
@@ -185,7 +185,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     if not narrow.groupBy("doc_id").count().where("count > 1").isEmpty():
         rows = docs.select("doc_id", whole_row(docs).alias("row"), digest(F.col("text")).alias("digest"))
         return decide(rows, scratch, narrow).where("kept").select("row.*")
-    gone = scratch.keep(decide(narrow, scratch).where("not kept").select(F.col("doc_id").alias("gone")), "gone", narrow=True)
+    gone = scratch.keep(decide(narrow, scratch).where("not kept").select(F.col("doc_id").alias("gone")), "gone", 16 * narrow.count())
     ids = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     return docs.select("doc_id", whole_row(docs).alias("row")).join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")
 

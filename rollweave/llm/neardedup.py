@@ -278,7 +278,7 @@ def _found(docs: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame,
     if held.where("least <> most").isEmpty():
         return _components(docs, sketches, scratch, percent), False
     keys = sketches.where("doc_id is not null").select("doc_id", "copy").distinct().orderBy("doc_id", "copy")
-    keys = scratch.keep(keys.withColumn("key", F.monotonically_increasing_id()), "keys", narrow=True)
+    keys = scratch.keep(keys.withColumn("key", F.monotonically_increasing_id()), "keys")
     texts = _digested(docs.select("doc_id", "text", F.struct("text").alias("row"))).join(keys, ["doc_id", "copy"])
     texts = scratch.keep(texts.select(F.col("key").alias("doc_id"), "row.text"), "keyed_texts")
     keyed = sketches.join(keys, ["doc_id", "copy"], "left").select(F.col("key").alias("doc_id"), "copy", "n_shingles", "registers")
@@ -291,33 +291,35 @@ def _found(docs: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame,
 
 def _components(docs: DataFrame, sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """components_of where every doc_id has one word sequence."""
+    n, words = sketches.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    banded, text = 32 * setsketch.BANDS * n, 8 * words  # bytes of all band rows, and of texts
     known = sketches.where("doc_id is not null and n_shingles > 0")
     salt = salted(F.col("doc_id"), SALTS).alias("salt")
     part = known.groupBy("copy", salt).agg(F.min("doc_id").alias("least"))
     least = part.groupBy("copy").agg(F.min("least").alias("rep"), F.collect_list("salt").alias("salts"))
     least = least.select("copy", "rep", F.explode("salts").alias("salt"))
-    classes = scratch.keep(known.select("doc_id", "copy", salt).join(least, ["copy", "salt"]).select("doc_id", "rep"), "classes", narrow=True)
+    classes = scratch.keep(known.select("doc_id", "copy", salt).join(least, ["copy", "salt"]).select("doc_id", "rep"), "classes", 16 * n)
     copies = classes.where("doc_id <> rep").select("doc_id").distinct()
     reps = _with_ids(known.select("doc_id", F.col("n_shingles").alias("n"), "registers"), copies, "left_anti").dropDuplicates(["doc_id"])
-    bands = scratch.keep(reps.mapInArrow(_banded, "key long, doc_id long, n long"), "bands", narrow=True)
+    bands = scratch.keep(reps.mapInArrow(_banded, "key long, doc_id long, n long"), "bands", banded)
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "n")).alias("p")).where("c > 1")
     buckets = buckets.select("key", "c", F.col("p.doc_id").alias("p_id"), F.col("p.n").alias("p_n"))
-    members = scratch.keep(_members(bands, buckets), "members", narrow=True)
+    members = scratch.keep(_members(bands, buckets), "members", banded)
     scratch.drop(bands)
-    facts = scratch.keep(_with_ids(reps, members.select("doc_id").distinct(), "left_semi"), "facts", narrow=True)
+    facts = scratch.keep(_with_ids(reps, members.select("doc_id").distinct(), "left_semi"), "facts", 2 * setsketch.M * n)
     alike = f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)"
     pairs = members.where("doc_id <> p_id and " + alike).select(F.col("doc_id").alias("a"), F.col("p_id").alias("b")).distinct()
     likely = _meet(pairs, facts.select("doc_id", "registers", "n")).select("a", "b", "registers_a", "registers_b", "n_a", "n_b")
-    likely = scratch.keep(likely.mapInArrow(_likely(percent), "a long, b long"), "likely", narrow=True)
+    likely = scratch.keep(likely.mapInArrow(_likely(percent), "a long, b long"), "likely", banded)
     texts = _texts_of(docs, likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    both = _meet(likely, scratch.keep(texts, "texts", narrow=True)).select("a", "b", "text_a", "text_b")
-    links = scratch.keep(both.mapInArrow(_confirmer(percent), "a long, b long"), "links", narrow=True)
-    found = scratch.keep(connected_components(links, scratch), "components", narrow=True)
+    both = _meet(likely, scratch.keep(texts, "texts", text)).select("a", "b", "text_a", "text_b")
+    links = scratch.keep(both.mapInArrow(_confirmer(percent), "a long, b long"), "links", 8 * text)
+    found = scratch.keep(connected_components(links, scratch, size=banded), "components", 16 * n)
 
-    more = scratch.keep(_residual(members, found, facts, docs, percent, scratch), "more", narrow=True)
+    more = scratch.keep(_residual(members, found, facts, docs, percent, scratch, banded), "more", 8 * text)
     scratch.drop(members, facts)
     if not more.isEmpty():
-        found = scratch.keep(connected_components(links.unionByName(more), scratch), "components", narrow=True)
+        found = scratch.keep(connected_components(links.unionByName(more), scratch, size=banded), "components", 16 * n)
     of_class = classes.distinct().join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("doc_id", "rep", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("doc_id", "copy", "n_shingles").join(of_class, "doc_id", "left")
@@ -356,7 +358,7 @@ def _in_blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("key", "part", "other", *columns).repartition("key", "part", "other").sortWithinPartitions("key", "part", "other")
 
 
-def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, size: int) -> DataFrame:
     """Links that the least documents of the buckets don't show, from the buckets whose members are in several components."""
     known = members.where("c > 2").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     known = known.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
@@ -368,7 +370,7 @@ def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: Data
     mixed = mixed.where("components > 1").select(
         "key", "main", F.greatest(blocks(F.col("all")), F.lit(1)).alias("parts"), F.greatest(blocks(F.col("all") - F.col("most")), F.lit(1)).alias("out_parts")
     )
-    mixed = scratch.keep(mixed, "mixed", narrow=True)  # read from a table, so that the join below can split a large bucket
+    mixed = scratch.keep(mixed, "mixed", size)  # read from a table, so that the join below can split a large bucket
     rows = known.join(mixed, "key").withColumn("h", F.xxhash64("doc_id"))
     own, out_own = F.expr("cast(pmod(h, parts) as int)"), F.expr("cast(pmod(shiftright(h, 20), out_parts) as int)")
     outsider = F.col("component") != F.col("main")
@@ -379,7 +381,7 @@ def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: Data
     rows = rows.select("key", "doc_id", "n", "component", F.explode(spots).alias("s")).select("key", "doc_id", "n", "component", "s.*")
     columns, registers = ["doc_id", "component", "member", "outsider", "n"], facts.select("doc_id", "registers")
     screened = _in_blocks(rows.join(registers, "doc_id"), [*columns, "registers"]).mapInArrow(_block_screener(percent), _SPOT)
-    screened = scratch.keep(screened, "screened", narrow=True)
+    screened = scratch.keep(screened, "screened", size)
     texts = _texts_of(docs, screened.select("doc_id").distinct())
     rows = screened.join(registers.join(texts, "doc_id"), "doc_id")
     return _in_blocks(rows, [*columns, "registers", "text"]).mapInArrow(_block_comparer(percent), "a long, b long")
@@ -390,7 +392,7 @@ def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "near")
     found, shared = _found(docs, scratch, percent)
     by = ["doc_id", "copy"] if shared else ["doc_id"]  # digests only where ids don't tell documents apart
-    gone = scratch.keep(found.where("not first").select(*(F.col(c).alias(f"gone_{c}") for c in by)).distinct(), "gone", narrow=True)
+    gone = scratch.keep(found.where("not first").select(*(F.col(c).alias(f"gone_{c}") for c in by)).distinct(), "gone", 32 * docs.count())
     ids = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
     rows = _digested(docs.select("doc_id", "text", whole_row(docs).alias("row"))) if shared else docs.select("doc_id", whole_row(docs).alias("row"))
     return rows.join(ids, [F.col(c) == F.col(f"gone_{c}") for c in by], "left_anti").select("row.*")
