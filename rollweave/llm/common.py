@@ -46,8 +46,8 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(ours))
 
 
-#: Bytes of a file of a table whose size is known.
-PART_BYTES = 32 << 20
+#: Bytes of a file of a small table whose size is known; large tables have as many files as the shuffle before them made.
+PART_BYTES = 4 << 20
 _made: list[str] = []
 
 
