@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,7 +22,9 @@ LINE_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 def last_lines(log: Column, n: int = LOG_LINES) -> Column:
     """The log's last n lines, ended by line feeds but for the last: a line end after the last line begins no further one."""
-    whole = F.when(log.rlike(f"[{LINE_ENDS}]"), F.translate(F.replace(log, F.lit("\r\n"), F.lit("\n")), LINE_ENDS, "\n" * len(LINE_ENDS))).otherwise(log)
+    near = F.substring_index(log, "\n", -n - 2)  # other line ends only make more lines of it
+    other = functools.reduce(lambda x, c: x | F.contains(near, F.lit(c)), LINE_ENDS, F.lit(False))
+    whole = F.when(other, F.translate(F.replace(near, F.lit("\r\n"), F.lit("\n")), LINE_ENDS, "\n" * len(LINE_ENDS))).otherwise(near)
     whole = F.when(F.endswith(whole, F.lit("\n")), F.left(whole, F.length(whole) - 1)).otherwise(whole)
     return F.substring_index(whole, "\n", -n)
 
