@@ -914,6 +914,28 @@ def verifiers_content(spark, sf_dir):
     return rows.select("conv_id", F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), F.size("messages").cast("long").alias("n"), F.array_join(said, "").alias("joined"))
 
 
+@query(
+    "agent_messages",
+    """SELECT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'parse_failed' ELSE 'ok' END AS status, CASE WHEN conv_id % 7 <> 0 THEN count(*) END AS n,
+         CASE WHEN conv_id % 7 <> 0 THEN string_agg(CASE role WHEN 'user' THEN 'user' WHEN 'assistant' THEN 'assistant' ELSE 'tool' END || ':' || coalesce(text, '')
+           || CASE WHEN role = 'assistant' THEN '[c' || turn || ' run {"k": ' || turn || '} false]' WHEN role = 'user' THEN '' ELSE '[c' || turn || ']' END, '' ORDER BY turn, role, text) END AS joined
+       FROM conversations GROUP BY conv_id""",
+)
+def agent_messages(spark, sf_dir):
+    """Steps as fold() makes them, normalised; a trajectory with a step of unknown kind is parse_failed."""
+    c = table(spark, sf_dir, "conversations")
+    kind = F.when(F.col("conv_id") % 7 == 0, "odd").when(F.col("role").isin("user", "assistant"), F.col("role")).otherwise("tool_result")
+    id_ = F.concat(F.lit("c"), F.col("turn").cast("string"))
+    calls = F.when(F.col("role") == "assistant", F.array(F.struct(id_.alias("id"), F.lit("run").alias("name"), F.struct(F.col("turn").alias("k")).alias("arguments"))))
+    step = F.struct("turn", "role", F.col("text").alias("t"), F.struct(kind.alias("kind"), F.coalesce("text", F.lit("")).alias("text"), calls.alias("tool_calls"), id_.alias("tool_call_id")).alias("step"))
+    steps = F.to_json(F.transform(F.array_sort(F.collect_list(step)), lambda x: x["step"]))
+    rows = trajectory.normalised(c.groupBy("conv_id").agg(F.lit("events").alias("family"), steps.alias("steps")))
+    call = lambda x: F.concat(F.lit("["), x["id"], F.lit(" "), x["name"], F.lit(" "), x["arguments"], F.lit(" "), x["malformed"].cast("string"), F.lit("]"))
+    said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"], F.array_join(F.transform(m["tool_calls"], call), ""), F.when(m["role"] == "tool", F.concat(F.lit("["), m["tool_call_id"], F.lit("]"))).otherwise("")))
+    size = F.when(F.col("messages").isNotNull(), F.size("messages").cast("long"))
+    return rows.select("conv_id", F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), size.alias("n"), F.array_join(said, "").alias("joined"))
+
+
 @query("trajectory_blob")
 def trajectory_blob(spark, sf_dir):
     body = F.to_json("messages", {"ignoreNullFields": "false"})
