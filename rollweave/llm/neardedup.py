@@ -316,9 +316,10 @@ def _components(docs: DataFrame, sketches: DataFrame, scratch: Scratch, percent:
     links = scratch.keep(both.mapInArrow(_confirmer(percent), "a long, b long"), "links", 8 * text)
     found = scratch.keep(connected_components(links, scratch, size=banded), "components", 16 * n)
 
-    more = scratch.keep(_residual(members, found, facts, docs, percent, scratch, banded), "more", 8 * text)
+    more = _residual(members, found, facts, docs, percent, scratch, banded)
+    more = None if more is None else scratch.keep(more, "more", 8 * text)
     scratch.drop(members, facts)
-    if not more.isEmpty():
+    if more is not None and not more.isEmpty():
         found = scratch.keep(connected_components(links.unionByName(more), scratch, size=banded), "components", 16 * n)
     of_class = classes.distinct().join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("doc_id", "rep", F.coalesce("component", "rep").alias("component"))
@@ -358,8 +359,8 @@ def _in_blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("key", "part", "other", *columns).repartition("key", "part", "other").sortWithinPartitions("key", "part", "other")
 
 
-def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, size: int) -> DataFrame:
-    """Links that the least documents of the buckets don't show, from the buckets whose members are in several components."""
+def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, size: int) -> DataFrame | None:
+    """Links that the least documents of the buckets don't show, from the buckets whose members are in several components; None where there can't be any."""
     known = members.where("c > 2").join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     known = known.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
     sizes = known.groupBy("key", "component").agg(F.sum(F.lit(1.0 / BLOCK) + F.col("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"), F.count(F.lit(1)).alias("c"))
@@ -371,6 +372,8 @@ def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: Data
         "key", "main", F.greatest(blocks(F.col("all")), F.lit(1)).alias("parts"), F.greatest(blocks(F.col("all") - F.col("most")), F.lit(1)).alias("out_parts")
     )
     mixed = scratch.keep(mixed, "mixed", size)  # read from a table, so that the join below can split a large bucket
+    if mixed.isEmpty():
+        return None
     rows = known.join(mixed, "key").withColumn("h", F.xxhash64("doc_id"))
     own, out_own = F.expr("cast(pmod(h, parts) as int)"), F.expr("cast(pmod(shiftright(h, 20), out_parts) as int)")
     outsider = F.col("component") != F.col("main")
@@ -382,6 +385,8 @@ def _residual(members: DataFrame, found: DataFrame, facts: DataFrame, docs: Data
     columns, registers = ["doc_id", "component", "member", "outsider", "n"], facts.select("doc_id", "registers")
     screened = _in_blocks(rows.join(registers, "doc_id"), [*columns, "registers"]).mapInArrow(_block_screener(percent), _SPOT)
     screened = scratch.keep(screened, "screened", size)
+    if screened.isEmpty():
+        return None
     texts = _texts_of(docs, screened.select("doc_id").distinct())
     rows = screened.join(registers.join(texts, "doc_id"), "doc_id")
     return _in_blocks(rows, [*columns, "registers", "text"]).mapInArrow(_block_comparer(percent), "a long, b long")
