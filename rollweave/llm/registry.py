@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rollweave.llm import oracles, pipeline
+from rollweave.llm.bpetree import op12_bpe_tree
 from rollweave.llm.exactdedup import op3_exact_dedup
 from rollweave.llm.htmltext import op1_html_extraction
 from rollweave.llm.langid import op9_language_id
@@ -27,6 +28,7 @@ def queries() -> dict:
         "op8_exact_topk": op8_exact_topk,
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
+        "op12_bpe_tree": op12_bpe_tree,
         "pipeline": pipeline.run,
     }
 

@@ -122,12 +122,12 @@ class Encoder:
         return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """(place of the first, texts): runs of about SLICE bytes, or one longer text."""
+def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, pa.Array]]:
+    """(place of the first, texts): runs of about ``most`` bytes, or one longer text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(texts):
-        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
         yield at, texts.slice(at, upto - at)
         at = upto
 

@@ -14,4 +14,4 @@ def test_against_sql(spark, sf, name):
 
 
 def test_names():
-    assert [n for n in QUERIES if n.startswith("op")] and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert [n for n in QUERIES if n.startswith("op")] and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
