@@ -138,3 +138,41 @@ FROM s QUALIFY rank <= 5
 """
 
 SQL["op8_exact_topk"] = _OP8
+
+
+def _op13() -> str:
+    def nearest(name: str, books: str) -> str:
+        square = "list_sum(list_transform(list_zip(x.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+        return f"""{name} AS (
+  SELECT rid, p, near.d AS d, near.e AS e FROM (
+    SELECT x.rid, x.p, min(struct_pack(d := {square}, e := b.e)) AS near FROM x JOIN {books} b ON x.p = b.p GROUP BY x.rid, x.p))"""
+
+    def means(name: str, books: str, found: str) -> str:
+        return f"""{name}_sum AS (
+  SELECT p, e, pos, sum(value)::HUGEINT AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(x.x) AS value, generate_subscripts(x.x, 1) AS pos FROM {found} JOIN x USING (rid, p)) GROUP BY ALL),
+{name} AS (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM {books} b
+  LEFT JOIN (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS x FROM {name}_sum GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)"""
+
+    return f"""
+WITH q AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM (SELECT rid, v, unnest(range(16)) AS p FROM q)),
+b0 AS MATERIALIZED (
+  SELECT p, e, x FROM (SELECT rid, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM q QUALIFY e < 64) JOIN x USING (rid)),
+{nearest("a0", "b0")},
+{means("b1", "b0", "a0")},
+{nearest("a1", "b1")},
+{means("b2", "b1", "a1")},
+{nearest("a2", "b2")},
+c AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM q JOIN c USING (rid) JOIN h ON true
+"""
+
+
+SQL["op13_vector_codes"] = _op13()

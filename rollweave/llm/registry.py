@@ -14,6 +14,7 @@ from rollweave.llm.quality import op5_quality
 from rollweave.llm.tokenfiles import op2_token_files
 from rollweave.llm.topk import op8_exact_topk
 from rollweave.llm.urlfilter import op10_url_filters
+from rollweave.llm.vectorcodes import op13_vector_codes
 
 
 def queries() -> dict:
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
         "op12_bpe_tree": op12_bpe_tree,
+        "op13_vector_codes": op13_vector_codes,
         "pipeline": pipeline.run,
     }
 
