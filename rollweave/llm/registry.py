@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rollweave.llm import oracles, pipeline
+from rollweave.llm.alignment import op11_alignment
 from rollweave.llm.bpetree import op12_bpe_tree
 from rollweave.llm.exactdedup import op3_exact_dedup
 from rollweave.llm.htmltext import op1_html_extraction
@@ -29,6 +30,7 @@ def queries() -> dict:
         "op8_exact_topk": op8_exact_topk,
         "op9_language_id": op9_language_id,
         "op10_url_filters": op10_url_filters,
+        "op11_alignment": op11_alignment,
         "op12_bpe_tree": op12_bpe_tree,
         "op13_vector_codes": op13_vector_codes,
         "pipeline": pipeline.run,

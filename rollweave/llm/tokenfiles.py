@@ -50,25 +50,27 @@ class Encoder:
     A byte-level vocabulary's own pattern never joins what a single space between two words divides, so texts are
     encoded as chunks that begin at such spaces, and a chunk seen before isn't encoded again; nor does it join letters
     and the punctuation after them. Texts with other runs of spaces or with an added token's content, and vocabularies
-    of other kinds, are encoded whole; the ids are the same either way.
+    of other kinds, are encoded whole; the ids are the same either way. ``plain_special``: the strings of special tokens
+    are plain text.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain_special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = plain_special
         spec = json.loads(vocabulary)
         pre, size = spec.get("pre_tokenizer") or {}, self.tokenizer.get_vocab_size()
         self.chunked = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
+        added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"] and not (plain_special and t["special"])]
         #: Chunks would cut an added token, and chunks encoded as one text would make one that has a space.
         self.chunked &= not any(" " in x for x in added)
         self.irregular = "|".join([_IRREGULAR, *("".join(f"\\x{{{ord(c):x}}}" for c in x) for x in added)])
         self.dtype = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
         #: Bytes that each id stands for: a byte-level vocabulary writes each byte as one character.
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.known: dict[str, bytes] = process_cache(f"chunks {zlib.crc32(vocabulary.encode())}")
+        self.known: dict[str, bytes] = process_cache(f"chunks {zlib.crc32(vocabulary.encode())} {plain_special}")
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.dtype) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
