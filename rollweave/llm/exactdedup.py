@@ -2,8 +2,8 @@
 
 History's distinct digests are cut into shards by digest; each shard is a minimal perfect hash (levels of bit vectors,
 Limasset et al., 2017) whose slots hold the full 32-byte digest and the winner's locator (doc_id) with its count. New
-digests look their slot up and compare all 32 bytes: members are repeats of history, nonmembers form groups of their
-own. Everything that is looked up or built is a distinct digest, so copies never make a shard or a group large.
+digests look their slot up and compare all 32 bytes: members take the slot's winner and add to its count, nonmembers form
+groups of their own. Nothing else brings history and new rows together. Everything that is looked up or built is a distinct digest, so copies never make a shard or a group large.
 """
 
 from __future__ import annotations
@@ -111,25 +111,37 @@ def build_index(distinct: DataFrame, shards: int) -> DataFrame:
     return distinct.withColumn("shard", shard_of("digest", shards)).groupBy("shard").applyInPandas(_pack, INDEX_SCHEMA)
 
 
-def _look_up(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    if probes.empty:
-        return pd.DataFrame({"digest": [], "keep_id": [], "n": [], "repeats": []})
-    keep, repeats = probes["keep_id"].astype("Int64"), np.zeros(len(probes), bool)
-    if len(index):
-        digests = [bytes(x) for x in probes["digest"]]
-        slots = np.frombuffer(index["slots"].iloc[0], _SLOT)
-        at = PerfectHash.from_bytes(index["hash"].iloc[0]).find(_words(digests))
-        own = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32)
-        held = np.ascontiguousarray(slots["digest"][np.maximum(at, 0)]).view(np.uint8).reshape(-1, 32)
-        repeats = (at >= 0) & (own == held).all(axis=1)
-        keep = keep.mask(repeats, pd.Series(slots["winner"][np.maximum(at, 0)], index=keep.index).astype("Int64"))
-    return pd.DataFrame({"digest": probes["digest"], "keep_id": keep, "n": probes["n"], "repeats": repeats})
+def members(digests: list[bytes], found: PerfectHash, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slot, whether that slot holds the very digest) for each digest; all 32 bytes are compared."""
+    if not len(slots) or not digests:
+        return np.zeros(len(digests), np.int64), np.zeros(len(digests), bool)
+    at = found.find(_words(digests))
+    own = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32)
+    held = np.ascontiguousarray(slots["digest"][np.maximum(at, 0)]).view(np.uint8).reshape(-1, 32)
+    return np.maximum(at, 0), (at >= 0) & (own == held).all(axis=1)
+
+
+def _resolve(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    digests, n = [bytes(x) for x in probes["digest"]], probes["n"].to_numpy(np.int64)
+    slots = np.frombuffer(index["slots"].iloc[0], _SLOT).copy() if len(index) else np.zeros(0, _SLOT)
+    found = PerfectHash.from_bytes(index["hash"].iloc[0]) if len(index) else PerfectHash([])
+    at, repeats = members(digests, found, slots)
+    np.add.at(slots["n"], at[repeats], n[repeats])  # members join their slot and take its winner
+    alone = np.flatnonzero(~repeats)
+    return pd.DataFrame(
+        {
+            "digest": [x.tobytes() for x in slots["digest"]] + [digests[i] for i in alone],
+            "keep_id": pd.concat([pd.Series(slots["winner"], dtype="Int64"), probes["keep_id"].astype("Int64").iloc[alone]], ignore_index=True),
+            "group_size": np.concatenate([slots["n"], n[alone]]),
+        }
+    )
 
 
-def look_up(distinct: DataFrame, index: DataFrame, shards: int) -> DataFrame:
-    """(digest, keep_id, n) with repeats (the digest is in the index) and keep_id, the index's winner for those."""
+def resolve(distinct: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+    """(digest, keep_id, group_size) of all groups: the index's slots with the members found among ``distinct`` (digest,
+    keep_id, n; a row for each new digest), and each nonmember as a group of its own."""
     left = distinct.withColumn("shard", shard_of("digest", shards)).groupBy("shard")
-    return left.cogroup(index.groupBy("shard")).applyInPandas(_look_up, "digest binary, keep_id long, n long, repeats boolean")
+    return left.cogroup(index.groupBy("shard")).applyInPandas(_resolve, "digest binary, keep_id long, group_size long")
 
 
 def decide(rows: DataFrame, scratch: Scratch, digests: DataFrame | None = None) -> DataFrame:
@@ -150,9 +162,7 @@ def decide(rows: DataFrame, scratch: Scratch, digests: DataFrame | None = None)
 
     history = scratch.keep(distinct(digests.where(old)), "history", 64 * n)
     index = scratch.keep(build_index(history, shards), "index")
-    probed = look_up(distinct(digests.where(~old)), index, shards)
-    every = history.select("digest", "keep_id", "n").unionByName(probed.select("digest", "keep_id", "n"))
-    groups = scratch.keep(every.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups", 64 * n)
+    groups = scratch.keep(resolve(distinct(digests.where(~old)), index, shards), "groups", 64 * n)
     scratch.drop(history, index)
     salts = digests.select("digest", salted(F.col("doc_id"), SALTS).alias("salt")).groupBy("digest", "salt").agg(F.count(F.lit(1)).alias("rows"))
     stats = salts.join(groups, "digest").select("digest", "salt", "keep_id", "group_size")
