@@ -405,4 +405,4 @@ def deduplicated(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = components_of(table(spark, sf_dir, "documents"), Scratch(spark, "near"), 85)
-    return found.select("doc_id", "n_shingles", "component_id", F.col("first").alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -67,6 +67,41 @@ def test_exact_groups(spark):
     assert kept.columns == docs(spark, []).columns and kept.count() == len({re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in rows})
 
 
+def _bypassed(digests, found, slots):
+    return np.zeros(len(digests), np.int64), np.zeros(len(digests), bool)
+
+
+def _unchecked(digests, found, slots):
+    at = found.find(exactdedup._words(digests)) if len(slots) and digests else np.zeros(len(digests), np.int64)
+    return np.maximum(at, 0), (at >= 0) & (len(slots) > 0)
+
+
+def _falsified(group):
+    packed = PACK(group)
+    slots = np.frombuffer(packed["slots"].iloc[0], exactdedup._SLOT).copy()
+    slots["winner"] += 1
+    return packed.assign(slots=[slots.tobytes()])
+
+
+PACK = exactdedup._pack
+
+
+@pytest.mark.parametrize(("name", "other"), [("members", _bypassed), ("members", _unchecked), ("_pack", _falsified)])
+def test_the_index_decides(spark, monkeypatch, name, other):
+    """Without the look-up, its byte check or the slots' winners the groups are others, in the pipeline's stage too."""
+    rows = [(i, f"text {i % 40}") for i in range(100)] + [(200 + i, f"new {i // 2}") for i in range(60)] + [(300 + i, f"text {i % 50}") for i in range(80)]
+    df = docs(spark, rows).select("doc_id", exactdedup.digest(F.col("text")).alias("digest"))
+
+    def found():
+        return sorted((tuple(r) for r in exactdedup.decide(df, Scratch(spark, "t")).select("doc_id", "keep_id", "group_size", "kept").collect()), key=repr)
+
+    assert found() == plain_exact(rows)
+    left = sorted(r["doc_id"] for r in exactdedup.deduplicated(docs(spark, rows)).collect())
+    monkeypatch.setattr(exactdedup, name, other)
+    assert found() != plain_exact(rows)
+    assert left != sorted(r["doc_id"] for r in exactdedup.deduplicated(docs(spark, rows)).collect())
+
+
 def test_exact_of_nothing(spark):
     assert exactdedup.deduplicated(docs(spark, [])).collect() == []
     assert exactdedup.deduplicated(docs(spark, [(None, None)])).count() == 1
@@ -213,12 +248,23 @@ def test_one_id_with_different_texts(spark):
         (6, 1, 6, True), (2, 56, 2, True), (None, 56, None, True), (7, 1, 7, True), (7, 0, 7, True),
     ]
     assert got == sorted(want, key=repr)
+    assert {(r["doc_id"], r["component_id"], r["first"]) for r in found.collect() if r["doc_id"] == 2} == {(2, 2, True), (2, 1, False)}
     kept = neardedup.deduplicated(docs(spark, rows), 80)
     assert kept.columns == docs(spark, []).columns
     stay = [r for r, w in zip(rows, want, strict=True) if w[3]]
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(stay, key=repr)
 
 
+def test_kept_is_the_component_s_least_id(spark, tmp_path):
+    """The query's column, also where one id holds two linked texts; the stage keeps one row of them all the same."""
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (1, text + " end"), (2, text + " more"), (3, "else"), (None, "no id")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in neardedup.op6_near_dedup(spark, str(tmp_path)).select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
+    assert got == sorted([(1, 56, 1, True), (1, 57, 1, True), (2, 57, 1, False), (3, 1, 3, True), (None, 1, None, True)], key=repr)
+    assert neardedup.deduplicated(docs(spark, rows), 80).count() == 3
+
+
 def test_blocks_compare_in_the_first_shared_band():
     known = neardedup.WordHashes()
     text = " ".join(f"w{k}" for k in range(80))
