@@ -1,18 +1,12 @@
-"""Trajectories: agent events folded into steps, and steps of each family normalised into one message form."""
+"""Trajectories: agent events folded into steps, their usage, and thinking tags."""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Callable, Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rollweave.functions.text import stripped
-from rollweave.schemas import MESSAGE
 
 BREAKS = ("user.message", "tool.result")
 
@@ -94,164 +88,3 @@ def thinking(text: Column) -> Column:
     found = F.regexp_count(text, F.lit(tag)) > 0
     rest = F.when(found, stripped(F.regexp_replace(text, tag, ""))).otherwise(text)
     return F.struct(F.nullif(rest, F.lit("")).alias("content"), F.nullif(F.array_join(parts, "\n"), F.lit("")).alias("reasoning"))
-
-
-# -- normalisers over JSON steps ------------------------------------------------------------------------------------------
-
-_THINKING = re.compile("<thinking>(.*?)</thinking>", re.S | re.I)
-
-
-class Unreadable(ValueError):
-    """A step that its family doesn't allow."""
-
-
-def _message(role: str, content: str | None = None, reasoning: str | None = None, calls: Iterable[dict] = (), call_id: str | None = None) -> dict:
-    return {"role": role, "content": content, "reasoning": reasoning, "tool_calls": list(calls), "tool_call_id": call_id}
-
-
-def _call(id_: str, name: str, arguments: object, malformed: bool | None = None) -> dict:
-    whole = isinstance(arguments, dict)
-    return {"id": id_, "name": name, "arguments": json.dumps(arguments if whole else {"_raw": arguments}), "malformed": not whole if malformed is None else malformed}
-
-
-def _event_step(step: dict) -> dict:
-    match step.get("kind"):
-        case "user":
-            return _message("user", step.get("text", ""))
-        case "assistant":
-            calls = [_call(c.get("id", ""), c.get("name", ""), c.get("arguments")) for c in step.get("tool_calls") or []]
-            return _message("assistant", step.get("text"), step.get("reasoning"), calls)
-        case "tool_result":
-            return _message("tool", step.get("text", ""), call_id=step.get("tool_call_id") or "")
-        case kind:
-            raise Unreadable(f"unknown step kind {kind!r}")
-
-
-def _texts(blocks: Iterable[dict]) -> list[str]:
-    return [b.get("text", "") for b in blocks if b.get("type") == "text"]
-
-
-def _lines(parts: Iterable[str]) -> str | None:
-    return "\n".join(p for p in parts if p) or None
-
-
-def _claude_call(block: dict) -> dict:
-    if not block.get("id") or not block.get("name"):
-        raise Unreadable("a tool_use block without id or name")
-    given = block.get("input")
-    if isinstance(given, str):
-        try:
-            read = json.loads(given)
-        except ValueError:
-            read = None
-        return _call(block["id"], block["name"], read if isinstance(read, dict) else given)
-    return _call(block["id"], block["name"], given if isinstance(given, dict) else {}, not isinstance(given, dict))
-
-
-def _claude(step: dict) -> dict:
-    kind, blocks, text = step.get("kind"), step.get("content_blocks") or [], step.get("text")
-    if kind == "user":
-        return _message("user", ("\n".join(_texts(blocks)) if text is None else text) or "")
-    if kind == "tool_result":
-        if not step.get("tool_call_id"):
-            raise Unreadable("a tool_result step without tool_call_id")
-        if text is None:
-            parts = []
-            for b in blocks:
-                inner = b.get("content")
-                if b.get("type") == "tool_result":
-                    parts += [inner] if isinstance(inner, str) else _texts(inner) if isinstance(inner, list) else []
-                else:
-                    parts += _texts([b])
-            text = _lines(parts)
-        return _message("tool", text or "", call_id=step["tool_call_id"])
-    if kind != "assistant":
-        raise Unreadable(f"unknown step kind {kind!r}")
-    said, thought, calls = [], [], []
-    for b in blocks:
-        match b.get("type"):
-            case "text":
-                rest, n = _THINKING.subn("", whole := b.get("text", ""))
-                thought += [x.strip() for x in _THINKING.findall(whole)]
-                said.append(rest.strip() if n else whole)
-            case "thinking":
-                thought.append(b.get("thinking") or b.get("text", ""))
-            case "tool_use":
-                calls.append(_claude_call(b))
-            case other:
-                thought.append(f"[unhandled block type={other}]")
-    return _message("assistant", _lines(said), _lines(thought), calls)
-
-
-def _content(x: object) -> str | None:
-    if x is None or isinstance(x, str):
-        return x
-    return "".join(p.get("text", "") for p in x if isinstance(p, dict)) if isinstance(x, list) else str(x)
-
-
-def _chat_call(call: dict) -> dict:
-    function = call.get("function") or {}
-    given = function.get("arguments")
-    if not isinstance(given, dict):
-        try:
-            given = json.loads(given) if given else {}
-        except (TypeError, ValueError):
-            given = {"_raw": given}  # kept as an object, so not malformed
-    return _call(call.get("id", ""), function.get("name", ""), given)
-
-
-def _verifiers(step: dict) -> dict:
-    match step.get("role"):
-        case "tool":
-            return _message("tool", _content(step.get("content")) or "", call_id=step.get("tool_call_id") or "")
-        case "system" | "user" | "assistant" as role:
-            calls = [_chat_call(c) for c in step.get("tool_calls") or []]
-            return _message(role, _content(step.get("content")), step.get("reasoning") or step.get("reasoning_content"), calls)
-        case role:
-            raise Unreadable(f"unknown role {role!r}")
-
-
-#: Step readers by family; add to it, or replace, to extend. "events": the steps that fold() makes; another name for a family is another key.
-FAMILIES: dict[str, Callable[[dict], dict]] = {"events": _event_step, "claude": _claude, "verifiers": _verifiers}
-
-
-def normalise(family: str | None, steps: str | None) -> tuple[list[dict] | None, str | None]:
-    """A JSON array of steps -> (messages, error); one of them is null."""
-    reader = FAMILIES.get(family or "")
-    if reader is None:
-        return None, f"unknown family {family!r}"
-    try:
-        return [reader(step) for step in json.loads(steps or "[]")], None
-    except Exception as e:  # noqa: BLE001  any step that can't be read makes the trajectory parse_failed, whatever it holds
-        return None, f"{type(e).__name__}: {e}"
-
-
-def normalised(trajectories: DataFrame) -> DataFrame:
-    """trajectories (id columns, family, steps as JSON) -> id columns, messages, error."""
-    ids = [c for c in trajectories.columns if c not in ("family", "steps")]
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in trajectories.select(*ids).schema)
-    families, fields = dict(FAMILIES), T_MESSAGES
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [normalise_with(families, f, s) for f, s in zip(batch.column("family").to_pylist(), batch.column("steps").to_pylist(), strict=True)]
-            columns = [batch.column(c) for c in ids]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([m for m, _ in found], fields), pa.array([e for _, e in found], pa.string())], [*ids, "messages", "error"])
-
-    return trajectories.mapInArrow(run, f"{kind}, messages array<{MESSAGE}>, error string")
-
-
-def normalise_with(families: dict[str, Callable[[dict], dict]], family: str | None, steps: str | None) -> tuple[list[dict] | None, str | None]:
-    FAMILIES.update(families)
-    return normalise(family, steps)
-
-
-T_MESSAGES = pa.list_(
-    pa.struct(
-        [
-            ("role", pa.string()), ("content", pa.string()), ("reasoning", pa.string()),
-            ("tool_calls", pa.list_(pa.struct([("id", pa.string()), ("name", pa.string()), ("arguments", pa.string()), ("malformed", pa.bool_())]))),
-            ("tool_call_id", pa.string()),
-        ]
-    )
-)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollweave.functions import chat, codecs, eed, text
-from rollweave.operators import cells, environments, merge, metrics, pairs, publish, requests, scoring, stats, trajectory, weights
+from rollweave.operators import cells, environments, merge, metrics, normalisers, pairs, publish, requests, scoring, stats, trajectory, weights
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
 from rollweave.sources import files, store
@@ -909,7 +909,7 @@ def claude_thinking(spark, sf_dir):
 def verifiers_content(spark, sf_dir):
     parts = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.array(F.struct(F.lit("text").alias("type"), F.left(m["content"], F.lit(5)).alias("text")), F.struct(F.lit("text").alias("type"), F.substr(m["content"], F.lit(6)).alias("text"))).alias("content")))
     raw = derive.trajectories(spark, sf_dir).select("conv_id", F.lit("verifiers").alias("family"), F.to_json(parts).alias("steps"))
-    rows = trajectory.normalised(raw)
+    rows = normalisers.normalised(raw)
     said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
     return rows.select("conv_id", F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), F.size("messages").cast("long").alias("n"), F.array_join(said, "").alias("joined"))
 
@@ -929,13 +929,108 @@ def agent_messages(spark, sf_dir):
     calls = F.when(F.col("role") == "assistant", F.array(F.struct(id_.alias("id"), F.lit("run").alias("name"), F.struct(F.col("turn").alias("k")).alias("arguments"))))
     step = F.struct("turn", "role", F.col("text").alias("t"), F.struct(kind.alias("kind"), F.coalesce("text", F.lit("")).alias("text"), calls.alias("tool_calls"), id_.alias("tool_call_id")).alias("step"))
     steps = F.to_json(F.transform(F.array_sort(F.collect_list(step)), lambda x: x["step"]))
-    rows = trajectory.normalised(c.groupBy("conv_id").agg(F.lit("events").alias("family"), steps.alias("steps")))
+    rows = normalisers.normalised(c.groupBy("conv_id").agg(F.lit("events").alias("family"), steps.alias("steps")))
     call = lambda x: F.concat(F.lit("["), x["id"], F.lit(" "), x["name"], F.lit(" "), x["arguments"], F.lit(" "), x["malformed"].cast("string"), F.lit("]"))
     said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"], F.array_join(F.transform(m["tool_calls"], call), ""), F.when(m["role"] == "tool", F.concat(F.lit("["), m["tool_call_id"], F.lit("]"))).otherwise("")))
     size = F.when(F.col("messages").isNotNull(), F.size("messages").cast("long"))
     return rows.select("conv_id", F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), size.alias("n"), F.array_join(said, "").alias("joined"))
 
 
+def _said():
+    """A message as one text: role, content, reasoning, calls and call id."""
+    call = lambda x: F.concat_ws(" ", x["id"], x["name"], x["arguments"], x["malformed"].cast("string"))
+    part = lambda x: F.coalesce(x, F.lit("-"))
+    one = lambda m: F.concat_ws("|", m["role"], part(m["content"]), part(m["reasoning"]), F.array_join(F.transform(m["tool_calls"], call), ";"), part(m["tool_call_id"]))
+    size = F.when(F.col("messages").isNotNull(), F.size("messages").cast("long"))
+    return F.when(F.col("error").isNull(), "ok").otherwise("parse_failed").alias("status"), size.alias("n"), F.array_join(F.transform("messages", one), "\n").alias("joined")
+
+
+def _steps_of(spark, sf_dir, family, step):
+    """Conversations as trajectories of a family: a step (a struct) for each message, in the order of turns."""
+    c = table(spark, sf_dir, "conversations")
+    rows = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", F.to_json(step).alias("step")))).alias("s"))
+    joined = F.array_join(F.transform("s", lambda x: x["step"]), ",")
+    return rows.select("conv_id", F.lit(family).alias("family"), F.concat(F.lit("["), joined, F.lit("]")).alias("steps"))
+
+
+@query(
+    "claude_messages",
+    """WITH m AS (
+         SELECT *, CASE role WHEN 'assistant' THEN 'assistant' WHEN 'user' THEN 'user' ELSE 'tool' END AS kind, substr(text, 1, 5) AS head, substr(text, 6) AS tail FROM conversations),
+       w AS (
+         SELECT *, kind || '|' || CASE
+             WHEN kind = 'assistant' THEN text || '|why ' || turn || chr(10) || 'more' || chr(10) || '[unhandled block type=image]|c' || turn || ' run {"k": ' || turn
+               || ', "of": [1, "a, b: \\"c\\""]} false;d' || turn || ' parse {"n": ' || turn || '} false;e odd {"_raw": "no json"} true;f none {} true|-'
+             WHEN kind = 'user' AND turn % 2 = 0 THEN text || '|-||-'
+             WHEN kind = 'user' THEN head || chr(10) || tail || '|-||-'
+             ELSE head || chr(10) || tail || chr(10) || 'end|-||c' || turn END AS said,
+           kind = 'assistant' AND conv_id % 7 = 0 AS bad FROM m)
+       SELECT conv_id, CASE WHEN bool_or(bad) THEN 'parse_failed' ELSE 'ok' END AS status, CASE WHEN NOT bool_or(bad) THEN count(*) END AS n,
+         CASE WHEN NOT bool_or(bad) THEN string_agg(said, chr(10) ORDER BY turn, role, text) END AS joined
+       FROM w GROUP BY conv_id""",
+)
+def claude_messages(spark, sf_dir):
+    """Content blocks: texts with thinking tags, thinking blocks, blocks of unknown type, and calls whose input is an object, JSON as text, another text or missing."""
+    turn, head, tail = F.col("turn").cast("string"), F.substring("text", 1, 5), F.expr("substr(text, 6)")
+
+    def block(kind, **members):
+        return F.parse_json(F.to_json(F.struct(F.lit(kind).alias("type"), *((c if not isinstance(c, str) else F.lit(c)).alias(k) for k, c in members.items()))))
+
+    whole = F.struct(F.col("turn").alias("k"), F.parse_json(F.lit('[1, "a, b: \\"c\\""]')).alias("of"))
+    named = F.when(F.col("conv_id") % 7 != 0, "run")  # a call without a name can't be read
+    spoken = F.array(
+        block("text", text=F.concat(F.lit("<Thinking> why "), turn, F.lit(" </thinking>"), F.col("text"))), block("thinking", thinking="more"), block("image"),
+        block("tool_use", id=F.concat(F.lit("c"), turn), name=named, input=whole), block("tool_use", id=F.concat(F.lit("d"), turn), name="parse", input=F.concat(F.lit('{"n": '), turn, F.lit("}"))),
+        block("tool_use", id="e", name="odd", input="no json"), block("tool_use", id="f", name="none"),
+    )
+    told = F.array(block("text", text=head), block("image"), block("text", text=tail))
+    inner = F.array(block("text", text=head), block("image"))
+    results = F.array(block("tool_result", content=inner), block("text", text=tail), block("tool_result", content="end"))
+    assistant, user = F.col("role") == "assistant", F.col("role") == "user"
+    plain = user & (F.col("turn") % 2 == 0)
+    step = F.struct(
+        F.when(assistant, "assistant").when(user, "user").otherwise("tool_result").alias("kind"), F.when(plain, F.col("text")).alias("text"),
+        F.when(assistant, spoken).when(user & ~plain, told).when(~user, results).alias("content_blocks"), F.when(~assistant & ~user, F.concat(F.lit("c"), turn)).alias("tool_call_id"),
+    )
+    return normalisers.normalised(_steps_of(spark, sf_dir, "claude", step)).select("conv_id", *_said())
+
+
+@query(
+    "verifiers_calls",
+    """WITH w AS (
+         SELECT *, CASE role
+             WHEN 'assistant' THEN 'assistant|' || text || '|' || CASE WHEN turn % 3 = 0 THEN 'thought' ELSE 'other' END || '|c' || turn || ' run {"k": ' || turn || '} false;d text {"n": ' || turn
+               || '} false;e raw {"_raw": "oops ' || turn || '"} false;f list {"_raw": [' || turn || ', null]} true;g none {} false;h number {"_raw": 7} false|-'
+             WHEN 'user' THEN 'user|' || CASE WHEN turn % 2 = 0 THEN text ELSE turn::VARCHAR END || '|-||-'
+             ELSE 'tool|' || text || '|-||c' || turn END AS said,
+           role = 'user' AND conv_id % 11 = 0 AS bad FROM conversations)
+       SELECT conv_id, CASE WHEN bool_or(bad) THEN 'parse_failed' ELSE 'ok' END AS status, CASE WHEN NOT bool_or(bad) THEN count(*) END AS n,
+         CASE WHEN NOT bool_or(bad) THEN string_agg(said, chr(10) ORDER BY turn, role, text) END AS joined
+       FROM w GROUP BY conv_id""",
+)
+def verifiers_calls(spark, sf_dir):
+    """Chat messages with calls: arguments as an object, as JSON text, as another text, as JSON that is no object, missing, and as a number."""
+    turn = F.col("turn").cast("string")
+
+    def made(id_, name, arguments=None):
+        function = F.struct(F.lit(name).alias("name"), *([] if arguments is None else [arguments.alias("arguments")]))
+        return F.parse_json(F.to_json(F.struct(id_.alias("id"), function.alias("function"))))
+
+    calls = F.array(
+        made(F.concat(F.lit("c"), turn), "run", F.struct(F.col("turn").alias("k"))), made(F.lit("d"), "text", F.concat(F.lit('{"n": '), turn, F.lit("}"))),
+        made(F.lit("e"), "raw", F.concat(F.lit("oops "), turn)), made(F.lit("f"), "list", F.concat(F.lit("["), turn, F.lit(", null]"))), made(F.lit("g"), "none"), made(F.lit("h"), "number", F.lit(7)),
+    )
+    assistant, user = F.col("role") == "assistant", F.col("role") == "user"
+    parts = F.array(*(F.struct(F.lit("text").alias("type"), x.alias("text")) for x in (F.substring("text", 1, 5), F.expr("substr(text, 6)"))))
+    content = F.when(user & (F.col("turn") % 2 == 0) | ~user & ~assistant, F.to_json(F.struct(F.col("text").alias("x")))).when(user, F.to_json(F.struct(F.col("turn").alias("x")))).otherwise(F.to_json(F.struct(parts.alias("x"))))
+    role = F.when(user & (F.col("conv_id") % 11 == 0), "robot").when(assistant | user, F.col("role")).otherwise("tool")
+    step = F.struct(
+        role.alias("role"), F.variant_get(F.parse_json(content), "$.x", "variant").alias("content"), F.when(assistant, calls).alias("tool_calls"), F.when(assistant & (F.col("turn") % 3 == 0), "thought").otherwise(F.when(assistant, "")).alias("reasoning"),
+        F.when(assistant, "other").alias("reasoning_content"), F.when(~assistant & ~user, F.concat(F.lit("c"), turn)).alias("tool_call_id"),
+    )
+    return normalisers.normalised(_steps_of(spark, sf_dir, "verifiers", step)).select("conv_id", *_said())
+
+
 @query("trajectory_blob")
 def trajectory_blob(spark, sf_dir):
     body = F.to_json("messages", {"ignoreNullFields": "false"})

@@ -55,40 +55,6 @@ def test_prompt_comes_first_where_no_user_spoke(spark):
     assert got == [(1, "user", "go"), (1, "assistant", "x"), (2, "user", "hi")]
 
 
-def normal(family, steps):
-    return trajectory.normalise(family, json.dumps(steps))
-
-
-def test_claude_blocks():
-    (m,), error = normal("claude", [{"kind": "assistant", "content_blocks": [
-        {"type": "text", "text": " <THINKING> why\n</thinking> because "}, {"type": "thinking", "thinking": "more"}, {"type": "image"}, {"type": "text", "text": " kept "},
-        {"type": "tool_use", "id": "1", "name": "f", "input": '{"a": 1}'}, {"type": "tool_use", "id": "2", "name": "g", "input": "no json"}, {"type": "tool_use", "id": "3", "name": "h"}]}])
-    assert error is None and m["content"] == "because\n kept " and m["reasoning"] == "why\nmore\n[unhandled block type=image]"
-    assert [(c["id"], c["arguments"], c["malformed"]) for c in m["tool_calls"]] == [("1", '{"a": 1}', False), ("2", '{"_raw": "no json"}', True), ("3", "{}", True)]
-    for bad in ([{"kind": "tool_result"}], [{"kind": "x"}], [{"kind": "assistant", "content_blocks": [{"type": "tool_use", "name": "f"}]}]):
-        assert normal("claude", bad)[0] is None
-    (m,), _ = normal("claude", [{"kind": "tool_result", "tool_call_id": "1", "content_blocks": [{"type": "tool_result", "content": [{"type": "text", "text": "a"}]}, {"type": "text", "text": "b"}]}])
-    assert (m["role"], m["content"], m["tool_call_id"]) == ("tool", "a\nb", "1")
-
-
-def test_chat_messages():
-    (m,), _ = normal("verifiers", [{"role": "assistant", "content": [{"text": "a"}, {"text": "b"}, 3], "reasoning_content": "r", "tool_calls": [
-        {"id": "1", "function": {"name": "f", "arguments": "oops"}}, {"id": "2", "function": {"name": "g", "arguments": "[1]"}}, {"id": "3", "function": {"name": "h"}}]}])
-    assert (m["content"], m["reasoning"]) == ("ab", "r")
-    assert [(c["arguments"], c["malformed"]) for c in m["tool_calls"]] == [('{"_raw": "oops"}', False), ('{"_raw": [1]}', True), ("{}", False)]
-    assert normal("verifiers", [{"role": "robot"}])[0] is None and normal("unknown", [])[0] is None and normal("events", [{"kind": "user"}])[0][0]["content"] == ""
-
-
-def test_families_can_be_added(spark):
-    trajectory.FAMILIES["echo"] = lambda step: trajectory._message("user", step["x"])
-    try:
-        rows = spark.createDataFrame([(1, "echo", '[{"x": "hey"}]'), (2, "echo", "broken"), (3, None, None)], "id long, family string, steps string")
-        got = {r["id"]: (r["messages"], r["error"]) for r in trajectory.normalised(rows).collect()}
-        assert got[1][0][0]["content"] == "hey" and got[2][0] is None and got[3][0] is None
-    finally:
-        del trajectory.FAMILIES["echo"]
-
-
 def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()["x"]
 
