@@ -11,7 +11,8 @@ from rollweave.functions import chat, codecs, eed, text
 from rollweave.operators import cells, environments, merge, metrics, normalisers, pairs, publish, requests, scoring, stats, trajectory, weights
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
-from rollweave.sources import files, store
+from rollweave.sources import buckets, files, store
+from rollweave.streaming import metrics as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -679,6 +680,47 @@ def rollout_upsert(spark, sf_dir):
     return merge.upsert(current, incoming, key, merge.KEPT["rollouts"])
 
 
+_UPSERTED = "env_name string, task_id long, teacher_name string, sample_idx int, status string, reward double, group_label string"
+
+
+@query(
+    "rollout_upsert_buckets",
+    sql(
+        f"""SELECT env_name, task_id, teacher_name, sample_idx, CASE WHEN created_at > {SINCE} THEN status ELSE 'old' END AS status, CASE WHEN created_at > {SINCE} THEN reward END AS reward,
+              CASE WHEN task_id % 2 = 0 THEN 'kept' END AS group_label FROM rollouts WHERE created_at > {SINCE} OR task_id % 2 = 0""",
+        ROLLOUTS,
+    ),
+)
+def rollout_upsert_buckets(spark, sf_dir):
+    """The same in a stored table, where the upsert rewrites the touched buckets; a repeated batch changes nothing."""
+    rolls, key = _rolls(spark, sf_dir), ["env_name", "task_id", "teacher_name", "sample_idx"]
+    held = buckets.Buckets(spark, derive.new_folder(spark, "upsert"), _UPSERTED, key, 16)
+    held.upsert(rolls.where("task_id % 2 = 0").select(*key, F.lit("old").alias("status"), F.lit(None).cast("double").alias("reward"), F.lit("kept").alias("group_label")))
+    incoming = rolls.where(F.col("created_at") > since()).select(*key, "status", "reward", F.lit(None).cast("string").alias("group_label"))
+    for _ in range(2):
+        held.upsert(incoming, merge.KEPT["rollouts"], once=("load", 0))
+    return held.read()
+
+
+@query(
+    "claims_in_buckets",
+    sql(
+        f"""SELECT {CELL}, attempts + coalesce(claimed, 0) AS attempts, collected FROM progress LEFT JOIN (
+              SELECT {CELL}, 1 AS claimed FROM progress WHERE {CLAIMABLE} ORDER BY {CLAIM_ORDER} LIMIT 8) USING ({CELL})""",
+        ROLLOUTS,
+        PROGRESS,
+    ),
+)
+def claims_in_buckets(spark, sf_dir):
+    """Progress after a tick of the claim loop, which comes twice."""
+    rows, keys = _progress(spark, sf_dir), CELL.split(", ")
+    held = buckets.Buckets(spark, derive.new_folder(spark, "claims"), rows.schema.simpleString()[7:-1], keys, 16)
+    held.upsert(rows)
+    for _ in range(2):
+        streams.bucket_claim_tick(held, lambda claimed: None, 8)(rows, 0)
+    return held.read().select(*keys, "attempts", "collected")
+
+
 @query("rollout_last_write", "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
 def rollout_last_write(spark, sf_dir):
     return merge.last_of(table(spark, sf_dir, "events"), ["user_id", "event_type"], F.col("ts"), F.col("event_id")).select("user_id", "event_type", "event_id", "value")

@@ -14,6 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from rollweave.operators.cells import CELL_TTL_S
 from rollweave.operators.merge import last_of, upsert
+from rollweave.sources.buckets import Buckets
 
 
 def minute_metrics(points: DataFrame, late: str = "2 minutes") -> DataFrame:
@@ -35,6 +36,14 @@ def upsert_sink(read: Callable[[], DataFrame], write: Callable[[DataFrame], None
     return each
 
 
+def bucket_sink(table: Buckets, order: list[str], keep: tuple[str, ...] = (), query: str = "upsert") -> Callable[[DataFrame, int], None]:
+    """upsert_sink for a table in buckets: only the buckets of a batch's keys are read and written, and a repeated batch is left out.
+
+    Name the query by its checkpoint: a new checkpoint begins to count its batches anew.
+    """
+    return lambda batch, number: table.upsert(batch, keep, order, (query, number)) and None
+
+
 def append_sink(events: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """System events as Parquet. Spark slows a full source down instead of dropping its oldest events."""
     out = events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
@@ -129,3 +138,29 @@ def claim_loop(read: Callable[[], DataFrame], write: Callable[[DataFrame], None]
             claimed.unpersist()
 
     return lambda spark: spark.readStream.format("rate").load().writeStream.foreachBatch(tick).trigger(processingTime=f"{seconds} seconds").start()
+
+
+def bucket_claim_tick(progress: Buckets, hand_out: Callable[[DataFrame], None], batch: int, query: str = "claims") -> Callable[[DataFrame, int], None]:
+    """A tick of a claim loop over progress in buckets: it scans for claimable cells and writes the claimed cells' buckets alone.
+
+    Attempts are counted before cells are handed out; a tick that comes again after that hands nothing out, and its cells
+    fall to the time limit of cells.
+    """
+    from rollweave.operators.cells import claim, with_claims
+
+    def tick(_: DataFrame, number: int) -> None:
+        claimed = claim(progress.read(), batch).persist()
+        try:
+            claimed.count()  # what is handed out is what was counted
+            if progress.change(claimed, with_claims, (query, number)):
+                hand_out(claimed)
+        finally:
+            claimed.unpersist()
+
+    return tick
+
+
+def bucket_claim_loop(progress: Buckets, hand_out: Callable[[DataFrame], None], batch: int, checkpoint: str, seconds: int = 5) -> Callable[[SparkSession], StreamingQuery]:
+    """claim_loop over a table in buckets; the checkpoint keeps the number of ticks."""
+    tick = bucket_claim_tick(progress, hand_out, batch)
+    return lambda spark: spark.readStream.format("rate").load().writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
