@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
 
@@ -30,6 +31,49 @@ def minutely(points: DataFrame) -> DataFrame:
     return sums.select("ts_minute", "labels", F.explode(named).alias("m")).select("ts_minute", "m.metric", "labels", "m.value")
 
 
+def carried(points: DataFrame, until: Column | None = None, first: Column | None = None) -> DataFrame:
+    """Gauges as they stand in every minute: points (ts, metric, labels, value) -> (ts_minute, metric, labels, value).
+
+    A gauge keeps its last value from the minute in which it was first set up to ``until``'s, by default its own last
+    minute; of points at one time the greatest value counts, points without a time or value don't. ``first``: minutes
+    before it are left out, while values from before it are still carried into it. One window over each gauge's minutes
+    with points; the minutes between are made by an explode, without a shuffle of their own.
+    """
+    set_ = points.where("ts is not null and value is not null").groupBy("metric", "labels", F.date_trunc("minute", "ts").alias("begin"))
+    set_ = set_.agg(F.max_by("value", F.struct("ts", "value")).cast("double").alias("value"))
+    after = F.lead("begin").over(Window.partitionBy("metric", "labels").orderBy("begin"))
+    minute = F.expr("interval 1 minute")
+    last = F.coalesce(after - minute, F.col("begin") if until is None else F.date_trunc("minute", until))
+    start = F.col("begin") if first is None else F.greatest(F.col("begin"), F.date_trunc("minute", first))
+    spans = set_.withColumn("last", last).withColumn("start", start).where("start <= last")
+    return spans.select(F.explode(F.sequence("start", "last", minute)).alias("ts_minute"), "metric", "labels", "value")
+
+
+def sticky_minutely(points: DataFrame, until: Column) -> DataFrame:
+    """minutely(), with gauges carried into every minute up to ``until``: what a process that flushes each minute writes."""
+    gauge = F.coalesce(F.col("kind") == "gauge", F.lit(False))
+    return minutely(points.where(~gauge)).unionByName(carried(points.where(gauge), until))
+
+
+IDS = ("trace_id", "rollout_id", "pair_id", "run_id")
+
+
+def whole_events(events: DataFrame, now: Column) -> DataFrame:
+    """System events with all that they carry: ts, service, level, event, message, context and the ids they speak of.
+
+    A time that is missing or can't be read is now; Z is UTC. Service and level have defaults, which an absent column
+    has too; event names have 200 characters at most; a context is a JSON object, {} if it is missing or no object.
+    """
+    have = set(events.columns)
+    col = lambda c: F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+    context = F.coalesce(col("context"), F.lit("{}"))
+    whole = F.startswith(F.schema_of_variant(F.try_parse_json(context)), F.lit("OBJECT"))
+    return events.select(
+        F.coalesce(F.try_to_timestamp(col("ts")), now).alias("ts"), F.coalesce(col("service"), F.lit("unknown")).alias("service"), F.coalesce(col("level"), F.lit("info")).alias("level"),
+        F.left(F.coalesce(col("event"), F.lit("")), F.lit(200)).alias("event"), col("message").alias("message"), F.when(whole, context).otherwise("{}").alias("context"), *(col(c).alias(c) for c in IDS),
+    )
+
+
 def normalised_events(events: DataFrame, now: Column) -> DataFrame:
     """System events with defaults: bad or missing times are now, names have 200 characters at most."""
     return events.select(

@@ -18,8 +18,15 @@ def env_yield(rollouts: DataFrame, since: Column, min_std: float = MIN_STD, envs
     return out.withColumn("yield", F.col("n_varied") / F.col("n_cells"))
 
 
-def coverage(rollouts: DataFrame) -> DataFrame:
-    return rollouts.where("status = 'ok'").groupBy("teacher_name", "task_id").agg(F.count(F.lit(1)).alias("n"))
+def coverage(rollouts: DataFrame, env_name: str | None = None) -> DataFrame:
+    """Ok rollouts by teacher and task, of one environment if it is named: environments use the same task ids for other tasks."""
+    rows = rollouts if env_name is None else rollouts.where(F.col("env_name") == env_name)
+    return rows.where("status = 'ok'").groupBy("teacher_name", "task_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def coverage_by_env(rollouts: DataFrame) -> DataFrame:
+    """coverage() of every environment in one pass."""
+    return rollouts.where("status = 'ok'").groupBy("env_name", "teacher_name", "task_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def coverage_matrix(rollouts: DataFrame, teachers: list[str]) -> DataFrame:

@@ -176,6 +176,16 @@ def coverage_matrix(spark, sf_dir):
     return stats.coverage(_rolls(spark, sf_dir))
 
 
+@query("coverage_by_env", sql("SELECT env_name, teacher_name, task_id, count(*) AS n FROM rollouts WHERE status = 'ok' GROUP BY ALL", ROLLOUTS))
+def coverage_by_env(spark, sf_dir):
+    return stats.coverage_by_env(_rolls(spark, sf_dir))
+
+
+@query("coverage_of_env", sql("SELECT teacher_name, task_id, count(*) AS n FROM rollouts WHERE status = 'ok' AND env_name = 'swe-rebench' GROUP BY ALL", ROLLOUTS))
+def coverage_of_env(spark, sf_dir):
+    return stats.coverage(_rolls(spark, sf_dir), "swe-rebench")
+
+
 @query(
     "coverage_pivot",
     sql(
@@ -1114,6 +1124,24 @@ def metrics_minutely(spark, sf_dir):
     return metrics.minutely(_points(spark, sf_dir)).withColumn("value", F.round("value", 6))
 
 
+@query(
+    "metrics_minutely_sticky",
+    """WITH p AS (SELECT date_trunc('minute', ts) AS ts_minute, ts, event_type, '{"a":"x","z":"' || user_id % 2 || '"}' AS labels, value FROM events),
+       g AS (SELECT ts_minute, event_type, labels, sum(value) AS s, count(value)::DOUBLE AS n, max(value) AS h FROM p GROUP BY ALL),
+       u AS (SELECT ts_minute, event_type AS metric, labels, max_by(value, (ts, value)) AS value FROM p WHERE event_type = 'click' GROUP BY ALL),
+       e AS (SELECT max(ts_minute) AS until FROM p),
+       grid AS (SELECT metric, labels, unnest(generate_series(min(ts_minute), any_value(until), INTERVAL 1 MINUTE)) AS ts_minute FROM u, e GROUP BY metric, labels)
+       SELECT ts_minute, event_type AS metric, labels, round(s, 6) AS value FROM g WHERE event_type = 'view'
+       UNION ALL SELECT grid.ts_minute, grid.metric, grid.labels, round(u.value, 6) FROM grid ASOF JOIN u ON u.metric = grid.metric AND u.labels = grid.labels AND u.ts_minute <= grid.ts_minute
+       UNION ALL SELECT ts_minute, event_type || '.' || x.k, labels, round(x.v, 6) FROM g, unnest([{'k': 'sum', 'v': s}, {'k': 'count', 'v': n}, {'k': 'max', 'v': h}]) u(x) WHERE event_type NOT IN ('view', 'click')""",
+)
+def metrics_minutely_sticky(spark, sf_dir):
+    """Gauges keep their value in every minute up to the last of all points."""
+    points = _points(spark, sf_dir)
+    until = points.agg(F.max("ts")).first()[0]
+    return metrics.sticky_minutely(points, F.lit(until)).withColumn("value", F.round("value", 6))
+
+
 @query("event_level_filter", "SELECT event_id, CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END AS level FROM events WHERE event_type IN ('error', 'purchase')")
 def event_level_filter(spark, sf_dir):
     level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO")
@@ -1135,6 +1163,24 @@ def event_normalise(spark, sf_dir):
     return out.select(F.col("payload").cast("long").alias("event_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), "event", "level")
 
 
+@query(
+    "event_whole",
+    f"""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN {AS_OF} ELSE date_trunc('second', ts) END AS ts, 'unknown' AS service, CASE WHEN event_id % 2 = 0 THEN 'info' ELSE 'error' END AS level,
+          left(repeat(event_type, 50), 200) AS event, CASE WHEN event_id % 3 = 0 THEN 'message ' || event_id END AS message, CASE WHEN event_id % 5 = 0 THEN '{{}}' ELSE props END AS context,
+          user_id::VARCHAR AS trace_id, event_id::VARCHAR AS rollout_id, NULL::VARCHAR AS pair_id, CASE WHEN event_id % 7 = 0 THEN 'r' || event_id END AS run_id FROM events""",
+)
+def event_whole(spark, sf_dir):
+    """Events with message, context and ids; every fourth time can't be read, every fifth context is missing or no object."""
+    e, id_ = table(spark, sf_dir, "events"), F.col("event_id")
+    raw = e.select(
+        F.when(id_ % 4 == 0, "never").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("ts"), F.when(id_ % 2 == 1, "error").alias("level"), F.repeat("event_type", F.lit(50)).alias("event"),
+        F.when(id_ % 3 == 0, F.concat(F.lit("message "), id_)).alias("message"), F.when(id_ % 10 == 0, "[1]").when(id_ % 5 != 0, F.col("props")).alias("context"),
+        F.col("user_id").alias("trace_id"), id_.alias("rollout_id"), F.when(id_ % 7 == 0, F.concat(F.lit("r"), id_)).alias("run_id"),
+    )
+    out = metrics.whole_events(raw, F.lit(derive.AS_OF).cast("timestamp"))
+    return out.withColumn("event_id", F.col("rollout_id").cast("long")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -43,7 +43,10 @@ TABLES = {
     "student_pair_scores": "run_id string, student string, revision string, pair_id string, ce_win array<double>, ce_lose array<double>, n_win int, n_lose int, score double",
     "student_deployments": "deployment_id string, student string, revision string, host string, gpu_indices array<int>, status string, endpoint string, created_at timestamp_ntz",
     "service_heartbeats": "worker_id string, service string, status string, version string, started_at timestamp_ntz, last_seen timestamp_ntz",
-    "system_events": "id long, ts timestamp_ntz, level string, service string, event string, payload string",
+    "system_events": (
+        "id long, ts timestamp_ntz, level string, service string, event string, payload string, message string, context string, trace_id string, "
+        "rollout_id string, pair_id string, run_id string"
+    ),
     "metrics_minutely": "ts_minute timestamp_ntz, metric string, labels string, value double",
     "audit_log": "id long, ts timestamp_ntz, actor string, action string, target string, payload string",
 }

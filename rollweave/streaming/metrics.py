@@ -94,6 +94,77 @@ def cell_states(events: DataFrame, ttl_s: int = CELL_TTL_S) -> DataFrame:
     return events.groupBy("cell").transformWithStateInPandas(CellState(ttl_s), CellState.SCHEMA, "Update", "ProcessingTime")
 
 
+class StickyGauge(StatefulProcessor):
+    """A gauge's value in every minute that the watermark has passed, from the minute in which it was first set.
+
+    Takes (ts_ms, value) and emits (ts_minute in ms, value). State: the value carried so far and the next minute to emit,
+    and the points of minutes still open; the timer is the end of the next minute. Of points at one time the greatest
+    value counts, as in operators.metrics.carried.
+    """
+
+    SCHEMA = "metric string, labels string, ts_ms long, value double"
+    MINUTE = 60_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.carried = handle.getValueState("carried", "next long, value double")
+        self.open = handle.getMapState("open", "minute long", "ts long, value double")
+
+    def _wait(self, minute: int) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(minute + self.MINUTE)
+
+    def _held(self) -> tuple[int | None, float | None]:
+        return self.carried.get() if self.carried.exists() else (None, None)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        following, value = self._held()
+        for part in rows:
+            part = part.dropna(subset=["ts_ms", "value"]).sort_values(["ts_ms", "value"])
+            for minute, own in part.groupby(part["ts_ms"] // self.MINUTE * self.MINUTE):
+                if following is not None and value is not None and minute < following:
+                    continue  # its minute has been written
+                last = (int(own["ts_ms"].iloc[-1]), float(own["value"].iloc[-1]))
+                at = (int(minute),)
+                if not self.open.containsKey(at) or tuple(self.open.getValue(at)) < last:
+                    self.open.updateValue(at, last)
+                if value is None:
+                    following = int(minute) if following is None else min(following, int(minute))
+        if following is not None:
+            self.carried.update((following, value))
+            self._wait(following)
+        yield from ()
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        following, value = self._held()
+        until, out = timerValues.getCurrentWatermarkInMs(), []
+        while following + self.MINUTE <= until:
+            if self.open.containsKey((following,)):
+                value = self.open.getValue((following,))[1]
+                self.open.removeKey((following,))
+            out.append((*key, following, value))
+            following += self.MINUTE
+        self.carried.update((following, value))
+        self._wait(following)
+        if out:
+            yield pd.DataFrame(out, columns=["metric", "labels", "ts_ms", "value"])
+
+    def close(self) -> None:
+        pass
+
+
+def sticky_gauges(points: DataFrame, late: str = "2 minutes") -> DataFrame:
+    """points (ts timestamp, metric, labels, value) of gauges -> (ts_minute, metric, labels, value), a row for each minute that the watermark has passed.
+
+    A minute's value is final once written; points that come after it are left out. The query needs the RocksDB state store.
+    """
+    given = points.where("metric is not null and labels is not null").withWatermark("ts", late)
+    rows = given.select("metric", "labels", F.unix_millis("ts").alias("ts_ms"), F.col("value").cast("double").alias("value"), "ts")
+    out = rows.groupBy("metric", "labels").transformWithStateInPandas(StickyGauge(), StickyGauge.SCHEMA, "Append", "EventTime")
+    return out.select(F.timestamp_millis("ts_ms").alias("ts_minute"), "metric", "labels", "value")
+
+
 def heartbeats(spark: SparkSession, worker_id: str, service: str, version: str, seconds: int = 10) -> DataFrame:
     """A row every few seconds for upsert_sink on worker_id."""
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("advanceMillisPerBatch", seconds * 1000).load()

@@ -1,0 +1,112 @@
+"""Minute metrics and events against plain loops."""
+
+from __future__ import annotations
+
+import datetime
+import json
+import random
+import time
+
+from pyspark.sql import functions as F
+
+from rollweave.operators import metrics, stats
+from rollweave.streaming import metrics as streams
+
+START = datetime.datetime(2024, 1, 1, 10, 0)
+POINT = "ts timestamp_ntz, kind string, metric string, labels string, value double"
+
+
+def at(seconds: float) -> datetime.datetime:
+    return START + datetime.timedelta(seconds=seconds)
+
+
+def plain_gauges(points, until):
+    """A process that sets gauges as points come and writes all of them at the end of each minute."""
+    out, gauges = [], {}
+    points = sorted((p for p in points if p[0] is not None and p[4] is not None), key=lambda p: (p[0], p[4]))
+    minute = START
+    while minute <= until:
+        for ts, _, metric, labels, value in points:
+            if minute <= ts < minute + datetime.timedelta(minutes=1):
+                gauges[metric, labels] = value
+        out += [(minute, *key, value) for key, value in gauges.items()]
+        minute += datetime.timedelta(minutes=1)
+    return sorted(out)
+
+
+def test_two_points_three_minutes_apart_give_four_rows(spark):
+    df = spark.createDataFrame([(at(10), "gauge", "g", "{}", 1.0), (at(190), "gauge", "g", "{}", 2.0)], POINT)
+    got = sorted(tuple(r) for r in metrics.sticky_minutely(df, F.lit(at(200)).cast("timestamp_ntz")).collect())
+    assert [(r[0], r[3]) for r in got] == [(at(0), 1.0), (at(60), 1.0), (at(120), 1.0), (at(180), 2.0)]
+    got = sorted(tuple(r) for r in metrics.carried(df, first=F.lit(at(125)).cast("timestamp_ntz")).collect())
+    assert [(r[0], r[3]) for r in got] == [(at(120), 1.0), (at(180), 2.0)]
+
+
+def test_gauges_against_a_plain_process(spark):
+    r = random.Random(1)
+    points = [(at(r.randrange(900)), "gauge", r.choice("ab"), r.choice(["{}", '{"x":"1"}', None]), r.choice([1.0, 2.0, 3.0, None])) for _ in range(60)]
+    points += [points[0], (None, "gauge", "a", "{}", 1.0), (at(5), "counter", "a", "{}", 7.0), (at(6), "counter", "a", "{}", 7.0)]
+    until = at(1200)
+    got = metrics.sticky_minutely(spark.createDataFrame(points, POINT), F.lit(until).cast("timestamp_ntz")).collect()
+    key = lambda r: (r[0], r[1], r[2] or "", r[3])
+    want = [(m, n, la, v) for m, n, la, v in plain_gauges([(t, k, n, la or "", v) for t, k, n, la, v in points if k == "gauge"], until)]
+    want.append((START, "a", "{}", 14.0))
+    assert sorted(map(key, map(tuple, got))) == sorted(want)
+    assert metrics.carried(spark.createDataFrame([], POINT)).count() == 0
+
+
+def test_gauges_in_a_stream(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    source = tmp_path / "in"
+    source.mkdir()
+    batches = [
+        [(10, "g", 1.0), (20, "h", 5.0), (30, "g", 2.0)],
+        [(190, "g", 3.0), (185, "g", 9.0)],
+        [(620, "clock", 0.0)],
+        [(15, "g", 99.0), (640, "clock", 0.0)],  # the first is late: its minute has been written
+        [(700, "g", 4.0), (1000, "clock", 0.0)],
+    ]
+
+    def put(i):
+        lines = [json.dumps({"ts": at(s).isoformat(), "metric": m, "labels": "{}", "value": v}) for s, m, v in batches[i]]
+        (tmp_path / f"{i}.json").write_text("\n".join(lines))
+        (tmp_path / f"{i}.json").rename(source / f"{i}.json")
+
+    points = spark.readStream.schema("ts timestamp, metric string, labels string, value double").option("maxFilesPerTrigger", 1).json(str(source))
+    put(0)
+    q = streams.sticky_gauges(points, "1 second").writeStream.format("memory").queryName("gauges").outputMode("append").trigger(processingTime="1 second").start()
+
+    def rows():
+        return {(r["metric"], int((r["ts_minute"] - START).total_seconds() // 60), r["value"]) for r in spark.table("gauges").collect()}
+
+    g = [("g", 0, 2.0), ("g", 1, 2.0), ("g", 2, 2.0), *(("g", i, 3.0) for i in range(3, 11)), *(("g", i, 4.0) for i in range(11, 16))]
+    want = {*g, *(("h", i, 5.0) for i in range(16)), *(("clock", i, 0.0) for i in range(10, 16))}
+    try:
+        for i in range(1, len(batches)):
+            time.sleep(3)
+            put(i)
+        for _ in range(60):
+            time.sleep(1)
+            if q.exception() or rows() >= want:
+                break
+    finally:
+        q.stop()
+    assert q.exception() is None and rows() == want
+    assert spark.table("gauges").count() == len(want)  # none twice
+
+
+def test_whole_events(spark):
+    now = datetime.datetime(2024, 5, 5)
+    rows = [("2024-01-01T00:00:00Z", None, "e" * 300, '{"a": 1}', "t"), ("bad", "warning", None, "[1]", None), (None, "info", "x", "oops", None)]
+    df = spark.createDataFrame(rows, "ts string, level string, event string, context string, trace_id string")
+    got = [tuple(r) for r in metrics.whole_events(df, F.lit(now)).collect()]
+    assert got == [
+        (datetime.datetime(2024, 1, 1), "unknown", "info", "e" * 200, None, '{"a": 1}', "t", None, None, None),
+        (now, "unknown", "warning", "", None, "{}", None, None, None, None), (now, "unknown", "info", "x", None, "{}", None, None, None, None),
+    ]
+
+
+def test_coverage_keeps_environments_apart(spark):
+    rolls = spark.createDataFrame([("a", 1, "t", "ok"), ("a", 1, "t", "ok"), ("b", 1, "t", "ok"), ("b", 1, "t", "bad")], "env_name string, task_id int, teacher_name string, status string")
+    assert [tuple(r) for r in stats.coverage(rolls, "b").collect()] == [("t", 1, 1)]
+    assert sorted(tuple(r) for r in stats.coverage_by_env(rolls).collect()) == [("a", "t", 1, 2), ("b", "t", 1, 1)]
