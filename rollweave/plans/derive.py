@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rollweave.sources.scratch import new_folder
+
+__all__ = ["new_folder"]
 AS_OF = "2024-01-31 00:00:00"
 TARGET = 3
 
@@ -22,21 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A folder of its own in the shared folder (spark.checkpoint.dir; a local one only where that is unset), which goes with the driver's JVM."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = f"file://{tempfile.gettempdir()}/rollweave-{os.getuid()}"
-    found = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    return found
-
-
 def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     status = F.when(k % 10 <= 6, "ok").when(k % 10 == 7, "env_error").when(k % 10 == 8, "teacher_error").otherwise("empty_completion")

@@ -847,6 +847,45 @@ def task_file(spark, sf_dir):
     return files.tasks(spark, at, "docs", lo=5).select("task_id", "env_name", F.md5("problem").alias("problem"))
 
 
+@query("task_lookup", "SELECT doc_id::INTEGER AS task_id, 'docs' AS env_name, md5(text) AS problem FROM documents WHERE doc_id % 7 <> 3")
+def task_lookup(spark, sf_dir):
+    """Tasks found by their ids through an index of the task file, in which every fifth task has an older line before."""
+    at = derive.new_folder(spark, "tasks")
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    line = F.to_json(F.struct(F.col("doc_id").alias("id"), F.when(F.col("text") != "", F.col("text")).alias("problem_statement")))
+    older = F.to_json(F.struct(F.col("doc_id").alias("task_id"), F.lit("older").alias("problem")))
+    noise = F.when(F.col("doc_id") % 5 == 0, F.array(older, F.lit(" "), line)).otherwise(F.array(F.lit("{broken"), line))
+    docs.select(F.explode(noise).alias("value")).write.text(f"{at}/lines")
+    index = files.TaskIndex(spark, f"{at}/index", "docs")
+    index.build(f"{at}/lines")
+    return index.tasks(docs.where("doc_id % 7 <> 3").select(F.col("doc_id").alias("task_id"))).select("task_id", "env_name", F.md5("problem").alias("problem"))
+
+
+@query(
+    "dataset_tasks",
+    """WITH c AS (
+         SELECT conv_id, string_agg(CASE WHEN role <> 'assistant' THEN text END, chr(10) || chr(10) ORDER BY turn, role, text) AS said,
+           '[' || string_agg('{"role":"assistant","content":' || to_json(text) || '}', ',' ORDER BY turn, role, text) || ']' AS raw FROM conversations GROUP BY conv_id),
+       n AS (SELECT *, row_number() OVER (ORDER BY md5(conv_id::VARCHAR)) - 1 AS task_id FROM c)
+       SELECT 'verifiers:chat' AS env_name, task_id, CASE WHEN conv_id % 9 = 0 THEN raw ELSE said END AS problem, conv_id AS answer, CASE WHEN conv_id % 2 = 0 THEN 1 END AS k,
+         CASE WHEN conv_id % 3 = 0 THEN task_id ELSE conv_id END AS example_id, 'chat' AS env FROM n""",
+)
+def dataset_tasks(spark, sf_dir):
+    """An evaluation split as tasks; prompts that nobody but the assistant speaks in are their own text."""
+    c = table(spark, sf_dir, "conversations")
+    role = F.when(F.col("conv_id") % 9 == 0, "assistant").otherwise(F.col("role"))
+    said = F.array_sort(F.collect_list(F.struct("turn", "role", "text", role.alias("as"))))
+    prompt = F.transform("s", lambda m: F.struct(m["as"].alias("role"), m["text"].alias("content")))
+    id_ = F.col("conv_id")
+    rows = c.groupBy("conv_id").agg(said.alias("s")).select(
+        F.md5(id_.cast("string")).alias("place"), prompt.alias("prompt"), id_.cast("string").alias("answer"), F.when(id_ % 2 == 0, F.struct(F.lit(1).alias("k"))).alias("info"), F.when(id_ % 3 != 0, id_).alias("example_id")
+    )
+    meta = lambda c, kind: F.get_json_object("meta", f"$.{c}").cast(kind)
+    return files.dataset_tasks(None, "verifiers:chat", "place", evaluation=rows).select(
+        "env_name", "task_id", "problem", meta("answer", "long").alias("answer"), meta("info.k", "int").alias("k"), meta("example_id", "long").alias("example_id"), meta("verifiers_env_id", "string").alias("env")
+    )
+
+
 @query(
     "manifest_file",
     sql(
