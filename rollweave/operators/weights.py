@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,11 +86,14 @@ def env_weights(
     return rows.select("env_name", F.bround(F.when(raised, pinned).otherwise(raw), 6).alias("weight"), label.alias("label"))
 
 
-def with_weights(config: str, weights: dict[str, float]) -> str:
-    """A list's configuration with new env_weights; all else stays."""
-    found = json.loads(config)
-    found.setdefault("pool", {})["env_weights"] = weights
-    return json.dumps(found, sort_keys=True)
+def with_weights(config: Column, weights: Column) -> Column:
+    """A list's configuration, JSON text, with new pool.env_weights (a map); all other members stay, in the order of their names."""
+    members = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
+    whole = members(F.try_parse_json(config))
+    pool = F.coalesce(members(F.try_element_at(whole, F.lit("pool"))), F.create_map().cast("map<string,variant>"))
+    pool = F.map_concat(F.map_filter(pool, lambda k, _: k != "env_weights"), F.create_map(F.lit("env_weights"), F.to_variant_object(weights)))
+    out = F.map_concat(F.map_filter(whole, lambda k, _: k != "pool"), F.create_map(F.lit("pool"), F.to_variant_object(pool)))
+    return F.to_json(F.to_variant_object(out))
 
 
 def with_env(config: str, env: str, task_ids: list[int]) -> str:
@@ -103,14 +106,16 @@ def with_env(config: str, env: str, task_ids: list[int]) -> str:
     return json.dumps(found, sort_keys=True)
 
 
-def reweight(spark: SparkSession, lists: DataFrame, yields: DataFrame, pins: dict[str, float] | None = None, **knobs) -> DataFrame:
-    """sampling_lists with new weights: each list's few environments are read, weighed and written back."""
-    out = []
-    for row in lists.collect():  # a row for each list, of which there are a handful
-        pool = parse_pool(spark.createDataFrame([row], lists.schema))
-        found = env_weights(pool, yields, DEFAULT_PINS if pins is None else pins, **knobs).collect()
-        out.append(row.asDict() | {"config": with_weights(row["config"], {r["env_name"]: r["weight"] for r in found})})
-    return spark.createDataFrame(out, lists.schema)
+def reweight(lists: DataFrame, yields: DataFrame, pins: dict[str, float] | None = None, **knobs) -> DataFrame:
+    """sampling_lists with new weights for their environments, any number of lists in one plan; all other columns stay.
+
+    Each environment is weighed once, whichever lists name it. A list that parse_pool refuses is an error.
+    """
+    pool = parse_pool(lists).select("list_name", "env_name").distinct()
+    found = env_weights(pool, yields, DEFAULT_PINS if pins is None else pins, **knobs).select("env_name", "weight")
+    entries = F.array_sort(F.collect_list(F.struct("env_name", "weight")))
+    weights = pool.join(found, "env_name").groupBy("list_name").agg(F.map_from_entries(entries).alias("_weights"))
+    return lists.join(weights, "list_name").withColumn("config", with_weights(F.col("config"), F.col("_weights"))).select(*lists.columns)
 
 
 def needs(targets: DataFrame, progress: DataFrame, as_of: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from rollweave.operators import cells, environments, merge, metrics, normalisers
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
 from rollweave.sources import buckets, files, store
+from rollweave.sources.scratch import dense
 from rollweave.streaming import metrics as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +156,33 @@ def pool_top_up(spark, sf_dir):
     return _topped_up(spark, sf_dir)[2].select(*CELL.split(", "), "turn")
 
 
+REWEIGHED = """
+fresh AS (
+  SELECT env_name, round_even(greatest(0.03 + CASE WHEN coalesce(n_cells, 0) < 30 THEN pow(greatest((SELECT coalesce(median(yield) FILTER (n_cells >= 30), 0.1) FROM yields), 0.1), 2.0)
+      WHEN yield < 0.1 THEN 0.0 ELSE pow(yield, 2.0) END, CASE WHEN env_name = 'swe-rebench' THEN 0.1 ELSE 0 END), 6) AS weight
+  FROM (SELECT DISTINCT env_name FROM listed) LEFT JOIN yields USING (env_name))"""
+
+
+@query(
+    "reweight",
+    sql(
+        """SELECT list_name, env_name, weight, json_extract_string(config, '$.target_active_cells')::INTEGER AS cells, json_extract_string(config, '$.pool.teachers[1]') AS teacher,
+             coalesce(json_extract_string(config, '$.pool.cell_ttl_s'), '-') AS ttl, len(json_extract_string(config, '$.pool.envs[*]'))::INTEGER AS n_envs FROM listed JOIN fresh USING (env_name)""",
+        ROLLOUTS, YIELDS, TARGETS, REWEIGHED,
+    ),
+)
+def reweight(spark, sf_dir):
+    """Both lists weighed anew in one plan: the new weights, and members of the configuration that stay."""
+    rolls = _rolls(spark, sf_dir)
+    out = weights.reweight(_lists(spark), stats.env_yield(rolls, since()))
+    of = lambda path, kind: F.get_json_object("config", path).cast(kind)
+    rows = out.select("list_name", "config", F.explode(F.from_json(F.get_json_object("config", "$.pool.env_weights"), "map<string,double>")).alias("env_name", "weight"))
+    return rows.select(
+        "list_name", "env_name", "weight", of("$.target_active_cells", "int").alias("cells"), of("$.pool.teachers[1]", "string").alias("teacher"),
+        F.coalesce(of("$.pool.cell_ttl_s", "string"), F.lit("-")).alias("ttl"), F.json_array_length(F.get_json_object("config", "$.pool.envs")).alias("n_envs"),
+    )
+
+
 @query(
     "pool_report",
     sql(
@@ -420,10 +448,8 @@ PRIVATE = f"private AS (SELECT *, row_number() OVER (ORDER BY last_updated, {CEL
 
 
 def _private(spark, sf_dir):
-    from pyspark.sql.window import Window
-
     rows = _progress(spark, sf_dir).where("published_at is not null")  # a manifest is one ordered file
-    rows = rows.withColumn("line_no", F.row_number().over(Window.orderBy("last_updated", *CELL.split(", "))).cast("long"))
+    rows = dense(rows, "line_no", F.col("last_updated"), *map(F.col, CELL.split(", "))).withColumn("line_no", F.col("line_no") + 1)
     stamp = publish.iso(F.col("published_at"))
     return rows.withColumns({"committed_at": stamp, "mature_at": F.when(F.col("task_id") % 3 == 0, F.lit("bad")).otherwise(publish.iso(F.col("published_at") + F.expr("interval 2 days")))})
 
