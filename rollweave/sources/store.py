@@ -18,6 +18,7 @@ from rollweave.operators import publish as plans
 from rollweave.schemas import LISTED_CELL, SHARD, TABLES, struct
 from rollweave.sources import files
 from rollweave.sources.blobs import Blobs
+from rollweave.sources.shards import publish_shards
 
 
 class Conflict(Exception):
@@ -141,7 +142,7 @@ class Publisher:
 
     def publish(self, pending: DataFrame, rollouts: DataFrame, now: Column, cap: int = plans.MAX_NEW, mature_after_s: int = 0, stamp: str = "") -> DataFrame:
         """One cycle; returns the cells that it handled, to be marked. The manifest is written before any mark, so what a crash leaves
-        unmarked is found again as recovered. A cycle has ``cap`` new manifest lines at most, which the driver appends; the
+        unmarked is found again as recovered. A cycle has ``cap`` new manifest lines at most, which one commit adds with their shards; the
         plan, of any number of cells, is a table below _cycles, which done() deletes."""
         next_idx = len(self.manifest_text().splitlines())
         known = self.manifest().where("valid")
@@ -149,9 +150,9 @@ class Publisher:
         made = plans.plan_cycle(plans.classify(pending, rollouts, known), next_idx, cap)
         made.write.option("compression", "zstd").parquet(at)
         plan = self.spark.read.schema(made.schema).parquet(at)
-        write_shards(plans.shard_rows(plan, rollouts), self.root, self.prefix).count()
         entries = plans.manifest_entries(plan, now, self.root, self.prefix, mature_after_s)
-        total = self._append([r["value"] for r in plans.manifest_lines(entries).orderBy("task_idx").collect()])
+        publish_shards(plans.shard_rows(plan, rollouts), plans.manifest_lines(entries), self.root, self.prefix)
+        total = next_idx + entries.count()
         self.blobs.put(f"{self.prefix}metadata.json", json.dumps({"version": 1, "last_updated": stamp, "tasks": {"total": total}}, sort_keys=True).encode())
         return plan.select(*LISTED_CELL, "action", "task_idx")
 
