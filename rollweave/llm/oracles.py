@@ -1,5 +1,19 @@
 """DuckDB SQL for the operators whose results SQL can express."""
 
+from rollweave.llm.urlfilter import _NAME, _WS, ATTRIBUTE, link_tag, token
+
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _attribute(name: str) -> str:
+    """The value of the first attribute of that name among ``attributes``, without quotes."""
+    found = f"list_filter(attributes, lambda a: lower(regexp_extract(a, '^[ \\t\\n\\f\\r/]?({_quoted(_NAME)})', 1)) = '{name}')[1]"
+    value = f"regexp_extract({found}, '(?s)^[^=]*={_WS}*(.*)$', 1)"
+    return f"(CASE WHEN left({value}, 1) IN ('\"', '''') THEN substr({value}, 2, length({value}) - 2) ELSE {value} END)"
+
+
 _URL = """
   SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages"""
@@ -16,13 +30,32 @@ rules(rhost, rpath, rule, verdict) AS (VALUES
   ('com', '/', 'com/', 'allow'), ('example.com', '/en/', 'example.com/en/', 'block'),
   ('www.example.com', '/en/', 'www.example.com/en/', 'allow'), ('net', '/es/', 'net/es/', 'block'), ('net', '/fr/', 'net/fr/', 'block')),
 tag AS (
-  SELECT h.*, CASE WHEN path = '' THEN '/' ELSE path END AS spot, unnest(list_concat(
-    list_filter(regexp_extract_all(html, '<link\\b[^>]*', 0, 'is'), lambda t: regexp_matches(t, '\\brel\\s*=\\s*(?:["'']?\\s*|"[^">]*\\s|''[^''>]*\\s)canonical\\b', 'is')),
-    list_filter(regexp_extract_all(html, '<meta\\b[^>]*', 0, 'is'), lambda t: regexp_matches(t, '\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b', 'is')))) AS tag
-  FROM h WHERE host <> ''),
+  SELECT h.*, CASE WHEN path = '' THEN '/' ELSE path END AS spot, unnest(tags) AS tag, generate_subscripts(tags, 1) AS place
+  FROM (SELECT *, list_filter(regexp_extract_all(html, '{_quoted(token("*"))}', 0), lambda t: regexp_matches(t, '{_quoted(link_tag("*"))}')) AS tags FROM h WHERE host <> '') h),
+said AS (
+  SELECT * EXCLUDE (attributes), lower(regexp_extract(tag, '^<([A-Za-z]+)', 1)) AS sort,
+    {_attribute("rel")} AS rel, {_attribute("http-equiv")} AS equiv, {_attribute("href")} AS href0, {_attribute("content")} AS content
+  FROM (SELECT *, regexp_extract_all(tag, '(?s){_quoted(ATTRIBUTE)}', 0) AS attributes FROM tag)),
+kinds AS (
+  SELECT *, CASE WHEN sort = 'base' THEN 'base' WHEN sort = 'link' AND regexp_matches(rel, '(?i)(^|\\s)canonical(\\s|$)') THEN 'canonical'
+      WHEN sort = 'meta' AND regexp_matches(equiv, '(?i)^\\s*refresh\\s*$') THEN 'refresh' END AS kind,
+    CASE WHEN sort = 'meta' THEN regexp_extract(content, '(?is)\\burl\\s*=\\s*["'']?\\s*([^"''\\s]+)', 1) ELSE href0 END AS href1 FROM said),
+decoded AS (
+  -- numeric references and &amp;
+  SELECT * EXCLUDE (href1), regexp_extract(replace(list_reduce(list_prepend(href1, list_distinct(regexp_extract_all(href1, '&#[0-9]{{1,7}};|&#[xX][0-9a-fA-F]{{1,6}};'))), lambda held, r:
+      replace(held, r, chr(CASE WHEN lower(substr(r, 3, 1)) = 'x' THEN ('0x' || substr(r, 4, length(r) - 4))::INTEGER ELSE substr(r, 3, length(r) - 3)::INTEGER END))), '&amp;', '&'), '(?s)^\\s*(\\S*)', 1) AS href
+  FROM kinds WHERE kind IS NOT NULL),
+based AS (
+  SELECT page_id, url, html, arg_min(CASE
+      WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href WHEN starts_with(href, '//') THEN 'x:' || href WHEN starts_with(href, '/') THEN 'x://' || host || href
+      WHEN starts_with(href, '?') THEN 'x://' || host || path || href ELSE 'x://' || host || regexp_extract(spot, '^(.*/)', 1) || href END, place) AS base
+  FROM decoded WHERE kind = 'base' AND href <> '' GROUP BY ALL),
 link AS (
-  SELECT *, CASE WHEN regexp_matches(tag, '^<l', 'i') THEN regexp_extract(tag, '\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is')
-    ELSE regexp_extract(tag, '\\bcontent\\s*=\\s*["'']?[^"''>]*?\\burl\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is') END AS href FROM tag),
+  SELECT d.* REPLACE (coalesce(bhost, d.host) AS host, coalesce(bpath, d.path) AS path, CASE WHEN bhost IS NULL THEN d.spot WHEN bpath = '' THEN '/' ELSE bpath END AS spot), d.host || d.spot || d.query AS self
+  FROM decoded d LEFT JOIN (
+    SELECT page_id, url, html, regexp_extract(base, '^.*?://([^/?#]*)', 1) AS bhost, regexp_extract(base, '^.*?://[^/?#]*([^?#]*)', 1) AS bpath FROM based) b
+    ON b.page_id IS NOT DISTINCT FROM d.page_id AND b.url = d.url AND b.html = d.html
+  WHERE kind <> 'base' AND href <> ''),
 target AS (
   SELECT *, CASE
       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
@@ -30,9 +63,9 @@ target AS (
       WHEN starts_with(href, '/') THEN 'x://' || host || href
       WHEN starts_with(href, '?') THEN 'x://' || host || path || href
       ELSE 'x://' || host || regexp_extract(spot, '^(.*/)', 1) || href END AS url2
-  FROM (SELECT * REPLACE (replace(href, '&amp;', '&') AS href) FROM link WHERE href <> '')),
+  FROM link),
 parts AS (
-  SELECT host || spot || query AS a,
+  SELECT self AS a,
     translate(regexp_extract(url2, '^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host2,
     regexp_extract(url2, '^.*?://[^/?#]*([^?#]*)', 1) AS path2, regexp_extract(url2, '^.*?://[^?#]*([?][^#]*)', 1) AS query2
   FROM target),

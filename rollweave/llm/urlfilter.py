@@ -9,7 +9,10 @@ rule fits; all others are allowed.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +43,30 @@ RULES = (
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _REST = r"^.*?://"
-#: rel is a list of words: canonical may be any of a quoted list, or the first of an unquoted one.
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:["']?\s*|"[^">]*\s|'[^'>]*\s)canonical\b)[^>]*?\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*?\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+#: HTML's white space; names and values of attributes.
+_WS = r"[ \t\n\f\r]"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^ \t\n\f\r"'>][^ \t\n\f\r>]*)"""
+_NAME = r"[^ \t\n\f\r/>=]+"
+ATTRIBUTE = rf"[ \t\n\f\r/]?{_NAME}{_WS}*={_WS}*{_VALUE}"
+#: Elements whose content is text, or inert.
+_RAW = "script style textarea title xmp iframe noembed noframes template".split()
+
+
+def token(loop: str = "*+") -> str:
+    """A pattern for comments, elements of raw text as a whole, and all other tags, in whose attributes any of these may stand.
+
+    Whatever follows a tag's name belongs to it up to its end or the page's, so no page is read twice. ``loop``: how
+    often a tag has attributes; the possessive form needs no stack in Java, other engines want ``*``.
+    """
+    value = rf"""(?:"[^"]*(?:"|\z)|'[^']*(?:'|\z)|[^ \t\n\f\r"'>][^ \t\n\f\r>]*)?"""
+    attributes = rf"(?:[ \t\n\f\r/]+|=|{_NAME}(?:{_WS}*={_WS}*{value})?){loop}(?:>|\z)"
+    raw = "|".join(rf"<{name}(?:[ \t\n\f\r/]{attributes}|>).*?(?:</{name}|\z)" for name in _RAW)
+    return rf"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|{raw}|<[a-z][^ \t\n\f\r/>]*{attributes}"
+
+
+def link_tag(loop: str = "*+") -> str:
+    """A pattern for link, meta and base tags as a whole: their quotes are closed and they end."""
+    return rf"(?is)^<(?:link|meta|base)(?:[ \t\n\f\r/](?:[ \t\n\f\r/]+|{_NAME}(?:{_WS}*={_WS}*{_VALUE})?){loop}(?:={_WS}*)?)?>$"
 
 
 def _after_scheme(url: Column) -> Column:
@@ -103,17 +127,69 @@ def resolved(base: Column, link: Column) -> Column:
     )
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of that name as it is written, without quotes; null without one."""
+    found = F.filter(F.regexp_extract_all(tag, F.lit("(?s)" + ATTRIBUTE), F.lit(0)), lambda a: F.lower(F.regexp_extract(a, rf"^[ \t\n\f\r/]?({_NAME})", 1)) == name)
+    value = F.regexp_extract(F.get(found, F.lit(0)), rf"(?s)^[^=]*={_WS}*(.*)$", 1)
+    return F.when(F.left(value, F.lit(1)).isin('"', "'"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+_REFERENCE = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)(;|(?![=A-Za-z0-9]))")
+
+
+def unescaped(value: str) -> str:
+    """An attribute's value with its character references decoded; one without a semicolon counts where no = or letter follows."""
+
+    def one(found: re.Match) -> str:
+        if found[1][0] == "#":
+            return unescape(f"&{found[1]};")
+        return html5.get(found[1] + found[2], found[0])
+
+    return _REFERENCE.sub(one, value)
+
+
+def _target(value: Column) -> Column:
+    """A link up to its first white space, references decoded; null if nothing is left."""
+    decoded = F.pandas_udf(lambda values: values.map(lambda v: v if v is None else unescaped(v)), "string", F.PandasUDFType.SCALAR)
+    text = F.when(F.contains(value, F.lit("&")), decoded(value)).otherwise(value)
+    return F.nullif(F.regexp_extract(text, r"(?s)^\s*(\S*)", 1), F.lit(""))
+
+
+def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(page, from_url, place, kind: base, canonical or refresh, link) of pages that have a canonical link or a meta refresh.
+
+    Only tags count: what stands in comments, scripts, other raw text, templates or attribute values doesn't. Pages that
+    hold neither word cost one substring test.
+    """
+    body, base = F.col(html), F.col(url)
+    has = F.contains(F.lower(body), F.lit("canonical")) | F.contains(F.lower(body), F.lit("refresh"))
+    tags = F.filter(F.regexp_extract_all(body, F.lit(token()), F.lit(0)), lambda t: F.rlike(t, F.lit(link_tag())))
+    rows = pages.where(has & (F.instr(base, "://") > 0)).select(base.alias("from_url"), F.xxhash64(body).alias("page"), F.posexplode(tags).alias("place", "tag"))
+    sort = F.lower(F.regexp_extract("tag", r"^<([A-Za-z]+)", 1))
+    rel, equiv = attribute(F.col("tag"), "rel"), attribute(F.col("tag"), "http-equiv")
+    kind = (
+        F.when(sort == "base", "base")
+        .when((sort == "link") & F.rlike(rel, F.lit(r"(?i)(^|\s)canonical(\s|$)")), "canonical")
+        .when((sort == "meta") & F.rlike(equiv, F.lit(r"(?i)^\s*refresh\s*$")), "refresh")
+    )
+    href = F.when(sort == "meta", F.regexp_extract(attribute(F.col("tag"), "content"), r"""(?is)\burl\s*=\s*["']?\s*([^"'\s]+)""", 1)).otherwise(attribute(F.col("tag"), "href"))
+    found = rows.select("page", "from_url", "place", kind.alias("kind"), href.alias("href")).where("kind is not null")
+    return found.select("page", "from_url", "place", "kind", _target(F.col("href")).alias("link")).where("link is not null")
+
+
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(from_url, to_url) for every canonical link and meta refresh of a page. Pages without either cost one substring test.
+    """(from_url, to_url) for every canonical link and meta refresh of a page, resolved against the page's first base.
 
     A target with dot segments is an alias both without them and as written, since a page's own URL is taken as written.
+    Links in comments, scripts and other raw text are none; null and very long pages are read like others, and rows that
+    repeat a page's URL and HTML give the same edges.
     """
-    body, base = F.col(html), F.col(url)
-    has = F.lower(body).contains("canonical") | F.lower(body).contains("refresh")
-    links = F.array_union(F.regexp_extract_all(body, F.lit(_CANONICAL), F.lit(1)), F.regexp_extract_all(body, F.lit(_REFRESH), F.lit(1)))
-    found = pages.where(has & (F.instr(base, "://") > 0)).select(base.alias("from_url"), F.explode(links).alias("link"))
-    clean = F.replace(F.col("link"), F.lit("&amp;"), F.lit("&"))
-    found = found.select("from_url", resolved(F.col("from_url"), clean).alias("to_url"))
+    links = page_links(pages, url, html)
+    rows = links.groupBy("page", "from_url").agg(F.array_sort(F.collect_set(F.struct("place", "kind", "link"))).alias("links"))  # a page's links
+    bases = F.filter("links", lambda x: x["kind"] == "base")
+    rows = rows.withColumn("base", F.coalesce(resolved(F.col("from_url"), F.get(bases, F.lit(0))["link"]), F.col("from_url")))
+    found = rows.select("from_url", "base", F.explode(F.filter("links", lambda x: x["kind"] != "base")).alias("x"))
+    found = found.select("from_url", resolved(F.col("base"), F.col("x.link")).alias("to_url"))
     return found.select("from_url", F.explode(F.array_distinct(F.array("to_url", without_dots(F.col("to_url"))))).alias("to_url"))
 
 

@@ -216,6 +216,42 @@ def test_every_alias_of_a_page_counts(spark):
     assert {i for i, v in got.items() if v == "allow"} == {12, 13}
 
 
+BAD = "http://x.net/es/1"
+LINKS = [  # (html, whether the page is linked with BAD, whether the SQL decodes its references)
+    (f"<!-- <link rel=canonical href={BAD}> -->", False, True), (f"<!--x--><link rel=canonical href={BAD}>", True, True), (f"<!--><link rel=canonical href={BAD}>-->", True, True),
+    (f"<!-- open <link rel=canonical href={BAD}>", False, True), (f"<script>var x = '<link rel=canonical href={BAD}>'</script>", False, True),
+    (f"<script src='a>b'>1</script><link rel=canonical href={BAD}>", True, True), (f"<SCRIPT>'<!--'</SCRIPT ><link rel=canonical href={BAD}>", True, True),
+    (f"<style>/* <link rel=canonical href={BAD}> */</style>", False, True), (f"<textarea><link rel=canonical href={BAD}></textarea>", False, True), (f"<title><link rel=canonical href={BAD}></title>", False, True),
+    (f"<template><link rel=canonical href={BAD}></template>", False, True), (f"<noscript><meta http-equiv=refresh content='0;url={BAD}'></noscript>", True, True),
+    (f'<meta name=description content="use <script> or <!-- here"><link rel=canonical href={BAD}>', True, True), (f"<p title='<link rel=canonical href={BAD}>'>", False, True),
+    (f"<link title='a>b' rel=canonical href={BAD}>", True, True), (f'<link title="rel=canonical" rel="next" href="{BAD}">', False, True), (f"<link data-rel=canonical href={BAD}>", False, True),
+    (f"<link rel=next rel=canonical href={BAD}>", False, True), (f"<link rel=canonical href={BAD} href=http://ok.org>", True, True), (f"<link\nrel = 'canonical'\thref = ' {BAD} '/>", True, True),
+    (f"<linkx rel=canonical href={BAD}>", False, True), ("<link rel=canonical href='http&#58;//x.net/es/1'>", True, True), ("<link rel=canonical href='http&#x3A;//x.net/es/1'>", True, True),
+    ("<link rel=canonical href='http&colon;&sol;/x.net/es/1'>", True, False), ("<link rel=canonical href='http&#58//x.net/es/1'>", True, False), ("<link rel=canonical href='http://x.net&sol;es&sol;1'>", True, False),
+    ("<base href='http://x.net/es/'><link rel=canonical href=1>", True, True), ("<link rel=canonical href=1><base href='//x.net/es/'><base href=http://ok.org/>", True, True),
+    ("<!--<base href='http://x.net/es/'>--><link rel=canonical href=z1>", False, True), ("<base target=_top><base href='http://x.net/es/y?z'><meta http-equiv=' Refresh' content='5; URL = \"1\"'>", True, True),
+    (f"<link rel=canonical href={BAD} title=\"x>", False, True), (f"<link a=\"1\"rel=canonical href={BAD} b=>", True, True),
+    ("<link rel=canonical href=>", False, True), ("<link rel=canonical href='http://x.net/es/1", False, True), ("<link " + "a=1 " * 30_000 + f"rel=canonical href={BAD}>", True, True), ("<link " * 30_000 + "canonical", False, True),
+    ("<!--" * 30_000 + "canonical", False, True), ("<script " * 30_000 + "canonical", False, True), ("<a =" * 30_000 + "canonical", False, True), ("<a b='" * 30_000 + "canonical", False, True), (None, False, True), ("", False, True),
+]
+
+
+def test_links_are_those_of_tags(spark):
+    rows = [(i, f"http://p.org/p{i}", h) for i, (h, _, _) in enumerate(LINKS)] + [(99, BAD, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] == "block" for r in urlfilter.judge(pages.drop("html"), urlfilter.alias_edges(pages)).collect()}
+    assert {i for i in got if got[i]} == {i for i, (_, linked, _) in enumerate(LINKS) if linked} | {99}
+    by_sql = judged_by_sql([r for r in rows if r[0] == 99 or LINKS[r[0]][2]])
+    assert {i: v[3] == "block" for i, v in by_sql.items()} == {i: v for i, v in got.items() if i in by_sql}
+
+
+def test_references_in_attributes():
+    for written, want in (
+        ("a&amp;b", "a&b"), ("?a=1&copy=2", "?a=1&copy=2"), ("?a&copy", "?a©"), ("&copy;", "©"), ("&#65;&#x42;&#67", "ABC"), ("&notit;", "&notit;"), ("&notit", "&notit"), ("&not;it", "¬it"), ("&amp;#65;", "&#65;"), ("&&amp", "&&"), ("&nope;", "&nope;"),
+    ):
+        assert urlfilter.unescaped(written) == want
+
+
 def judged_by_sql(rows):
     sql = duckdb.connect()
     sql.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
