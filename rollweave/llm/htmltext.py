@@ -7,7 +7,9 @@
 3. Paths whose score reaches CUT of the page's mean score, weighted by length, are content.
 4. The deepest element that holds HELD of the content's text is the article. Its blocks count, short ones too, except
    those in parts that hold no content: parts that the page marks as something else, and unmarked groups (a list of
-   replies, a notice, a menu) whose paths all stay below the threshold.
+   replies, a notice, a menu) whose paths all stay below the threshold. Groups of code, quotations and tables between
+   content stay, and so do captions and introductions by their class and closing lists of links beside content. Within
+   an article, a section with a heading is not marked by its id alone.
 """
 
 from __future__ import annotations
@@ -40,7 +42,8 @@ LOWERED, HINTED = 0.25, 0.7
 RAW = frozenset("script style iframe noembed noframes xmp textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "button label select optgroup option".split()
 )
 #: Elements whose text is never the article's.
 OUTSIDE = frozenset(
@@ -69,6 +72,18 @@ PLAIN = frozenset(
     "js latest left link links list main media mobile module more outer page panel pane popular post posts primary reader readers right row secondary section site small "
     "slot sticky story thread top unit user users wp wrap wrapper".split()
 )
+#: Marks that a section's own id may be as well, since generators name sections by their headings.
+TOPICS = frozenset(
+    "discussion search legal form alert alerts notification notifications login register menu menus navigation dialog modal overlay popover toast toolbar "
+    "widget widgets pagination hidden reply commentary".split()
+)
+#: Class words of groups that belong to an article although no path of theirs is content.
+KIN = frozenset(
+    "abstract byline cap caption code codeblock deck dek example equation excerpt figure formula highlight intro introduction lead lede listing math quote "
+    "standfirst subtitle summary".split()
+)
+#: Elements whose text, between content, belongs to it.
+SOLID = frozenset("pre figure figcaption blockquote table dl math".split())
 #: Class and id words of articles: beside one of them, marks in other names of the element are hints.
 CONTENT = frozenset("article content entry main post story text body".split())
 HEADER_MARKS = frozenset(["header", "head"])
@@ -119,6 +134,10 @@ class Element:
     #: A header of the article: its headings count, the rest doesn't.
     own_header: bool = False
     in_article: bool = False
+    #: What its id alone marks it as, within an article; it stays a hint if the element is a section of its own.
+    named: int = NOT
+    #: Its class words speak of a part of the article.
+    kin: bool = False
     #: For inline elements: in a link; in an excluded inline element of a block.
     link: bool = False
     cut_out: bool = False
@@ -162,30 +181,40 @@ def marks(names: list[str]) -> int:
     return found
 
 
+def _topic(classes: list[str], ids: list[str]) -> bool:
+    """Whether it is an id alone that marks an element, with words that sections may be about."""
+    words = {x.lower() for n in ids for x in _MARK.findall(n)}
+    return marks(ids) >= DOUBT and marks(classes) == NOT and words & (FOREIGN | DOUBTFUL) <= TOPICS
+
+
 def _opened(page: Page, name: str, raw: str, parent: int, at: int) -> Element:
     up = page.elements[parent]
     attributes = {}
     if raw.strip(" /"):
         for k, *v in _ATTRIBUTE.findall(raw):
             attributes.setdefault(k.lower(), entities.unescape(next((x for x in v if x), "")))
-    inline, names = name in INLINE, []
+    inline, names, named = name in INLINE, [], NOT
     if attributes and name not in ("html", "body"):
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
     mark = DOUBT if name in MARKED else NOT
     if attributes and name not in ARTICLES and name not in ("html", "body"):
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(attributes.get("style", "")))
-        mark = max(mark, marks(names), DOUBT if hidden or attributes.get("role", "").lower() in ROLES else NOT)
+        mark = max(mark, DOUBT if hidden or attributes.get("role", "").lower() in ROLES else NOT)
+        if up.in_article and mark == NOT and _topic(attributes.get("class", "").split(), attributes.get("id", "").split()):
+            named, mark = marks(names), HINT
+        else:
+            mark = max(mark, marks(names))
     outside, article = up.outside or name in OUTSIDE, up.in_article or name in ARTICLES or attributes.get("role") in ("main", "article")
     words = {x.lower() for n in names for x in _MARK.findall(n)}
     header = name == "header" or (mark == DOUBT and bool(words & HEADER_MARKS))
     if inline:
-        cut_out = up.cut_out or (mark >= DOUBT and not header and not up.outside)
-        return Element(name, parent, up.path, up.block, outside, NOT, False, article, up.link or name == "a", cut_out)
+        cut_out = up.cut_out or name in OUTSIDE or (max(mark, named) >= DOUBT and not header and not up.outside)
+        return Element(name, parent, up.path, up.block, up.outside, NOT, False, article, link=up.link or name == "a", cut_out=cut_out)
     if name in HEADINGS and header:
         mark, header = NOT, False
     factor = 1.0 if mark == NOT else HINTED if mark == HINT else LOWERED
     path = page.path(up.path, " ".join([name, *sorted(words)]), factor)
-    return Element(name, parent, path, at, outside, mark, header and up.in_article, article)
+    return Element(name, parent, path, at, outside, mark, header and up.in_article, article, named, mark <= HINT and not KIN.isdisjoint(words))
 
 
 class _Reader:
@@ -379,8 +408,26 @@ def _root(page: Page, held: list[int], beside: list[bool]) -> int:
     return root
 
 
+def _below(page: Page, own: list[bool]) -> list[bool]:
+    """Which elements hold one of these, or are one."""
+    out = list(own)
+    for k in range(len(out) - 1, 0, -1):
+        out[page.elements[k].parent] |= out[k]
+    return out
+
+
+def _name_sections(page: Page, chosen: list[int]) -> None:
+    """An id that sounds like something else is a section's name where the element has a heading and content; else it is a mark."""
+    if any(e.named for e in page.elements):
+        held, headed = _held(page, chosen), _below(page, [e.name in HEADINGS for e in page.elements])
+        for k, e in enumerate(page.elements):
+            if e.named and not (held[k] and headed[k]):
+                e.mark = e.named
+
+
 def article(page: Page) -> list[str]:
     chosen = np.flatnonzero(content(page)).tolist()
+    _name_sections(page, chosen)
     foreign = [False] * len(page.elements)
     for k, e in enumerate(page.elements[1:], 1):
         foreign[k] = foreign[e.parent] or e.mark == STRANGE
@@ -399,13 +446,25 @@ def article(page: Page) -> list[str]:
         unlinked[b.element] += b.unlinked
     for k in range(len(unlinked) - 1, 0, -1):
         unlinked[page.elements[k].parent] += unlinked[k]
+    # groups of code, tables and the like between content are the article's, and so are lists of links after the first content beside it
+    solid, first, last = [False] * len(page.elements), {}, {}
+    for i, b in enumerate(page.blocks):
+        first.setdefault(b.element, i)
+        last[b.element] = i
+    for k in range(len(page.elements) - 1, 0, -1):
+        up = page.elements[k].parent
+        first[up], last[up] = min(first.get(up, len(page.blocks)), first.get(k, len(page.blocks))), max(last.get(up, -1), last.get(k, -1))
+        solid[k] |= page.elements[k].name in SOLID
+        solid[up] |= solid[k]
+    homes = {page.elements[page.blocks[i].element].parent for i in kept}
     within, stray = [False] * len(page.elements), [False] * len(page.elements)
     for k, e in enumerate(page.elements):
         within[k] = k == root or (k > 0 and within[e.parent])
         if k == 0 or not within[k] or k == root:
             continue
-        links = e.name in ("ul", "ol") and not unlinked[k]
-        stray[k] = stray[e.parent] or (not e.in_article and (links or (e.name in GROUPS and not held[k])))
+        links = e.name in ("ul", "ol") and not unlinked[k] and not (e.parent in homes and first.get(k, -1) > kept[0])
+        belongs = e.kin or (solid[k] and first.get(k, -1) > kept[0] and last.get(k, -1) < kept[-1])
+        stray[k] = stray[e.parent] or (not e.in_article and (links or (e.name in GROUPS and not held[k] and not belongs)))
     inside = [i for i, b in enumerate(page.blocks) if not b.outside and not beside[b.element]]
     taken = [i for i in inside if within[page.blocks[i].element] and not stray[page.blocks[i].element]]
     if taken and not any(page.elements[page.blocks[i].element].name == "h1" for i in taken):

