@@ -94,6 +94,75 @@ def cell_states(events: DataFrame, ttl_s: int = CELL_TTL_S) -> DataFrame:
     return events.groupBy("cell").transformWithStateInPandas(CellState(ttl_s), CellState.SCHEMA, "Update", "ProcessingTime")
 
 
+class CellLife(StatefulProcessor):
+    """CellState by event time, with counts by teacher, which can begin from a table of cells.
+
+    Takes events (cell, kind: attempt, collect, publish or promote, teacher, ts_ms) and emits the cell after each batch and
+    when ttl_s have passed without an event, by the watermark; a published cell has no time limit. State: the cell's
+    counts, and a map from teachers to theirs.
+    """
+
+    SCHEMA = "cell string, attempts long, collected long, published boolean, promoted boolean, last_ms long, zombie boolean, teachers map<string,long>"
+    #: What a snapshot has of each cell: the columns that SCHEMA has, but for zombie.
+    SNAPSHOT = "cell string, attempts long, collected long, published boolean, promoted boolean, last_ms long, teachers map<string,long>"
+    COUNTED = ("attempts", "collected", "published", "promoted", "last_ms")
+
+    def __init__(self, ttl_s: int = CELL_TTL_S):
+        self.ttl_ms = ttl_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("cell", "attempts long, collected long, published boolean, promoted boolean, last_ms long")
+        self.teachers = handle.getMapState("teachers", "teacher string", "n long")
+
+    def _put(self, counted: tuple) -> None:
+        self.state.update(counted)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if not counted[2]:
+            self.handle.registerTimer(counted[4] + self.ttl_ms)
+
+    def _row(self, key: Any, counted: tuple, zombie: bool) -> pd.DataFrame:
+        teachers = {t[0]: n[0] for t, n in self.teachers.iterator()}
+        row = dict(zip(self.COUNTED, counted, strict=True)) | {"cell": key[0], "zombie": zombie, "teachers": teachers}
+        return pd.DataFrame([row])[[c.split()[0] for c in self.SCHEMA.replace("map<string,long>", "map").split(", ")]]
+
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        row = initialState.iloc[0]
+        for teacher, n in dict(row["teachers"] if row["teachers"] is not None else {}).items():
+            self.teachers.updateValue((teacher,), (int(n),))
+        self._put((int(row["attempts"]), int(row["collected"]), bool(row["published"]), bool(row["promoted"]), int(row["last_ms"])))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        attempts, collected, published, promoted, last = self.state.get() if self.state.exists() else (0, 0, False, False, 0)
+        for part in rows:
+            kinds = part["kind"].value_counts()
+            attempts, collected = attempts + int(kinds.get("attempt", 0)), collected + int(kinds.get("collect", 0))
+            published, promoted = published or bool(kinds.get("publish", 0)), promoted or bool(kinds.get("promote", 0))
+            last = max(last, int(part["ts_ms"].max()))
+            for teacher, n in part.loc[part["kind"] == "collect", "teacher"].value_counts().items():
+                held = self.teachers.getValue((teacher,))[0] if self.teachers.containsKey((teacher,)) else 0
+                self.teachers.updateValue((teacher,), (held + int(n),))
+        counted = (attempts, collected, published, promoted, last)
+        self._put(counted)
+        yield self._row(key, counted, False)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        counted = tuple(self.state.get())
+        if not counted[2]:
+            yield self._row(key, counted, True)
+
+    def close(self) -> None:
+        pass
+
+
+def cell_lives(events: DataFrame, snapshot: DataFrame | None = None, ttl_s: int = CELL_TTL_S, late: str = "10 minutes") -> DataFrame:
+    """events (cell, kind, teacher, ts timestamp) -> CellLife's rows. ``snapshot``: CellLife.SNAPSHOT's columns, a row for each cell, where an earlier run or a table left off."""
+    rows = events.withWatermark("ts", late).select("cell", "kind", "teacher", F.unix_millis("ts").alias("ts_ms"), "ts")
+    first = None if snapshot is None else snapshot.groupBy("cell")
+    return rows.groupBy("cell").transformWithStateInPandas(CellLife(ttl_s), CellLife.SCHEMA, "Update", "EventTime", first)
+
+
 class StickyGauge(StatefulProcessor):
     """A gauge's value in every minute that the watermark has passed, from the minute in which it was first set.
 

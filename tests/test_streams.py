@@ -1,0 +1,88 @@
+"""Streams that begin from a table, and batches that come twice."""
+
+from __future__ import annotations
+
+import datetime
+import json
+import time
+
+from pyspark.sql import functions as F
+
+from rollweave.sources.appends import Appends
+from rollweave.streaming import metrics as streams
+
+START = datetime.datetime(2024, 1, 1, 10, 0)
+EVENT = "cell string, kind string, teacher string, ts timestamp"
+
+
+def test_a_batch_given_twice_adds_its_rows_once(spark, tmp_path):
+    table = Appends(spark, f"file://{tmp_path}/t", "id long, note string")
+    assert table.read().count() == 0
+    rows = spark.range(10).select("id", F.lit("x").alias("note"))
+    for _ in range(2):
+        table.sink("q")(rows.repartition(3), 0)
+    table.sink("q")(rows.where("id < 2"), 1)
+    table.sink("other")(rows.where("id < 3"), 0)
+    assert table.read().count() == 15 and table.read("q").count() == 12 and table.read("q", 1).count() == 2
+    assert "PartitionFilters: [isnotnull(query" in table.read("q", 1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_appends_of_a_stream_that_starts_over(spark, tmp_path):
+    """A stream whose last batch was written but not marked done writes it again."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text('{"id": 1}\n{"id": 2}')
+    table = Appends(spark, f"file://{tmp_path}/t", "id long")
+
+    def run():
+        rows = spark.readStream.schema("id long").json(f"{tmp_path}/in")
+        rows.writeStream.foreachBatch(table.sink("s")).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination(120)
+
+    run()
+    for commit in (tmp_path / "c/commits").iterdir():
+        commit.unlink()
+    run()
+    assert sorted(r["id"] for r in table.read().collect()) == [1, 2]
+
+
+def events(rows):
+    return "\n".join(json.dumps({"cell": c, "kind": k, "teacher": t, "ts": (START + datetime.timedelta(minutes=m)).isoformat()}) for c, k, t, m in rows)
+
+
+FIRST = [("a", "attempt", "t1", 0), ("a", "collect", "t1", 1), ("b", "attempt", "t2", 1), ("c", "attempt", "t1", 2), ("c", "publish", None, 3)]
+SECOND = [("a", "attempt", "t2", 20), ("a", "collect", "t2", 21), ("a", "collect", "t1", 22), ("c", "promote", None, 25), ("d", "attempt", "t3", 30), ("clock", "attempt", "t", 200), ("clock", "attempt", "t", 201)]
+
+
+def lives(spark, folder, name, files, snapshot=None):
+    """The last row of each cell once a stream has read the files, one a batch, and zombies have been told."""
+    folder.mkdir()
+    source = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).json(str(folder))
+    q = streams.cell_lives(source, snapshot, 3600, "1 minute").writeStream.format("memory").queryName(name).outputMode("update").trigger(processingTime="1 second").start()
+    try:
+        for i, rows in enumerate(files):
+            (folder / f".{i}").write_text(events(rows))
+            (folder / f".{i}").rename(folder / f"{i}.json")
+            for _ in range(60):
+                time.sleep(1)
+                if q.exception() or {r["cell"] for r in spark.table(name).collect()} >= {c for c, *_ in rows}:
+                    break
+        time.sleep(6)  # what the last watermark ends
+    finally:
+        q.stop()
+    assert q.exception() is None
+    rows = spark.table(name).collect()
+    last = {}
+    for r in sorted(rows, key=lambda r: (r["last_ms"], r["attempts"] + r["collected"], r["zombie"])):
+        last[r["cell"]] = r.asDict()
+    return last
+
+
+def test_a_restart_from_the_table_gives_the_counts_of_an_unbroken_run(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    unbroken = lives(spark, tmp_path / "whole", "whole_lives", [FIRST, SECOND])
+    assert unbroken["a"]["teachers"] == {"t1": 2, "t2": 1} and (unbroken["a"]["attempts"], unbroken["a"]["collected"]) == (2, 3)
+    assert {c for c, r in unbroken.items() if r["zombie"]} == {"a", "b", "d"}  # c is published, the clock is still running
+    before = lives(spark, tmp_path / "first", "first_lives", [FIRST])
+    columns = [x.split()[0] for x in streams.CellLife.SNAPSHOT.replace("map<string,long>", "map").split(", ")]
+    snapshot = spark.createDataFrame([tuple(r[c] for c in columns) for r in before.values()], streams.CellLife.SNAPSHOT)
+    after = lives(spark, tmp_path / "second", "second_lives", [SECOND], snapshot)
+    assert after == unbroken
