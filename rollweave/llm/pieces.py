@@ -219,8 +219,10 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 def encoded(rows: DataFrame, model_path: str) -> DataFrame:
     """rows (row struct, text string) -> row, ids, bounds (original byte bounds, one more than ids) and decoded.
 
-    Null counts as the empty text, which has no ids and the one bound 0. The model file is read on the driver and
-    broadcast (some 0.5 MB).
+    A row for each row, repeats included; names below ``row`` can't clash, and an empty table gives an empty one. Null
+    counts as the empty text, which has no ids and the one bound 0. Texts are encoded whole, in slices of SLICE bytes or
+    one longer text at a time: a task holds a text's ids and bounds, some 16 bytes a byte of text at most. The model file
+    is read on the driver and broadcast (some 0.5 MB).
     """
     small_batches(rows.sparkSession)
     with open(model_path, "rb") as file:

@@ -3,6 +3,10 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return docs' columns. run() writes what a
 stage returns as Parquet in the shared folder and reads it again for the next; a stage's own tables, and its input, are
 deleted once its result is written.
+
+In every stage null texts count as empty, texts of any length are taken whole, further columns stay whatever they are
+called, and an empty table gives an empty one. Rows that repeat a document are ties: where one of them stays it is one of
+equals, so it doesn't matter which.
 """
 
 from __future__ import annotations
@@ -14,27 +18,27 @@ from rollweave.llm.common import Scratch, released, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose text is in a learned language, which becomes their lang; texts without a letter and those that no language explains go."""
+    """Keeps the documents whose text is in a learned language, which becomes their lang; texts without a letter (null and empty ones too) and those that no language explains go; repeated rows all stay or all go."""
     return langid.identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one of equal texts, that with the least doc_id."""
+    """Keeps one of equal texts, that with the least doc_id (rows without doc_id last), and one row of those that repeat it. Null and empty texts are equal."""
     return exactdedup.deduplicated(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by a similarity of 0.8 or more on five-word shingles."""
+    """Keeps one document of each group linked by a similarity of 0.8 or more on five-word shingles, that with the least doc_id. Texts without words link with nothing and stay."""
     return neardedup.deduplicated(docs, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each source up to its target: a row for each time that the mix takes a document."""
+    """Takes each source up to its target: a row for each time that the mix takes a document. Null is a source of its own; ties of keys go by doc_id and size."""
     return mixing.mix(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and bounds_sha256 for each row of the mix."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and bounds_sha256 for each row of the mix, repeats included; empty texts have no tokens."""
     return pieces.tokenised(docs)
 
 
