@@ -140,11 +140,6 @@ drawn AS (
   WHERE place <= need)"""
 
 
-@query("env_targets", f"WITH {TARGETS} SELECT list_name, env_name, weight, n_target FROM targets")
-def env_targets(spark, sf_dir):
-    return weights.env_targets(weights.parse_pool(_lists(spark))).select("list_name", "env_name", "weight", "n_target")
-
-
 def _topped_up(spark, sf_dir):
     rolls, targets = _rolls(spark, sf_dir), weights.env_targets(weights.parse_pool(_lists(spark)))
     progress = derive.progress(rolls)
