@@ -150,7 +150,7 @@ def unescaped(value: str) -> str:
 
 def _target(value: Column) -> Column:
     """A link up to its first white space, references decoded; null if nothing is left."""
-    decoded = F.pandas_udf(lambda values: values.map(lambda v: v if v is None else unescaped(v)), "string", F.PandasUDFType.SCALAR)
+    decoded = F.udf(lambda v: v if v is None else unescaped(v), "string", useArrow=True)  # for the few links that hold a reference
     text = F.when(F.contains(value, F.lit("&")), decoded(value)).otherwise(value)
     return F.nullif(F.regexp_extract(text, r"(?s)^\s*(\S*)", 1), F.lit(""))
 
