@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rollweave.schemas import KEYS
+
 
 def last_of(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """For each key the last row by ``order``, which should be total."""
@@ -33,6 +35,12 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], keep: S
     return both.select(*(F.col(c) if c in keys else value(c) for c in current.columns))
 
 
+def upsert_into(table: str, current: DataFrame, incoming: DataFrame, *order: Column) -> DataFrame:
+    """upsert by a table's own key and the columns that it keeps; with ``order`` the last row of each key counts."""
+    keys = KEYS[table]
+    return upsert(current, last_of(incoming, keys, *order) if order else incoming, keys, KEPT.get(table, ()))
+
+
 def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """The rows of incoming to append: their keys aren't in current. Of rows with one key the first by ``order``; without an
     order, that with the least values, so that the choice doesn't depend on partitions."""

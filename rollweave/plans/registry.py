@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollweave.functions import chat, codecs, eed, text
-from rollweave.operators import cells, environments, merge, metrics, normalisers, pairs, publish, requests, scoring, stats, trajectory, weights
+from rollweave.operators import cells, environments, lookups, merge, metrics, normalisers, pairs, publish, requests, scoring, stats, trajectory, weights
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
 from rollweave.sources import buckets, files, store
@@ -711,6 +711,59 @@ def rollout_upsert(spark, sf_dir):
     return merge.upsert(current, incoming, key, merge.KEPT["rollouts"])
 
 
+def _submissions(spark, sf_dir, by):
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("student"), F.concat(F.lit("r"), F.col("c_nationkey")).alias("revision"), F.md5(F.col("c_name")).alias("model_hash"), (F.col("c_acctbal") > 0).alias("is_valid"),
+        F.concat(F.lit(by), F.col("c_mktsegment")).alias("submitted_by"), F.col("c_acctbal").alias("submitted_at"),
+    )
+
+
+@query(
+    "submission_upsert",
+    """SELECT c_custkey AS student, 'r' || c_nationkey AS revision, md5(CASE WHEN c_custkey % 2 = 0 THEN c_name || 'x' ELSE c_name END) AS model_hash,
+         CASE WHEN c_custkey % 3 = 0 THEN 'old ' ELSE 'new ' END || c_mktsegment AS submitted_by, c_acctbal > 0 AS is_valid
+       FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0""",
+)
+def submission_upsert(spark, sf_dir):
+    """A submission that comes again, in two forms of which the later counts, keeps who submitted it."""
+    old = _submissions(spark, sf_dir, "old ").where("student % 3 = 0")
+    name = F.md5(F.concat(F.col("c_name"), F.lit("x")))
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("student"), name.alias("other"))
+    again = _submissions(spark, sf_dir, "new ").where("student % 2 = 0")
+    later = again.join(names, "student").withColumns({"model_hash": F.col("other"), "submitted_at": F.col("submitted_at") + 1}).drop("other")
+    return merge.upsert_into("student_submissions", old, again.unionByName(later), F.col("submitted_at")).drop("submitted_at")
+
+
+@query(
+    "deployment_upsert",
+    """SELECT c_custkey AS deployment_id, CASE WHEN c_custkey % 3 = 0 THEN 'h' || c_nationkey ELSE 'moved' END AS host, CASE WHEN c_custkey % 2 = 0 THEN 'stopped' ELSE 'running' END AS status,
+         c_custkey % 3 AS student FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0""",
+)
+def deployment_upsert(spark, sf_dir):
+    """A deployment keeps its host and student, and takes the new status."""
+    c = table(spark, sf_dir, "customer")
+    rows = lambda host, status: c.select(F.col("c_custkey").alias("deployment_id"), host.alias("host"), F.lit(status).alias("status"), (F.col("c_custkey") % 3).alias("student"))
+    old, new = rows(F.concat(F.lit("h"), F.col("c_nationkey")), "running").where("deployment_id % 3 = 0"), rows(F.lit("moved"), "stopped").where("deployment_id % 2 = 0")
+    return merge.upsert_into("student_deployments", old, new)
+
+
+@query("valid_submissions", "SELECT c_custkey AS student, md5(c_name) AS model_hash FROM customer WHERE c_acctbal > 0")
+def valid_submissions(spark, sf_dir):
+    return lookups.valid_submissions(_submissions(spark, sf_dir, "")).select("student", "model_hash")
+
+
+@query("submissions_by_hash", "SELECT c_custkey AS student FROM customer WHERE md5(c_name) = (SELECT md5(min(c_name)) FROM customer)")
+def submissions_by_hash(spark, sf_dir):
+    first = table(spark, sf_dir, "customer").agg(F.min("c_name")).first()[0]
+    return lookups.by_model_hash(_submissions(spark, sf_dir, ""), F.md5(F.lit(first))).select("student")
+
+
+@query("latest_submissions", "SELECT c_custkey AS student, c_acctbal AS submitted_at FROM customer WHERE c_acctbal > 0 ORDER BY c_acctbal DESC, c_custkey, 'r' || c_nationkey LIMIT 25")
+def latest_submissions(spark, sf_dir):
+    return lookups.listed("student_submissions", lookups.valid_submissions(_submissions(spark, sf_dir, "")), 25).select("student", "submitted_at")
+
+
 _UPSERTED = "env_name string, task_id long, teacher_name string, sample_idx int, status string, reward double, group_label string"
 
 

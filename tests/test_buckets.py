@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rollweave.operators import merge
+from rollweave.operators import lookups, merge
+from rollweave.sources.appends import Appends
 from rollweave.sources.buckets import Buckets
 from rollweave.streaming import metrics as streams
 
@@ -100,3 +101,36 @@ def test_streams_upsert_touched_buckets(spark, table, tmp_path):
     again = spark.createDataFrame([("a", 1, 0.0, "w")], SCHEMA)
     streams.bucket_sink(table, ["v"])(again, 1)  # the number of a batch that is in
     assert rows(table.read())[0] == ("a", 1, 3.0, "x")
+
+
+def test_an_audit_row_comes_with_its_change(spark, tmp_path, monkeypatch):
+    log = Appends(spark, f"file://{tmp_path}/log", Buckets.AUDIT)
+    table = Buckets(spark, f"file://{tmp_path}/t", SCHEMA, ["k", "j"], 4, log)
+    rows = spark.createDataFrame([("a", 1, 1.0, "x")], SCHEMA)
+    row = {"ts": "2024-01-01", "actor": "me", "action": "load", "target": "a", "payload": "{}"}
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    for step, there in (("_stage", False), ("_swap", True), ("_note", True)):  # where the writer dies, and whether the change counts
+        with monkeypatch.context() as m:
+            m.setattr(Buckets, step, dies)
+            with pytest.raises(RuntimeError):
+                table.upsert(rows, audit=row | {"action": step})
+        table.recover()
+        assert ({r["action"] for r in log.read().collect()} >= {step}) is there
+    table.update(rows, audit=row)
+    assert sorted(r["action"] for r in log.read().collect()) == ["_note", "_swap", "load"] and table.blobs.names("_audits") == []
+    with pytest.raises(ValueError, match="needs a log"):
+        Buckets(spark, f"file://{tmp_path}/u", SCHEMA, ["k", "j"]).upsert(rows, audit=row)
+
+
+def test_lookups(spark):
+    teachers = spark.createDataFrame([("t", True), ("u", False), ("v", None)], "teacher_name string, active boolean")
+    assert [r[0] for r in lookups.active_teachers(teachers).collect()] == ["t"]
+    scores = spark.createDataFrame([("r1", "s", "v", "done", 1), ("r2", "s", "v", "queued", None), ("r3", "s", "v", "done", 2)], "run_id string, student string, revision string, status string, started_at int")
+    assert [r[0] for r in lookups.listed("student_scores", lookups.with_status(scores, "done", "failed")).collect()] == ["r3", "r1"]
+    assert [r[0] for r in lookups.listed("student_scores", lookups.with_status(scores), 3).collect()] == ["r3", "r1", "r2"]
+    assert lookups.by_key("student_scores", scores, "r2", "s", "v").count() == 1 and lookups.by_key("student_scores", scores, "r2", "s", "no").count() == 0
+    with pytest.raises(ValueError, match="has the key"):
+        lookups.by_key("rollouts", scores, "x")
