@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -17,9 +18,19 @@ from rollweave.llm.common import Scratch
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-def vocabulary(path=PATH, **changes) -> str:
+@lru_cache(2)
+def held(path: str) -> dict:
     with open(path, encoding="utf-8") as file:
-        return json.dumps(json.load(file) | changes)
+        return json.load(file)
+
+
+@lru_cache(2)
+def plain(path: str) -> str:
+    return json.dumps(held(path))
+
+
+def vocabulary(path=PATH, **changes) -> str:
+    return json.dumps(held(path) | changes) if changes else plain(path)
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +38,11 @@ def bpe():
     return bpetree.Bpe(vocabulary())
 
 
+made_of = lru_cache(8)(Tokenizer.from_str)
+
+
 def library(text: str, vocabulary_: str | None = None) -> tuple[bytes, str]:
-    made = Tokenizer.from_str(vocabulary_ or vocabulary())
+    made = made_of(vocabulary_ or vocabulary())
     ids = made.encode(text or "", add_special_tokens=False).ids
     return np.array(ids, "<u4").tobytes(), made.decode(ids, skip_special_tokens=False)
 
