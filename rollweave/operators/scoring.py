@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollweave.functions.eed import eed
 from rollweave.operators.pairs import named
+from rollweave.sources.scratch import shuffle_parts
 
 
 def ce_margin(row: dict[str, Column]) -> Column:
@@ -43,3 +45,9 @@ def score_rollouts(measured: DataFrame, strategy: str = "advantage_weighted") ->
 def mean_scores(scored: DataFrame, *by: str) -> DataFrame:
     """(by.., mean_score, n_scored): scores that are null don't count; a group of nulls has a null mean."""
     return scored.groupBy(*by).agg(F.avg("score").alias("mean_score"), F.count("score").alias("n_scored"))
+
+
+def answer_distances(rows: DataFrame, answer: Column, test: Column, *key: str) -> DataFrame:
+    """rows with their expression distance (``eed``) as e. A pair takes up to milliseconds and its row few bytes, of which one
+    part of a file can hold millions: rows are first dealt out by a key that differs."""
+    return rows.repartition(shuffle_parts(rows.sparkSession), *key).withColumn("e", eed(answer, test))

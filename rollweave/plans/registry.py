@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.functions import chat, codecs, eed, text
+from rollweave.functions import chat, codecs, text
 from rollweave.operators import cells, environments, lookups, merge, metrics, normalisers, pairs, publish, requests, scoring, stats, trajectory, weights
 from rollweave.plans import derive
 from rollweave.plans.derive import PROGRESS, ROLLOUTS, SCORES, TASKS, TRACE, as_of, sql, table
@@ -1205,10 +1205,10 @@ def trajectory_blob(spark, sf_dir):
 
 @query("expression_distance")
 def expression_distance(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     answer = F.concat(F.lit("\\frac{m v^2}{2} + "), F.col("p_size").cast("string"), F.lit(" x"))
     test = F.when(F.col("p_partkey") % 3 == 0, answer).when(F.col("p_partkey") % 3 == 1, F.concat(F.col("p_size").cast("string"), F.lit(" x + \\frac{1}{2} m v^{2}"))).otherwise(F.lit("\\frac{m v^2}{3} + 5 x"))
-    return p.select("p_partkey", eed.eed(answer, test).alias("e")).select("p_partkey", "e.*")
+    return scoring.answer_distances(p, answer, test, "p_partkey").select("p_partkey", "e.*")
 
 
 @query("env_routing", sql("SELECT DISTINCT env_name, split_part(env_name, ':', 1) AS backend, CASE WHEN strpos(env_name, ':') > 0 THEN substr(env_name, strpos(env_name, ':') + 1) ELSE env_name END AS env_id FROM rollouts", ROLLOUTS))

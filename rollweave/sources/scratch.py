@@ -26,6 +26,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return found
 
 
+def shuffle_parts(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions: given as a number, they stay as many where their rows' bytes are few and the work on a row is much."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def places(rows: DataFrame, *by: str) -> DataFrame:
     """(by, first, before) for each part of rows that hold by, part and pos: the rows of earlier parts. The driver sees a count for each part that a task read."""
     parts = rows.groupBy(*by, "part").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).orderBy(*by, "part").collect()

@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import tracemalloc
 from functools import lru_cache
 
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollweave.functions import eed
 from rollweave.functions.trees import Tree, distance, score, subtree_cost
+from rollweave.operators.scoring import answer_distances
+from rollweave.plans.registry import QUERIES
+from tests.conftest import SMALL
 
 trees = st.recursive(st.sampled_from("abc").map(Tree), lambda kids: st.tuples(st.sampled_from("abc"), st.lists(kids, min_size=1, max_size=3)).map(lambda x: Tree(x[0], tuple(x[1]))), max_leaves=7)
 
@@ -54,3 +59,35 @@ def test_shortcuts(spark):
     got = [tuple(r["e"]) for r in spark.createDataFrame(rows, "a string, t string").coalesce(1).select(eed.eed(F.col("a"), F.col("t")).alias("e")).collect()]
     unfit = (0.0, -1.0, -1.0, -1.0)
     assert got == [unfit, unfit, unfit, (0.0, -1.0, -1.0, 1.0), (100.0, 0.0, -1.0, 0.0), unfit, (100.0, 0.0, 0.0, 0.0)]
+
+
+def test_copies_are_compared_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(eed, "compare", lambda a, t: seen.append((a, t)) or (float(len(seen)), 0.0, 0.0, 0.0))
+    batch = lambda: (pd.Series(["a", "b", "a", None, "a"]), pd.Series(["x", "x", None, "x", "x"]))
+    got = [list(part["score"]) for part in eed._compared(iter([batch(), batch()]))]
+    assert got == [[1.0, 2.0, 0.0, 3.0, 1.0]] * 2 and seen == [("a", "x"), ("b", "x"), (None, "x")]
+    monkeypatch.setattr(eed, "KEPT_CHARS", 150)  # two pairs
+    again = [list(part["score"]) for part in eed._compared(iter([batch(), batch()]))]
+    assert again == [[4.0, 5.0, 0.0, 6.0, 7.0], [7.0, 8.0, 0.0, 9.0, 10.0]]
+
+
+def test_rows_of_one_part_are_dealt_out(spark):
+    rows = spark.range(400).coalesce(1).select("id", F.concat(F.lit("x+"), F.col("id") % 9).alias("t"))
+    found = answer_distances(rows, F.lit("4+x"), F.col("t"), "id")
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 200
+    assert {r["id"]: tuple(r["e"]) for r in found.collect()} == {i: eed.compare("4+x", f"x+{i % 9}") for i in range(400)}
+    p = QUERIES["expression_distance"](spark, SMALL)
+    assert p.select(F.spark_partition_id()).distinct().count() == 4
+
+
+def test_memory_of_a_distance():
+    def chain(n: int) -> Tree:
+        return Tree("ab"[n % 2], (Tree("c"), chain(n - 1))) if n else Tree("a")
+
+    tracemalloc.start()
+    try:
+        assert distance(chain(30), chain(30)) == 0 and tracemalloc.get_traced_memory()[1] < 2 << 20
+    finally:
+        tracemalloc.stop()
