@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from rollweave.functions.text import env_id, stripped
 from rollweave.schemas import MANIFEST, PUBLIC_MANIFEST, TRACE_EVENT, struct
-from rollweave.sources.scratch import dense, new_folder
+from rollweave.sources.scratch import dense, new_folder, shuffle_parts
 
 TASK_LINE = (
     "task_id string, id string, repo string, base_commit string, problem string, problem_statement string, difficulty string, test_patch string, "
@@ -116,6 +116,37 @@ def _number(line: str) -> int | None:
     return next((int(x) for x in given if x.strip().lstrip("+-").isdigit()), None)
 
 
+#: Bytes of lines that a lookup hands on at once: a batch of the index has thousands of entries, whatever their lines' lengths.
+LINES_BYTES = 4 << 20
+
+
+def _indexed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that entries of an index (task_id, file, start, length) point at, in batches of LINES_BYTES or one longer line."""
+    from pyarrow import fs
+
+    def made(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)], ["file", "pos", "value"])
+
+    name, stream = None, None
+    for batch in batches:
+        found, size = [], 0
+        for file, start, length, id_ in zip(*(batch.column(c).to_pylist() for c in ("file", "start", "length", "task_id")), strict=True):
+            if found and size + length > LINES_BYTES:
+                yield made(found)
+                found, size = [], 0
+            if file != name:
+                store, at = fs.FileSystem.from_uri(file.replace("s3a://", "s3://", 1))  # Hadoop's name and Arrow's
+                name, stream = file, store.open_input_file(at)
+            stream.seek(start)
+            line = stream.read(length).decode(errors="replace").rstrip()
+            if _number(line) != id_:
+                raise ValueError(f"{file} is not the file that was indexed")
+            found.append((file, start, line))
+            size += length
+        if found:
+            yield made(found)
+
+
 class TaskIndex:
     """Where each task's line lies in JSON-lines files: a lookup reads those lines' bytes and no others.
 
@@ -162,28 +193,14 @@ class TaskIndex:
         return self._tasks(self.entries().where(F.col("task_id") == task_id))
 
     def tasks(self, ids: DataFrame) -> DataFrame:
-        """The tasks of many ids (task_id), each once: lines are read in parallel, in the order of files and places."""
+        """The tasks of many ids (task_id), each once: lines are read in parallel, in the order of files and places. Entries are
+        few bytes for the lines that they stand for, so the number of ranges is given."""
         wanted = ids.select(F.col("task_id").cast("int")).distinct()
-        return self._tasks(self.entries().join(wanted, "task_id").repartitionByRange("file", "start").sortWithinPartitions("file", "start"))
+        ranges = self.entries().join(wanted, "task_id").repartitionByRange(shuffle_parts(self.spark), "file", "start")
+        return self._tasks(ranges.sortWithinPartitions("file", "start"))
 
     def _tasks(self, entries: DataFrame) -> DataFrame:
-        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyarrow import fs
-
-            name, stream = None, None
-            for batch in batches:
-                found = []
-                for file, start, length, id_ in zip(*(batch.column(c).to_pylist() for c in ("file", "start", "length", "task_id")), strict=True):
-                    if file != name:
-                        store, at = fs.FileSystem.from_uri(file.replace("s3a://", "s3://", 1))  # Hadoop's name and Arrow's
-                        name, stream = file, store.open_input_file(at)
-                    stream.seek(start)
-                    found.append(stream.read(length).decode(errors="replace").rstrip())
-                    if _number(found[-1]) != id_:
-                        raise ValueError(f"{file} is not the file that was indexed")
-                yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("start"), pa.array(found, pa.string())], ["file", "pos", "value"])
-
-        return parsed(entries.mapInArrow(read, "file string, pos long, value string"), self.env_name)
+        return parsed(entries.mapInArrow(_indexed_lines, "file string, pos long, value string"), self.env_name)
 
 
 def trace(spark: SparkSession, path: str, session: str) -> DataFrame:

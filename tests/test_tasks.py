@@ -56,6 +56,21 @@ def test_a_lookup_reads_its_line_alone(spark, tmp_path):
         index.task(1501).collect()
 
 
+def test_lookups_hand_on_few_bytes_at_once(spark, tmp_path):
+    """Whatever the lines' lengths and however many entries come at once."""
+    lines = [json.dumps({"id": i, "problem": "xé"[i % 2] * (5_000_000 if i == 70 else 100_000)}, ensure_ascii=False) for i in range(150)]
+    (tmp_path / "t.jsonl").write_text("\n".join(lines) + "\n")
+    index = files.TaskIndex(spark, str(tmp_path / "index"), "e")
+    index.build(str(tmp_path / "t.jsonl"))
+    entries = index.entries().orderBy("start").toArrow().combine_chunks().to_batches()
+    got = list(files._indexed_lines(iter(entries)))
+    assert len(entries) == 1 and len(got) > 5 and [x for b in got for x in b.column("value").to_pylist()] == lines
+    assert all(b.num_rows == 1 or b.nbytes < 4 << 20 for b in got)
+    ids = spark.range(150).select(F.col("id").alias("task_id"))
+    found = index.tasks(ids).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)), F.sum(F.length("problem"))).collect()
+    assert len(found) == 4 and sum(r[1] for r in found) == 150 and sum(r[2] for r in found) == 149 * 100_000 + 5_000_000
+
+
 def test_empty_files_have_empty_indexes(spark, tmp_path):
     (tmp_path / "t.jsonl").write_text("\n \n")
     index = files.TaskIndex(spark, str(tmp_path / "index"), "e")
